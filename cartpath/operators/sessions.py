@@ -61,7 +61,10 @@ def mark_sessions(events: DataFrame, gap_sec: int = SESSION_GAP_SEC, tie: str =
         "visitorid", "_tb", "_prev_mx",
         (F.coalesce(F.sum(F.col("_first") + F.col("_nb")).over(earlier), F.lit(0)) + F.col("_first")).alias("_start"))
 
-    rows = ev.join(buckets, ["visitorid", "_tb"])
+    # Sort-merge join: the rows are already hash-partitioned and sorted by (visitorid, _tb)
+    # from the window, so only the small summary side moves. The hint keeps AQE from
+    # broadcasting the row side when a sample happens to be small.
+    rows = ev.join(buckets.hint("merge"), ["visitorid", "_tb"])
     gap = F.coalesce(F.col("_gap"), F.col(TS) - F.col("_prev_mx"))
     return (rows.withColumn("gap", gap)
                 .withColumn("is_boundary", F.col("gap").isNull() | (F.col("gap") >= gap_sec))
@@ -92,6 +95,7 @@ def sessionize(events: DataFrame, gap_sec: int = SESSION_GAP_SEC, tie: str = "se
                bucket_sec: int = BUCKET_SEC, keep_visitor: bool = False) -> DataFrame:
     """Events -> sessions: (timestamp, event, itemid, session, seq)."""
     marked = mark_sessions(events, gap_sec, tie, bucket_sec)
-    out = marked.join(session_ids(marked), KEY)
+    # The id table has one row per session: hash it, stream the rows past it.
+    out = marked.join(session_ids(marked).hint("shuffle_hash"), KEY)
     cols = [TS, "event", "itemid", "session", tie] + (["visitorid"] if keep_visitor else [])
     return out.select(*cols)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..config import TEST_WEEKS, TRAIN_WEEKS
+from ..functions.materialize import materialize
 from ..operators.sessions import mark_sessions, sessionize
 from ..operators.split import train_test_split
 from ..sources.driver import click_events
@@ -20,10 +21,16 @@ def marked(spark: SparkSession, sf_dir: str, gap: int = GAP_SHORT) -> DataFrame:
     return mark_sessions(click_events(spark, sf_dir), gap)
 
 
-def sessions(spark: SparkSession, sf_dir: str, gap: int = GAP_SHORT) -> DataFrame:
-    return sessionize(click_events(spark, sf_dir), gap)
+def sessions(spark: SparkSession, sf_dir: str, gap: int = GAP_SHORT, written: bool = False) -> DataFrame:
+    """Sessionized events; ``written`` stores them once for plans that read them often."""
+    out = sessionize(click_events(spark, sf_dir), gap)
+    return materialize(out, f"sessions-{gap}") if written else out
 
 
 def split(spark: SparkSession, sf_dir: str, gap: int = GAP_SHORT,
-          train_weeks: int = TRAIN_WEEKS, test_weeks: int = TEST_WEEKS):
-    return train_test_split(sessions(spark, sf_dir, gap), train_weeks, test_weeks)
+          train_weeks: int = TRAIN_WEEKS, test_weeks: int = TEST_WEEKS, written: bool = False):
+    """(train, test); the sessions they come from are written once (read four times)."""
+    train, test = train_test_split(sessions(spark, sf_dir, gap, written=True), train_weeks, test_weeks)
+    if written:
+        return materialize(train, f"train-{gap}"), materialize(test, f"test-{gap}")
+    return train, test

@@ -126,3 +126,108 @@ def r6(expr: str) -> str:
 
 __all__ = ["Q", "events", "marked", "session_ids", "sessions", "split", "draw", "ids_text", "r6",
            "TOP_K", "SEED"]
+
+
+LABEL_TYPES = "('addtocart', 'transaction')"
+
+
+def cut(q: Q, gap: int, seed: int = SEED) -> dict[str, str]:
+    """Positions, split points, trimmed rows and label rows of the test set."""
+    n = split(q, gap)
+    sfx = f"{gap}"
+    q.add(f"pos_{sfx}", f"""
+  SELECT *, (row_number() OVER (PARTITION BY session ORDER BY timestamp, seq) - 1)::BIGINT AS pos,
+         count(*) OVER (PARTITION BY session) AS n_in_session
+  FROM {n['test']}""")
+    q.add(f"pts0_{sfx}", f"""
+  SELECT session, count(*)::BIGINT AS n_events,
+         max(CASE WHEN event IN {LABEL_TYPES} THEN pos END)::BIGINT AS last_label_pos
+  FROM pos_{sfx} GROUP BY session HAVING count(*) >= 2""")
+    q.add(f"pts_{sfx}", f"""
+  SELECT session, n_events, last_label_pos, last_possible_idx,
+         (CASE WHEN last_possible_idx = 0 THEN 1
+               ELSE 1 + {draw('session', seed)} % last_possible_idx END)::BIGINT AS split_idx
+  FROM (SELECT *, (CASE WHEN last_label_pos >= 2 THEN last_label_pos - 1 ELSE 0 END)::BIGINT
+                  AS last_possible_idx FROM pts0_{sfx}) x""")
+    q.add(f"trim_{sfx}", f"""
+  SELECT p.session, p.pos, p.itemid, p.timestamp, p.event
+  FROM pos_{sfx} p JOIN pts_{sfx} s USING (session) WHERE p.pos < s.split_idx""")
+    q.add(f"lab_long_{sfx}", f"""
+  SELECT DISTINCT p.session, p.event, p.itemid
+  FROM pos_{sfx} p JOIN pts_{sfx} s USING (session)
+  WHERE p.pos >= s.split_idx AND p.event IN {LABEL_TYPES}""")
+    q.add(f"lab_{sfx}", f"""
+  SELECT s.session,
+         list_sort(list(l.itemid) FILTER (WHERE l.event = 'addtocart')) AS addtocart,
+         list_sort(list(l.itemid) FILTER (WHERE l.event = 'transaction')) AS transaction
+  FROM pts_{sfx} s LEFT JOIN lab_long_{sfx} l USING (session) GROUP BY s.session""")
+    return {**n, "pos": f"pos_{sfx}", "points": f"pts_{sfx}", "trimmed": f"trim_{sfx}",
+            "lab_long": f"lab_long_{sfx}", "labels": f"lab_{sfx}"}
+
+
+def fixture_predictions(q: Q, gap: int, popular_n: int = 20) -> dict[str, str]:
+    """Long form (session, event_type, itemid, rank) of the stand-in predictor."""
+    n = cut(q, gap)
+    sfx = f"{gap}"
+    q.add(f"rec_{sfx}", f"SELECT session, itemid, max(pos) AS lp FROM {n['trimmed']} GROUP BY session, itemid")
+    q.add(f"pop_{sfx}", f"""
+  SELECT event, itemid, r FROM (
+    SELECT event, itemid, row_number() OVER (PARTITION BY event ORDER BY cnt DESC, itemid) AS r
+    FROM (SELECT event, itemid, count(*) AS cnt FROM {n['train']}
+          WHERE event IN {LABEL_TYPES} GROUP BY event, itemid) c) x
+  WHERE r <= {popular_n}""")
+    q.add(f"cand_{sfx}", f"""
+  SELECT r.session, t.event_type, r.itemid, 0 AS grp, -r.lp AS k
+  FROM rec_{sfx} r CROSS JOIN (VALUES ('addtocart'), ('transaction')) t(event_type)
+  UNION ALL
+  SELECT s.session, p.event AS event_type, p.itemid, 1 AS grp, p.r AS k
+  FROM (SELECT DISTINCT session FROM rec_{sfx}) s CROSS JOIN pop_{sfx} p""")
+    q.add(f"pred_{sfx}", f"""
+  SELECT session, event_type, itemid,
+         row_number() OVER (PARTITION BY session, event_type ORDER BY grp, k)::BIGINT AS rank
+  FROM (SELECT *, row_number() OVER (PARTITION BY session, event_type, itemid ORDER BY grp, k) AS first
+        FROM cand_{sfx}) c
+  WHERE first = 1""")
+    return {**n, "pred": f"pred_{sfx}"}
+
+
+def hits(q: Q, gap: int, k: int = TOP_K) -> dict[str, str]:
+    """Per label session: hits of each type as the reference defines them."""
+    n = fixture_predictions(q, gap)
+    sfx = f"{gap}_{k}"
+    q.add(f"labn_{gap}", f"""
+  SELECT s.session,
+         count(l.itemid) FILTER (WHERE l.event = 'addtocart') AS nc,
+         count(l.itemid) FILTER (WHERE l.event = 'transaction') AS no
+  FROM {n['points']} s LEFT JOIN {n['lab_long']} l USING (session) GROUP BY s.session""")
+    q.add(f"predn_{gap}", f"""
+  SELECT session,
+         count(*) FILTER (WHERE event_type = 'addtocart') AS pc,
+         count(*) FILTER (WHERE event_type = 'transaction') AS po
+  FROM {n['pred']} GROUP BY session""")
+    q.add(f"hitc_{sfx}", f"""
+  SELECT p.session,
+         count(*) FILTER (WHERE p.event_type = 'addtocart') AS hc,
+         count(*) FILTER (WHERE p.event_type = 'transaction') AS ho
+  FROM {n['pred']} p JOIN {n['lab_long']} l
+    ON l.session = p.session AND l.event = p.event_type AND l.itemid = p.itemid
+  WHERE p.rank <= {k} GROUP BY p.session""")
+    q.add(f"hits_{sfx}", f"""
+  SELECT l.session, (pn.session IS NOT NULL) AS has_pred,
+         CASE WHEN l.nc = 0 THEN NULL WHEN pn.session IS NULL THEN 0
+              WHEN coalesce(pn.pc, 0) = 0 THEN NULL ELSE coalesce(h.hc, 0) END::BIGINT AS cart_hits,
+         CASE WHEN l.no = 0 THEN NULL WHEN pn.session IS NULL THEN 0
+              WHEN coalesce(pn.po, 0) = 0 THEN NULL ELSE coalesce(h.ho, 0) END::BIGINT AS order_hits
+  FROM labn_{gap} l LEFT JOIN predn_{gap} pn USING (session) LEFT JOIN hitc_{sfx} h USING (session)""")
+    q.add(f"numev_{sfx}", f"""
+  SELECT coalesce(sum(least(nc, {k})), 0)::BIGINT AS n_carts,
+         coalesce(sum(least(no, {k})), 0)::BIGINT AS n_orders FROM labn_{gap}""")
+    q.add(f"rr_{gap}", f"""
+  SELECT pt.session, pt.event_type,
+         coalesce(1.0 / (SELECT min(p.rank) FROM {n['pred']} p JOIN {n['lab_long']} l
+                          ON l.session = p.session AND l.event = p.event_type AND l.itemid = p.itemid
+                          WHERE p.session = pt.session AND p.event_type = pt.event_type), 0.0) AS rr
+  FROM (SELECT DISTINCT session, event_type FROM {n['pred']}) pt
+  JOIN labn_{gap} l USING (session)
+  WHERE (pt.event_type = 'addtocart' AND l.nc > 0) OR (pt.event_type = 'transaction' AND l.no > 0)""")
+    return {**n, "hits": f"hits_{sfx}", "num_events": f"numev_{sfx}", "rr": f"rr_{gap}"}
