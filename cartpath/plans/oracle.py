@@ -231,3 +231,46 @@ def hits(q: Q, gap: int, k: int = TOP_K) -> dict[str, str]:
   JOIN labn_{gap} l USING (session)
   WHERE (pt.event_type = 'addtocart' AND l.nc > 0) OR (pt.event_type = 'transaction' AND l.no > 0)""")
     return {**n, "hits": f"hits_{sfx}", "num_events": f"numev_{sfx}", "rr": f"rr_{gap}"}
+
+
+def item_props(q: Q) -> str:
+    q.add("props", """
+  SELECT epoch(date_trunc('second', ts))::BIGINT * 1000 AS timestamp,
+         json_extract(props, '$.k')::BIGINT AS itemid,
+         CASE WHEN event_type IN ('view', 'click') THEN 'categoryid' ELSE 'available' END AS property,
+         CAST((json_extract(props, '$.k')::BIGINT + day(ts)) % 17 AS VARCHAR) AS value
+  FROM events""")
+    return "props"
+
+
+def tree(q: Q) -> str:
+    item_props(q)
+    q.add("tree", """
+  SELECT categoryid, (CASE WHEN categoryid >= 4 THEN categoryid % 4 END)::BIGINT AS parentid
+  FROM (SELECT DISTINCT CAST(value AS BIGINT) AS categoryid FROM props
+        WHERE property = 'categoryid') c
+  WHERE categoryid < 13""")
+    return "tree"
+
+
+def categories(q: Q, gap: int, train_weeks: int = TRAIN_WEEKS, test_weeks: int = TEST_WEEKS) -> dict[str, str]:
+    n = split(q, gap, train_weeks, test_weeks)
+    tree(q)
+    q.add("cat_ab", f"""
+  SELECT train_max_ts, train_max_ts - {test_weeks * WEEK_SEC} AS test_start,
+         train_max_ts - {(test_weeks + train_weeks) * WEEK_SEC} AS train_start
+  FROM (SELECT max(timestamp) AS train_max_ts FROM {n['train']}) m""")
+    q.add("cat_raw", """
+  SELECT timestamp // 1000 AS timestamp, itemid, CAST(value AS BIGINT) AS categoryid
+  FROM props WHERE property = 'categoryid'""")
+    q.add("cat_parent", """
+  SELECT r.timestamp, r.itemid, r.categoryid, coalesce(t.parentid, r.categoryid) AS parentid
+  FROM cat_raw r LEFT JOIN tree t USING (categoryid)""")
+    q.add("item_cat", """
+  SELECT DISTINCT c.itemid, c.categoryid, c.parentid FROM cat_parent c, cat_ab b
+  WHERE c.timestamp >= b.train_start AND c.timestamp < b.test_start""")
+    return {**n, "bounds": "cat_ab", "raw": "cat_raw", "parent": "cat_parent", "item_categories": "item_cat"}
+
+
+def pct(num: str, den: str) -> str:
+    return f"round(CAST({num} AS DOUBLE) * CAST(100 AS DOUBLE) / CAST({den} AS DOUBLE), 6)"
