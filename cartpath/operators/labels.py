@@ -27,7 +27,10 @@ from ..functions.columns import keyed_draw
 from ..functions.sequence import with_position, with_running_sum
 
 TS = "timestamp"
-IS_LABEL = F.col("event").isin(*LABEL_EVENTS)
+
+
+def is_label():
+    return F.col("event").isin(*LABEL_EVENTS)
 
 
 def session_positions(rows: DataFrame, tie: str = "seq", bucket_sec: int = BUCKET_SEC) -> DataFrame:
@@ -38,7 +41,7 @@ def session_positions(rows: DataFrame, tie: str = "seq", bucket_sec: int = BUCKE
 
 def label_index(positioned: DataFrame) -> DataFrame:
     """(session, event, itemid, last_pos) for every cart/order item of a session."""
-    return (positioned.where(IS_LABEL)
+    return (positioned.where(is_label())
             .groupBy("session", "event", "itemid").agg(F.max("pos").alias("last_pos")))
 
 
@@ -70,7 +73,7 @@ def split_points(positioned: DataFrame, seed: int = SEED) -> DataFrame:
     last_possible_idx, split_idx."""
     per = positioned.groupBy("session").agg(
         F.count(F.lit(1)).alias("n_events"),
-        F.max(F.when(IS_LABEL, F.col("pos"))).alias("last_label_pos"))
+        F.max(F.when(is_label(), F.col("pos"))).alias("last_label_pos"))
     last_possible = F.when(F.col("last_label_pos") >= 2, F.col("last_label_pos") - 1).otherwise(F.lit(0))
     per = per.where(F.col("n_events") >= 2).withColumn("last_possible_idx", last_possible.cast("long"))
     draw = F.pmod(keyed_draw(F.col("session"), seed), F.greatest(F.col("last_possible_idx"), F.lit(1)))
@@ -98,7 +101,7 @@ def test_labels(cut_rows: DataFrame, points: DataFrame) -> DataFrame:
     """(session, addtocart, transaction): sorted distinct items after the cut; a type with
     no item is null (its key is absent in the JSON labels file). The arrays hold distinct
     item ids, so their size is bounded by the catalogue, not by the session's length."""
-    later = cut_rows.where((F.col("pos") >= F.col("split_idx")) & IS_LABEL)
+    later = cut_rows.where((F.col("pos") >= F.col("split_idx")) & is_label())
     sets = later.groupBy("session").agg(
         _nonempty(F.array_sort(F.collect_set(F.when(F.col("event") == CART, F.col("itemid"))))).alias(CART),
         _nonempty(F.array_sort(F.collect_set(F.when(F.col("event") == ORDER, F.col("itemid"))))).alias(ORDER))
@@ -112,3 +115,12 @@ def cut_test_set(test: DataFrame, seed: int = SEED, tie: str = "seq",
     points = split_points(positioned, seed)
     cut = with_split(positioned, points)
     return trimmed_sessions(cut), test_labels(cut, points), points
+
+
+def cut_at(test: DataFrame, split_idx: DataFrame, tie: str = "seq",
+           bucket_sec: int = BUCKET_SEC) -> tuple[DataFrame, DataFrame]:
+    """Cut sessions at a given (session, split_idx) instead of the draw (the reference's
+    ``split_events(events, split_idx)``) -> (trimmed events, labels)."""
+    positioned = session_positions(test, tie, bucket_sec)
+    cut = with_split(positioned, split_idx)
+    return trimmed_sessions(cut), test_labels(cut, split_idx)
