@@ -38,7 +38,9 @@ def with_running_sum(df: DataFrame, group: Sequence[str], order: Sequence[str],
     totals = rows.groupBy(*group, "_tb").agg(F.sum("_v").alias("_tot"))
     wb = Window.partitionBy(*group).orderBy("_tb").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*group, "_tb", F.coalesce(F.sum("_tot").over(wb), F.lit(0)).alias("_off"))
-    return (rows.join(offsets, [*group, "_tb"])
+    # Merge join: rows are already hash-partitioned and sorted by (group, bucket) from the
+    # window; only the per-bucket offsets move.
+    return (rows.join(offsets.hint("merge"), [*group, "_tb"])
                 .withColumn(out, (F.col("_off") + F.col("_run")).cast("long"))
                 .drop("_tb", "_v", "_run", "_off"))
 
@@ -57,4 +59,4 @@ def with_neighbor(df: DataFrame, group: Sequence[str], pos: str, cols: Sequence[
     group = list(group)
     other = df.select(*group, (F.col(pos) - F.lit(offset)).alias(pos),
                       *[F.col(c).alias(prefix + c) for c in cols])
-    return df.join(other, [*group, pos], how)
+    return df.join(other.hint("shuffle_hash"), [*group, pos], how)
