@@ -28,9 +28,12 @@ def sessions(spark: SparkSession, sf_dir: str, gap: int = GAP_SHORT, written: bo
 
 
 def split(spark: SparkSession, sf_dir: str, gap: int = GAP_SHORT,
-          train_weeks: int = TRAIN_WEEKS, test_weeks: int = TEST_WEEKS, written: bool = False):
-    """(train, test); the sessions they come from are written once (read four times)."""
+          train_weeks: int = TRAIN_WEEKS, test_weeks: int = TEST_WEEKS, written: tuple[str, ...] = ()):
+    """(train, test); the sessions they come from are written once (read four times), and
+    the sets named in ``written`` ("train", "test") are written once for their readers."""
     train, test = train_test_split(sessions(spark, sf_dir, gap, written=True), train_weeks, test_weeks)
-    if written:
-        return materialize(train, f"train-{gap}"), materialize(test, f"test-{gap}")
+    if "train" in written:
+        train = materialize(train, f"train-{gap}")
+    if "test" in written:
+        test = materialize(test, f"test-{gap}")
     return train, test

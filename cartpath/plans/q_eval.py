@@ -21,7 +21,7 @@ from .registry import register
 
 def scored_inputs(spark, d):
     """(labels, predictions) written once each: both feed several branches."""
-    train, test = split(spark, d, G, written=True)
+    train, test = split(spark, d, G, written=("test",))
     trimmed, labels, _ = cut_test_set(test)
     trimmed = materialize(trimmed, "trimmed")
     labels = materialize(labels, "labels")

@@ -14,7 +14,7 @@ from .registry import register
 
 
 def test_set(spark, d):
-    return split(spark, d, G, written=True)[1]
+    return split(spark, d, G, written=("test",))[1]
 
 
 def cut(spark, d):

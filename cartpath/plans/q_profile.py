@@ -13,7 +13,7 @@ from .registry import register
 
 
 def train(spark, d):
-    return split(spark, d, G, written=True)[0]
+    return split(spark, d, G, written=("train",))[0]
 
 
 def base():
