@@ -147,7 +147,7 @@ _case = " ".join(f"WHEN events_count <= {b} THEN {i}" for i, b in enumerate(_b))
 _labels = ", ".join(f"({i}, '{s}')" for i, s in enumerate(P.activity_bin_labels(_b)))
 q, t = base()
 register("item_activity_bins", q.sql(f"""
-SELECT l.bin, l.label, {O.pct("coalesce(c.n, 0)", "(SELECT count(*) FROM epi)")} AS pct
+SELECT l.bin::BIGINT AS bin, l.label, {O.pct("coalesce(c.n, 0)", "(SELECT count(*) FROM epi)")} AS pct
 FROM (VALUES {_labels}) l(bin, label)
 LEFT JOIN (SELECT CASE {_case} ELSE {len(_b)} END AS bin, count(*) AS n FROM epi GROUP BY 1) c
   ON c.bin = l.bin"""))(lambda spark, d: P.item_activity_bins(_epi(spark, d)))
