@@ -60,3 +60,24 @@ def with_neighbor(df: DataFrame, group: Sequence[str], pos: str, cols: Sequence[
     other = df.select(*group, (F.col(pos) - F.lit(offset)).alias(pos),
                       *[F.col(c).alias(prefix + c) for c in cols])
     return df.join(other.hint("shuffle_hash"), [*group, pos], how)
+
+
+def with_next(df: DataFrame, group: Sequence[str], order: Sequence[str], cols: Sequence[str],
+              ts: str = "timestamp", bucket_sec: int = BUCKET_SEC, prefix: str = "next_") -> DataFrame:
+    """Attach ``cols`` of the next row of the same group in ``order`` (null after the last).
+
+    ``lead`` runs per (group, time bucket); the last row of a bucket takes the first row of
+    the next non-empty bucket from a per-bucket summary (bounded per group by span / bucket
+    width). One shuffle of the rows, and the summary joins by a merge on the window's
+    existing partitioning and order.
+    """
+    group, cols = list(group), list(cols)
+    rows = df.withColumn("_tb", time_bucket(ts, bucket_sec))
+    w = Window.partitionBy(*group, "_tb").orderBy(*order)
+    rows = rows.withColumn("_nx", F.lead(F.struct(*cols)).over(w))
+    firsts = rows.groupBy(*group, "_tb").agg(F.min_by(F.struct(*cols), F.struct(*order)).alias("_first"))
+    wb = Window.partitionBy(*group).orderBy("_tb")
+    firsts = firsts.select(*group, "_tb", F.lead("_first").over(wb).alias("_nb"))
+    out = rows.join(firsts.hint("merge"), [*group, "_tb"])
+    nxt = F.coalesce(F.col("_nx"), F.col("_nb"))
+    return out.select(*df.columns, *[nxt[c].alias(prefix + c) for c in cols])

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..config import BUCKET_SEC, CART, ORDER, VIEW
 from ..functions.columns import pct
-from ..functions.sequence import with_neighbor, with_position
+from ..functions.sequence import with_next, with_position
 
 TS = "timestamp"
 QUANTILES = (0.25, 0.5, 0.75)
@@ -152,25 +152,22 @@ def longest_session_events(sessions: DataFrame, lengths: DataFrame, tie: str = "
 
 def inter_event_gaps(sessions: DataFrame, tie: str = "seq", bucket_sec: int = BUCKET_SEC) -> DataFrame:
     """Seconds from each event to the next one of the same session."""
-    pos = with_position(sessions, ["session"], [TS, tie], bucket_sec=bucket_sec)
-    nxt = with_neighbor(pos, ["session"], "pos", [TS], how="inner")
-    return nxt.select((F.col(f"next_{TS}") - F.col(TS)).alias("time_between_sec"))
+    nxt = with_next(sessions, ["session"], [TS, tie], [TS, tie], bucket_sec=bucket_sec)
+    return (nxt.where(F.col(f"next_{tie}").isNotNull())
+               .select((F.col(f"next_{TS}") - F.col(TS)).alias("time_between_sec")))
 
 
 def clicks_between_carts(sessions: DataFrame, tie: str = "seq", bucket_sec: int = BUCKET_SEC) -> DataFrame:
     """(session, delta_index): steps between consecutive carts of a session, after removing
     orders, the last remaining event of each session and all but the last of a run of
     carts of the same item (the notebook's definition)."""
-    rows = sessions.where(F.col("event") != ORDER)
-    rows = with_position(rows, ["session"], [TS, tie], bucket_sec=bucket_sec)
-    rows = with_neighbor(rows, ["session"], "pos", ["event", "itemid"], how="inner")
+    rows = sessions.where(F.col("event") != ORDER).select("session", TS, tie, "event", "itemid")
+    rows = with_next(rows, ["session"], [TS, tie], ["event", "itemid", tie], bucket_sec=bucket_sec)
     repeat = ((F.col("event") == CART) & (F.col("next_event") == CART) & (F.col("itemid") == F.col("next_itemid")))
-    rows = rows.where(~F.coalesce(repeat, F.lit(False))).select("session", TS, tie, "event")
+    rows = (rows.where(F.col(f"next_{tie}").isNotNull() & ~F.coalesce(repeat, F.lit(False)))
+                .select("session", TS, tie, "event"))
     rows = with_position(rows, ["session"], [TS, tie], out="index", bucket_sec=bucket_sec)
-    carts = rows.where(F.col("event") == CART).select("session", TS, tie, "index")
-    carts = with_position(carts, ["session"], [TS, tie], out="k", bucket_sec=bucket_sec)
-    pairs = with_neighbor(carts, ["session"], "k", ["index"], how="inner")
-    return pairs.select("session", (F.col("next_index") - F.col("index")).alias("delta_index"))
+    return _step_deltas(rows.where(F.col("event") == CART), tie, bucket_sec).select("session", "delta_index")
 
 
 def clicks_between_orders(sessions: DataFrame, tie: str = "seq", bucket_sec: int = BUCKET_SEC) -> DataFrame:
@@ -179,7 +176,12 @@ def clicks_between_orders(sessions: DataFrame, tie: str = "seq", bucket_sec: int
     rows = (sessions.where(F.col("event") != CART)
             .groupBy("session", TS, "event").agg(F.min(tie).alias(tie)))
     rows = with_position(rows, ["session"], [TS, tie], out="index", bucket_sec=bucket_sec)
-    orders = rows.where(F.col("event") == ORDER).select("session", TS, tie, "index")
-    orders = with_position(orders, ["session"], [TS, tie], out="k", bucket_sec=bucket_sec)
-    pairs = with_neighbor(orders, ["session"], "k", ["index"], how="inner")
-    return pairs.select((F.col("next_index") - F.col("index")).alias("delta_index"))
+    return _step_deltas(rows.where(F.col("event") == ORDER), tie, bucket_sec).select("delta_index")
+
+
+def _step_deltas(marked: DataFrame, tie: str, bucket_sec: int) -> DataFrame:
+    """(session, delta_index) between each marked row and the next marked row."""
+    nxt = with_next(marked.select("session", TS, tie, "index"), ["session"], [TS, tie], ["index"],
+                    bucket_sec=bucket_sec)
+    return nxt.where(F.col("next_index").isNotNull()).select(
+        "session", (F.col("next_index") - F.col("index")).alias("delta_index"))

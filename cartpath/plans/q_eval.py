@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from ..config import TOP_K
 from ..functions.materialize import materialize
 from ..operators import evaluation as E
-from ..operators.labels import cut_test_set
+from ..operators.labels import (session_positions, split_points, test_labels, trimmed_sessions,
+                                with_split)
 from . import oracle as O
 from .fixtures import predictions as fixture_predictions
 from .inputs import GAP_LONG as G
@@ -22,10 +23,12 @@ from .registry import register
 def scored_inputs(spark, d):
     """(labels, predictions) written once each: both feed several branches."""
     train, test = split(spark, d, G, written=("test",))
-    trimmed, labels, _ = cut_test_set(test)
-    trimmed = materialize(trimmed, "trimmed")
-    labels = materialize(labels, "labels")
-    return labels, fixture_predictions(trimmed, train)
+    positioned = session_positions(test)
+    points = split_points(positioned)
+    # The cut rows feed the trimmed prefix and the labels: written once.
+    cut_rows = materialize(with_split(positioned, points), "cut-rows")
+    labels = materialize(test_labels(cut_rows, points.select("session")), "labels")
+    return labels, fixture_predictions(trimmed_sessions(cut_rows), train)
 
 
 def _r6(c):
