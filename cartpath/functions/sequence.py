@@ -23,26 +23,36 @@ def time_bucket(ts: str, bucket_sec: int):
     return F.floor(F.col(ts) / F.lit(bucket_sec)).cast("long")
 
 
-def with_running_sum(df: DataFrame, group: Sequence[str], order: Sequence[str], value,
-                     out: str, ts: str = "timestamp", bucket_sec: int = BUCKET_SEC) -> DataFrame:
-    """Add ``out`` = running (inclusive) sum of ``value`` over ``group`` in ``order``.
-
-    ``order`` must start with the time column ``ts`` so that buckets follow the order.
-    """
+def with_running_sums(df: DataFrame, group: Sequence[str], order: Sequence[str], values: dict,
+                      ts: str = "timestamp", bucket_sec: int = BUCKET_SEC) -> DataFrame:
+    """Add running (inclusive) sums over ``group`` in ``order``: ``values`` maps each output
+    column to a value expression. ``order`` must start with the time column ``ts`` so that
+    buckets follow the order. One ordered window per (group, bucket), one small per-bucket
+    summary, one merge join on the window's partitioning."""
     group = list(group)
+    names = list(values)
     w = Window.partitionBy(*group, "_tb").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    rows = (df.withColumn("_tb", time_bucket(ts, bucket_sec))
-              .withColumn("_v", value)
-              .withColumn("_run", F.sum("_v").over(w)))
+    rows = df.withColumn("_tb", time_bucket(ts, bucket_sec))
+    for i, n in enumerate(names):
+        rows = rows.withColumn(f"_v{i}", values[n])
+    rows = rows.select("*", *[F.sum(f"_v{i}").over(w).alias(f"_run{i}") for i in range(len(names))])
     # Per (group, bucket) totals; the rows are already clustered by (group, bucket).
-    totals = rows.groupBy(*group, "_tb").agg(F.sum("_v").alias("_tot"))
+    totals = rows.groupBy(*group, "_tb").agg(*[F.sum(f"_v{i}").alias(f"_tot{i}") for i in range(len(names))])
     wb = Window.partitionBy(*group).orderBy("_tb").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*group, "_tb", F.coalesce(F.sum("_tot").over(wb), F.lit(0)).alias("_off"))
+    offsets = totals.select(*group, "_tb", *[F.coalesce(F.sum(f"_tot{i}").over(wb), F.lit(0)).alias(f"_off{i}")
+                                            for i in range(len(names))])
     # Merge join: rows are already hash-partitioned and sorted by (group, bucket) from the
     # window; only the per-bucket offsets move.
-    return (rows.join(offsets.hint("merge"), [*group, "_tb"])
-                .withColumn(out, (F.col("_off") + F.col("_run")).cast("long"))
-                .drop("_tb", "_v", "_run", "_off"))
+    out = rows.join(offsets.hint("merge"), [*group, "_tb"])
+    for i, n in enumerate(names):
+        out = out.withColumn(n, (F.col(f"_off{i}") + F.col(f"_run{i}")).cast("long"))
+    return out.drop("_tb", *[f"_{k}{i}" for i in range(len(names)) for k in ("v", "run", "off")])
+
+
+def with_running_sum(df: DataFrame, group: Sequence[str], order: Sequence[str], value,
+                     out: str, ts: str = "timestamp", bucket_sec: int = BUCKET_SEC) -> DataFrame:
+    """Add ``out`` = running (inclusive) sum of ``value`` over ``group`` in ``order``."""
+    return with_running_sums(df, group, order, {out: value}, ts, bucket_sec)
 
 
 def with_position(df: DataFrame, group: Sequence[str], order: Sequence[str], out: str = "pos",

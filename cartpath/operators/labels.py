@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ..config import BUCKET_SEC, CART, LABEL_EVENTS, ORDER, SEED
 from ..functions.columns import keyed_draw
-from ..functions.sequence import with_position, with_running_sum
+from ..functions.sequence import with_position, with_running_sums
 
 TS = "timestamp"
 
@@ -52,15 +52,13 @@ def ground_truth_counts(positioned: DataFrame, tie: str = "seq", bucket_sec: int
     ends = idx.groupBy("session", F.col("last_pos").alias("pos")).agg(
         F.count_if(F.col("event") == CART).alias("_c_end"),
         F.count_if(F.col("event") == ORDER).alias("_o_end"))
-    totals = idx.groupBy("session").agg(
-        F.count_if(F.col("event") == CART).alias("_c_tot"),
-        F.count_if(F.col("event") == ORDER).alias("_o_tot"))
+    # Per session: events and distinct cart / order items (one aggregate over the ends).
     sizes = positioned.groupBy("session").agg(F.count(F.lit(1)).alias("_n"))
+    totals = ends.groupBy("session").agg(F.sum("_c_end").alias("_c_tot"), F.sum("_o_end").alias("_o_tot"))
     rows = positioned.join(ends, ["session", "pos"], "left")
-    rows = with_running_sum(rows, ["session"], [TS, tie], F.coalesce("_c_end", F.lit(0)), "_c_done",
-                            bucket_sec=bucket_sec)
-    rows = with_running_sum(rows, ["session"], [TS, tie], F.coalesce("_o_end", F.lit(0)), "_o_done",
-                            bucket_sec=bucket_sec)
+    rows = with_running_sums(rows, ["session"], [TS, tie],
+                             {"_c_done": F.coalesce("_c_end", F.lit(0)), "_o_done": F.coalesce("_o_end", F.lit(0))},
+                             bucket_sec=bucket_sec)
     rows = rows.join(sizes, "session").join(totals, "session", "left")
     return (rows.where(F.col("pos") < F.col("_n") - 1)
                 .select("session", "pos", TS, "event", "itemid",

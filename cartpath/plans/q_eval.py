@@ -21,8 +21,8 @@ from .registry import register
 
 
 def scored_inputs(spark, d):
-    """(labels, predictions) written once each: both feed several branches."""
-    train, test = split(spark, d, G, written=("test",))
+    """(labels, predictions); tables read by several branches are written once."""
+    train, test = split(spark, d, G, written=("train", "test"))
     positioned = session_positions(test)
     points = split_points(positioned)
     # The cut rows feed the trimmed prefix and the labels: written once.
