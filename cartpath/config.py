@@ -81,3 +81,29 @@ def shuffle_partitions(spark: SparkSession) -> int:
 def env_int(name: str, default: int) -> int:
     value = os.environ.get(name)
     return int(value) if value else default
+
+
+def cluster_settings(input_bytes: int, partition_bytes: int = 256 << 20,
+                     shuffle_fraction: float = 0.3) -> dict[str, str]:
+    """Session settings for a large run, derived from the size of the event input.
+
+    * scan splits of ``partition_bytes`` (parquet row groups are read in parallel);
+    * shuffle partitions so that one partition of the event shuffle holds about
+      ``partition_bytes`` (the shuffled event rows carry a few narrow columns, roughly
+      ``shuffle_fraction`` of the input); AQE coalesces small ones afterwards;
+    * AQE skew-join splitting for the session-keyed joins, with the same target size;
+    * a broadcast threshold for measured small sides (dimension tables); the library
+      itself broadcasts only frames with a proven bound.
+    """
+    shuffle_parts = max(200, int(input_bytes * shuffle_fraction) // partition_bytes)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle_parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * partition_bytes),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.session.timeZone": "UTC",
+    }
