@@ -11,7 +11,7 @@
 
 The tree join is left to AQE: it broadcasts the tree only when its measured size is below
 the broadcast threshold and shuffles both sides otherwise. The time filter is applied
-before the join. Cut points are a one-row frame (a proven bound for a broadcast).
+before the join. Cut points are scalar subqueries over the one-row bounds frame.
 """
 
 from __future__ import annotations
@@ -48,7 +48,7 @@ def with_parent(rows: DataFrame, tree: DataFrame) -> DataFrame:
 
 def item_categories(item_properties: DataFrame, tree: DataFrame, bounds: DataFrame) -> DataFrame:
     """Distinct (itemid, categoryid, parentid) seen in [train_start, test_start)."""
-    rows = category_rows(item_properties).crossJoin(F.broadcast(bounds.select("train_start", "test_start")))
-    rows = rows.where((F.col(TS) >= F.col("train_start")) & (F.col(TS) < F.col("test_start")))
-    out = with_parent(rows.select(TS, "itemid", "categoryid"), tree)
+    b = bounds.select(F.struct("train_start", "test_start")).scalar()
+    rows = category_rows(item_properties).where((F.col(TS) >= b["train_start"]) & (F.col(TS) < b["test_start"]))
+    out = with_parent(rows, tree)
     return out.select("itemid", "categoryid", "parentid").distinct()

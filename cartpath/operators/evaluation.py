@@ -87,10 +87,10 @@ def num_events(labels: DataFrame, k: int = TOP_K) -> DataFrame:
 
 def recall(hits: DataFrame, totals: DataFrame) -> DataFrame:
     """One row: recall_cart, recall_order (null for a zero denominator)."""
+    n = totals.select(F.struct("n_carts", "n_orders")).scalar()
     sums = hits.agg(*[F.coalesce(F.sum(HIT_COLS[t]), F.lit(0)).alias(f"_h_{t}") for t in TYPES])
-    j = sums.crossJoin(totals)
-    return j.select(F.try_divide(F.col(f"_h_{CART}").cast("double"), F.col("n_carts")).alias("recall_cart"),
-                    F.try_divide(F.col(f"_h_{ORDER}").cast("double"), F.col("n_orders")).alias("recall_order"))
+    return sums.select(F.try_divide(F.col(f"_h_{CART}").cast("double"), n["n_carts"]).alias("recall_cart"),
+                       F.try_divide(F.col(f"_h_{ORDER}").cast("double"), n["n_orders"]).alias("recall_order"))
 
 
 def reciprocal_ranks(predictions: DataFrame, labels: DataFrame, strict: bool = False) -> DataFrame:
@@ -121,4 +121,6 @@ def get_scores(labels: DataFrame, predictions: DataFrame, k: int = TOP_K) -> Dat
     """One row: recall_cart, recall_order, mrr_cart, mrr_order."""
     by_session = predictions_by_session(predictions)
     hits = evaluate_sessions(labels, by_session, k)
-    return recall(hits, num_events(labels, k)).crossJoin(mrr(predictions, labels))
+    m = mrr(predictions, labels).select(F.struct("mrr_cart", "mrr_order")).scalar()
+    return recall(hits, num_events(labels, k)).select(
+        "recall_cart", "recall_order", m["mrr_cart"].alias("mrr_cart"), m["mrr_order"].alias("mrr_order"))

@@ -62,9 +62,10 @@ def histogram(df: DataFrame, col: str, bins: int, digits: int = 6) -> DataFrame:
     rng = df.agg(F.min(col).cast("double").alias("_mn"), F.max(col).cast("double").alias("_mx"))
     rng = rng.select(F.when(F.col("_mn") == F.col("_mx"), F.col("_mn") - 0.5).otherwise(F.col("_mn")).alias("_lo"),
                      F.when(F.col("_mn") == F.col("_mx"), F.col("_mx") + 0.5).otherwise(F.col("_mx")).alias("_hi"))
-    # One-row range (global aggregate): broadcasting it is bounded.
-    rows = df.where(F.col(col).isNotNull()).crossJoin(F.broadcast(rng))
-    idx = F.floor((F.col(col).cast("double") - F.col("_lo")) * F.lit(float(bins)) / (F.col("_hi") - F.col("_lo")))
+    # The range is a scalar subquery (one global aggregate, computed once).
+    r = rng.select(F.struct("_lo", "_hi")).scalar()
+    rows = df.where(F.col(col).isNotNull())
+    idx = F.floor((F.col(col).cast("double") - r["_lo"]) * F.lit(float(bins)) / (r["_hi"] - r["_lo"]))
     counts = rows.select(F.least(idx, F.lit(bins - 1)).cast("long").alias("bin")).groupBy("bin").agg(
         F.count(F.lit(1)).alias("n"))
     width = (F.col("_hi") - F.col("_lo")) / F.lit(float(bins))
@@ -102,10 +103,10 @@ def item_activity_bins(epi: DataFrame, bounds: Sequence[int] = ACTIVITY_BOUNDS)
         idx = F.when(c <= bounds[i], F.lit(i)).otherwise(idx)
     labels = activity_bin_labels(bounds)
     counts = epi.select(idx.cast("long").alias("bin")).groupBy("bin").agg(F.count(F.lit(1)).alias("_n"))
-    total = epi.agg(F.count(F.lit(1)).alias("_total"))
+    total = epi.agg(F.count(F.lit(1))).scalar()
     bins = epi.sparkSession.createDataFrame([(i, s) for i, s in enumerate(labels)], "bin long, label string")
-    out = bins.join(counts, "bin", "left").crossJoin(F.broadcast(total))
-    return out.select("bin", "label", pct(F.coalesce(F.col("_n"), F.lit(0)), F.col("_total")).alias("pct"))
+    out = bins.join(counts, "bin", "left")
+    return out.select("bin", "label", pct(F.coalesce(F.col("_n"), F.lit(0)), total).alias("pct"))
 
 
 def per_item_counts(sessions: DataFrame, event: str, name: str) -> DataFrame:

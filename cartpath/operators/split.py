@@ -11,7 +11,8 @@
 
 Every per-session decision is an aggregate (partial, map-side combined) on session keys;
 the row tables are filtered by one semi join each, so no ordered window over a session
-is needed. The cut points are a one-row frame: broadcasting it has a proven bound.
+is needed. The cut points are scalar subqueries (one global max, computed once and
+inlined into the filters), so no join is needed for them.
 """
 
 from __future__ import annotations
@@ -48,19 +49,20 @@ def _multi_instant(rows: DataFrame) -> DataFrame:
     return ext.where(F.col("_mx") > F.col("_mn")).select("session")
 
 
-def _with_bounds(sessions: DataFrame, bounds: DataFrame) -> DataFrame:
-    return sessions.crossJoin(F.broadcast(bounds.select("test_start", "train_start")))
+def cut_points(sessions: DataFrame, train_weeks: int = TRAIN_WEEKS, test_weeks: int = TEST_WEEKS):
+    """(test_start, train_start) as scalar-subquery columns over the sessions' max time."""
+    max_ts = sessions.agg(F.max(TS)).scalar()
+    test_start = max_ts - F.lit(test_weeks * WEEK_SEC)
+    return test_start, test_start - F.lit(train_weeks * WEEK_SEC)
 
 
 def train_test_split(sessions: DataFrame, train_weeks: int = TRAIN_WEEKS,
                      test_weeks: int = TEST_WEEKS, tie: str = "seq") -> tuple[DataFrame, DataFrame]:
     """(train_set, test_set), both with columns timestamp, event, itemid, session, seq."""
-    bounds = split_bounds(sessions, train_weeks, test_weeks)
+    test_start, train_start = cut_points(sessions, train_weeks, test_weeks)
     qual = qualifying_sessions(sessions, tie)
-    rows = _with_bounds(sessions, bounds)
-    in_train = (F.col(TS) >= F.col("train_start")) & (F.col(TS) < F.col("test_start"))
-    train_rows = rows.where(in_train)
-    test_rows = rows.where(F.col(TS) >= F.col("test_start"))
+    train_rows = sessions.where((F.col(TS) >= train_start) & (F.col(TS) < test_start))
+    test_rows = sessions.where(F.col(TS) >= test_start)
 
     # Session-level decisions first (small tables), then one semi join per row table.
     train_keep = _multi_instant(train_rows).join(qual, "session", "left_semi")
@@ -80,17 +82,17 @@ def train_sessions(train: DataFrame) -> DataFrame:
 def leakage_check(train: DataFrame, test: DataFrame) -> DataFrame:
     """One row: train_max_ts, test_min_ts, time_ok (test starts after train ends) and
     shared_sessions (sessions in both sets; must be 0)."""
-    t = train.agg(F.max(TS).alias("train_max_ts"))
-    s = test.agg(F.min(TS).alias("test_min_ts"))
+    test_min = test.agg(F.min(TS)).scalar()
     shared = (train.select("session").distinct()
               .join(test.select("session").distinct(), "session")
-              .agg(F.count(F.lit(1)).alias("shared_sessions")))
-    return (t.crossJoin(s).crossJoin(shared)
-             .withColumn("time_ok", F.col("test_min_ts") > F.col("train_max_ts"))
-             .select("train_max_ts", "test_min_ts", "time_ok", "shared_sessions"))
+              .agg(F.count(F.lit(1)))).scalar()
+    out = train.agg(F.max(TS).alias("train_max_ts"))
+    return out.select("train_max_ts", test_min.alias("test_min_ts"),
+                      (test_min > F.col("train_max_ts")).alias("time_ok"),
+                      shared.alias("shared_sessions"))
 
 
 def split_session_counts(train: DataFrame, test: DataFrame) -> DataFrame:
-    a = train.agg(F.count_distinct("session").alias("n_train_sessions"))
-    b = test.agg(F.count_distinct("session").alias("n_test_sessions"))
-    return a.crossJoin(b)
+    n_test = test.agg(F.count_distinct("session")).scalar()
+    return train.agg(F.count_distinct("session").alias("n_train_sessions"),
+                     n_test.alias("n_test_sessions"))

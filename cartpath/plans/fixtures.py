@@ -33,10 +33,10 @@ def predictions(trimmed: DataFrame, train: DataFrame) -> DataFrame:
     recent = recent.select("session", F.transform("_r", lambda s: s["itemid"]).alias("recent"))
     out = None
     for event in (CART, ORDER):
-        # One row with at most POPULAR_N ids: broadcasting it is bounded.
-        pop = F.broadcast(popular_items(train, event))
-        part = recent.crossJoin(pop).select(
+        # A scalar subquery: one array of at most POPULAR_N ids.
+        pop = popular_items(train, event).scalar()
+        part = recent.select(
             "session", F.lit(event).alias("event_type"),
-            F.array_distinct(F.concat("recent", "popular")).alias("preds"))
+            F.array_distinct(F.concat(F.col("recent"), pop)).alias("preds"))
         out = part if out is None else out.unionByName(part)
     return out
