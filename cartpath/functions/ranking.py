@@ -5,6 +5,11 @@ keys are range-partitioned (Spark samples the key distribution, so a hot prefix
 over several partitions), sorted inside each partition and numbered locally; the per
 partition row counts (one row per partition, so bounded by the partition count) are turned
 into offsets by a tiny window and broadcast back.
+
+The locally numbered keys are written once (one row per key, a small table next to the
+events) and both the counts and the numbering read that table: the two branches cannot
+disagree on which key sits in which partition, whatever the exchange-reuse settings or
+retries, and a lost executor costs a re-read.
 """
 
 from __future__ import annotations
@@ -15,6 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import shuffle_partitions
+from .materialize import materialize
 
 _ROW_BITS = 33  # monotonically_increasing_id = partition index << 33 | row inside partition
 
@@ -28,6 +34,7 @@ def with_dense_id(keys: DataFrame, order: Sequence[str], out: str = "id",
                   .withColumn("_mid", F.monotonically_increasing_id())
                   .withColumn("_part", F.shiftrightunsigned("_mid", _ROW_BITS))
                   .withColumn("_row", F.col("_mid").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))))
+    ranged = materialize(ranged, "dense-id-keys")
     sizes = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))

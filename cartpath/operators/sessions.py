@@ -21,6 +21,8 @@ Plan shape (all DataFrame operations, no UDFs):
 3. per-session extents are a partial (map-side combined) aggregate, so a hot session
    costs no more than a cold one;
 4. dense ids come from a range partitioning of the session keys, not a global window;
+   the numbered keys (one row per session) are written once below the checkpoint folder,
+   so calling ``sessionize`` runs that one small job;
 5. one join of the rows with the kept session ids drops one-instant sessions and sets the
    id at the same time (AQE splits a skewed session partition of the row side).
 """
