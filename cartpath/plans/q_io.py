@@ -44,11 +44,13 @@ def src_category_tree(spark, d):
 
 
 def src_item_properties(spark, d):
-    """Two part files (even and odd items), read back in one scan."""
+    """Two part files (category rows and all other rows: together the whole table), read
+    back in one scan."""
     props = item_properties(spark, d)
     p1, p2 = scratch_path(spark, "item-properties-part1"), scratch_path(spark, "item-properties-part2")
-    sinks.write_csv(props.where(F.col("itemid") % 2 == 0), p1)
-    sinks.write_csv(props.where(F.col("itemid") % 2 != 0), p2)
+    is_category = F.col("property") == "categoryid"
+    sinks.write_csv(props.where(is_category), p1)
+    sinks.write_csv(props.where(~is_category), p2)
     return files.read_item_properties(spark, [p1, p2])
 
 

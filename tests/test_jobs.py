@@ -15,8 +15,8 @@ def test_jobs_chain(spark):
     sinks.write_csv(raw_click_log(spark, SF_SMALL).coalesce(1), f"{src}/events.csv")
     sinks.write_csv(category_tree(spark, SF_SMALL), f"{src}/category_tree.csv")
     props = item_properties(spark, SF_SMALL)
-    sinks.write_csv(props.where("itemid % 2 = 0"), f"{src}/item_properties_part1.csv")
-    sinks.write_csv(props.where("itemid % 2 = 1"), f"{src}/item_properties_part2.csv")
+    sinks.write_csv(props.where("property = 'categoryid'"), f"{src}/item_properties_part1.csv")
+    sinks.write_csv(props.where("property <> 'categoryid'"), f"{src}/item_properties_part2.csv")
     out = scratch_path(spark, "job-output")
 
     train, test = jobs.prepare_split(spark, f"{src}/events.csv", out, gap_sec=86400)
