@@ -11,7 +11,8 @@
 
 The tree join is left to AQE: it broadcasts the tree only when its measured size is below
 the broadcast threshold and shuffles both sides otherwise. The time filter is applied
-before the join. Cut points are scalar subqueries over the one-row bounds frame.
+before the join, on the raw millisecond column (floor(ms / 1000) >= a is ms >= 1000 a), so
+it reaches the parquet / CSV scan; the bounds are read first from the one-row frame.
 """
 
 from __future__ import annotations
@@ -48,7 +49,11 @@ def with_parent(rows: DataFrame, tree: DataFrame) -> DataFrame:
 
 def item_categories(item_properties: DataFrame, tree: DataFrame, bounds: DataFrame) -> DataFrame:
     """Distinct (itemid, categoryid, parentid) seen in [train_start, test_start)."""
-    b = bounds.select(F.struct("train_start", "test_start")).scalar()
-    rows = category_rows(item_properties).where((F.col(TS) >= b["train_start"]) & (F.col(TS) < b["test_start"]))
+    b = bounds.select("train_start", "test_start").first()
+    if b is None or b["train_start"] is None:
+        in_window = F.lit(False)
+    else:
+        in_window = (F.col(TS) >= F.lit(b["train_start"] * 1000)) & (F.col(TS) < F.lit(b["test_start"] * 1000))
+    rows = category_rows(item_properties.where(in_window))
     out = with_parent(rows, tree)
     return out.select("itemid", "categoryid", "parentid").distinct()

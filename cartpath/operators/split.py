@@ -11,8 +11,10 @@
 
 Every per-session decision is an aggregate (partial, map-side combined) on session keys;
 the row tables are filtered by one semi join each, so no ordered window over a session
-is needed. The cut points are scalar subqueries (one global max, computed once and
-inlined into the filters), so no join is needed for them.
+is needed. The cut points come from one global max (a one-column aggregate read first,
+like the reference's ``.item()``) and enter the filters as literals, so the parquet scan
+of a written, time-sorted sessions table skips row groups outside the window; with
+``literal=False`` they stay a lazy scalar subquery.
 """
 
 from __future__ import annotations
@@ -49,17 +51,26 @@ def _multi_instant(rows: DataFrame) -> DataFrame:
     return ext.where(F.col("_mx") > F.col("_mn")).select("session")
 
 
-def cut_points(sessions: DataFrame, train_weeks: int = TRAIN_WEEKS, test_weeks: int = TEST_WEEKS):
-    """(test_start, train_start) as scalar-subquery columns over the sessions' max time."""
+def cut_points(sessions: DataFrame, train_weeks: int = TRAIN_WEEKS, test_weeks: int = TEST_WEEKS,
+               literal: bool = True):
+    """(test_start, train_start) columns: literals (pushed down to the scan) or a lazy
+    scalar subquery over the sessions' max time."""
+    if literal:
+        max_ts = sessions.agg(F.max(TS)).first()[0]
+        if max_ts is None:  # no sessions: empty windows
+            return F.lit(None).cast("long"), F.lit(None).cast("long")
+        test_start = max_ts - test_weeks * WEEK_SEC
+        return F.lit(test_start), F.lit(test_start - train_weeks * WEEK_SEC)
     max_ts = sessions.agg(F.max(TS)).scalar()
     test_start = max_ts - F.lit(test_weeks * WEEK_SEC)
     return test_start, test_start - F.lit(train_weeks * WEEK_SEC)
 
 
 def train_test_split(sessions: DataFrame, train_weeks: int = TRAIN_WEEKS,
-                     test_weeks: int = TEST_WEEKS, tie: str = "seq") -> tuple[DataFrame, DataFrame]:
+                     test_weeks: int = TEST_WEEKS, tie: str = "seq",
+                     literal_cut: bool = True) -> tuple[DataFrame, DataFrame]:
     """(train_set, test_set), both with columns timestamp, event, itemid, session, seq."""
-    test_start, train_start = cut_points(sessions, train_weeks, test_weeks)
+    test_start, train_start = cut_points(sessions, train_weeks, test_weeks, literal_cut)
     qual = qualifying_sessions(sessions, tie)
     train_rows = sessions.where((F.col(TS) >= train_start) & (F.col(TS) < test_start))
     test_rows = sessions.where(F.col(TS) >= test_start)

@@ -35,7 +35,7 @@ def prepare_split(spark: SparkSession, events_path: str, output_path: str,
     rank = F.when(F.col("event") == "view", 0).when(F.col("event") == "addtocart", 1).otherwise(2)
     raw = raw.withColumn("seq", rank * F.lit(1 << 40) + F.coalesce(F.col("itemid").cast("long"), F.lit(0)))
     raw = raw.withColumn("itemid", F.col("itemid").cast("long"))
-    sessions = materialize(sessionize(raw, gap_sec), "job-sessions")
+    sessions = materialize(sessionize(raw, gap_sec).sortWithinPartitions("timestamp"), "job-sessions")
     train, test = train_test_split(sessions, train_weeks, test_weeks)
     out = output_path.rstrip("/")
     train.write.mode("overwrite").parquet(f"{out}/train_set.parquet")
