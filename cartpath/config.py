@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -78,11 +77,6 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def env_int(name: str, default: int) -> int:
-    value = os.environ.get(name)
-    return int(value) if value else default
-
-
 def cluster_settings(input_bytes: int, partition_bytes: int = 256 << 20,
                      shuffle_fraction: float = 0.3) -> dict[str, str]:
     """Session settings for a large run, derived from the size of the event input.

@@ -4,9 +4,9 @@ A window ``partitionBy(session).orderBy(time)`` sends every row of a session to
 one bot session can hold a large share of all rows. Here each group is cut into time
 buckets ``floor(timestamp / bucket_sec)``: the ordered window runs per (group, bucket), and
 the buckets are stitched together through a small per-bucket summary whose size per group
-is bounded by (time span / bucket width), not by the number of rows. Neighbours (previous
-or next row) are then fetched by an equi-join on (group, position), whose keys are unique,
-so no join partition can be skewed.
+is bounded by (time span / bucket width), not by the number of rows: running sums and
+positions add the totals of earlier buckets, and the next row of a bucket's last row is the
+first row of the next non-empty bucket.
 """
 
 from __future__ import annotations
@@ -62,16 +62,6 @@ def with_position(df: DataFrame, group: Sequence[str], order: Sequence[str], out
     return out_df.withColumn(out, F.col(out) - 1)
 
 
-def with_neighbor(df: DataFrame, group: Sequence[str], pos: str, cols: Sequence[str],
-                  offset: int = 1, prefix: str = "next_", how: str = "left") -> DataFrame:
-    """Attach columns of the row at ``pos + offset`` in the same group (lead for offset 1,
-    lag for -1) by an equi-join on unique (group, position) keys."""
-    group = list(group)
-    other = df.select(*group, (F.col(pos) - F.lit(offset)).alias(pos),
-                      *[F.col(c).alias(prefix + c) for c in cols])
-    return df.join(other.hint("shuffle_hash"), [*group, pos], how)
-
-
 def with_next(df: DataFrame, group: Sequence[str], order: Sequence[str], cols: Sequence[str],
               ts: str = "timestamp", bucket_sec: int = BUCKET_SEC, prefix: str = "next_") -> DataFrame:
     """Attach ``cols`` of the next row of the same group in ``order`` (null after the last).

@@ -73,3 +73,11 @@ def test_click_log_reads_ms_and_failfast(spark):
         raised = True
     assert raised
     assert F is not None
+
+
+def test_cluster_settings_scale_with_input():
+    from cartpath.config import cluster_settings
+    small, big = cluster_settings(10 << 30), cluster_settings(100 << 40)
+    assert int(small["spark.sql.shuffle.partitions"]) == 200
+    assert int(big["spark.sql.shuffle.partitions"]) > 100_000
+    assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
