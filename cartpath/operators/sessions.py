@@ -11,20 +11,26 @@ Semantics (the reference's ``create_sessions``):
 Events without visitor or time would each form a one-event session that is dropped, so
 they are removed up front.
 
-Plan shape (all DataFrame operations, no UDFs):
-
-1. one hash shuffle of the events by (visitorid, time bucket); an ordered window per
-   bucket gives the in-bucket gaps and a running count of session starts;
-2. a per-(visitor, bucket) summary (bounded by span / bucket width per visitor) stitches
-   buckets together: the first event of a bucket is compared with the last event of the
-   previous non-empty bucket, and session starts are summed over earlier buckets;
-3. per-session extents are a partial (map-side combined) aggregate, so a hot session
-   costs no more than a cold one;
-4. dense ids come from a range partitioning of the session keys, not a global window;
-   the numbered keys (one row per session) are written once below the checkpoint folder,
-   so calling ``sessionize`` runs that one small job;
-5. one join of the rows with the kept session ids drops one-instant sessions and sets the
-   id at the same time (AQE splits a skewed session partition of the row side).
+Plan shape. Time is cut into buckets of width ``b = min(bucket_sec, gap_sec)``. Two events
+in one bucket are less than ``b <= gap_sec`` apart, so no session boundary falls inside a
+bucket: a boundary can only be a bucket's first event, and every event of a (visitor,
+bucket) belongs to the same session. Hence:
+
+1. per (visitor, bucket) first and last second: a partial (map-side combined) aggregate,
+   so only one small row per bucket and map task is shuffled;
+2. a window over each visitor's buckets (at most span / b rows per visitor, whatever the
+   visitor's event count) decides which buckets start a session and numbers the sessions;
+3. session extents and the one-instant filter are aggregates of the bucket rows;
+4. dense ids come from a range partitioning of the session keys, not a global window; the
+   numbered keys (one row per session) are written once below the checkpoint folder, so
+   calling ``sessionize`` runs that one small job;
+5. one join of the events with the (visitor, bucket) -> session table sets the id and
+   drops one-instant sessions. It is the only shuffle of the event rows, and no ordered
+   window runs over them; a hot (visitor, bucket) key is a join key, which AQE's skew
+   handling splits (a window partition could not be split).
+
+``mark_sessions`` adds the per-event gap to the previous event (a window per (visitor,
+bucket) plus the previous bucket's last second) for the step-by-step queries.
 """
 
 from __future__ import annotations
@@ -40,38 +46,46 @@ TS = "timestamp"
 KEY = ["visitorid", "local_session"]
 
 
+def _clean(events: DataFrame) -> DataFrame:
+    return events.where(F.col("visitorid").isNotNull() & F.col(TS).isNotNull())
+
+
+def bucket_width(gap_sec: int, bucket_sec: int = BUCKET_SEC) -> int:
+    return max(1, min(int(bucket_sec), int(gap_sec)))
+
+
+def session_buckets(events: DataFrame, gap_sec: int = SESSION_GAP_SEC,
+                    bucket_sec: int = BUCKET_SEC) -> DataFrame:
+    """One row per (visitorid, _tb) with first_ts, last_ts, prev_last_ts (last second of
+    the visitor's previous non-empty bucket) and local_session (1-based per visitor)."""
+    b = bucket_width(gap_sec, bucket_sec)
+    ev = _clean(events).withColumn("_tb", time_bucket(TS, b))
+    bk = ev.groupBy("visitorid", "_tb").agg(F.min(TS).alias("first_ts"), F.max(TS).alias("last_ts"))
+    wv = Window.partitionBy("visitorid").orderBy("_tb")
+    bk = bk.withColumn("prev_last_ts", F.lag("last_ts").over(wv))
+    starts = (F.col("prev_last_ts").isNull() | (F.col("first_ts") - F.col("prev_last_ts") >= gap_sec)).cast("long")
+    return bk.withColumn("local_session",
+                         F.sum(starts).over(wv.rowsBetween(Window.unboundedPreceding, 0)).cast("long"))
+
+
 def mark_sessions(events: DataFrame, gap_sec: int = SESSION_GAP_SEC, tie: str = "seq",
                   bucket_sec: int = BUCKET_SEC) -> DataFrame:
     """Every event with ``gap`` (seconds since the visitor's previous event, null for the
     first), ``is_boundary`` and ``local_session`` (1-based session number per visitor)."""
-    ev = events.where(F.col("visitorid").isNotNull() & F.col(TS).isNotNull())
-    ev = ev.withColumn("_tb", time_bucket(TS, bucket_sec))
+    b = bucket_width(gap_sec, bucket_sec)
+    buckets = session_buckets(events, gap_sec, bucket_sec)
+    ev = _clean(events).withColumn("_tb", time_bucket(TS, b))
     w = Window.partitionBy("visitorid", "_tb").orderBy(TS, tie)
     ev = ev.withColumn("_gap", F.col(TS) - F.lag(TS).over(w))
-    ev = ev.withColumn("_brk", F.coalesce((F.col("_gap") >= gap_sec).cast("long"), F.lit(0)))
-    ev = ev.withColumn("_run", F.sum("_brk").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-
-    buckets = ev.groupBy("visitorid", "_tb").agg(
-        F.min(TS).alias("_mn"), F.max(TS).alias("_mx"), F.sum("_brk").alias("_nb"))
-    wv = Window.partitionBy("visitorid").orderBy("_tb")
-    prev_mx = F.lag("_mx").over(wv)
-    buckets = buckets.select(
-        "visitorid", "_tb", "_nb", prev_mx.alias("_prev_mx"),
-        F.when(prev_mx.isNull() | (F.col("_mn") - prev_mx >= gap_sec), 1).otherwise(0).cast("long").alias("_first"))
-    earlier = Window.partitionBy("visitorid").orderBy("_tb").rowsBetween(Window.unboundedPreceding, -1)
-    buckets = buckets.select(
-        "visitorid", "_tb", "_prev_mx",
-        (F.coalesce(F.sum(F.col("_first") + F.col("_nb")).over(earlier), F.lit(0)) + F.col("_first")).alias("_start"))
-
-    # Sort-merge join: the rows are already hash-partitioned and sorted by (visitorid, _tb)
-    # from the window, so only the small summary side moves. The hint keeps AQE from
-    # broadcasting the row side when a sample happens to be small.
-    rows = ev.join(buckets.hint("merge"), ["visitorid", "_tb"])
-    gap = F.coalesce(F.col("_gap"), F.col(TS) - F.col("_prev_mx"))
+    # Merge join: the rows are already hash-partitioned and sorted by (visitorid, _tb) from
+    # the window, so only the per-bucket table moves. The hint keeps AQE from broadcasting
+    # the row side when a sample happens to be small.
+    rows = ev.join(buckets.select("visitorid", "_tb", "prev_last_ts", "local_session").hint("merge"),
+                   ["visitorid", "_tb"])
+    gap = F.coalesce(F.col("_gap"), F.col(TS) - F.col("prev_last_ts"))
     return (rows.withColumn("gap", gap)
                 .withColumn("is_boundary", F.col("gap").isNull() | (F.col("gap") >= gap_sec))
-                .withColumn("local_session", (F.col("_start") + F.col("_run")).cast("long"))
-                .drop("_tb", "_gap", "_brk", "_run", "_prev_mx", "_start"))
+                .drop("_tb", "_gap", "prev_last_ts"))
 
 
 def session_extents(marked: DataFrame) -> DataFrame:
@@ -96,8 +110,14 @@ def session_ids(marked: DataFrame) -> DataFrame:
 def sessionize(events: DataFrame, gap_sec: int = SESSION_GAP_SEC, tie: str = "seq",
                bucket_sec: int = BUCKET_SEC, keep_visitor: bool = False) -> DataFrame:
     """Events -> sessions: (timestamp, event, itemid, session, seq)."""
-    marked = mark_sessions(events, gap_sec, tie, bucket_sec)
-    # The id table has one row per session: hash it, stream the rows past it.
-    out = marked.join(session_ids(marked).hint("shuffle_hash"), KEY)
+    b = bucket_width(gap_sec, bucket_sec)
+    buckets = session_buckets(events, gap_sec, bucket_sec)
+    extents = buckets.groupBy(*KEY).agg(F.min("first_ts").alias("_mn"), F.max("last_ts").alias("_mx"))
+    kept = extents.where(F.col("_mx") > F.col("_mn")).select(*KEY)
+    ids = with_dense_id(kept, KEY, out="session")
+    bucket_ids = buckets.select("visitorid", "_tb", *KEY[1:]).join(ids, KEY).select("visitorid", "_tb", "session")
+    rows = _clean(events).withColumn("_tb", time_bucket(TS, b))
+    # The only shuffle of the event rows; the per-bucket table is the hashed build side.
+    out = rows.join(bucket_ids.hint("shuffle_hash"), ["visitorid", "_tb"])
     cols = [TS, "event", "itemid", "session", tie] + (["visitorid"] if keep_visitor else [])
     return out.select(*cols)
