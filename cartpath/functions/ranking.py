@@ -19,6 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..config import shuffle_partitions
 from .materialize import materialize
 
 _ROW_BITS = 33  # monotonically_increasing_id = partition index << 33 | row inside partition
@@ -26,13 +27,10 @@ _ROW_BITS = 33  # monotonically_increasing_id = partition index << 33 | row insi
 
 def with_dense_id(keys: DataFrame, order: Sequence[str], out: str = "id",
                   num_partitions: int | None = None) -> DataFrame:
-    """Number the (unique) rows of ``keys`` 1..N in ``order``.
-
-    Without ``num_partitions`` the range exchange uses ``spark.sql.shuffle.partitions`` and
-    AQE may coalesce neighbouring ranges of small data; coalesced partitions stay
-    contiguous and in order, so the local numbering remains globally ordered."""
-    ranged = keys.repartitionByRange(num_partitions, *order) if num_partitions else keys.repartitionByRange(*order)
-    ranged = (ranged.sortWithinPartitions(*order)
+    """Number the (unique) rows of ``keys`` 1..N in ``order``."""
+    n = num_partitions or shuffle_partitions(keys.sparkSession)
+    ranged = (keys.repartitionByRange(n, *order)
+                  .sortWithinPartitions(*order)
                   .withColumn("_mid", F.monotonically_increasing_id())
                   .withColumn("_part", F.shiftrightunsigned("_mid", _ROW_BITS))
                   .withColumn("_row", F.col("_mid").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))))
@@ -40,8 +38,8 @@ def with_dense_id(keys: DataFrame, order: Sequence[str], out: str = "id",
     sizes = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    # ``offsets`` has one row per range partition (at most the shuffle partition count): a
-    # proven bound, so broadcasting it is safe.
+    # ``offsets`` has at most ``n`` rows (n = the shuffle partition count): a proven bound,
+    # so broadcasting it is safe.
     return (ranged.join(F.broadcast(offsets), "_part")
                   .withColumn(out, (F.col("_off") + F.col("_row") + 1).cast("long"))
                   .drop("_mid", "_part", "_row", "_off"))
