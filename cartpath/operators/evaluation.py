@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import CART, ORDER, TOP_K
-from ..functions.columns import first_hit_rank, hits_at_k
+from ..functions.columns import empty_long_array, first_hit_rank, hits_at_k
 
 TYPES = (CART, ORDER)
 HIT_COLS = {CART: "cart_hits", ORDER: "order_hits"}
@@ -80,7 +80,8 @@ def evaluate_sessions(labels: DataFrame, by_session: DataFrame, k: int = TOP_K)
 def num_events(labels: DataFrame, k: int = TOP_K) -> DataFrame:
     """One row: n_carts, n_orders = sum over label sessions of min(|labels|, k)."""
     def capped(t):
-        n = F.coalesce(F.size(F.col(t)), F.lit(0))
+        # size of the set with an absent set as empty (also where size(null) is -1)
+        n = F.size(F.coalesce(F.col(t), empty_long_array()))
         return F.coalesce(F.sum(F.least(n, F.lit(k)).cast("long")), F.lit(0).cast("long"))
     return labels.agg(capped(CART).alias("n_carts"), capped(ORDER).alias("n_orders"))
 

@@ -117,3 +117,19 @@ def test_hits_dedup_predictions(spark):
     bys = spark.createDataFrame([(1, [5, 5, 5], None)], BYS)
     assert E.session_hits(labels, bys, 3).first().cart_hits == 1
     assert F is not None
+
+
+def test_num_events_with_legacy_size_of_null(spark):
+    """With ANSI off and legacy sizeOfNull, size(null) is -1: absent sets must still count 0."""
+    old = {k: spark.conf.get(k) for k in ("spark.sql.ansi.enabled", "spark.sql.legacy.sizeOfNull")}
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    spark.conf.set("spark.sql.legacy.sizeOfNull", "true")
+    try:
+        r = E.num_events(labels_df(spark, LABELS | {5: {"addtocart": {1, 2}}}), 10).first()
+        hits = E.evaluate_sessions(labels_df(spark, LABELS), E.predictions_by_session(preds_df(spark, PREDS)), 3)
+        got = {x.session: (x.cart_hits, x.order_hits) for x in hits.collect()}
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert (r.n_carts, r.n_orders) == (11, 12)
+    assert got == {1: (None, 1), 2: (1, 0), 3: (2, None), 4: (0, None)}
