@@ -47,23 +47,26 @@ def label_index(positioned: DataFrame) -> DataFrame:
 
 def ground_truth_counts(positioned: DataFrame, tie: str = "seq", bucket_sec: int = BUCKET_SEC) -> DataFrame:
     """Every event but the last of each session with the number of distinct cart items
-    and order items after it (the sizes of its label sets)."""
+    and order items after it (the sizes of its label sets).
+
+    An item counts for event i iff its last occurrence is after i, so the count is a suffix
+    sum of "last occurrence" markers: one skew-safe running sum in reverse time order gives
+    it, together with the reverse position that identifies each session's last event."""
     idx = label_index(positioned)
     ends = idx.groupBy("session", F.col("last_pos").alias("pos")).agg(
         F.count_if(F.col("event") == CART).alias("_c_end"),
         F.count_if(F.col("event") == ORDER).alias("_o_end"))
-    # Per session: events and distinct cart / order items (one aggregate over the ends).
-    sizes = positioned.groupBy("session").agg(F.count(F.lit(1)).alias("_n"))
-    totals = ends.groupBy("session").agg(F.sum("_c_end").alias("_c_tot"), F.sum("_o_end").alias("_o_tot"))
-    rows = positioned.join(ends, ["session", "pos"], "left")
-    rows = with_running_sums(rows, ["session"], [TS, tie],
-                             {"_c_done": F.coalesce("_c_end", F.lit(0)), "_o_done": F.coalesce("_o_end", F.lit(0))},
-                             bucket_sec=bucket_sec)
-    rows = rows.join(sizes, "session").join(totals, "session", "left")
-    return (rows.where(F.col("pos") < F.col("_n") - 1)
+    rows = (positioned.join(ends, ["session", "pos"], "left")
+            .withColumn("_c_end", F.coalesce("_c_end", F.lit(0)))
+            .withColumn("_o_end", F.coalesce("_o_end", F.lit(0)))
+            .withColumn("_rts", -F.col(TS)).withColumn("_rtie", -F.col(tie)))
+    rows = with_running_sums(rows, ["session"], ["_rts", "_rtie"],
+                             {"_c_from": F.col("_c_end"), "_o_from": F.col("_o_end"), "_rev": F.lit(1)},
+                             ts="_rts", bucket_sec=bucket_sec)
+    return (rows.where(F.col("_rev") > 1)
                 .select("session", "pos", TS, "event", "itemid",
-                        (F.coalesce("_c_tot", F.lit(0)) - F.col("_c_done")).alias("n_cart_labels"),
-                        (F.coalesce("_o_tot", F.lit(0)) - F.col("_o_done")).alias("n_order_labels")))
+                        (F.col("_c_from") - F.col("_c_end")).alias("n_cart_labels"),
+                        (F.col("_o_from") - F.col("_o_end")).alias("n_order_labels")))
 
 
 def split_points(positioned: DataFrame, seed: int = SEED) -> DataFrame:
