@@ -1,6 +1,6 @@
 """Streaming.
 
-The reference is a batch pipeline: its 30-minute session rule runs over a finished click
+The reference is a batch job: its 30-minute session rule runs over a finished click
 log, and it has no watermarks, windows over event time, state or late data. Nothing is
 built here. (Note for a later streaming variant: ``session_window`` merges events exactly
 1800 s apart, while the batch rule splits them; on whole-second timestamps a gap of
