@@ -19,7 +19,8 @@ from ..config import SEED, SESSION_GAP_SEC, TEST_WEEKS, TOP_K, TRAIN_WEEKS
 from ..functions.materialize import materialize
 from ..operators.catalog import anchor_bounds, item_categories
 from ..operators.evaluation import get_scores, unique_label_sessions
-from ..operators.labels import cut_test_set
+from ..operators.labels import (session_positions, split_points, test_labels, trimmed_sessions,
+                               with_split)
 from ..operators.sessions import sessionize
 from ..operators.split import train_test_split
 from ..sources import files, sinks
@@ -52,10 +53,12 @@ def cut_test_sessions(spark: SparkSession, test_set_path: str, output_path: str,
     """Test set CSV -> ``test_sessions`` (JSON lines, one per kept event) and
     ``test_labels`` (JSON lines, one per session)."""
     test = files.read_sessions(spark, test_set_path)
-    trimmed, labels, _ = cut_test_set(test, seed)
+    positioned = session_positions(test)
+    # The cut rows feed both outputs: positions and split points are computed once.
+    cut = materialize(with_split(positioned, split_points(positioned, seed)), "job-cut")
     out = output_path.rstrip("/")
-    sinks.write_trimmed_sessions(trimmed, f"{out}/test_sessions")
-    sinks.write_labels(labels, f"{out}/test_labels")
+    sinks.write_trimmed_sessions(trimmed_sessions(cut), f"{out}/test_sessions")
+    sinks.write_labels(test_labels(cut, cut.select("session").distinct()), f"{out}/test_labels")
     return (files.read_trimmed_sessions(spark, f"{out}/test_sessions"),
             files.read_labels(spark, f"{out}/test_labels"))
 
