@@ -51,6 +51,9 @@ def _clean(events: DataFrame) -> DataFrame:
 
 
 def bucket_width(gap_sec: int, bucket_sec: int = BUCKET_SEC) -> int:
+    """Bucket width b <= gap_sec: events of one bucket are at most b - 1 < gap_sec apart."""
+    if int(gap_sec) < 1:
+        raise ValueError("gap_sec must be at least 1 second")
     return max(1, min(int(bucket_sec), int(gap_sec)))
 
 
