@@ -28,8 +28,13 @@ def read_click_log(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame
 
 
 def read_sessions(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Train/test set CSV: timestamp, event, itemid, session, seq."""
-    return _csv(spark, schemas.SESSIONS, paths)
+    """Train/test set CSV: timestamp, event, itemid, session, seq. A row without item id
+    raises: labels are sets of item ids, and a set-building aggregate would silently drop
+    the missing one."""
+    df = _csv(spark, schemas.SESSIONS, paths)
+    checked = F.when(F.col("itemid").isNull(),
+                     F.raise_error(F.lit("session table row without itemid"))).otherwise(F.col("itemid"))
+    return df.withColumn("itemid", checked.cast("long"))
 
 
 def read_category_tree(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:

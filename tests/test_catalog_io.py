@@ -81,3 +81,16 @@ def test_cluster_settings_scale_with_input():
     assert int(small["spark.sql.shuffle.partitions"]) == 200
     assert int(big["spark.sql.shuffle.partitions"]) > 100_000
     assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
+
+
+def test_session_table_without_item_raises(spark):
+    import pytest
+    path = scratch_path(spark, "test-sessions-null-item")
+    df = spark.createDataFrame([(1, "view", None, 1, 0), (2, "addtocart", 5, 1, 1)],
+                               "timestamp long, event string, itemid long, session long, seq long")
+    sinks.write_sessions(df, path)
+    with pytest.raises(Exception):
+        files.read_sessions(spark, path).collect()
+    ok = scratch_path(spark, "test-sessions-ok")
+    sinks.write_sessions(df.where("itemid IS NOT NULL"), ok)
+    assert files.read_sessions(spark, ok).count() == 1
