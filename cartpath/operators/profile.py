@@ -5,7 +5,8 @@ exact ``percentile``, whose buffer is a value -> count map: its size is bounded
 number of distinct values (counts, seconds), not by the number of rows; ``approx=True``
 switches to ``percentile_approx`` for measures with very many distinct values.
 Ordered steps inside sessions (gaps, steps between carts and orders) use the skew-safe
-positions of ``functions.sequence`` and equi-joins on unique (session, position) keys.
+positions and next rows of ``functions.sequence`` (windows per (session, time bucket)
+stitched by per-bucket summaries).
 """
 
 from __future__ import annotations
