@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..config import BUCKET_SEC, CART, ORDER, VIEW
 from ..functions.columns import pct
-from ..functions.sequence import with_next, with_position
+from ..functions.sequence import with_next, with_running_sum
 
 TS = "timestamp"
 QUANTILES = (0.25, 0.5, 0.75)
@@ -168,8 +168,7 @@ def clicks_between_carts(sessions: DataFrame, tie: str = "seq", bucket_sec: int
     repeat = ((F.col("event") == CART) & (F.col("next_event") == CART) & (F.col("itemid") == F.col("next_itemid")))
     rows = (rows.where(F.col(f"next_{tie}").isNotNull() & ~F.coalesce(repeat, F.lit(False)))
                 .select("session", TS, tie, "event"))
-    rows = with_position(rows, ["session"], [TS, tie], out="index", bucket_sec=bucket_sec)
-    return _step_deltas(rows.where(F.col("event") == CART), tie, bucket_sec).select("session", "delta_index")
+    return _step_deltas(rows, F.col("event") == CART, tie, bucket_sec).select("session", "delta_index")
 
 
 def clicks_between_orders(sessions: DataFrame, tie: str = "seq", bucket_sec: int = BUCKET_SEC) -> DataFrame:
@@ -177,13 +176,20 @@ def clicks_between_orders(sessions: DataFrame, tie: str = "seq", bucket_sec: int
     and collapsing rows equal in (session, timestamp, event) to their first occurrence."""
     rows = (sessions.where(F.col("event") != CART)
             .groupBy("session", TS, "event").agg(F.min(tie).alias(tie)))
-    rows = with_position(rows, ["session"], [TS, tie], out="index", bucket_sec=bucket_sec)
-    return _step_deltas(rows.where(F.col("event") == ORDER), tie, bucket_sec).select("delta_index")
-
-
-def _step_deltas(marked: DataFrame, tie: str, bucket_sec: int) -> DataFrame:
-    """(session, delta_index) between each marked row and the next marked row."""
-    nxt = with_next(marked.select("session", TS, tie, "index"), ["session"], [TS, tie], ["index"],
-                    bucket_sec=bucket_sec)
-    return nxt.where(F.col("next_index").isNotNull()).select(
-        "session", (F.col("next_index") - F.col("index")).alias("delta_index"))
+    return _step_deltas(rows, F.col("event") == ORDER, tie, bucket_sec).select("delta_index")
+
+
+def _step_deltas(rows: DataFrame, marker, tie: str, bucket_sec: int) -> DataFrame:
+    """(session, delta_index): for each marked row with a later marked row in its session,
+    the difference of their positions.
+
+    A running count of marked rows splits a session into segments, each starting at a
+    marked row; a segment's row count is the step to the next marked row, so the deltas
+    are a partial aggregate. Only segments followed by another one count (a semi join on
+    unique (session, segment) keys)."""
+    numbered = with_running_sum(rows, ["session"], [TS, tie], marker.cast("long"), "_seg",
+                                bucket_sec=bucket_sec)
+    seg = (numbered.where(F.col("_seg") >= 1)
+           .groupBy("session", "_seg").agg(F.count(F.lit(1)).alias("delta_index")))
+    followed = seg.select("session", (F.col("_seg") - 1).alias("_seg"))
+    return seg.join(followed, ["session", "_seg"], "left_semi").select("session", "delta_index")
