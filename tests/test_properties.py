@@ -77,3 +77,43 @@ def test_cut_matches_direct_reading(spark, sessions):
         split, c, o = brute_cut(events, s)
         assert kept[s] == split
         assert lab[s] == (c, o)
+
+
+def brute_steps(rows, kind):
+    """rows: (ts, event, item, session, seq). The notebook's steps between carts / orders,
+    read row by row over the frame sorted by (session, time, seq)."""
+    rows = sorted(rows, key=lambda r: (r[3], r[0], r[4]))
+    if kind == "carts":
+        r1 = [r for r in rows if r[1] != "transaction"]
+        kept = []
+        for i, r in enumerate(r1):
+            nxt = r1[i + 1] if i + 1 < len(r1) else None
+            if nxt is None or nxt[3] != r[3]:
+                continue
+            if r[1] == "addtocart" and nxt[1] == "addtocart" and r[2] == nxt[2]:
+                continue
+            kept.append(r)
+        mark = "addtocart"
+    else:
+        seen, kept = set(), []
+        for r in rows:
+            key = (r[3], r[0], r[1])
+            if r[1] != "addtocart" and key not in seen:
+                seen.add(key)
+                kept.append(r)
+        mark = "transaction"
+    marked = [(i, r[3]) for i, r in enumerate(kept) if r[1] == mark]
+    return sorted((s, j - i) for (i, s), (j, s2) in zip(marked, marked[1:]) if s == s2)
+
+
+@SET
+@given(st.lists(st.tuples(st.integers(0, 40), st.sampled_from(EVENTS), st.integers(1, 3), st.integers(1, 3)),
+                max_size=40))
+def test_steps_match_direct_reading(spark, raw):
+    from cartpath.operators.profile import clicks_between_carts, clicks_between_orders
+    rows = [(t, e, i, s, n) for n, (t, e, i, s) in enumerate(raw)]
+    df = spark.createDataFrame(rows, SESS) if rows else spark.createDataFrame([], SESS)
+    carts = sorted((r.session, r.delta_index) for r in clicks_between_carts(df, bucket_sec=7).collect())
+    orders = sorted(r.delta_index for r in clicks_between_orders(df, bucket_sec=7).collect())
+    assert carts == brute_steps(rows, "carts")
+    assert orders == sorted(d for _, d in brute_steps(rows, "orders"))
