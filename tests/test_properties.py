@@ -117,3 +117,30 @@ def test_steps_match_direct_reading(spark, raw):
     orders = sorted(r.delta_index for r in clicks_between_orders(df, bucket_sec=7).collect())
     assert carts == brute_steps(rows, "carts")
     assert orders == sorted(d for _, d in brute_steps(rows, "orders"))
+
+
+@SET
+@given(st.lists(st.tuples(st.integers(0, 30), st.sampled_from(EVENTS), st.integers(1, 4), st.integers(1, 3)),
+                max_size=40))
+def test_label_counts_and_gaps_match_direct_reading(spark, raw):
+    from cartpath.operators.labels import ground_truth_counts, session_positions
+    from cartpath.operators.profile import inter_event_gaps
+    rows = [(t, e, i, s, n) for n, (t, e, i, s) in enumerate(raw)]
+    df = spark.createDataFrame(rows, SESS) if rows else spark.createDataFrame([], SESS)
+    by_session = {}
+    for r in sorted(rows, key=lambda r: (r[3], r[0], r[4])):
+        by_session.setdefault(r[3], []).append(r)
+    want_counts, want_gaps = {}, []
+    for s, evs in by_session.items():
+        for i in range(len(evs) - 1):
+            later = evs[i + 1:]
+            want_counts[evs[i][4]] = (len({x[2] for x in later if x[1] == "addtocart"}),
+                                      len({x[2] for x in later if x[1] == "transaction"}))
+            want_gaps.append(evs[i + 1][0] - evs[i][0])
+    pos = session_positions(df, bucket_sec=7)
+    got = {}
+    seq_of = {(r[3], p): r[4] for s, evs in by_session.items() for p, r in enumerate(evs)}
+    for r in ground_truth_counts(pos, bucket_sec=7).collect():
+        got[seq_of[(r.session, r.pos)]] = (r.n_cart_labels, r.n_order_labels)
+    assert got == want_counts
+    assert sorted(r.time_between_sec for r in inter_event_gaps(df, bucket_sec=7).collect()) == sorted(want_gaps)
