@@ -144,3 +144,45 @@ def test_label_counts_and_gaps_match_direct_reading(spark, raw):
         got[seq_of[(r.session, r.pos)]] = (r.n_cart_labels, r.n_order_labels)
     assert got == want_counts
     assert sorted(r.time_between_sec for r in inter_event_gaps(df, bucket_sec=7).collect()) == sorted(want_gaps)
+
+
+def brute_split(rows, train_weeks, test_weeks, week=100):
+    """rows: (ts, event, item, session, seq) -> (train seqs, test seqs), read row by row."""
+    if not rows:
+        return set(), set()
+    max_ts = max(r[0] for r in rows)
+    test_start = max_ts - test_weeks * week
+    train_start = test_start - train_weeks * week
+    by_s = {}
+    for r in sorted(rows, key=lambda r: (r[3], r[0], r[4])):
+        by_s.setdefault(r[3], []).append(r)
+    qual = {s for s, evs in by_s.items() if any(e[1] != "view" for e in evs[1:])}
+
+    def keep(part):
+        ok = {}
+        for r in part:
+            ok.setdefault(r[3], set()).add(r[0])
+        return {s for s, ts in ok.items() if len(ts) > 1} & qual
+
+    train_rows = [r for r in rows if train_start <= r[0] < test_start]
+    train_s = keep(train_rows)
+    test_rows = [r for r in rows if r[0] >= test_start and r[3] not in train_s]
+    test_s = keep(test_rows)
+    return ({r[4] for r in train_rows if r[3] in train_s}, {r[4] for r in test_rows if r[3] in test_s})
+
+
+@SET
+@given(st.lists(st.tuples(st.integers(0, 600), st.sampled_from(EVENTS), st.integers(1, 3), st.integers(1, 6)),
+                max_size=40), st.integers(1, 3), st.integers(1, 2))
+def test_split_matches_direct_reading(spark, raw, train_weeks, test_weeks):
+    import cartpath.operators.split as S
+    rows = [(t, e, i, s, n) for n, (t, e, i, s) in enumerate(raw)]
+    df = spark.createDataFrame(rows, SESS) if rows else spark.createDataFrame([], SESS)
+    old = S.WEEK_SEC
+    S.WEEK_SEC = 100  # short weeks so that random data straddles the cut points
+    try:
+        train, test = S.train_test_split(df, train_weeks, test_weeks)
+        got = ({r.seq for r in train.collect()}, {r.seq for r in test.collect()})
+    finally:
+        S.WEEK_SEC = old
+    assert got == brute_split(rows, train_weeks, test_weeks)
