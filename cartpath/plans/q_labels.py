@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.columns import ids_text
-from ..operators.labels import (cut_test_set, ground_truth_counts, label_index,
-                                session_positions, split_points)
+from ..functions.materialize import materialize
+from ..operators.labels import (ground_truth_counts, label_index, session_positions, split_points,
+                                test_labels, trimmed_sessions, with_split)
 from . import oracle as O
 from .inputs import GAP_LONG as G
 from .inputs import split
@@ -18,7 +19,13 @@ def test_set(spark, d):
 
 
 def cut(spark, d):
-    return cut_test_set(test_set(spark, d))
+    """(trimmed events, labels, split points) of the test set. The cut rows (positions and
+    split index) are written once: trimmed events and labels both read them, so positions
+    are computed in one pass."""
+    positioned = session_positions(test_set(spark, d))
+    points = split_points(positioned)
+    rows = materialize(with_split(positioned, points), "cut-rows")
+    return trimmed_sessions(rows), test_labels(rows, rows.select("session").distinct()), points
 
 
 def labels_text(labels):
