@@ -94,3 +94,13 @@ def test_session_table_without_item_raises(spark):
     ok = scratch_path(spark, "test-sessions-ok")
     sinks.write_sessions(df.where("itemid IS NOT NULL"), ok)
     assert files.read_sessions(spark, ok).count() == 1
+
+
+def test_describe_exact_and_approx(spark):
+    from cartpath.operators.profile import describe
+    df = spark.createDataFrame([(float(v),) for v in (1, 2, 3, 10)], "x double")
+    r = describe(df, "x").first()
+    assert (r["count"], r["null_count"], r["min"], r["q25"], r["q50"], r["max"]) == (4, 0, 1.0, 1.75, 2.5, 10.0)
+    a = describe(df, "x", approx=True).first()
+    assert a["count"] == 4 and {a["q25"], a["q50"], a["q75"]} <= {1.0, 2.0, 3.0, 10.0}
+    assert a["q25"] <= a["q50"] <= a["q75"]
