@@ -186,3 +186,50 @@ def test_split_matches_direct_reading(spark, raw, train_weeks, test_weeks):
     finally:
         S.WEEK_SEC = old
     assert got == brute_split(rows, train_weeks, test_weeks)
+
+
+def brute_scores(labels, preds, k):
+    """labels: {s: {type: set}} ; preds: {s: {type: list}} -> (recall_c, recall_o, mrr_c, mrr_o)."""
+    tot = {t: sum(min(len(v.get(t) or ()), k) for v in labels.values()) for t in ("addtocart", "transaction")}
+    hit = {t: 0 for t in tot}
+    for s, lab in labels.items():
+        for t in tot:
+            if lab.get(t) and s in preds and preds[s].get(t):
+                hit[t] += len(set(preds[s][t][:k]) & lab[t])
+    rr = {t: [] for t in tot}
+    for s, p in preds.items():
+        if s not in labels:
+            continue
+        for t in tot:
+            if t in p and labels[s].get(t):
+                first = next((i for i, x in enumerate(p[t], 1) if x in labels[s][t]), None)
+                rr[t].append(1 / first if first else 0)
+    rec = [hit[t] / tot[t] if tot[t] else None for t in ("addtocart", "transaction")]
+    mrr = [sum(v) / len(v) if v else None for v in (rr["addtocart"], rr["transaction"])]
+    return tuple(rec + mrr)
+
+
+maybe_set = st.one_of(st.none(), st.sets(st.integers(1, 6), max_size=4))
+maybe_list = st.one_of(st.none(), st.lists(st.integers(1, 6), max_size=6))
+
+
+@SET
+@given(st.dictionaries(st.integers(1, 6), st.tuples(maybe_set, maybe_set), min_size=1, max_size=6),
+       st.dictionaries(st.integers(1, 8), st.tuples(maybe_list, maybe_list), max_size=6), st.integers(1, 4))
+def test_scores_match_direct_reading(spark, lab, prd, k):
+    from cartpath.operators.evaluation import get_scores
+    labels = {s: {t: v for t, v in zip(("addtocart", "transaction"), pair) if v is not None}
+              for s, pair in lab.items()}
+    preds = {s: {t: v for t, v in zip(("addtocart", "transaction"), pair) if v is not None}
+             for s, pair in prd.items()}
+    ldf = spark.createDataFrame(
+        [(s, sorted(v["addtocart"]) if "addtocart" in v else None,
+          sorted(v["transaction"]) if "transaction" in v else None) for s, v in labels.items()],
+        "session long, addtocart array<long>, transaction array<long>")
+    pdf = spark.createDataFrame([(s, t, p) for s, v in preds.items() for t, p in v.items()],
+                                "session long, event_type string, preds array<long>")
+    r = get_scores(ldf, pdf, k).first()
+    got = (r.recall_cart, r.recall_order, r.mrr_cart, r.mrr_order)
+    want = brute_scores(labels, preds, k)
+    assert all((a is None and b is None) or (a is not None and b is not None and abs(a - b) < 1e-12)
+               for a, b in zip(got, want)), (got, want)
