@@ -23,9 +23,8 @@ CART = "addtocart"
 ORDER = "transaction"
 LABEL_EVENTS = (CART, ORDER)
 
-# Own defaults (not from the reference).
-# Width of the time buckets that split one visitor's or one session's history into
-# independent window partitions; bounds the rows a single task sorts for a hot key.
+# Own default (not from the reference).
+# Widest time bucket of sessionize; the session gap bounds it too.
 BUCKET_SEC = 3600
 
 
@@ -54,13 +53,16 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when no folder is configured (local runs, tests) a fresh local one is set.
+    Only local sessions (tests) without one get a fresh local folder; on a cluster its
+    executors would each write to a disk of their own, so a missing setting raises.
     """
     sc = spark.sparkContext
     root = sc.getCheckpointDir()
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
         if not root:
+            if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             root = tempfile.mkdtemp(prefix="cartpath-ckpt-")
         sc.setCheckpointDir(root)
         root = sc.getCheckpointDir() or root

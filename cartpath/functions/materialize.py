@@ -4,17 +4,56 @@ A table that several branches of a plan read (sessions, train and test sets) is
 once as parquet below ``spark.checkpoint.dir`` and read back: this cuts the lineage, so a
 lost executor costs a re-read instead of a recomputation of the whole chain, and the
 read-back carries exact size statistics for AQE's join choices.
+
+Every written folder is remembered for its session. ``temporary(spark)`` deletes at its
+end what was written inside it, ``cleanup(spark)`` what the session has written so far;
+both remove only folders that this module made.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 
 from ..config import scratch_path
 
+_written: dict[str, list[str]] = {}
+
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def _paths(spark: SparkSession) -> list[str]:
+    return _written.setdefault(spark.sparkContext.applicationId, [])
+
+
+def materialize(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
+    _paths(spark).append(path)
+    writer = df.write.mode("overwrite")
+    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
     return spark.read.parquet(path)
+
+
+def _delete(spark: SparkSession, paths: list[str]) -> None:
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(conf).delete(path, True)
+        _paths(spark).remove(p)
+
+
+def cleanup(spark: SparkSession) -> None:
+    """Delete the intermediate tables this session has written; DataFrames that read them
+    cannot be used any more."""
+    _delete(spark, list(_paths(spark)))
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Delete, at the end, the intermediate tables written inside the block."""
+    before = set(_paths(spark))
+    try:
+        yield
+    finally:
+        _delete(spark, [p for p in _paths(spark) if p not in before])
