@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..config import CART, VIEW
+
 
 def epoch_seconds(col: Column, dtype: T.DataType) -> Column:
     """Whole seconds since 1970-01-01 of a timestamp, rounded down, independent of the
@@ -52,9 +56,23 @@ def hits_at_k(labels: Column, preds: Column, k: int) -> Column:
 
 def first_hit_rank(labels: Column, preds: Column) -> Column:
     """1-based rank of the first prediction that is a label (no cut at k); null if none."""
-    positions = F.transform(labels, lambda x: F.array_position(preds, x))
-    return F.array_min(F.filter(positions, lambda r: r > 0))
+    # The intersection keeps the order of its first argument, so its head is the first hit.
+    return F.array_position(preds, F.get(F.array_intersect(preds, labels), F.lit(0)))
+
+
+def pct(num: Column, den: Column) -> Column:
+    return F.try_divide(num.cast("double") * F.lit(100.0), den.cast("double"))
+
 
+def time_order(df: DataFrame, tie: str | Sequence[str] | None = None) -> tuple[DataFrame, list[str]]:
+    """``df`` and its order columns: time, then the tie columns.
 
-def pct(num: Column, den: Column, digits: int = 6) -> Column:
-    return F.round(F.try_divide(num.cast("double") * F.lit(100.0), den.cast("double")), digits)
+    ``tie`` names one column or several; by default ``seq`` where the table has it, else
+    the event's rank (view, cart, order) and the item, in helper columns ``_tie0`` and
+    ``_tie1`` that are added."""
+    if tie is not None:
+        return df, ["timestamp", *([tie] if isinstance(tie, str) else tie)]
+    if "seq" in df.columns:
+        return df, ["timestamp", "seq"]
+    rank = F.when(F.col("event") == VIEW, 0).when(F.col("event") == CART, 1).otherwise(2)
+    return df.withColumn("_tie0", rank).withColumn("_tie1", F.col("itemid")), ["timestamp", "_tie0", "_tie1"]

@@ -1,12 +1,16 @@
-"""Ordered positions inside large groups without putting a whole group into one task.
+"""Ordered steps inside large groups without putting a whole group into one task.
 
 A window ``partitionBy(session).orderBy(time)`` sends every row of a session to one task;
-one bot session can hold a large share of all rows. Here each group is cut into time
-buckets ``floor(timestamp / bucket_sec)``: the ordered window runs per (group, bucket), and
-the buckets are stitched together through a small per-bucket summary whose size per group
-is bounded by (time span / bucket width), not by the number of rows: running sums and
-positions add the totals of earlier buckets, and the next row of a bucket's last row is the
-first row of the next non-empty bucket.
+one bot session can hold a large share of all rows, even of one second. Here the rows are
+range-partitioned by (group, order) and sorted, and written once with the number of their
+range partition and their row number in it. Sampled bounds spread a hot group over as many
+partitions as its share of the rows asks for, so windows run per (group, partition) over
+about rows / partitions rows at most, for any burst. A summary with one row per (group,
+partition) stitches them: running sums add the totals of earlier partitions, the row
+before a partition's first row is the last row of the group's previous partition.
+
+Being written, the order is also total and fixed: rows equal in every order column keep
+the place they were written at, and every step that reads the table agrees on it.
 """
 
 from __future__ import annotations
@@ -16,68 +20,73 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..config import BUCKET_SEC
-
-
-def time_bucket(ts: str, bucket_sec: int):
-    return F.floor(F.col(ts) / F.lit(bucket_sec)).cast("long")
-
-
-def with_running_sums(df: DataFrame, group: Sequence[str], order: Sequence[str], values: dict,
-                      ts: str = "timestamp", bucket_sec: int = BUCKET_SEC) -> DataFrame:
-    """Add running (inclusive) sums over ``group`` in ``order``: ``values`` maps each output
-    column to a value expression. ``order`` must start with the time column ``ts`` so that
-    buckets follow the order. One ordered window per (group, bucket), one small per-bucket
-    summary, one merge join on the window's partitioning."""
-    group = list(group)
-    names = list(values)
-    w = Window.partitionBy(*group, "_tb").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    rows = df.withColumn("_tb", time_bucket(ts, bucket_sec))
-    for i, n in enumerate(names):
-        rows = rows.withColumn(f"_v{i}", values[n])
+from ..config import shuffle_partitions
+from .materialize import materialize
+
+PART, ROW = "_part", "_row"
+_ROW_BITS = 33  # monotonically_increasing_id = partition index << 33 | row inside partition
+
+
+def ordered(df: DataFrame, group: Sequence[str], order: Sequence[str], name: str = "ordered",
+            num_partitions: int | None = None) -> DataFrame:
+    """``df`` in (group, order) order, written with its range partition and row number."""
+    n = num_partitions or shuffle_partitions(df.sparkSession)
+    cols = [*group, *order]
+    rows = (df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
+              .withColumn("_mid", F.monotonically_increasing_id())
+              .withColumn(PART, F.shiftrightunsigned("_mid", _ROW_BITS))
+              .withColumn(ROW, F.col("_mid").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)))
+              .drop("_mid"))
+    return materialize(rows, name)
+
+
+def with_running_sums(rows: DataFrame, group: Sequence[str], values: dict, totals: Sequence[str] = ()) -> DataFrame:
+    """Add running (inclusive) sums inside ``group`` to ``ordered`` rows: ``values`` maps each
+    output column to a value expression. For the outputs named in ``totals`` the group's
+    whole sum is added too, as ``<name>_total``."""
+    group, names = list(group), list(values)
+    w = Window.partitionBy(*group, PART).orderBy(ROW).rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.select("*", *[values[n].alias(f"_v{i}") for i, n in enumerate(names)])
     rows = rows.select("*", *[F.sum(f"_v{i}").over(w).alias(f"_run{i}") for i in range(len(names))])
-    # Per (group, bucket) totals; the rows are already clustered by (group, bucket).
-    totals = rows.groupBy(*group, "_tb").agg(*[F.sum(f"_v{i}").alias(f"_tot{i}") for i in range(len(names))])
-    wb = Window.partitionBy(*group).orderBy("_tb").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*group, "_tb", *[F.coalesce(F.sum(f"_tot{i}").over(wb), F.lit(0)).alias(f"_off{i}")
-                                            for i in range(len(names))])
-    # Merge join: rows are already hash-partitioned and sorted by (group, bucket) from the
-    # window; only the per-bucket offsets move.
-    out = rows.join(offsets.hint("merge"), [*group, "_tb"])
+    sums = rows.groupBy(*group, PART).agg(*[F.sum(f"_v{i}").alias(f"_tot{i}") for i in range(len(names))])
+    parts = Window.partitionBy(*group)
+    earlier = parts.orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select(
+        *group, PART, *[F.coalesce(F.sum(f"_tot{i}").over(earlier), F.lit(0)).alias(f"_off{i}") for i in range(len(names))],
+        *[F.sum(f"_tot{names.index(n)}").over(parts).cast("long").alias(f"{n}_total") for n in totals])
+    # Merge join: the rows are already partitioned and sorted by (group, partition) from the
+    # window; only the summary moves.
+    out = rows.join(offsets.hint("merge"), [*group, PART])
     for i, n in enumerate(names):
         out = out.withColumn(n, (F.col(f"_off{i}") + F.col(f"_run{i}")).cast("long"))
-    return out.drop("_tb", *[f"_{k}{i}" for i in range(len(names)) for k in ("v", "run", "off")])
-
-
-def with_running_sum(df: DataFrame, group: Sequence[str], order: Sequence[str], value,
-                     out: str, ts: str = "timestamp", bucket_sec: int = BUCKET_SEC) -> DataFrame:
-    """Add ``out`` = running (inclusive) sum of ``value`` over ``group`` in ``order``."""
-    return with_running_sums(df, group, order, {out: value}, ts, bucket_sec)
-
+    return out.drop(*[f"_{k}{i}" for i in range(len(names)) for k in ("v", "run", "off")])
 
-def with_position(df: DataFrame, group: Sequence[str], order: Sequence[str], out: str = "pos",
-                  ts: str = "timestamp", bucket_sec: int = BUCKET_SEC) -> DataFrame:
-    """0-based position of each row inside its group in ``order`` (a skew-safe row_number)."""
-    out_df = with_running_sum(df, group, order, F.lit(1).cast("long"), out, ts, bucket_sec)
-    return out_df.withColumn(out, F.col(out) - 1)
 
+def with_position(rows: DataFrame, group: Sequence[str], out: str = "pos") -> DataFrame:
+    """0-based position of each ``ordered`` row inside its group (a skew-safe row_number)."""
+    return with_running_sums(rows, group, {out: F.lit(1).cast("long")}).withColumn(out, F.col(out) - 1)
 
-def with_next(df: DataFrame, group: Sequence[str], order: Sequence[str], cols: Sequence[str],
-              ts: str = "timestamp", bucket_sec: int = BUCKET_SEC, prefix: str = "next_") -> DataFrame:
-    """Attach ``cols`` of the next row of the same group in ``order`` (null after the last).
 
-    ``lead`` runs per (group, time bucket); the last row of a bucket takes the first row of
-    the next non-empty bucket from a per-bucket summary (bounded per group by span / bucket
-    width). One shuffle of the rows, and the summary joins by a merge on the window's
-    existing partitioning and order.
-    """
+def _beside(rows: DataFrame, group: Sequence[str], cols: Sequence[str], prefix: str, ahead: bool) -> DataFrame:
     group, cols = list(group), list(cols)
-    rows = df.withColumn("_tb", time_bucket(ts, bucket_sec))
-    w = Window.partitionBy(*group, "_tb").orderBy(*order)
-    rows = rows.withColumn("_nx", F.lead(F.struct(*cols)).over(w))
-    firsts = rows.groupBy(*group, "_tb").agg(F.min_by(F.struct(*cols), F.struct(*order)).alias("_first"))
-    wb = Window.partitionBy(*group).orderBy("_tb")
-    firsts = firsts.select(*group, "_tb", F.lead("_first").over(wb).alias("_nb"))
-    out = rows.join(firsts.hint("merge"), [*group, "_tb"])
-    nxt = F.coalesce(F.col("_nx"), F.col("_nb"))
-    return out.select(*df.columns, *[nxt[c].alias(prefix + c) for c in cols])
+    step = F.lead if ahead else F.lag
+    here = F.struct(*cols)
+    inside = Window.partitionBy(*group, PART).orderBy(ROW)
+    found = rows.withColumn("_in", step(here).over(inside))
+    edge = rows.groupBy(*group, PART).agg((F.min_by if ahead else F.max_by)(here, ROW).alias("_edge"))
+    edge = edge.select(*group, PART, step("_edge").over(Window.partitionBy(*group).orderBy(PART)).alias("_out"))
+    found = found.join(edge.hint("merge"), [*group, PART])
+    value = F.coalesce(F.col("_in"), F.col("_out"))
+    return found.select(*rows.columns, value.isNotNull().alias(prefix + "found"), *[value[c].alias(prefix + c) for c in cols])
+
+
+def with_next(rows: DataFrame, group: Sequence[str], cols: Sequence[str], prefix: str = "next_") -> DataFrame:
+    """Attach ``cols`` of the next ``ordered`` row of the group (null after the last) and
+    ``<prefix>found``."""
+    return _beside(rows, group, cols, prefix, True)
+
+
+def with_previous(rows: DataFrame, group: Sequence[str], cols: Sequence[str], prefix: str = "prev_") -> DataFrame:
+    """Attach ``cols`` of the previous ``ordered`` row of the group (null before the first)
+    and ``<prefix>found``."""
+    return _beside(rows, group, cols, prefix, False)

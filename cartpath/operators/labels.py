@@ -11,20 +11,22 @@ The draw is keyed by (seed, session) through md5, so it does not depend on parti
 on the order in which sessions are visited (the reference walks one global generator over
 an unordered group-by, which no seed pins down).
 
-Spark formulation: positions come from the skew-safe ``with_position`` (time-bucketed
-windows), per-session decisions are aggregates, and the cut is one join of the rows with a
+Spark formulation: positions come from the skew-safe ``with_position`` (written range
+partitions), per-session decisions are aggregates, and the cut is one join of the rows with a
 one-row-per-session table. Per-event label sets are represented linearly by a label index
 (session, event, itemid, last_pos): item x is a label of event i iff last_pos(x) > i.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..config import BUCKET_SEC, CART, LABEL_EVENTS, ORDER, SEED
-from ..functions.columns import keyed_draw
-from ..functions.sequence import with_position, with_running_sums
+from ..config import CART, LABEL_EVENTS, ORDER, SEED
+from ..functions.columns import keyed_draw, time_order
+from ..functions.sequence import ordered, with_position, with_running_sums
 
 TS = "timestamp"
 
@@ -33,10 +35,12 @@ def is_label():
     return F.col("event").isin(*LABEL_EVENTS)
 
 
-def session_positions(rows: DataFrame, tie: str = "seq", bucket_sec: int = BUCKET_SEC) -> DataFrame:
+def session_positions(rows: DataFrame, tie: str | Sequence[str] | None = None) -> DataFrame:
     """Each event with its 0-based ``pos`` in the session (time, then ``tie``): the long
-    form of the per-session event lists."""
-    return with_position(rows, ["session"], [TS, tie], out="pos", bucket_sec=bucket_sec)
+    form of the per-session event lists. Rows equal in time and tie get positions in the
+    order they are written in, once; everything later goes by ``pos``."""
+    keyed, order = time_order(rows, tie)
+    return with_position(ordered(keyed, ["session"], order, "positions"), ["session"]).select(*rows.columns, "pos")
 
 
 def label_index(positioned: DataFrame) -> DataFrame:
@@ -45,28 +49,24 @@ def label_index(positioned: DataFrame) -> DataFrame:
             .groupBy("session", "event", "itemid").agg(F.max("pos").alias("last_pos")))
 
 
-def ground_truth_counts(positioned: DataFrame, tie: str = "seq", bucket_sec: int = BUCKET_SEC) -> DataFrame:
+def ground_truth_counts(positioned: DataFrame) -> DataFrame:
     """Every event but the last of each session with the number of distinct cart items
     and order items after it (the sizes of its label sets).
 
-    An item counts for event i iff its last occurrence is after i, so the count is a suffix
-    sum of "last occurrence" markers: one skew-safe running sum in reverse time order gives
-    it, together with the reverse position that identifies each session's last event."""
-    idx = label_index(positioned)
-    ends = idx.groupBy("session", F.col("last_pos").alias("pos")).agg(
+    An item counts for event i iff its last occurrence is after i, so the count is the
+    session's "last occurrence" markers less those up to and including i: a running sum
+    in the order of ``pos``, which is unique in a session, and the session's total."""
+    rows = ordered(positioned.select("session", "pos", TS, "event", "itemid"), ["session"], ["pos"], "ground-truth")
+    ends = label_index(rows).groupBy("session", F.col("last_pos").alias("pos")).agg(
         F.count_if(F.col("event") == CART).alias("_c_end"),
         F.count_if(F.col("event") == ORDER).alias("_o_end"))
-    rows = (positioned.join(ends, ["session", "pos"], "left")
-            .withColumn("_c_end", F.coalesce("_c_end", F.lit(0)))
-            .withColumn("_o_end", F.coalesce("_o_end", F.lit(0)))
-            .withColumn("_rts", -F.col(TS)).withColumn("_rtie", -F.col(tie)))
-    rows = with_running_sums(rows, ["session"], ["_rts", "_rtie"],
-                             {"_c_from": F.col("_c_end"), "_o_from": F.col("_o_end"), "_rev": F.lit(1)},
-                             ts="_rts", bucket_sec=bucket_sec)
-    return (rows.where(F.col("_rev") > 1)
+    rows = rows.join(ends, ["session", "pos"], "left")
+    sums = {"_c": F.coalesce("_c_end", F.lit(0)), "_o": F.coalesce("_o_end", F.lit(0)), "_n": F.lit(1)}
+    rows = with_running_sums(rows, ["session"], sums, totals=list(sums))
+    return (rows.where(F.col("pos") < F.col("_n_total") - 1)
                 .select("session", "pos", TS, "event", "itemid",
-                        (F.col("_c_from") - F.col("_c_end")).alias("n_cart_labels"),
-                        (F.col("_o_from") - F.col("_o_end")).alias("n_order_labels")))
+                        (F.col("_c_total") - F.col("_c")).alias("n_cart_labels"),
+                        (F.col("_o_total") - F.col("_o")).alias("n_order_labels")))
 
 
 def split_points(positioned: DataFrame, seed: int = SEED) -> DataFrame:
@@ -85,7 +85,7 @@ def split_points(positioned: DataFrame, seed: int = SEED) -> DataFrame:
 def with_split(positioned: DataFrame, points: DataFrame) -> DataFrame:
     """Rows of cut sessions with their session's ``split_idx`` (one join per session key;
     AQE splits a hot session's partition of the row side)."""
-    return positioned.join(points.select("session", "split_idx").hint("shuffle_hash"), "session")
+    return positioned.join(points.select("session", "split_idx"), "session")
 
 
 def trimmed_sessions(cut_rows: DataFrame) -> DataFrame:
@@ -109,19 +109,19 @@ def test_labels(cut_rows: DataFrame, points: DataFrame) -> DataFrame:
     return points.select("session").join(sets, "session", "left")
 
 
-def cut_test_set(test: DataFrame, seed: int = SEED, tie: str = "seq",
-                 bucket_sec: int = BUCKET_SEC) -> tuple[DataFrame, DataFrame, DataFrame]:
+def cut_test_set(test: DataFrame, seed: int = SEED,
+                 tie: str | Sequence[str] | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Test set -> (trimmed events, labels, split points)."""
-    positioned = session_positions(test, tie, bucket_sec)
+    positioned = session_positions(test, tie)
     points = split_points(positioned, seed)
     cut = with_split(positioned, points)
     return trimmed_sessions(cut), test_labels(cut, points), points
 
 
-def cut_at(test: DataFrame, split_idx: DataFrame, tie: str = "seq",
-           bucket_sec: int = BUCKET_SEC) -> tuple[DataFrame, DataFrame]:
+def cut_at(test: DataFrame, split_idx: DataFrame,
+           tie: str | Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """Cut sessions at a given (session, split_idx) instead of the draw (the reference's
     ``split_events(events, split_idx)``) -> (trimmed events, labels)."""
-    positioned = session_positions(test, tie, bucket_sec)
+    positioned = session_positions(test, tie)
     cut = with_split(positioned, split_idx)
     return trimmed_sessions(cut), test_labels(cut, split_idx)

@@ -5,8 +5,8 @@ exact ``percentile``, whose buffer is a value -> count map: its size is bounded
 number of distinct values (counts, seconds), not by the number of rows; ``approx=True``
 switches to ``percentile_approx`` for measures with very many distinct values.
 Ordered steps inside sessions (gaps, steps between carts and orders) use the skew-safe
-positions and next rows of ``functions.sequence`` (windows per (session, time bucket)
-stitched by per-bucket summaries).
+running sums and next rows of ``functions.sequence`` over written range partitions.
+Nothing is rounded here.
 """
 
 from __future__ import annotations
@@ -16,9 +16,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..config import BUCKET_SEC, CART, ORDER, VIEW
-from ..functions.columns import pct
-from ..functions.sequence import with_next, with_running_sum
+from ..config import CART, ORDER, VIEW
+from ..functions.columns import pct, time_order
+from ..functions.materialize import materialize
+from ..functions.sequence import ordered, with_next, with_running_sums
 
 TS = "timestamp"
 QUANTILES = (0.25, 0.5, 0.75)
@@ -33,7 +34,7 @@ def events_per_session(sessions: DataFrame) -> DataFrame:
     return sessions.groupBy("session").agg(F.count(F.lit(1)).alias("events_count"))
 
 
-def describe(df: DataFrame, col: str, digits: int = 6, approx: bool = False) -> DataFrame:
+def describe(df: DataFrame, col: str, approx: bool = False) -> DataFrame:
     """One row: count, null_count, mean, std (sample), min, q25, q50, q75, max."""
     c = F.col(col)
     qs = list(QUANTILES)
@@ -41,7 +42,7 @@ def describe(df: DataFrame, col: str, digits: int = 6, approx: bool = False) ->
     row = df.agg(F.count(c).alias("count"), F.count_if(c.isNull()).alias("null_count"),
                  F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),
                  F.min(c).cast("double").alias("min"), q.alias("_q"), F.max(c).cast("double").alias("max"))
-    r = lambda e, n: F.round(e.cast("double"), digits).alias(n)
+    r = lambda e, n: e.cast("double").alias(n)
     return row.select("count", "null_count", r(F.col("mean"), "mean"), r(F.col("std"), "std"),
                       r(F.col("min"), "min"), r(F.col("_q")[0], "q25"), r(F.col("_q")[1], "q50"),
                       r(F.col("_q")[2], "q75"), r(F.col("max"), "max"))
@@ -56,7 +57,7 @@ def session_size_shares(eps: DataFrame) -> DataFrame:
     return eps.agg(*cols)
 
 
-def histogram(df: DataFrame, col: str, bins: int, digits: int = 6) -> DataFrame:
+def histogram(df: DataFrame, col: str, bins: int) -> DataFrame:
     """Equal-width histogram over [min, max] with every bin emitted (also empty ones):
     (bin, lower, upper, n). The maximum falls in the last bin; a constant column uses
     [v - 0.5, v + 0.5] like numpy."""
@@ -72,8 +73,8 @@ def histogram(df: DataFrame, col: str, bins: int, digits: int = 6) -> DataFrame:
     width = (F.col("_hi") - F.col("_lo")) / F.lit(float(bins))
     all_bins = rng.select("_lo", "_hi", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(bins - 1).cast("long"))).alias("bin"))
     out = all_bins.join(counts, "bin", "left")
-    return out.select("bin", F.round(F.col("_lo") + F.col("bin") * width, digits).alias("lower"),
-                      F.round(F.col("_lo") + (F.col("bin") + 1) * width, digits).alias("upper"),
+    return out.select("bin", (F.col("_lo") + F.col("bin") * width).alias("lower"),
+                      (F.col("_lo") + (F.col("bin") + 1) * width).alias("upper"),
                       F.coalesce(F.col("n"), F.lit(0)).alias("n"))
 
 
@@ -132,10 +133,10 @@ def item_coverage(sessions: DataFrame) -> DataFrame:
     return per_item.where(F.col("itemid").isNotNull()).agg(*cols)
 
 
-def session_length(sessions: DataFrame, digits: int = 6) -> DataFrame:
+def session_length(sessions: DataFrame) -> DataFrame:
     """(session, session_length_minutes) = (last - first timestamp) / 60."""
     ext = sessions.groupBy("session").agg(F.min(TS).alias("_mn"), F.max(TS).alias("_mx"))
-    return ext.select("session", F.round((F.col("_mx") - F.col("_mn")) / 60.0, digits).alias("session_length_minutes"))
+    return ext.select("session", ((F.col("_mx") - F.col("_mn")) / 60.0).alias("session_length_minutes"))
 
 
 def session_length_shares(lengths: DataFrame) -> DataFrame:
@@ -144,52 +145,53 @@ def session_length_shares(lengths: DataFrame) -> DataFrame:
     return lengths.agg(*[pct(F.count_if(c < t), n).alias(f"pct_lt_{t}_min") for t in LENGTH_THRESHOLDS_MIN])
 
 
-def longest_session_events(sessions: DataFrame, lengths: DataFrame, tie: str = "seq") -> DataFrame:
+def longest_session_events(sessions: DataFrame, lengths: DataFrame, tie: str | Sequence[str] | None = None) -> DataFrame:
     """All events of the longest session (ties: smallest session id), in time order."""
     top = lengths.orderBy(F.col("session_length_minutes").desc(), F.col("session").asc()).limit(1)
     # A top-1 result: one row, so the broadcast is bounded.
-    return (sessions.join(F.broadcast(top.select("session")), "session", "left_semi")
-            .orderBy(TS, tie))
+    rows, order = time_order(sessions, tie)
+    return rows.join(F.broadcast(top.select("session")), "session", "left_semi").orderBy(*order).select(*sessions.columns)
 
 
-def inter_event_gaps(sessions: DataFrame, tie: str = "seq", bucket_sec: int = BUCKET_SEC) -> DataFrame:
+def inter_event_gaps(sessions: DataFrame, tie: str | Sequence[str] | None = None) -> DataFrame:
     """Seconds from each event to the next one of the same session."""
-    nxt = with_next(sessions, ["session"], [TS, tie], [TS, tie], bucket_sec=bucket_sec)
-    return (nxt.where(F.col(f"next_{tie}").isNotNull())
-               .select((F.col(f"next_{TS}") - F.col(TS)).alias("time_between_sec")))
+    rows, order = time_order(sessions, tie)
+    rows = ordered(rows.select("session", *order), ["session"], order, "gaps")
+    nxt = with_next(rows, ["session"], [TS])
+    return nxt.where("next_found").select((F.col(f"next_{TS}") - F.col(TS)).alias("time_between_sec"))
 
 
-def clicks_between_carts(sessions: DataFrame, tie: str = "seq", bucket_sec: int = BUCKET_SEC) -> DataFrame:
+def clicks_between_carts(sessions: DataFrame, tie: str | Sequence[str] | None = None) -> DataFrame:
     """(session, delta_index): steps between consecutive carts of a session, after removing
     orders, the last remaining event of each session and all but the last of a run of
-    carts of the same item (the notebook's definition)."""
-    rows = sessions.where(F.col("event") != ORDER).select("session", TS, tie, "event", "itemid")
-    rows = with_next(rows, ["session"], [TS, tie], ["event", "itemid", tie], bucket_sec=bucket_sec)
+    carts of the same item (the notebook's definition). The sessions are read once."""
+    keyed, order = time_order(sessions, tie)
+    rows = keyed.where(F.col("event") != ORDER).select("session", *dict.fromkeys([*order, "event", "itemid"]))
+    rows = with_next(ordered(rows, ["session"], order, "cart-steps"), ["session"], ["event", "itemid"])
     repeat = ((F.col("event") == CART) & (F.col("next_event") == CART) & (F.col("itemid") == F.col("next_itemid")))
-    rows = (rows.where(F.col(f"next_{tie}").isNotNull() & ~F.coalesce(repeat, F.lit(False)))
-                .select("session", TS, tie, "event"))
-    return _step_deltas(rows, F.col("event") == CART, tie, bucket_sec).select("session", "delta_index")
+    rows = rows.where(F.col("next_found") & ~F.coalesce(repeat, F.lit(False))).select("session", "event", "_part", "_row")
+    # The kept rows keep their places, so no second ordering is needed.
+    return _step_deltas(materialize(rows, "cart-steps-kept"), F.col("event") == CART).select("session", "delta_index")
 
 
-def clicks_between_orders(sessions: DataFrame, tie: str = "seq", bucket_sec: int = BUCKET_SEC) -> DataFrame:
+def clicks_between_orders(sessions: DataFrame, tie: str | Sequence[str] | None = None) -> DataFrame:
     """(delta_index): steps between consecutive orders of a session, after removing carts
     and collapsing rows equal in (session, timestamp, event) to their first occurrence."""
-    rows = (sessions.where(F.col("event") != CART)
-            .groupBy("session", TS, "event").agg(F.min(tie).alias(tie)))
-    return _step_deltas(rows, F.col("event") == ORDER, tie, bucket_sec).select("delta_index")
+    keyed, order = time_order(sessions, tie)
+    ties = [c for c in order if c != TS]
+    rows = (keyed.where(F.col("event") != CART)
+            .groupBy("session", TS, "event").agg(F.min(F.struct(*ties)).alias("_first")))
+    rows = ordered(rows, ["session"], [TS, "_first"], "order-steps")
+    return _step_deltas(rows, F.col("event") == ORDER).select("delta_index")
 
 
-def _step_deltas(rows: DataFrame, marker, tie: str, bucket_sec: int) -> DataFrame:
-    """(session, delta_index): for each marked row with a later marked row in its session,
-    the difference of their positions.
+def _step_deltas(rows: DataFrame, marker) -> DataFrame:
+    """(session, delta_index): for each marked ``ordered`` row with a later marked row in its
+    session, the difference of their positions.
 
     A running count of marked rows splits a session into segments, each starting at a
     marked row; a segment's row count is the step to the next marked row, so the deltas
-    are a partial aggregate. Only segments followed by another one count (a semi join on
-    unique (session, segment) keys)."""
-    numbered = with_running_sum(rows, ["session"], [TS, tie], marker.cast("long"), "_seg",
-                                bucket_sec=bucket_sec)
-    seg = (numbered.where(F.col("_seg") >= 1)
-           .groupBy("session", "_seg").agg(F.count(F.lit(1)).alias("delta_index")))
-    followed = seg.select("session", (F.col("_seg") - 1).alias("_seg"))
-    return seg.join(followed, ["session", "_seg"], "left_semi").select("session", "delta_index")
+    are a partial aggregate. The session's last segment, known by its total, does not count."""
+    numbered = with_running_sums(rows, ["session"], {"_seg": marker.cast("long")}, totals=["_seg"])
+    return (numbered.where((F.col("_seg") >= 1) & (F.col("_seg") < F.col("_seg_total")))
+            .groupBy("session", "_seg").agg(F.count(F.lit(1)).alias("delta_index")).select("session", "delta_index"))

@@ -29,23 +29,35 @@ bucket) belongs to the same session. Hence:
    window runs over them; a hot (visitor, bucket) key is a join key, which AQE's skew
    handling splits (a window partition could not be split).
 
-``mark_sessions`` adds the per-event gap to the previous event (a window per (visitor,
-bucket) plus the previous bucket's last second) for the step-by-step queries.
+The table of buckets is written once: the extents, the ids and the join read it, so the
+events are scanned twice in all (buckets, rows). AQE picks the join by measured sizes.
+
+``mark_sessions`` adds the per-event gap to the previous event and the running session
+number for the step-by-step queries, over written range partitions
+(``functions.sequence``).
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import BUCKET_SEC, SESSION_GAP_SEC
+from ..functions.columns import time_order
+from ..functions.materialize import materialize
 from ..functions.ranking import with_dense_id
-from ..functions.sequence import time_bucket
+from ..functions.sequence import ordered, with_previous, with_running_sums
 
 TS = "timestamp"
 KEY = ["visitorid", "local_session"]
 
 
+def time_bucket(ts: str, bucket_sec: int):
+    return F.floor(F.col(ts) / F.lit(bucket_sec)).cast("long")
+
+
 def _clean(events: DataFrame) -> DataFrame:
     return events.where(F.col("visitorid").isNotNull() & F.col(TS).isNotNull())
 
@@ -71,24 +83,18 @@ def session_buckets(events: DataFrame, gap_sec: int = SESSION_GAP_SEC,
                          F.sum(starts).over(wv.rowsBetween(Window.unboundedPreceding, 0)).cast("long"))
 
 
-def mark_sessions(events: DataFrame, gap_sec: int = SESSION_GAP_SEC, tie: str = "seq",
-                  bucket_sec: int = BUCKET_SEC) -> DataFrame:
+def mark_sessions(events: DataFrame, gap_sec: int = SESSION_GAP_SEC,
+                  tie: str | Sequence[str] | None = None) -> DataFrame:
     """Every event with ``gap`` (seconds since the visitor's previous event, null for the
     first), ``is_boundary`` and ``local_session`` (1-based session number per visitor)."""
-    b = bucket_width(gap_sec, bucket_sec)
-    buckets = session_buckets(events, gap_sec, bucket_sec)
-    ev = _clean(events).withColumn("_tb", time_bucket(TS, b))
-    w = Window.partitionBy("visitorid", "_tb").orderBy(TS, tie)
-    ev = ev.withColumn("_gap", F.col(TS) - F.lag(TS).over(w))
-    # Merge join: the rows are already hash-partitioned and sorted by (visitorid, _tb) from
-    # the window, so only the per-bucket table moves. The hint keeps AQE from broadcasting
-    # the row side when a sample happens to be small.
-    rows = ev.join(buckets.select("visitorid", "_tb", "prev_last_ts", "local_session").hint("merge"),
-                   ["visitorid", "_tb"])
-    gap = F.coalesce(F.col("_gap"), F.col(TS) - F.col("prev_last_ts"))
-    return (rows.withColumn("gap", gap)
-                .withColumn("is_boundary", F.col("gap").isNull() | (F.col("gap") >= gap_sec))
-                .drop("_tb", "_gap", "prev_last_ts"))
+    bucket_width(gap_sec)
+    ev, order = time_order(_clean(events), tie)
+    rows = ordered(ev, ["visitorid"], order, "marked")
+    rows = with_previous(rows, ["visitorid"], [TS])
+    rows = (rows.withColumn("gap", F.col(TS) - F.col(f"prev_{TS}"))
+                .withColumn("is_boundary", F.col("gap").isNull() | (F.col("gap") >= gap_sec)))
+    rows = with_running_sums(rows, ["visitorid"], {"local_session": F.col("is_boundary").cast("long")})
+    return rows.select(*events.columns, "gap", "is_boundary", "local_session")
 
 
 def session_extents(marked: DataFrame) -> DataFrame:
@@ -110,17 +116,18 @@ def session_ids(marked: DataFrame) -> DataFrame:
     return with_dense_id(multi_instant_sessions(marked), KEY, out="session")
 
 
-def sessionize(events: DataFrame, gap_sec: int = SESSION_GAP_SEC, tie: str = "seq",
+def sessionize(events: DataFrame, gap_sec: int = SESSION_GAP_SEC, tie: str | None = None,
                bucket_sec: int = BUCKET_SEC, keep_visitor: bool = False) -> DataFrame:
-    """Events -> sessions: (timestamp, event, itemid, session, seq)."""
+    """Events -> sessions: (timestamp, event, itemid, session) and the source sequence
+    (``tie``, by default ``seq``) where the events have one."""
     b = bucket_width(gap_sec, bucket_sec)
-    buckets = session_buckets(events, gap_sec, bucket_sec)
+    buckets = materialize(session_buckets(events, gap_sec, bucket_sec), "session-buckets")
     extents = buckets.groupBy(*KEY).agg(F.min("first_ts").alias("_mn"), F.max("last_ts").alias("_mx"))
     kept = extents.where(F.col("_mx") > F.col("_mn")).select(*KEY)
     ids = with_dense_id(kept, KEY, out="session")
     bucket_ids = buckets.select("visitorid", "_tb", *KEY[1:]).join(ids, KEY).select("visitorid", "_tb", "session")
     rows = _clean(events).withColumn("_tb", time_bucket(TS, b))
-    # The only shuffle of the event rows; the per-bucket table is the hashed build side.
-    out = rows.join(bucket_ids.hint("shuffle_hash"), ["visitorid", "_tb"])
-    cols = [TS, "event", "itemid", "session", tie] + (["visitorid"] if keep_visitor else [])
-    return out.select(*cols)
+    # The only shuffle of the event rows.
+    out = rows.join(bucket_ids, ["visitorid", "_tb"])
+    sequence = [c for c in ([tie] if tie else ["seq"]) if tie or c in events.columns]
+    return out.select(TS, "event", "itemid", "session", *sequence, *(["visitorid"] if keep_visitor else []))
