@@ -7,7 +7,9 @@
 * keep the ``categoryid`` property rows, typed to integers (a bad value raises);
 * join the category tree for the parent; a root or unknown category is its own parent;
   only one parent level is resolved;
-* keep rows inside [train_start, test_start), then distinct (itemid, categoryid, parentid).
+* keep rows inside [train_start, test_start), then distinct (itemid, categoryid, parentid);
+  (itemid, categoryid) is made distinct before the tree join, so the few hot categories join
+  one row per item instead of one per property change.
 
 The tree join is left to AQE: it broadcasts the tree only when its measured size is below
 the broadcast threshold and shuffles both sides otherwise. The time filter is applied
@@ -54,6 +56,7 @@ def item_categories(item_properties: DataFrame, tree: DataFrame, bounds: DataFra
         in_window = F.lit(False)
     else:
         in_window = (F.col(TS) >= F.lit(b["train_start"] * 1000)) & (F.col(TS) < F.lit(b["test_start"] * 1000))
-    rows = category_rows(item_properties.where(in_window))
+    rows = category_rows(item_properties.where(in_window)).select("itemid", "categoryid").distinct()
     out = with_parent(rows, tree)
+    # A tree may list several parents of a category, or one twice.
     return out.select("itemid", "categoryid", "parentid").distinct()

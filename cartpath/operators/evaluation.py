@@ -19,7 +19,11 @@ Rules kept from the reference:
   when no row qualifies.
 
 Duplicate (session, type) prediction rows or duplicate label sessions have no defined
-winner in a distributed file, so they raise instead of silently picking one.
+winner in a distributed file, so every score raises instead of silently picking one. A
+predicted session without labels raises too, unless ``strict`` is False; it is then left out.
+
+``get_scores`` groups each input by session once, joins the two grouped tables on the same
+partitioning and takes all sums in one aggregate.
 """
 
 from __future__ import annotations
@@ -36,10 +40,11 @@ HIT_COLS = {CART: "cart_hits", ORDER: "order_hits"}
 
 def predictions_by_session(predictions: DataFrame) -> DataFrame:
     """(session, addtocart_preds, transaction_preds): one row per predicted session; a
-    missing type is null. Raises on a duplicate (session, type)."""
+    missing type is null, a type without ids is empty. Raises on a duplicate (session, type)."""
+    ids = F.coalesce("preds", empty_long_array())
     agg = predictions.groupBy("session").agg(
         *[F.count_if(F.col("event_type") == t).alias(f"_n_{t}") for t in TYPES],
-        *[F.first(F.when(F.col("event_type") == t, F.col("preds")), ignorenulls=True).alias(f"{t}_preds")
+        *[F.first(F.when(F.col("event_type") == t, ids), ignorenulls=True).alias(f"{t}_preds")
           for t in TYPES])
     checked = [F.when(F.col(f"_n_{t}") > 1,
                       F.raise_error(F.concat(F.lit(f"duplicate {t} prediction for session "),
@@ -65,25 +70,49 @@ def session_hits(labels: DataFrame, by_session: DataFrame, k: int = TOP_K) -> Da
     return j.select("session", *[hits_at_k(F.col(t), F.col(f"{t}_preds"), k).alias(HIT_COLS[t]) for t in TYPES])
 
 
-def evaluate_sessions(labels: DataFrame, by_session: DataFrame, k: int = TOP_K) -> DataFrame:
-    """Hits for every label session (the label side drives)."""
-    j = labels.join(by_session.withColumn("_has_pred", F.lit(True)), "session", "left")
+def _hits(t: str, k: int):
+    """Hits of a label session; 0 for a non-empty type of a session without predictions."""
+    missing = F.when(_size(t) > 0, F.lit(0).cast("long"))
+    return F.when(F.col("_predicted").isNull(), missing).otherwise(hits_at_k(F.col(t), F.col(f"{t}_preds"), k))
+
+
+def _size(col: str):
+    # size of the set with an absent set as empty (also where size(null) is -1)
+    return F.size(F.coalesce(F.col(col), empty_long_array()))
+
+
+def _capped_sum(t: str, k: int):
+    return F.coalesce(F.sum(F.least(_size(t), F.lit(k)).cast("long")), F.lit(0).cast("long"))
+
 
-    def one(t):
-        missing = F.when(F.coalesce(F.size(F.col(t)), F.lit(0)) > 0, F.lit(0).cast("long"))
-        return F.when(F.col("_has_pred").isNull(), missing).otherwise(
-            hits_at_k(F.col(t), F.col(f"{t}_preds"), k)).alias(HIT_COLS[t])
+def _rr(t: str):
+    """Reciprocal rank of a joined row: null unless the type is predicted and has labels."""
+    rank = first_hit_rank(F.col(t), F.col(f"{t}_preds"))
+    return F.when(F.col(f"{t}_preds").isNotNull() & (_size(t) > 0),
+                  F.when(rank > 0, F.lit(1.0) / rank).otherwise(F.lit(0.0)))
 
-    return j.select("session", *[one(t) for t in TYPES])
+
+def joined_scores(labels: DataFrame, predictions: DataFrame, strict: bool = True) -> DataFrame:
+    """One row per label session with its labels and predictions side by side; each input is
+    grouped once. Raises on duplicates and, if ``strict``, on a predicted session without labels."""
+    lab = unique_label_sessions(labels).withColumn("_labelled", F.lit(True))
+    pred = predictions_by_session(predictions).withColumn("_predicted", F.lit(True))
+    if not strict:
+        return lab.join(pred, "session", "left")
+    j = lab.join(pred, "session", "full")
+    return j.where(F.coalesce(F.col("_labelled"), F.raise_error(F.concat(
+        F.lit("no labels for predicted session "), F.col("session").cast("string"))).cast("boolean")))
+
+
+def evaluate_sessions(labels: DataFrame, by_session: DataFrame, k: int = TOP_K) -> DataFrame:
+    """Hits for every label session (the label side drives)."""
+    j = labels.join(by_session.withColumn("_predicted", F.lit(True)), "session", "left")
+    return j.select("session", *[_hits(t, k).alias(HIT_COLS[t]) for t in TYPES])
 
 
 def num_events(labels: DataFrame, k: int = TOP_K) -> DataFrame:
     """One row: n_carts, n_orders = sum over label sessions of min(|labels|, k)."""
-    def capped(t):
-        # size of the set with an absent set as empty (also where size(null) is -1)
-        n = F.size(F.coalesce(F.col(t), empty_long_array()))
-        return F.coalesce(F.sum(F.least(n, F.lit(k)).cast("long")), F.lit(0).cast("long"))
-    return labels.agg(capped(CART).alias("n_carts"), capped(ORDER).alias("n_orders"))
+    return labels.agg(_capped_sum(CART, k).alias("n_carts"), _capped_sum(ORDER, k).alias("n_orders"))
 
 
 def recall(hits: DataFrame, totals: DataFrame) -> DataFrame:
@@ -94,34 +123,25 @@ def recall(hits: DataFrame, totals: DataFrame) -> DataFrame:
                        F.try_divide(F.col(f"_h_{ORDER}").cast("double"), n["n_orders"]).alias("recall_order"))
 
 
-def reciprocal_ranks(predictions: DataFrame, labels: DataFrame, strict: bool = False) -> DataFrame:
+def reciprocal_ranks(predictions: DataFrame, labels: DataFrame, strict: bool = True) -> DataFrame:
     """(session, event_type, rr) for prediction rows whose session has non-empty labels of
-    the row's type. ``strict`` raises for a predicted session without labels."""
-    if strict:
-        j = predictions.join(labels.withColumn("_labelled", F.lit(True)), "session", "left")
-        j = j.where(F.coalesce(
-            F.col("_labelled"),
-            F.raise_error(F.concat(F.lit("no labels for predicted session "),
-                                   F.col("session").cast("string"))).cast("boolean")))
-    else:
-        j = predictions.join(labels, "session")
-    lab = F.when(F.col("event_type") == CART, F.col(CART)).when(F.col("event_type") == ORDER, F.col(ORDER))
-    j = j.withColumn("_lab", lab).where(F.coalesce(F.size("_lab"), F.lit(0)) > 0)
-    rank = first_hit_rank(F.col("_lab"), F.coalesce(F.col("preds"), F.array().cast("array<bigint>")))
-    return j.select("session", "event_type", F.coalesce(1.0 / rank, F.lit(0.0)).alias("rr"))
-
-
-def mrr(predictions: DataFrame, labels: DataFrame, strict: bool = False) -> DataFrame:
+    the row's type."""
+    j = joined_scores(labels, predictions, strict)
+    pairs = F.explode(F.array(*[F.struct(F.lit(t).alias("event_type"), _rr(t).alias("rr")) for t in TYPES]))
+    return j.select("session", pairs.alias("_p")).select("session", "_p.*").where(F.col("rr").isNotNull())
+
+
+def mrr(predictions: DataFrame, labels: DataFrame, strict: bool = True) -> DataFrame:
     """One row: mrr_cart, mrr_order (null when no prediction row qualifies)."""
-    rr = reciprocal_ranks(predictions, labels, strict)
-    return rr.agg(F.avg(F.when(F.col("event_type") == CART, F.col("rr"))).alias("mrr_cart"),
-                  F.avg(F.when(F.col("event_type") == ORDER, F.col("rr"))).alias("mrr_order"))
+    return joined_scores(labels, predictions, strict).agg(F.avg(_rr(CART)).alias("mrr_cart"), F.avg(_rr(ORDER)).alias("mrr_order"))
 
 
-def get_scores(labels: DataFrame, predictions: DataFrame, k: int = TOP_K) -> DataFrame:
+def get_scores(labels: DataFrame, predictions: DataFrame, k: int = TOP_K, strict: bool = True) -> DataFrame:
     """One row: recall_cart, recall_order, mrr_cart, mrr_order."""
-    by_session = predictions_by_session(predictions)
-    hits = evaluate_sessions(labels, by_session, k)
-    m = mrr(predictions, labels).select(F.struct("mrr_cart", "mrr_order")).scalar()
-    return recall(hits, num_events(labels, k)).select(
-        "recall_cart", "recall_order", m["mrr_cart"].alias("mrr_cart"), m["mrr_order"].alias("mrr_order"))
+    sums = joined_scores(labels, predictions, strict).agg(
+        *[F.coalesce(F.sum(_hits(t, k)), F.lit(0)).cast("double").alias(f"_h_{t}") for t in TYPES],
+        *[_capped_sum(t, k).alias(f"_n_{t}") for t in TYPES],
+        *[F.avg(_rr(t)).alias(f"_m_{t}") for t in TYPES])
+    return sums.select(F.try_divide(f"_h_{CART}", f"_n_{CART}").alias("recall_cart"),
+                       F.try_divide(f"_h_{ORDER}", f"_n_{ORDER}").alias("recall_order"),
+                       F.col(f"_m_{CART}").alias("mrr_cart"), F.col(f"_m_{ORDER}").alias("mrr_order"))

@@ -9,20 +9,24 @@
 * test: rows from test_start on, of qualifying sessions that are not in the final train
   set and still span more than one second.
 
-Every per-session decision is an aggregate (partial, map-side combined) on session keys;
-the row tables are filtered by one semi join each, so no ordered window over a session
-is needed. The cut points come from one global max (a one-column aggregate read first,
-like the reference's ``.item()``) and enter the filters as literals, so the parquet scan
-of a written, time-sorted sessions table skips row groups outside the window; with
-``literal=False`` they stay a lazy scalar subquery.
+All decisions about a session are one aggregate (partial, map-side combined) on the session
+key: first event, number of non-view events, first and last second inside each window. It
+gives every session its set, and one join of the rows with that table (one row per
+session) gives both sets, so they cost two scans of the sessions. The cut points come from one global
+max (a one-column aggregate read first, like the reference's ``.item()``) and enter the
+filters as literals, so the parquet scan of a written, time-sorted sessions table skips row
+groups outside the windows; with ``literal=False`` they stay a lazy scalar subquery.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import TEST_WEEKS, TRAIN_WEEKS, VIEW, WEEK_SEC
+from ..functions.columns import time_order
 
 TS = "timestamp"
 COLS = ["timestamp", "event", "itemid", "session", "seq"]
@@ -37,18 +41,16 @@ def split_bounds(sessions: DataFrame, train_weeks: int = TRAIN_WEEKS,
                     (F.col("max_ts") - F.lit((test_weeks + train_weeks) * WEEK_SEC)).alias("train_start"))
 
 
-def qualifying_sessions(sessions: DataFrame, tie: str = "seq") -> DataFrame:
-    """Sessions with a cart or order (any non-view event) after their first event."""
-    per = sessions.groupBy("session").agg(
-        F.min_by("event", F.struct(TS, tie)).alias("_first_event"),
-        F.count_if(F.col("event") != VIEW).alias("_non_view"))
-    first_counts = F.when(F.col("_first_event") != VIEW, 1).otherwise(0)
-    return per.where(F.col("_non_view") - first_counts > 0).select("session")
+def _qualifies(order: Sequence[str]):
+    """Aggregate: a non-view event after the session's first event."""
+    first = F.min_by(F.col("event") != VIEW, F.struct(*order))
+    return F.count_if(F.col("event") != VIEW) > F.coalesce(first.cast("int"), F.lit(0))
 
 
-def _multi_instant(rows: DataFrame) -> DataFrame:
-    ext = rows.groupBy("session").agg(F.min(TS).alias("_mn"), F.max(TS).alias("_mx"))
-    return ext.where(F.col("_mx") > F.col("_mn")).select("session")
+def qualifying_sessions(sessions: DataFrame, tie: str | Sequence[str] | None = None) -> DataFrame:
+    """Sessions with a cart or order (any non-view event) after their first event."""
+    rows, order = time_order(sessions, tie)
+    return rows.groupBy("session").agg(_qualifies(order).alias("_q")).where("_q").select("session")
 
 
 def cut_points(sessions: DataFrame, train_weeks: int = TRAIN_WEEKS, test_weeks: int = TEST_WEEKS,
@@ -66,44 +68,53 @@ def cut_points(sessions: DataFrame, train_weeks: int = TRAIN_WEEKS, test_weeks:
     return test_start, test_start - F.lit(train_weeks * WEEK_SEC)
 
 
-def train_test_split(sessions: DataFrame, train_weeks: int = TRAIN_WEEKS,
-                     test_weeks: int = TEST_WEEKS, tie: str = "seq",
-                     literal_cut: bool = True) -> tuple[DataFrame, DataFrame]:
-    """(train_set, test_set), both with columns timestamp, event, itemid, session, seq."""
+def split_rows(sessions: DataFrame, train_weeks: int = TRAIN_WEEKS, test_weeks: int = TEST_WEEKS,
+               tie: str | Sequence[str] | None = None, literal_cut: bool = True) -> DataFrame:
+    """The rows of both sets with a column ``part`` ("train" or "test")."""
     test_start, train_start = cut_points(sessions, train_weeks, test_weeks, literal_cut)
-    qual = qualifying_sessions(sessions, tie)
-    train_rows = sessions.where((F.col(TS) >= train_start) & (F.col(TS) < test_start))
-    test_rows = sessions.where(F.col(TS) >= test_start)
-
-    # Session-level decisions first (small tables), then one semi join per row table.
-    train_keep = _multi_instant(train_rows).join(qual, "session", "left_semi")
-    test_keep = (_multi_instant(test_rows)
-                 .join(train_keep, "session", "left_anti")
-                 .join(qual, "session", "left_semi"))
+    ts = F.col(TS)
+    in_train, in_test = (ts >= train_start) & (ts < test_start), ts >= test_start
+
+    def spans(inside):
+        return F.coalesce(F.max(F.when(inside, ts)) > F.min(F.when(inside, ts)), F.lit(False))
+
+    keyed, order = time_order(sessions, tie)
+    flags = keyed.groupBy("session").agg(_qualifies(order).alias("_q"), spans(in_train).alias("_train"), spans(in_test).alias("_test"))
+    # A session is in one set: train if it survives there, else test.
+    flags = flags.where(F.col("_q") & (F.col("_train") | F.col("_test"))).select(
+        "session", F.when(F.col("_train"), "train").otherwise("test").alias("part"))
+    rows = sessions.where(in_train | in_test).withColumn("_window", F.when(in_test, "test").otherwise("train"))
     cols = [c for c in COLS if c in sessions.columns]
-    train = train_rows.join(train_keep, "session", "left_semi").select(*cols)
-    test = test_rows.join(test_keep, "session", "left_semi").select(*cols)
-    return train, test
+    return rows.join(flags, "session").where(F.col("_window") == F.col("part")).select(*cols, "part")
+
+
+def train_test_split(sessions: DataFrame, train_weeks: int = TRAIN_WEEKS, test_weeks: int = TEST_WEEKS,
+                     tie: str | Sequence[str] | None = None, literal_cut: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(train_set, test_set), both with columns timestamp, event, itemid, session and seq
+    where the sessions have it. Lazy: write ``split_rows`` once where both sets are read."""
+    rows = split_rows(sessions, train_weeks, test_weeks, tie, literal_cut)
+    return tuple(rows.where(F.col("part") == p).drop("part") for p in ("train", "test"))
 
 
 def train_sessions(train: DataFrame) -> DataFrame:
     return train.select("session").distinct()
 
 
+def _by_session(train: DataFrame, test: DataFrame) -> DataFrame:
+    """(session, first and last second in each set): both sets are read once."""
+    both = (train.select("session", F.col(TS).alias("_train"), F.lit(None).cast("long").alias("_test"))
+            .unionByName(test.select("session", F.lit(None).cast("long").alias("_train"), F.col(TS).alias("_test"))))
+    return both.groupBy("session").agg(F.max("_train").alias("_train"), F.min("_test").alias("_test"))
+
+
 def leakage_check(train: DataFrame, test: DataFrame) -> DataFrame:
     """One row: train_max_ts, test_min_ts, time_ok (test starts after train ends) and
     shared_sessions (sessions in both sets; must be 0)."""
-    test_min = test.agg(F.min(TS)).scalar()
-    shared = (train.select("session").distinct()
-              .join(test.select("session").distinct(), "session")
-              .agg(F.count(F.lit(1)))).scalar()
-    out = train.agg(F.max(TS).alias("train_max_ts"))
-    return out.select("train_max_ts", test_min.alias("test_min_ts"),
-                      (test_min > F.col("train_max_ts")).alias("time_ok"),
-                      shared.alias("shared_sessions"))
+    out = _by_session(train, test).agg(
+        F.max("_train").alias("train_max_ts"), F.min("_test").alias("test_min_ts"),
+        F.count_if(F.col("_train").isNotNull() & F.col("_test").isNotNull()).alias("shared_sessions"))
+    return out.select("train_max_ts", "test_min_ts", (F.col("test_min_ts") > F.col("train_max_ts")).alias("time_ok"), "shared_sessions")
 
 
 def split_session_counts(train: DataFrame, test: DataFrame) -> DataFrame:
-    n_test = test.agg(F.count_distinct("session")).scalar()
-    return train.agg(F.count_distinct("session").alias("n_train_sessions"),
-                     n_test.alias("n_test_sessions"))
+    return _by_session(train, test).agg(F.count("_train").alias("n_train_sessions"), F.count("_test").alias("n_test_sessions"))

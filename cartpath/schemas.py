@@ -17,6 +17,13 @@ RAW_EVENTS = _struct(("timestamp", L), ("visitorid", L), ("event", S), ("itemid"
 # breaks ties between events of one visitor in the same second.
 SESSIONS = _struct(("timestamp", L), ("event", S), ("itemid", L), ("session", L), ("seq", L))
 
+
+def sessions(with_seq: bool = True, text_items: bool = False) -> T.StructType:
+    """The session table's layout, with or without ``seq``, item ids as numbers or text."""
+    seq = [("seq", L)] if with_seq else []
+    return _struct(("timestamp", L), ("event", S), ("itemid", S if text_items else L), ("session", L), *seq)
+
+
 CATEGORY_TREE = _struct(("categoryid", L), ("parentid", L))
 
 # Time-versioned key/value item properties, timestamp in milliseconds.
@@ -34,5 +41,8 @@ LABELS_JSON = T.StructType([T.StructField("session", L, True),
 TRIMMED_EVENT_JSON = _struct(("session", L), ("pos", L), ("itemid", L), ("timestamp", L),
                              ("event", S))
 
+# Trimmed test sessions as one list per session.
+TRIMMED_LIST_JSON = _struct(("session", L), ("events", T.ArrayType(_struct(("itemid", L), ("timestamp", L), ("event", S)))))
+
 # Predictions file: header line, then ``<session>_<type>,<id> <id> ...``
 PREDICTIONS_CSV = _struct(("session_type", S), ("labels", S))

@@ -15,10 +15,11 @@ from ..config import CART, ORDER
 from ..functions.columns import empty_long_array, ms_to_seconds
 
 
-def _csv(spark: SparkSession, schema, paths: str | Sequence[str]) -> DataFrame:
+def _csv(spark: SparkSession, schema, paths: str | Sequence[str], check_header: bool = True) -> DataFrame:
+    """The header of every file must name the schema's columns in order (else it raises)."""
     paths = [paths] if isinstance(paths, str) else list(paths)
     return (spark.read.schema(schema).option("header", True).option("mode", "FAILFAST")
-            .csv(paths))
+            .option("enforceSchema", not check_header).csv(paths))
 
 
 def read_click_log(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -27,14 +28,18 @@ def read_click_log(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame
     return df.withColumn("timestamp", ms_to_seconds(F.col("timestamp")))
 
 
-def read_sessions(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Train/test set CSV: timestamp, event, itemid, session, seq. A row without item id
-    raises: labels are sets of item ids, and a set-building aggregate would silently drop
-    the missing one."""
-    df = _csv(spark, schemas.SESSIONS, paths)
+def read_sessions(spark: SparkSession, paths: str | Sequence[str], text_items: bool = False) -> DataFrame:
+    """Train/test set CSV: timestamp, event, itemid, session and, where the files have it,
+    seq. Item ids are numbers, or text with ``text_items``. A row without item id raises:
+    labels are sets of item ids, and a set-building aggregate would silently drop the
+    missing one."""
+    first = [paths] if isinstance(paths, str) else list(paths)
+    header = spark.read.option("header", True).csv(first[0]).columns
+    schema = schemas.sessions("seq" in header, text_items)
+    df = _csv(spark, schema, paths)
     checked = F.when(F.col("itemid").isNull(),
                      F.raise_error(F.lit("session table row without itemid"))).otherwise(F.col("itemid"))
-    return df.withColumn("itemid", checked.cast("long"))
+    return df.withColumn("itemid", checked.cast(schema["itemid"].dataType))
 
 
 def read_category_tree(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -71,10 +76,20 @@ def read_trimmed_sessions(spark: SparkSession, paths: str | Sequence[str]) -> Da
     return spark.read.schema(schemas.TRIMMED_EVENT_JSON).option("mode", "FAILFAST").json(paths)
 
 
+def read_trimmed_session_lists(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """JSON lines ``{"session": s, "events": [{"itemid", "timestamp", "event"}, ...]}`` (one
+    list per session) -> the same rows as ``read_trimmed_sessions``, with ``pos``."""
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    df = spark.read.schema(schemas.TRIMMED_LIST_JSON).option("mode", "FAILFAST").json(paths)
+    rows = df.select("session", F.posexplode("events").alias("pos", "e"))
+    return rows.select("session", F.col("pos").cast("long").alias("pos"), "e.itemid", "e.timestamp", "e.event")
+
+
 def read_predictions(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Predictions CSV (header, then ``<session>_<type>,<id> <id> ...``) ->
     (session, event_type, preds ARRAY<LONG> in rank order); an empty list is allowed."""
-    df = _csv(spark, schemas.PREDICTIONS_CSV, paths)
+    # Their first line is a header of any wording.
+    df = _csv(spark, schemas.PREDICTIONS_CSV, paths, check_header=False)
     key = F.split(F.trim(F.col("session_type")), "_")
     ids = F.trim(F.col("labels"))
     preds = F.when(ids.isNull() | (ids == ""), empty_long_array()).otherwise(

@@ -16,8 +16,9 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def write_sessions(df: DataFrame, path: str) -> None:
-    """Train or test set as CSV with header."""
-    write_csv(df.select("timestamp", "event", "itemid", "session", "seq"), path)
+    """Train or test set as CSV with header; ``seq`` where the table has it."""
+    cols = ["timestamp", "event", "itemid", "session", "seq"]
+    write_csv(df.select(*[c for c in cols if c in df.columns]), path)
 
 
 def write_item_categories(df: DataFrame, path: str) -> None:
