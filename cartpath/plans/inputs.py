@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..config import TEST_WEEKS, TRAIN_WEEKS
 from ..functions.materialize import materialize
 from ..operators.sessions import mark_sessions, sessionize
-from ..operators.split import train_test_split
+from ..operators.split import split_rows
 from ..sources.driver import click_events
 
 # Gaps used by the registered queries: the reference's 30 minutes for sessionization and
@@ -30,12 +31,10 @@ def sessions(spark: SparkSession, sf_dir: str, gap: int = GAP_SHORT, written: bo
 
 
 def split(spark: SparkSession, sf_dir: str, gap: int = GAP_SHORT,
-          train_weeks: int = TRAIN_WEEKS, test_weeks: int = TEST_WEEKS, written: tuple[str, ...] = ()):
-    """(train, test); the sessions they come from are written once (read four times), and
-    the sets named in ``written`` ("train", "test") are written once for their readers."""
-    train, test = train_test_split(sessions(spark, sf_dir, gap, written=True), train_weeks, test_weeks)
-    if "train" in written:
-        train = materialize(train, f"train-{gap}")
-    if "test" in written:
-        test = materialize(test, f"test-{gap}")
-    return train, test
+          train_weeks: int = TRAIN_WEEKS, test_weeks: int = TEST_WEEKS, written: bool = False):
+    """(train, test); the sessions they come from are written once, and with ``written``
+    the rows of both sets are, in one pass, for plans that read them more than once."""
+    rows = split_rows(sessions(spark, sf_dir, gap, written=True), train_weeks, test_weeks)
+    if written:
+        rows = materialize(rows, f"split-{gap}", partition_by="part")
+    return tuple(rows.where(F.col("part") == p).drop("part") for p in ("train", "test"))

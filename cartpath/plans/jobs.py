@@ -1,8 +1,9 @@
 """End-to-end jobs: the reference's command-line scripts as Spark jobs on files.
 
 Each job reads with explicit schemas, writes its outputs distributed (no driver collect)
-and writes the one intermediate that several branches read (the sessions) as parquet
-below the checkpoint folder, so a lost executor costs a re-read, not a re-run.
+and writes intermediates that several branches read below the checkpoint folder, so a lost
+executor costs a re-read, not a re-run. Its own intermediates are deleted once its outputs
+are complete.
 
     prepare_split(spark, "data/events.csv", "data/generated")            # train/test CSV
     cut_test_sessions(spark, "data/generated/test_set", "data/generated") # trimmed + labels
@@ -13,52 +14,49 @@ below the checkpoint folder, so a lost executor costs a re-read, not a re-run.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..config import SEED, SESSION_GAP_SEC, TEST_WEEKS, TOP_K, TRAIN_WEEKS
-from ..functions.materialize import materialize
+from ..functions.materialize import materialize, temporary
 from ..operators.catalog import anchor_bounds, item_categories
-from ..operators.evaluation import get_scores, unique_label_sessions
+from ..operators.evaluation import get_scores
 from ..operators.labels import (session_positions, split_points, test_labels, trimmed_sessions,
                                with_split)
 from ..operators.sessions import sessionize
-from ..operators.split import train_test_split
+from ..operators.split import split_rows
 from ..sources import files, sinks
 
 
 def prepare_split(spark: SparkSession, events_path: str, output_path: str,
                   train_weeks: int = TRAIN_WEEKS, test_weeks: int = TEST_WEEKS,
                   gap_sec: int = SESSION_GAP_SEC) -> tuple[DataFrame, DataFrame]:
-    """Click-log CSV -> ``train_set`` and ``test_set`` CSV folders (and parquet copies)."""
-    raw = files.read_click_log(spark, events_path)
-    # The export has no source sequence; ties inside one second keep a stable order by
-    # event type and item instead.
-    rank = F.when(F.col("event") == "view", 0).when(F.col("event") == "addtocart", 1).otherwise(2)
-    raw = raw.withColumn("seq", rank * F.lit(1 << 40) + F.coalesce(F.col("itemid").cast("long"), F.lit(0)))
-    raw = raw.withColumn("itemid", F.col("itemid").cast("long"))
-    sessions = materialize(sessionize(raw, gap_sec).sortWithinPartitions("timestamp"), "job-sessions")
-    train, test = train_test_split(sessions, train_weeks, test_weeks)
+    """Click-log CSV -> ``train_set`` and ``test_set`` CSV folders (and parquet copies).
+
+    Item ids stay text, as in the log. The log has no source sequence: ties inside one
+    second are ordered by event type and item."""
     out = output_path.rstrip("/")
-    train.write.mode("overwrite").parquet(f"{out}/train_set.parquet")
-    test.write.mode("overwrite").parquet(f"{out}/test_set.parquet")
-    train = spark.read.parquet(f"{out}/train_set.parquet")
-    test = spark.read.parquet(f"{out}/test_set.parquet")
-    sinks.write_sessions(train, f"{out}/train_set")
-    sinks.write_sessions(test, f"{out}/test_set")
-    return train, test
+    with temporary(spark):
+        sessions = materialize(sessionize(files.read_click_log(spark, events_path), gap_sec).sortWithinPartitions("timestamp"), "job-sessions")
+        rows = materialize(split_rows(sessions, train_weeks, test_weeks), "job-split", partition_by="part")
+        sets = []
+        for part in ("train", "test"):
+            path = f"{out}/{part}_set"
+            rows.where(rows["part"] == part).drop("part").write.mode("overwrite").parquet(f"{path}.parquet")
+            sets.append(spark.read.parquet(f"{path}.parquet"))
+            sinks.write_sessions(sets[-1], path)
+    return sets[0], sets[1]
 
 
 def cut_test_sessions(spark: SparkSession, test_set_path: str, output_path: str,
                       seed: int = SEED) -> tuple[DataFrame, DataFrame]:
     """Test set CSV -> ``test_sessions`` (JSON lines, one per kept event) and
     ``test_labels`` (JSON lines, one per session)."""
-    test = files.read_sessions(spark, test_set_path)
-    positioned = session_positions(test)
-    # The cut rows feed both outputs: positions and split points are computed once.
-    cut = materialize(with_split(positioned, split_points(positioned, seed)), "job-cut")
     out = output_path.rstrip("/")
-    sinks.write_trimmed_sessions(trimmed_sessions(cut), f"{out}/test_sessions")
-    sinks.write_labels(test_labels(cut, cut.select("session").distinct()), f"{out}/test_labels")
+    with temporary(spark):
+        positioned = session_positions(files.read_sessions(spark, test_set_path))
+        # The cut rows feed both outputs: positions and split points are computed once.
+        cut = materialize(with_split(positioned, split_points(positioned, seed)), "job-cut")
+        sinks.write_trimmed_sessions(trimmed_sessions(cut), f"{out}/test_sessions")
+        sinks.write_labels(test_labels(cut, cut.select("session").distinct()), f"{out}/test_labels")
     return (files.read_trimmed_sessions(spark, f"{out}/test_sessions"),
             files.read_labels(spark, f"{out}/test_labels"))
 
@@ -77,8 +75,7 @@ def build_item_categories(spark: SparkSession, train_set_path: str, input_path:
     return files.read_item_categories(spark, out)
 
 
-def score(spark: SparkSession, labels_path: str, predictions_path: str, k: int = TOP_K) -> DataFrame:
-    """Labels JSON lines + predictions CSV -> one row of Recall@k and MRR per type."""
-    labels = unique_label_sessions(files.read_labels(spark, labels_path))
-    preds = files.read_predictions(spark, predictions_path)
-    return get_scores(labels, preds, k)
+def score(spark: SparkSession, labels_path: str, predictions_path: str, k: int = TOP_K, strict: bool = True) -> DataFrame:
+    """Labels JSON lines + predictions CSV -> one row of Recall@k and MRR per type. Raises on
+    duplicates and, unless ``strict`` is False, on a predicted session without labels."""
+    return get_scores(files.read_labels(spark, labels_path), files.read_predictions(spark, predictions_path), k, strict)

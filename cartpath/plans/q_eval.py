@@ -22,13 +22,13 @@ from .registry import register
 
 def scored_inputs(spark, d):
     """(labels, predictions); tables read by several branches are written once."""
-    train, test = split(spark, d, G, written=("train", "test"))
+    train, test = split(spark, d, G, written=True)
     positioned = session_positions(test)
     points = split_points(positioned)
     # The cut rows feed the trimmed prefix and the labels: written once.
     cut_rows = materialize(with_split(positioned, points), "cut-rows")
     labels = materialize(test_labels(cut_rows, points.select("session")), "labels")
-    return labels, fixture_predictions(trimmed_sessions(cut_rows), train)
+    return labels, materialize(fixture_predictions(trimmed_sessions(cut_rows), train), "predictions")
 
 
 def _r6(c):

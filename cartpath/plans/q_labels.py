@@ -15,7 +15,7 @@ from .registry import register
 
 
 def test_set(spark, d):
-    return split(spark, d, G, written=("test",))[1]
+    return split(spark, d, G, written=True)[1]
 
 
 def cut(spark, d):
@@ -57,6 +57,27 @@ SELECT p.session, p.pos, p.timestamp, p.event, p.itemid,
 FROM {n['pos']} p WHERE p.pos < p.n_in_session - 1"""))(
     lambda spark, d: ground_truth_counts(session_positions(test_set(spark, d))))
 
+# The same on times cut to whole hours and without a sequence: most events are tied, and the
+# event rank and the item order them (rows equal in these are equal in every column).
+q = O.Q(); n = O.cut(q, G)
+q.add("tied", f"""
+  SELECT session, timestamp // 3600 * 3600 AS timestamp, event, itemid,
+         row_number() OVER (PARTITION BY session ORDER BY timestamp // 3600,
+           CASE event WHEN 'view' THEN 0 WHEN 'addtocart' THEN 1 ELSE 2 END, itemid) - 1 AS pos,
+         count(*) OVER (PARTITION BY session) AS n_in_session FROM {n['pos']}""")
+q.add("tied_idx", f"""
+  SELECT session, event, itemid, max(pos) AS last_pos FROM tied
+  WHERE event IN {O.LABEL_TYPES} GROUP BY session, event, itemid""")
+register("ground_truth_events_tied", q.sql("""
+SELECT p.session, p.pos, p.timestamp, p.event, p.itemid,
+       (SELECT count(*) FROM tied_idx i WHERE i.session = p.session AND i.event = 'addtocart'
+          AND i.last_pos > p.pos)::BIGINT AS n_cart_labels,
+       (SELECT count(*) FROM tied_idx i WHERE i.session = p.session AND i.event = 'transaction'
+          AND i.last_pos > p.pos)::BIGINT AS n_order_labels
+FROM tied p WHERE p.pos < p.n_in_session - 1"""))(
+    lambda spark, d: ground_truth_counts(session_positions(
+        test_set(spark, d).drop("seq").withColumn("timestamp", F.expr("timestamp div 3600 * 3600")))))
+
 q = O.Q(); n = O.cut(q, G)
 register("split_points", q.sql(
     f"SELECT session, n_events, last_label_pos, last_possible_idx, split_idx FROM {n['points']}"))(

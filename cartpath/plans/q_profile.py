@@ -13,7 +13,12 @@ from .registry import register
 
 
 def train(spark, d):
-    return split(spark, d, G, written=("train",))[0]
+    return split(spark, d, G, written=True)[0]
+
+
+def rounded(df):
+    """Ratios and other doubles to 6 digits, as the SQL side has them."""
+    return df.select(*[F.round(c, 6).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
 
 
 def base():
@@ -24,7 +29,7 @@ def base():
     for e, name in ((VIEW, "views_count"), (CART, "carts_count"), (ORDER, "purchases_count")):
         q.add(f"per_{name}", f"SELECT itemid, count(itemid) AS {name} FROM {t} WHERE event = '{e}' GROUP BY itemid")
     q.add("slen", f"""
-  SELECT session, round(CAST(max(timestamp) - min(timestamp) AS DOUBLE) / CAST(60 AS DOUBLE), 6)
+  SELECT session, CAST(max(timestamp) - min(timestamp) AS DOUBLE) / CAST(60 AS DOUBLE)
          AS session_length_minutes FROM {t} GROUP BY session""")
     q.add("gaps", f"""
   SELECT next_ts - timestamp AS time_between_sec FROM (
@@ -102,20 +107,20 @@ q, t = base()
 register("events_per_session", q.sql("SELECT session, events_count FROM eps"))(_eps)
 
 register("describe_events_per_session", describe_sql("eps", "events_count"))(
-    lambda spark, d: P.describe(_eps(spark, d), "events_count"))
+    lambda spark, d: rounded(P.describe(_eps(spark, d), "events_count")))
 register("describe_events_per_item", describe_sql("epi", "events_count"))(
-    lambda spark, d: P.describe(_epi(spark, d), "events_count"))
+    lambda spark, d: rounded(P.describe(_epi(spark, d), "events_count")))
 for _name, _label in (("views_count", "views"), ("carts_count", "carts"), ("purchases_count", "purchases")):
     register(f"describe_{_label}_per_item", describe_sql(f"per_{_name}", _name))(
-        lambda spark, d, _n=_name: P.describe(P.per_item_counts(train(spark, d), _PER_ITEM[_n], _n), _n))
+        lambda spark, d, _n=_name: rounded(P.describe(P.per_item_counts(train(spark, d), _PER_ITEM[_n], _n), _n)))
 register("describe_session_length", describe_sql("slen", "session_length_minutes"))(
-    lambda spark, d: P.describe(P.session_length(train(spark, d)), "session_length_minutes"))
+    lambda spark, d: rounded(P.describe(P.session_length(train(spark, d)), "session_length_minutes")))
 register("describe_inter_event_gaps", describe_sql("gaps", "time_between_sec"))(
-    lambda spark, d: P.describe(P.inter_event_gaps(train(spark, d)), "time_between_sec"))
+    lambda spark, d: rounded(P.describe(P.inter_event_gaps(train(spark, d)), "time_between_sec")))
 register("describe_clicks_between_carts", describe_sql("carts_gap", "delta_index"))(
-    lambda spark, d: P.describe(P.clicks_between_carts(train(spark, d)), "delta_index"))
+    lambda spark, d: rounded(P.describe(P.clicks_between_carts(train(spark, d)), "delta_index")))
 register("describe_clicks_between_orders", describe_sql("orders_gap", "delta_index"))(
-    lambda spark, d: P.describe(P.clicks_between_orders(train(spark, d)), "delta_index"))
+    lambda spark, d: rounded(P.describe(P.clicks_between_orders(train(spark, d)), "delta_index")))
 
 q, t = base()
 register("session_size_shares", q.sql(f"""
@@ -123,12 +128,12 @@ SELECT {O.pct("count(*) FILTER (WHERE events_count < 100)", "count(*)")} AS pct_
        {O.pct("count(*) FILTER (WHERE events_count < 10)", "count(*)")} AS pct_lt_10,
        {O.pct("count(*) FILTER (WHERE events_count < 5)", "count(*)")} AS pct_lt_5,
        {O.pct("count(*) FILTER (WHERE events_count = 2)", "count(*)")} AS pct_eq_2
-FROM eps"""))(lambda spark, d: P.session_size_shares(_eps(spark, d)))
+FROM eps"""))(lambda spark, d: rounded(P.session_size_shares(_eps(spark, d))))
 
 register("session_size_histogram", histogram_sql("eps", "events_count", 120))(
-    lambda spark, d: P.histogram(_eps(spark, d), "events_count", 120))
+    lambda spark, d: rounded(P.histogram(_eps(spark, d), "events_count", 120)))
 register("session_size_histogram_lt30", histogram_sql("eps", "events_count", 30, "events_count < 30"))(
-    lambda spark, d: P.histogram(_eps(spark, d).where(F.col("events_count") < 30), "events_count", 30))
+    lambda spark, d: rounded(P.histogram(_eps(spark, d).where(F.col("events_count") < 30), "events_count", 30)))
 
 q, t = base()
 register("event_type_counts", q.sql(f"SELECT event, count(event) AS count FROM {t} GROUP BY event"))(
@@ -150,7 +155,7 @@ register("item_activity_bins", q.sql(f"""
 SELECT l.bin::BIGINT AS bin, l.label, {O.pct("coalesce(c.n, 0)", "(SELECT count(*) FROM epi)")} AS pct
 FROM (VALUES {_labels}) l(bin, label)
 LEFT JOIN (SELECT CASE {_case} ELSE {len(_b)} END AS bin, count(*) AS n FROM epi GROUP BY 1) c
-  ON c.bin = l.bin"""))(lambda spark, d: P.item_activity_bins(_epi(spark, d)))
+  ON c.bin = l.bin"""))(lambda spark, d: rounded(P.item_activity_bins(_epi(spark, d))))
 
 for _name, _label in (("views_count", "views"), ("carts_count", "carts"), ("purchases_count", "purchases")):
     q, t = base()
@@ -169,17 +174,17 @@ for _e, _tag in ((VIEW, "view"), (CART, "cart"), (ORDER, "order")):
 q, t = base()
 register("item_coverage", q.sql(
     f"SELECT count(DISTINCT itemid) AS n_items, {', '.join(_cov)} FROM {t}"))(
-    lambda spark, d: P.item_coverage(train(spark, d)))
+    lambda spark, d: rounded(P.item_coverage(train(spark, d))))
 
 q, t = base()
-register("session_length", q.sql("SELECT session, session_length_minutes FROM slen"))(
-    lambda spark, d: P.session_length(train(spark, d)))
+register("session_length", q.sql("SELECT session, round(session_length_minutes, 6) AS session_length_minutes FROM slen"))(
+    lambda spark, d: rounded(P.session_length(train(spark, d))))
 
 q, t = base()
 register("session_length_shares", q.sql("SELECT " + ", ".join(
     f"{O.pct(f'count(*) FILTER (WHERE session_length_minutes < {m})', 'count(*)')} AS pct_lt_{m}_min"
     for m in P.LENGTH_THRESHOLDS_MIN) + " FROM slen"))(
-    lambda spark, d: P.session_length_shares(P.session_length(train(spark, d))))
+    lambda spark, d: rounded(P.session_length_shares(P.session_length(train(spark, d)))))
 
 q, t = base()
 register("longest_session_events", q.sql(f"""

@@ -36,10 +36,16 @@ SELECT a.train_max_ts, b.test_min_ts, b.test_min_ts > a.train_max_ts AS time_ok,
                               INTERSECT SELECT DISTINCT session FROM {n['test']}) x) AS shared_sessions
 FROM (SELECT max(timestamp) AS train_max_ts FROM {n['train']}) a,
      (SELECT min(timestamp) AS test_min_ts FROM {n['test']}) b"""))(
-    lambda spark, d: leakage_check(*split(spark, d, G)))
+    lambda spark, d: leakage_check(*split(spark, d, G, written=True)))
 
 q = O.Q(); n = O.split(q, G)
 register("split_session_counts", q.sql(f"""
 SELECT (SELECT count(DISTINCT session) FROM {n['train']}) AS n_train_sessions,
        (SELECT count(DISTINCT session) FROM {n['test']}) AS n_test_sessions"""))(
-    lambda spark, d: split_session_counts(*split(spark, d, G)))
+    lambda spark, d: split_session_counts(*split(spark, d, G, written=True)))
+
+# One train and one test week: the train window's lower bound removes rows here.
+for _part, _name in ((0, "train"), (1, "test")):
+    q = O.Q(); n = O.split(q, G, 1, 1)
+    register(f"{_name}_set_1w", q.sql(f"SELECT * FROM {n[_name]}"))(
+        lambda spark, d, _p=_part: split(spark, d, G, 1, 1)[_p])

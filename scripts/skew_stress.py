@@ -39,13 +39,12 @@ def main():
     rows = int(sys.argv[1]) if len(sys.argv) > 1 else 6_000_000
     scratch = sys.argv[2] if len(sys.argv) > 2 else tempfile.mkdtemp(prefix="run-", dir="/tmp")
     from cartpath.config import local_session
-    from cartpath.functions.sequence import time_bucket
-    from cartpath.operators.sessions import bucket_width, session_buckets
+    from cartpath.operators.sessions import bucket_width, session_buckets, time_bucket
 
     def bucketed(events, gap):
         bk = session_buckets(events, gap).select("visitorid", "_tb", "local_session")
         rows = events.withColumn("_tb", time_bucket("timestamp", bucket_width(gap)))
-        return rows.join(bk.hint("shuffle_hash"), ["visitorid", "_tb"])
+        return rows.join(bk, ["visitorid", "_tb"])
 
     spark = local_session(cpus=8, shuffle_partitions=64)
     spark.sparkContext.setLogLevel("ERROR")
