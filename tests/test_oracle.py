@@ -9,7 +9,8 @@ import __spark_entry__ as E
 from conftest import SF_SMALL
 
 NAMES = ["sessionize", "session_dense_id", "test_set", "split_leakage_check", "trimmed_sessions",
-         "test_labels", "ground_truth_events", "get_scores", "item_categories", "clicks_between_carts",
+         "test_labels", "ground_truth_events", "ground_truth_events_tied", "train_set_1w", "test_set_1w", "session_boundary",
+         "session_length_shares", "get_scores", "item_categories", "clicks_between_carts",
          "clicks_between_orders", "describe_inter_event_gaps", "session_size_histogram",
          "item_activity_bins", "eval_predictions_parsed"]
 

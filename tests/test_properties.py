@@ -13,7 +13,7 @@ SCHEMA = "timestamp long, visitorid long, event string, itemid long, transaction
 SESS = "timestamp long, event string, itemid long, session long, seq long"
 
 row = st.tuples(st.integers(0, 12_000), st.integers(1, 4), st.sampled_from(EVENTS), st.integers(1, 5))
-SET = settings(max_examples=20, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+SET = settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
 
 def brute_sessions(rows, gap):
@@ -37,26 +37,18 @@ def test_sessionize_matches_direct_reading(spark, rows):
     assert got == brute_sessions(rows, 1800)
 
 
-def brute_cut(events, session, seed=42):
-    """events: list of (itemid, event) in session order -> (kept count, cart set, order set)."""
-    later = [None] * len(events)
-    carts, orders = set(), set()
-    for i in range(len(events) - 1, -1, -1):
-        later[i] = (set(carts), set(orders))
-        item, ev = events[i]
-        if ev == "addtocart":
-            carts.add(item)
-        elif ev == "transaction":
-            orders.add(item)
-    labelled = [i for i in range(len(events) - 1) if later[i][0] or later[i][1]]
-    last = labelled[-1] if labelled else 0
-    if last == 0:
-        split = 1
-    else:
-        h = int(hashlib.md5(f"{seed}-{session}".encode()).hexdigest()[:8], 16)
-        split = 1 + h % last
-    c, o = later[split - 1]
-    return split, c, o
+def cut_by_definition(events, session, seed=42):
+    """events: list of (itemid, event) in session order -> (kept count, cart set, order set).
+
+    The labels are the items of the cart and order events from the cut on; the cut may fall
+    up to one before the last such event, so that something is left to predict."""
+    actions = [p for p, (_, ev) in enumerate(events) if ev != "view"]
+    most = max(actions[-1] - 1, 0) if actions else 0
+    cut = 1
+    if most:
+        cut += int(hashlib.md5(f"{seed}-{session}".encode()).hexdigest()[:8], 16) % most
+    behind = events[cut:]
+    return (cut, *({item for item, ev in behind if ev == kind} for kind in ("addtocart", "transaction")))
 
 
 @SET
@@ -68,13 +60,13 @@ def test_cut_matches_direct_reading(spark, sessions):
         for k, (item, ev) in enumerate(events):
             rows.append((1000 + 5 * k, ev, item, s, n))
             n += 1
-    trimmed, labels, points = cut_test_set(spark.createDataFrame(rows, SESS), bucket_sec=7)
+    trimmed, labels, points = cut_test_set(spark.createDataFrame(rows, SESS))
     kept = {}
     for r in trimmed.collect():
         kept[r.session] = kept.get(r.session, 0) + 1
     lab = {r.session: (set(r.addtocart or []), set(r.transaction or [])) for r in labels.collect()}
     for s, events in enumerate(sessions, start=1):
-        split, c, o = brute_cut(events, s)
+        split, c, o = cut_by_definition(events, s)
         assert kept[s] == split
         assert lab[s] == (c, o)
 
@@ -113,8 +105,8 @@ def test_steps_match_direct_reading(spark, raw):
     from cartpath.operators.profile import clicks_between_carts, clicks_between_orders
     rows = [(t, e, i, s, n) for n, (t, e, i, s) in enumerate(raw)]
     df = spark.createDataFrame(rows, SESS) if rows else spark.createDataFrame([], SESS)
-    carts = sorted((r.session, r.delta_index) for r in clicks_between_carts(df, bucket_sec=7).collect())
-    orders = sorted(r.delta_index for r in clicks_between_orders(df, bucket_sec=7).collect())
+    carts = sorted((r.session, r.delta_index) for r in clicks_between_carts(df).collect())
+    orders = sorted(r.delta_index for r in clicks_between_orders(df).collect())
     assert carts == brute_steps(rows, "carts")
     assert orders == sorted(d for _, d in brute_steps(rows, "orders"))
 
@@ -137,13 +129,13 @@ def test_label_counts_and_gaps_match_direct_reading(spark, raw):
             want_counts[evs[i][4]] = (len({x[2] for x in later if x[1] == "addtocart"}),
                                       len({x[2] for x in later if x[1] == "transaction"}))
             want_gaps.append(evs[i + 1][0] - evs[i][0])
-    pos = session_positions(df, bucket_sec=7)
+    pos = session_positions(df)
     got = {}
     seq_of = {(r[3], p): r[4] for s, evs in by_session.items() for p, r in enumerate(evs)}
-    for r in ground_truth_counts(pos, bucket_sec=7).collect():
+    for r in ground_truth_counts(pos).collect():
         got[seq_of[(r.session, r.pos)]] = (r.n_cart_labels, r.n_order_labels)
     assert got == want_counts
-    assert sorted(r.time_between_sec for r in inter_event_gaps(df, bucket_sec=7).collect()) == sorted(want_gaps)
+    assert sorted(r.time_between_sec for r in inter_event_gaps(df).collect()) == sorted(want_gaps)
 
 
 def brute_split(rows, train_weeks, test_weeks, week=100):
@@ -228,7 +220,7 @@ def test_scores_match_direct_reading(spark, lab, prd, k):
         "session long, addtocart array<long>, transaction array<long>")
     pdf = spark.createDataFrame([(s, t, p) for s, v in preds.items() for t, p in v.items()],
                                 "session long, event_type string, preds array<long>")
-    r = get_scores(ldf, pdf, k).first()
+    r = get_scores(ldf, pdf, k, strict=False).first()
     got = (r.recall_cart, r.recall_order, r.mrr_cart, r.mrr_order)
     want = brute_scores(labels, preds, k)
     assert all((a is None and b is None) or (a is not None and b is not None and abs(a - b) < 1e-12)

@@ -1,141 +1,159 @@
-"""Train/test split (scenarios with expectations re-derived from the code) and the cut of
-test sessions (the reference's ground-truth and split tests)."""
+"""Train/test split and the cut of test sessions, on small session tables worked out by hand."""
 
 from pyspark.sql import functions as F
 
 from cartpath.operators.labels import (cut_at, cut_test_set, ground_truth_counts, label_index,
                                        session_positions, split_points)
-from cartpath.operators.split import leakage_check, qualifying_sessions, split_bounds, train_test_split
+from cartpath.operators.split import (leakage_check, qualifying_sessions, split_bounds, split_session_counts,
+                                      train_test_split)
 
 SESS = "timestamp long, event string, itemid long, session long, seq long"
+WEEK = 604800
+END = 10 * WEEK
+CUT = END - WEEK          # one test week
+START = CUT - WEEK        # one train week
+CODES = {"v": "view", "c": "addtocart", "o": "transaction"}
 
 
-def sessions(spark, ts, ev, sess):
-    return spark.createDataFrame([(t, e, 1, s, n) for n, (t, e, s) in enumerate(zip(ts, ev, sess))], SESS)
+def sessions(spark, **by_name):
+    """name=[(time, code), ...] -> session table, sessions numbered in the given order."""
+    rows = []
+    for s, evs in enumerate(by_name.values(), start=1):
+        for t, code in evs:
+            rows.append((t, CODES[code], 60 + s, s, len(rows)))
+    return spark.createDataFrame(rows, SESS)
+
+
+def times(df, session):
+    return sorted(r.timestamp for r in df.where(F.col("session") == session).collect())
 
 
 def ids(df):
     return sorted({r.session for r in df.select("session").collect()})
 
 
-def split_1_1(df):
-    return train_test_split(df, 1, 1)
+def last(t=END):
+    """A session that sets the last second."""
+    return [(t - 5, "v"), (t, "c")]
 
 
-def test_split_on_weeks(spark):
-    df = sessions(spark, [1000000000, 1000000000, 1000604801, 1000604900], ["addtocart"] * 4, [1, 1, 2, 2])
-    assert split_bounds(df, 1, 1).first().test_start == 1000000100
-    train, test = split_1_1(df)
-    assert ids(train) == [] and ids(test) == [2]
+def test_cut_points(spark):
+    b = split_bounds(sessions(spark, a=last()), 1, 1).first()
+    assert (b.max_ts, b.test_start, b.train_start) == (END, CUT, START)
 
 
-def test_no_cart_sessions_removed(spark):
-    df = sessions(spark, [1000000000] * 4 + [1000604801, 1000604900, 1000604801, 1000604900],
-                  ["addtocart", "addtocart", "view", "view", "addtocart", "addtocart", "view", "view"],
-                  [1, 1, 2, 2, 3, 3, 4, 4])
-    train, test = split_1_1(df)
-    assert ids(train) == [] and ids(test) == [3]
+def test_windows_include_their_start_only(spark):
+    df = sessions(spark, early=[(START - 1, "v"), (START, "c")], at_start=[(START, "v"), (START + 1, "c")],
+                  at_cut=[(CUT, "v"), (CUT + 1, "o")], last=last())
+    train, test = train_test_split(df, 1, 1)
+    assert ids(train) == [2] and ids(test) == [3, 4]  # session 1 keeps one second in the window
 
 
-def test_cart_only_first_is_not_qualifying(spark):
-    df = sessions(spark, [1000000000] * 4 + [1000604801, 1000604900, 1000604801, 1000604900],
-                  ["addtocart", "addtocart", "addtocart", "view", "addtocart", "addtocart", "addtocart", "view"],
-                  [1, 1, 2, 2, 3, 3, 4, 4])
-    assert ids(qualifying_sessions(df)) == [1, 3]
-    train, test = split_1_1(df)
-    assert ids(train) == [] and ids(test) == [3]
+def test_lower_bound_removes_old_sessions(spark):
+    df = sessions(spark, old=[(START - 900, "v"), (START - 800, "c")], new=[(START + 50, "v"), (START + 60, "c")], last=last())
+    assert ids(train_test_split(df, 1, 1)[0]) == [2]
+    assert ids(train_test_split(df, 2, 1)[0]) == [1, 2]
 
 
-def test_train_sessions_cut_to_one_instant_removed(spark):
-    df = sessions(spark, [1000000000, 1000000050, 1000000000, 1000000300, 1000604850, 1000604900],
-                  ["addtocart"] * 6, [1, 1, 2, 2, 3, 3])
-    train, test = split_1_1(df)
-    assert ids(train) == [1]
-    assert ids(test) == [3]  # session 2 has one instant on each side of the cut
+def test_qualifying_needs_an_action_after_the_first_event(spark):
+    df = sessions(spark, views=[(1, "v"), (2, "v")], first_only=[(1, "c"), (2, "v")], later=[(1, "v"), (2, "o")],
+                  twice=[(1, "o"), (2, "c")], before_window=[(START - 50, "c"), (START - 40, "o"), (START + 1, "v"), (START + 9, "v")],
+                  last=last())
+    assert ids(qualifying_sessions(df)) == [3, 4, 5, 6]
+    # Judged on the whole session: the window itself holds only views of session 5.
+    assert times(train_test_split(df, 1, 1)[0], 5) == [START + 1, START + 9]
 
 
-def test_straddling_session_with_one_train_instant_stays_in_test(spark):
-    df = sessions(spark, [1000000000, 1000000050, 1000000000, 1000000300, 1000000400, 1000604850, 1000604900],
-                  ["addtocart"] * 7, [1, 1, 2, 2, 2, 3, 3])
-    train, test = split_1_1(df)
-    assert ids(train) == [1] and ids(test) == [2, 3]
-    assert sorted(r.timestamp for r in test.where("session = 2").collect()) == [1000000300, 1000000400]
+def test_straddling_sessions(spark):
+    df = sessions(
+        spark,
+        both=[(CUT - 20, "v"), (CUT - 10, "c"), (CUT + 10, "v"), (CUT + 20, "c")],   # train keeps its part
+        one_before=[(CUT - 10, "v"), (CUT + 10, "c"), (CUT + 30, "v")],              # one train second: test
+        one_each=[(CUT - 7, "v"), (CUT + 7, "c")],                                   # in neither set
+        same_second=[(CUT - 9, "v"), (CUT - 9, "c"), (CUT + 3, "v"), (CUT + 4, "v")],
+        last=last())
+    train, test = train_test_split(df, 1, 1)
+    assert times(train, 1) == [CUT - 20, CUT - 10] and times(test, 2) == [CUT + 10, CUT + 30]
+    assert ids(train) == [1] and ids(test) == [2, 4, 5]
+    check = leakage_check(train, test).first()
+    assert (check.train_max_ts, check.test_min_ts, check.time_ok, check.shared_sessions) == (CUT - 10, CUT + 3, True, 0)
+    assert tuple(split_session_counts(train, test).first()) == (1, 3)
+    leaky = leakage_check(train, train.unionByName(test)).first()
+    assert not leaky.time_ok and leaky.shared_sessions == 1
 
 
-def test_straddling_session_leaves_test(spark):
-    df = sessions(spark, [1000000000, 1000000050, 1000000000, 1000000050, 1000000300, 1000000350,
-                          1000604850, 1000604900], ["addtocart"] * 8, [1, 1, 2, 2, 2, 2, 3, 3])
-    train, test = split_1_1(df)
-    assert ids(train) == [1, 2] and ids(test) == [3]
-    assert sorted(r.timestamp for r in train.where("session = 2").collect()) == [1000000000, 1000000050]
-    chk = leakage_check(train, test).first()
-    assert chk.time_ok and chk.shared_sessions == 0
+def test_no_sessions(spark):
+    train, test = train_test_split(spark.createDataFrame([], SESS), 1, 1)
+    assert train.count() == test.count() == 0
+    assert tuple(split_session_counts(train, test).first()) == (0, 0)
 
 
-EVENTS = [  # (itemid, timestamp, event) of one session, from the reference's ground-truth test
-    (1000000, 1, "view"), (1000001, 2, "view"), (1000002, 3, "view"), (1000003, 4, "view"),
-    (1000000, 5, "addtocart"), (1000004, 6, "view"), (1000004, 7, "addtocart"), (1000005, 8, "view"),
-    (1000007, 9, "view"), (1000007, 10, "addtocart"), (100005, 11, "addtocart"),
-    (1000000, 12, "transaction"), (1000004, 12, "transaction"), (1000007, 13, "view"),
-    (1000007, 14, "addtocart")]
+def test_text_items_and_no_sequence(spark):
+    rows = [(START + 1, "view", "x-1", 1), (START + 5, "addtocart", "x-2", 1), (END - 1, "view", "y", 2), (END, "transaction", "y", 2)]
+    df = spark.createDataFrame(rows, "timestamp long, event string, itemid string, session long")
+    train, test = train_test_split(df, 1, 1)
+    assert train.columns == ["timestamp", "event", "itemid", "session"]
+    assert sorted(r.itemid for r in train.collect()) == ["x-1", "x-2"] and ids(test) == [2]
 
 
-def one_session(spark, events, session=1):
-    rows = [(1000000000000 + t, e, i, session, n) for n, (i, t, e) in enumerate(events)]
+def one_session(spark, text, start=50):
+    """"v3 c3 o4" -> one session with events a second apart (item after the code)."""
+    rows = [(start + i, CODES[w[0]], int(w[1:]), 1, i) for i, w in enumerate(text.split())]
     return spark.createDataFrame(rows, SESS)
 
 
-def labels_per_event(spark, events):
-    pos = session_positions(one_session(spark, events))
-    idx = label_index(pos).collect()
-    n = len(events)
-    out = []
-    for p in range(n - 1):
-        lab = {}
-        for t in ("addtocart", "transaction"):
-            s = {r.itemid for r in idx if r.event == t and r.last_pos > p}
-            if s:
-                lab[t] = s
-        out.append(lab)
-    return out, pos
-
-
-def test_ground_truth(spark):
-    got, pos = labels_per_event(spark, EVENTS)
-    assert len(got) == 14
-    both = {1000000, 1000004}
-    assert got[0] == {"addtocart": {1000000, 1000004, 1000007, 100005}, "transaction": both}
-    assert got[4] == {"addtocart": {1000004, 1000007, 100005}, "transaction": both}
-    assert got[6] == {"addtocart": {1000007, 100005}, "transaction": both}
-    assert got[9] == {"addtocart": {100005, 1000007}, "transaction": both}
-    assert got[10] == {"addtocart": {1000007}, "transaction": both}
-    assert got[11] == {"addtocart": {1000007}, "transaction": {1000004}}
-    assert got[12] == {"addtocart": {1000007}}
-    assert got[13] == {"addtocart": {1000007}}
+def test_labels_of_every_event(spark):
+    # position:                 0  1  2  3  4  5  6
+    pos = session_positions(one_session(spark, "v2 c2 v9 c7 o2 c2 v7"))
+    index = {(r.event, r.itemid): r.last_pos for r in label_index(pos).collect()}
+    assert index == {("addtocart", 2): 5, ("addtocart", 7): 3, ("transaction", 2): 4}
     counts = {r.pos: (r.n_cart_labels, r.n_order_labels) for r in ground_truth_counts(pos).collect()}
-    assert counts == {p: (len(g.get("addtocart", ())), len(g.get("transaction", ()))) for p, g in enumerate(got)}
+    # Item 2 is a cart label up to position 4 (it is put in the cart again at 5), item 7 up to 2.
+    assert counts == {0: (2, 1), 1: (2, 1), 2: (2, 1), 3: (1, 1), 4: (1, 0), 5: (0, 0)}
+
 
+def test_labels_of_tied_events(spark):
+    """A view, then the same cart click twice in one second: two equal rows."""
+    rows = [(10, "view", 3, 1, 0), (11, "addtocart", 3, 1, 1), (11, "addtocart", 3, 1, 1)]
+    counts = ground_truth_counts(session_positions(spark.createDataFrame(rows, SESS))).collect()
+    assert {r.pos: r.n_cart_labels for r in counts} == {0: 1, 1: 1} and len(counts) == 2
+    no_seq = spark.createDataFrame([(5, "transaction", 1, 1), (5, "view", 9, 1), (5, "addtocart", 4, 1), (5, "view", 2, 1)],
+                                   "timestamp long, event string, itemid long, session long")
+    order = [(r.event, r.itemid) for r in session_positions(no_seq).orderBy("pos").collect()]
+    assert order == [("view", 2), ("view", 9), ("addtocart", 4), ("transaction", 1)]
 
-def _cut(spark, events, split):
-    test = one_session(spark, events)
-    points = spark.createDataFrame([(1, split)], "session long, split_idx long")
-    trimmed, labels = cut_at(test, points)
-    t = [(r.itemid, r.timestamp - 1000000000000, r.event) for r in trimmed.orderBy("pos").collect()]
+
+def test_large_item_ids_do_not_change_the_order(spark):
+    """Without a sequence the event's rank decides before the item, whatever the item's size."""
+    big = 1 << 50
+    rows = [(5, "view", big, 1), (5, "addtocart", 0, 1), (5, "transaction", None, 1), (5, "transaction", 0, 1)]
+    df = spark.createDataFrame(rows, "timestamp long, event string, itemid long, session long")
+    order = [(r.event, r.itemid) for r in session_positions(df).orderBy("pos").collect()]
+    assert order == [("view", big), ("addtocart", 0), ("transaction", None), ("transaction", 0)]
+
+
+def cut(spark, text, split):
+    trimmed, labels = cut_at(one_session(spark, text), spark.createDataFrame([(1, split)], "session long, split_idx long"))
     lab = labels.first()
-    return t, {k: set(v) for k, v in (("addtocart", lab.addtocart), ("transaction", lab.transaction)) if v}
+    return [r.itemid for r in trimmed.orderBy("pos").collect()], lab.addtocart, lab.transaction
+
 
+def test_cut_at_a_point(spark):
+    assert cut(spark, "v5 v6 c6 o5 v1", 1) == ([5], [6], [5])
+    assert cut(spark, "v5 v6 c6 o5 v1", 3) == ([5, 6, 6], None, [5])
+    assert cut(spark, "v5 v6 c6 o5 v1", 4) == ([5, 6, 6, 5], None, None)
+    assert cut(spark, "v5 c9 c2 c9", 1) == ([5], [2, 9], None)
 
-def test_split_events_short(spark):
-    events = [(1, 1, "view"), (2, 2, "addtocart")]
-    pts = split_points(session_positions(one_session(spark, events))).first()
-    assert pts.split_idx == 1
-    assert _cut(spark, events, 1) == ([(1, 1, "view")], {"addtocart": {2}})
 
+def test_split_point_range(spark):
+    def points(text):
+        return split_points(session_positions(one_session(spark, text))).first()
 
-def test_split_events_long(spark):
-    events = [(1, 1, "view"), (1, 2, "addtocart"), (1, 3, "transaction"), (2, 4, "view")]
-    assert _cut(spark, events, 1) == ([(1, 1, "view")], {"addtocart": {1}, "transaction": {1}})
-    assert _cut(spark, events, 2) == ([(1, 1, "view"), (1, 2, "addtocart")], {"transaction": {1}})
+    assert points("v1 c1").split_idx == 1                      # nothing to draw from
+    assert points("v1 v2 v3").last_label_pos is None and points("v1 v2 v3").split_idx == 1
+    assert points("c1 v2 v3").last_possible_idx == 0
+    assert points("v1 v2 c3 v4").last_possible_idx == 1        # the cart at 2 must stay behind the cut
+    assert 1 <= points("v1 v2 v3 v4 o5 v6").split_idx <= 3
 
 
 def test_drawn_split_in_range_and_labels_later(spark):
