@@ -104,9 +104,9 @@ def token_tree(text: str, enc: ChunkEncoder) -> TokenTree:
     leaves = _LEAF.findall(text)
     # Every leaf holds one chunk, but for white space at the very start.
     chunks = enc.chunks(text.encode())
-    found = enc.learn(set(chunks))
-    get = enc.kept.__getitem__ if not found else (enc.kept | found).__getitem__
-    tokens = [len(get(c)) // 4 for c in chunks]
+    found = enc.learn(chunks)
+    kept = enc.kept
+    tokens = [len(found[c] if c in found else kept[c]) // 4 for c in chunks] if found else [len(kept[c]) // 4 for c in chunks]
     if len(leaves) > len(tokens):
         tokens.insert(0, 0)
     return TokenTree(tokens, leaves)
