@@ -11,7 +11,7 @@ pairs, so equal ranks are equal windows); the words under windows that occur twi
 
 Defined cases: null and empty texts have no words and fail the base rules; with no usable
 labels every document that passes the base rules is kept (score 1); a repeated label counts
-once, the higher quality first; repeated rows and further columns make no difference; an
+once, the higher quality first, and of rows with one id the least text; repeated rows and further columns make no difference; an
 empty table gives an empty result.
 """
 
@@ -116,7 +116,7 @@ def learn_quality(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_
                                              ["quality", *FEATURES])
 
     rows = (docs.select("doc_id", F.col("text").cast("string")).filter(F.col("text").isNotNull()).join(F.broadcast(known), "doc_id")
-            .select("quality", "text").mapInArrow(measure, "quality int, " + ", ".join(f"{f} double" for f in FEATURES)).toPandas())
+            .groupBy("doc_id", "quality").agg(F.min("text").alias("text")).select("quality", "text").mapInArrow(measure, "quality int, " + ", ".join(f"{f} double" for f in FEATURES)).toPandas())
     rows = rows.sort_values([*FEATURES, "quality"])
     if rows["quality"].nunique() < 2:
         return constant(0.999)

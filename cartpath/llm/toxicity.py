@@ -15,7 +15,7 @@ bounded (``ENTRIES``), so what is broadcast has a fixed size.
 Defined cases: null and empty texts score as a text without hits; a null id is never
 learned from and not held out; labels that are null, missing or all alike give every text
 the same score, the share of toxic ones; repeated labels of one document count once, a
-toxic one first; an empty table gives an empty result; further columns are ignored.
+toxic one first, and of rows with one id the least text; an empty table gives an empty result; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -162,7 +162,8 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_
     # At most sample_docs ids.
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs)
     sample = materialize(docs.select("doc_id", F.col("text").cast("string")).filter(F.col("text").isNotNull())
-                         .join(F.broadcast(known), "doc_id").select("toxic", "text"), "toxicity-sample")
+                         .join(F.broadcast(known), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+                         .select("toxic", "text"), "toxicity-sample")
     sizes = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     pos, neg = sizes.get(1, 0), sizes.get(0, 0)
     if not pos or not neg:
@@ -216,7 +217,7 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_
             x = np.array([plain.features(t) for t in batch.column("text").to_pylist()])
             yield pa.RecordBatch.from_arrays([batch.column("toxic"), *[pa.array(x[:, i]) for i in range(3)]], ["toxic", "a", "b", "c"])
 
-    # Four numbers for each of at most sample_docs rows (more where ids repeat: their mean).
+    # Four numbers for each of at most sample_docs rows.
     rows = sample.mapInArrow(measured, "toxic int, a double, b double, c double").toPandas()
     rows = rows.sort_values(["a", "b", "c", "toxic"])
     return Lexicon(chosen, plain.exceptions, _fit_curve(rows[["a", "b", "c"]].to_numpy(), rows["toxic"].to_numpy(float)))
