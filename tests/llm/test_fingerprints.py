@@ -1,0 +1,105 @@
+"""Phrase fingerprints against a plain parse; neighbours against a sorted list."""
+
+import hashlib
+import random
+
+import numpy as np
+import pytest
+
+from cartpath.llm import fingerprints
+from cartpath.llm.fingerprints import PhraseParser, as_text, fingerprint, likeness, neighbours
+
+
+def plain_phrases(data):
+    known, at = set(), 0
+    for i in range(1, len(data) + 1):
+        if data[at:i] not in known:
+            known.add(data[at:i])
+            at = i
+    return known
+
+
+@pytest.mark.parametrize("seed", range(10))
+def test_phrases_match_a_plain_parse(seed):
+    rnd = random.Random(seed)
+    text = "".join(rnd.choice("abé ") for _ in range(rnd.randint(0, 400)))
+    parser = PhraseParser().feed(text.encode())
+    want = plain_phrases(text.encode())
+    assert len(parser.hashes) - 1 == len(set(parser.hashes[1:])) == len(want)
+
+    def phrase_hash(p):
+        h = 0
+        for c in p:
+            h = (h * 0x2545F4914F6CDD1D + c + 1) & ((1 << 62) - 1)
+        return h
+
+    assert {phrase_hash(p) for p in want} == set(parser.hashes[1:])
+    cut = rnd.randint(0, len(text))
+    parts = PhraseParser().feed(text[:cut].encode())
+    branch = parts.copy().feed(b"something else")
+    assert (parts.feed(text[cut:].encode()).fingerprint() == fingerprint(text)).all()
+    assert (branch.fingerprint() == fingerprint(text[:cut] + "something else")).all()
+
+
+def test_windows_bound_the_dictionary(monkeypatch):
+    monkeypatch.setattr(fingerprints, "WINDOW", 50)
+    rnd = random.Random(1)
+    data = bytes(rnd.choice(b"abc") for _ in range(777))
+    parser = PhraseParser()
+    for i in range(0, 777, 31):
+        parser.feed(data[i:i + 31])
+    assert len(parser.known) <= 50
+    want = np.unique(np.concatenate([PhraseParser().feed(data[i:i + 50]).fingerprint() for i in range(0, 777, 50)]))[:fingerprints.SIZE]
+    assert (parser.fingerprint() == want).all()
+
+
+def test_likeness_estimates_common_phrases():
+    rnd = random.Random(4)
+    vocabulary = [f"word{rnd.randrange(500)} " for _ in range(800)]
+    a = "".join(rnd.choice(vocabulary) for _ in range(800))
+    b = a[:len(a) // 2] + "".join(rnd.choice(vocabulary) for _ in range(400))
+    pa, pb = plain_phrases(a.encode()), plain_phrases(b.encode())
+    assert abs(likeness(fingerprint(a), fingerprint(b)) - len(pa & pb) / len(pa | pb)) < 0.25
+    none = fingerprint("")
+    assert likeness(fingerprint(a), fingerprint(a)) == 1 and likeness(none, none) == 1 and likeness(none, fingerprint(a)) == 0
+
+
+def plain_rows(rows):
+    """Rows in order of id, text hash order of equal ids left open: (id, n, sha, fingerprints, likeness)."""
+    out = []
+    for i, (d, text) in enumerate(rows):
+        other = rows[(i + 1) % len(rows)][1]
+        half = len(text) // 2
+        edited = text[:len(text) - half] + other[:half]
+        marks = [fingerprint(x) for x in (text, edited, other)]
+        out.append((d, len(text), hashlib.sha256(edited.encode()).hexdigest(), as_text(marks[0]), as_text(marks[1]),
+                    likeness(marks[0], marks[1]), likeness(marks[0], marks[2])))
+    return out
+
+
+@pytest.mark.parametrize("ranges", [1, 3, 16, 400])
+def test_neighbours_match_a_sorted_list(docs, ranges):
+    rows = sorted((r.doc_id, r.text) for r in docs.collect())
+    assert sorted(map(tuple, neighbours(docs, ranges).collect())) == sorted(plain_rows(rows))
+
+
+def test_edits_stay_nearer_than_neighbours(docs):
+    rows = neighbours(docs).collect()
+    assert sum(r.near_edited > r.near_next for r in rows) >= 0.98 * len(rows)
+
+
+def test_odd_rows(spark, odd, odd_rows, none):
+    rows = neighbours(odd).collect()
+    assert len(rows) == len(odd_rows) and sorted((r.doc_id, r.n_chars) for r in rows if r.doc_id) == sorted((d, len(t or "")) for d, t, *_ in odd_rows if d)
+    assert {r.fingerprint for r in rows if not r.n_chars} == {""}
+    marks = {}
+    for r in rows:
+        if r.n_chars == len(odd_rows[0][1]):
+            marks.setdefault(r.fingerprint, []).append(r)
+    assert len(marks) == 1  # equal texts, equal fingerprints
+    for ranges in (1, 2, 50):
+        assert len(neighbours(odd, ranges).collect()) == len(odd_rows)
+    assert neighbours(none).count() == 0
+    one = spark.createDataFrame([(5, "alone in the table")], "doc_id long, text string")
+    (row,) = neighbours(one).collect()
+    assert (row.near_next, row.n_chars) == (1.0, 18)
