@@ -4,19 +4,23 @@ A document is the set of its distinct word n-grams (64-bit hashes). Two document
 when ``|A & B| >= threshold * |A | B|``; the result names the connected component of each.
 
 1. Equal sets are one node from here on, so a group of copies costs one row a copy.
-2. Candidates. Sets of similar size share a size class. In a class the hash space is cut
-   into ``k`` equal parts, and a document's list keys are hashes of (class, part, its
-   shingles there). Linked sets differ in at most ``d`` shingles, each spoils one part,
-   so they stand together in at least ``T = k - d`` inverted lists: a T-occurrence search.
-   As in DivideSkip, the longest ``T - 1`` lists of a document are set aside (lists ordered
-   alike for everyone), and whoever is linked still meets in one of the short lists.
-3. A list's members are compared with one pivot first; members that are then in different
-   components and never were compared are compared pairwise. So a list whose members
-   belong together costs one comparison a member, not one a pair, and no link is lost.
-4. Comparison, grouped by pivot in blocks of members: inverted lists of the pivot's
-   shingles over the block, short ones heap-merged, long ones binary-probed (DivideSkip),
-   members with the exact overlap stay.
-5. Components: least labels over the links with pointer jumping, each round written.
+2. Sets of similar size share a size class. In a class the hash space is cut into ``k`` equal
+   parts, and a document's list keys are hashes of (class, part, its shingles there). Linked
+   sets differ in at most ``d`` shingles and each spoils one part, so they stand together in
+   at least ``T = k - d`` inverted lists: finding them is a T-occurrence search.
+3. A list's members are compared with a pivot first (those that meet it twice), which joins
+   most of what belongs together at one comparison a member.
+4. T-occurrence search for the rest. A document outside the largest component of a list
+   asks its lists. As in DivideSkip the ``L`` longest are set aside, the others are merged,
+   whoever occurs ``T - L`` times is looked up in the long ones by binary search, and those
+   found ``T`` times are candidates. Lists travel as sorted arrays in blocks by member, so
+   memory does not grow with a list.
+5. Candidates must pass bounds that linked sets cannot miss: their sizes, and the parity bits
+   of their shingles (a shingle that only one set holds changes one bit at most).
+6. Comparison of what is left, grouped by pivot in blocks of members: inverted lists of the
+   pivot's shingles over the block, short ones heap-merged, long ones binary-probed
+   (DivideSkip again), members with the exact overlap stay.
+7. Components: least labels over the links with pointer jumping, each round written.
 
 Defined cases: null and wordless texts have an empty set, link with nothing and are their
 own component; shorter texts than n words have one shingle; null ids take part, and a
@@ -42,14 +46,20 @@ from .common import materialize, pass_id, ship, text_bytes, text_slices
 
 N = 4
 THRESHOLD = "0.85"
-OCCURRENCES = 4
+#: More parts than differences, as a factor: the larger, the more lists linked sets share.
+SPARE_PARTS = 1.3
 BLOCK = 256
+#: Members of a list in one array.
+POSTINGS = 16_384
+#: Pivots of a list are drawn in so many ways.
+PIVOTS = 4
 MU = 0.0085
-SETS = "row long, doc_id long, n_shingles long, mark1 long, mark2 long, keys array<long>"
+PARITY_BITS = 1024
+SETS = "row long, doc_id long, n_shingles long, mark1 long, mark2 long, parity binary, keys array<long>, needs array<long>"
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _MASK = (1 << 64) - 1
-_KEPT = 1_000_000
+_KEPT = 200_000
 
 
 class _WordHashes(dict):
@@ -86,31 +96,25 @@ def shingles(text: bytes, n: int) -> np.ndarray:
 class Classes:
     """Size classes and list keys for a threshold."""
 
-    def __init__(self, threshold: Fraction, occurrences: int = OCCURRENCES, ratio: float = 1.5):
-        self.threshold, self.occurrences = threshold, occurrences
+    def __init__(self, threshold: Fraction, ratio: float = 1.5, spare_parts: float = SPARE_PARTS):
+        self.threshold, self.spare_parts = threshold, spare_parts
         self.starts = [1]
         while self.starts[-1] < 1 << 40:
             self.starts.append(max(self.starts[-1] + 1, math.ceil(self.starts[-1] * ratio)))
-        self._kept: dict[int, tuple[int, int, int]] = {}
-
-    def plan(self, c: int) -> tuple[int, int, int]:
-        """(differences, parts, occurrences) of the pairs whose larger set is in class c."""
-        if c not in self._kept:
-            low, high = self.starts[c], self.starts[c + 1] - 1
-            t = self.threshold
-            # |A xor B| <= (|A| + |B|) (1 - t) / (1 + t)
-            differ = math.floor(2 * high * (1 - t) / (1 + t))
-            least = max(1, math.ceil(low * t))
-            occurrences = min(self.occurrences, max(1, least // 4))
-            parts = differ + occurrences
-            # Enough parts that a smallest set rarely leaves too many of them empty.
-            while parts < 4 * (differ + occurrences) and parts * (1 - math.exp(-least / parts)) < differ + occurrences + 2 * math.sqrt(parts * math.exp(-least / parts)):
-                parts = max(parts + 1, int(parts * 1.01))
-            self._kept[c] = (differ, parts, occurrences)
-        return self._kept[c]
+
+    def differences(self, a: int, b: int) -> int:
+        """Most shingles in which linked sets of these sizes differ: (a + b) (1 - t) / (1 + t)."""
+        t = self.threshold
+        return math.floor((a + b) * (1 - t) / (1 + t))
+
+    def parts(self, c: int) -> int:
+        """Parts of the class; 0 where only equal sets link."""
+        high = self.starts[c + 1] - 1
+        differ = self.differences(high, high)
+        return math.ceil(self.spare_parts * differ) + 3 if differ else 0
 
     def of(self, size: int) -> list[int]:
-        """Classes in which a set of this size looks for partners at least and at most its size."""
+        """Classes of the partners at least as large, its own first."""
         c = 0
         while self.starts[c + 1] <= size:
             c += 1
@@ -120,28 +124,48 @@ class Classes:
             out.append(out[-1] + 1)
         return out
 
-    def keys(self, s: np.ndarray) -> np.ndarray:
-        """List keys of a sorted set, and how many of the longest lists may be set aside is
-        the class's occurrences minus one: the class stands in a key's lowest byte."""
-        out = []
+    def keys(self, s: np.ndarray) -> tuple[np.ndarray, list[int]]:
+        """List keys of a sorted set (their lowest byte is the class), and for each class
+        ``class | T << 8``: linked sets whose larger one is of the class share T keys or more."""
+        out, needs = [], []
         if not len(s):
-            return np.zeros(0, np.int64)
+            return np.zeros(0, np.int64), needs
         upper, mixed = s >> np.uint64(32), _mix(s ^ np.uint64(0x5851F42D4C957F2D))
         for c in self.of(len(s)):
-            differ, parts, occurrences = self.plan(c)
-            if not differ:
-                continue  # only equal sets link
+            parts = self.parts(c)
+            if not parts:
+                continue
+            # No partner in this class is larger than its end or than size / threshold.
+            differ = self.differences(len(s), min(self.starts[c + 1] - 1, math.floor(len(s) / self.threshold)))
             part = (upper * np.uint64(parts)) >> np.uint64(32)
             first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
             where, sums = part[first], np.add.reduceat(mixed, first)
-            if len(where) < differ + occurrences:
-                # Too many empty parts: they count as well.
+            need = len(where) - differ
+            if need < 1:
+                # All parts that hold shingles may be spoiled: the empty ones count as well.
                 full = np.zeros(parts, np.uint64)
                 full[where] = sums
-                where, sums = np.arange(parts, dtype=np.uint64), full
-            key = _mix(sums + _mix(where + np.uint64(((c + 1) << 32) & _MASK)))
+                where, sums, need = np.arange(parts, dtype=np.uint64), full, 1
+            key = _mix(sums + _mix(where + np.uint64((c + 1) << 32)))
             out.append((key & np.uint64(~0xFF & _MASK)) | np.uint64(c))
-        return np.concatenate(out).view(np.int64) if out else np.zeros(0, np.int64)
+            needs.append(c | need << 8)
+        return np.concatenate(out).view(np.int64) if out else np.zeros(0, np.int64), needs
+
+
+def occurring(lists: list[np.ndarray], need: int) -> np.ndarray:
+    """Members of at least ``need`` of the sorted lists, by DivideSkip."""
+    lists = sorted(lists, key=len, reverse=True)
+    aside = min(need - 1, int(need / (MU * math.log2(len(lists[0]) + 2) + 1)))
+    who, times = np.unique(np.concatenate(lists[aside:]), return_counts=True)
+    for k, probe in enumerate(lists[:aside]):
+        # A member still needs enough of the lists ahead.
+        hopeful = times >= need - (aside - k)
+        who, times = who[hopeful], times[hopeful]
+        if not len(who):
+            break
+        place = np.searchsorted(probe, who)
+        times = times + (probe[np.minimum(place, len(probe) - 1)] == who if len(probe) else 0)
+    return who[times >= need]
 
 
 def required(a: int, b: int, t: Fraction) -> int:
@@ -183,26 +207,79 @@ def t_occurrence(query: np.ndarray, members: list[np.ndarray], t: Fraction) -> l
     return out
 
 
+def parity(s: np.ndarray) -> bytes:
+    """For each of ``PARITY_BITS`` buckets, whether it holds an odd number of the shingles."""
+    return np.packbits((np.bincount((s % np.uint64(PARITY_BITS)).astype(np.int64), minlength=PARITY_BITS) & 1).astype(np.uint8)).tobytes()
+
+
 def shingle_sets(docs: DataFrame, n: int, classes: Classes) -> DataFrame:
-    """row, doc_id, n_shingles, two marks of the set and its list keys."""
+    """row, doc_id, n_shingles, two marks of the set, its parity bits, list keys and needs."""
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches):
             sets = [shingles(t, n) for t in text_bytes(batch)]
-            keys = [classes.keys(s) for s in sets]
+            keys, needs = zip(*(classes.keys(s) for s in sets))
             offsets = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
             marks = [np.array([_mix(s + np.uint64(seed)).sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64) for seed in (1, 2)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row"), batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), *map(pa.array, marks),
-                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(keys)))],
-                ["row", "doc_id", "n_shingles", "mark1", "mark2", "keys"])
+                 pa.array([parity(x) for x in sets], pa.binary()),
+                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(keys))), pa.array(needs, pa.list_(pa.int64()))],
+                ["row", "doc_id", "n_shingles", "mark1", "mark2", "parity", "keys", "needs"])
 
     ship(docs.sparkSession)
     return docs.select("row", "doc_id", "text").mapInArrow(make, SETS)
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, n: int, t: Fraction) -> DataFrame:
-    """Of the distinct pairs (node, pivot) those that link. ``docs``: row, text."""
-    pairs = materialize(pairs, "candidates")
+def _possible(pairs: DataFrame, sets: DataFrame, t: Fraction) -> DataFrame:
+    """The pairs (node, pivot) whose sizes and parity bits allow a link.
+
+    Pairs and sketches (size, parity bits) meet in one sorted stream, each sketch ahead of
+    its pairs: first by node, whose sketch the pairs take along, then by pivot."""
+    num, den = t.numerator, t.denominator
+    sketches = sets.select(F.col("row").alias("at"), F.lit(0).alias("kind"), F.lit(None).cast("long").alias("other"),
+                           F.col("n_shingles").alias("size"), "parity")
+
+    def stream(rows: DataFrame) -> DataFrame:
+        wanted = rows.select("at").distinct()
+        both = sketches.join(wanted, "at", "left_semi").unionByName(rows)
+        return both.repartition("at").sortWithinPartitions("at", "kind")
+
+    def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        size = bits = None
+        for batch in batches:
+            out = []
+            for at, kind, other, n, raw in zip(*(c.to_pylist() for c in batch.columns)):
+                if kind == 0:
+                    size, bits = n, raw
+                else:
+                    out.append((other, 1, at, size, bits))
+            yield pa.RecordBatch.from_arrays([pa.array(c, x) for c, x in zip(zip(*out) if out else [[]] * 5, kinds)], names)
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        size, bits = 0, np.zeros(PARITY_BITS // 64, np.uint64)
+        for batch in batches:
+            out = []
+            for at, kind, other, n, raw in zip(*(c.to_pylist() for c in batch.columns)):
+                if kind == 0:
+                    size, bits = n, np.frombuffer(raw, np.uint64)
+                elif min(n, size) * den >= max(n, size) * num:
+                    differ = int(np.bitwise_count(bits ^ np.frombuffer(raw, np.uint64)).sum())
+                    if differ * (den + num) <= (n + size) * (den - num):
+                        out.append((other, at))
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*out) if out else ([], []))], ["node", "pivot"])
+
+    names, kinds = ["at", "kind", "other", "size", "parity"], [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
+    rows = pairs.select(F.col("node").alias("at"), F.lit(1).alias("kind"), F.col("pivot").alias("other"),
+                        F.lit(None).cast("long").alias("size"), F.lit(None).cast("binary").alias("parity"))
+    taken = materialize(stream(rows).mapInArrow(take, "at long, kind int, other long, size long, parity binary"), "sketched")
+    return stream(taken).mapInArrow(pick, "node long, pivot long")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, n: int, t: Fraction, done: DataFrame | None = None) -> DataFrame:
+    """Of the distinct pairs (node, pivot; a written table) those that link, but for the
+    ones in ``done``. ``docs``: row, text."""
+    pairs = _possible(pairs, sets, t)
+    pairs = materialize(pairs.join(done, ["node", "pivot"], "left_anti") if done else pairs, "candidates")
     wanted = pairs.select("node").union(pairs.select("pivot")).distinct()
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -267,41 +344,79 @@ def least_labels(links: DataFrame) -> DataFrame:
             return labels
 
 
-def near_duplicates(docs: DataFrame, n: int = N, threshold: str = THRESHOLD, occurrences: int = OCCURRENCES) -> DataFrame:
+def _searched(lists: DataFrame, needs: DataFrame, labels: DataFrame) -> DataFrame:
+    """T-occurrence search across components: distinct candidate pairs (node, pivot).
+
+    ``lists``: key, node, long; ``needs``: node, class, need; ``labels``: node, component."""
+    sizes = labels.groupBy("component").agg(F.count(F.lit(1)).alias("weight"))
+    placed = (lists.join(labels.join(sizes, "component"), "node", "left")
+              .select("key", "node", "long", F.coalesce("component", "node").alias("component"), F.coalesce("weight", F.lit(1)).alias("weight")))
+    placed = materialize(placed, "placed")
+    # Lists with members of several components; every one but the heaviest component's asks.
+    rank = F.struct("weight", "component")
+    open_lists = placed.groupBy("key").agg(F.min(rank).alias("low"), F.max(rank).alias("top")).filter("low != top").select("key", "top")
+    tops = placed.join(open_lists, "key").select("key", "node", "long", "component", (rank < F.col("top")).alias("asks"))
+    tops = materialize(tops, "open-lists")
+    most = tops.agg(F.max("long").alias("m")).first()["m"] or 1
+    buckets = -(-most // POSTINGS)
+    postings = (tops.withColumn("bucket", F.pmod(F.xxhash64("node"), F.lit(buckets))).groupBy("key", "bucket")
+                .agg(F.array_sort(F.collect_list(F.struct("node", "component"))).alias("who"))
+                .select("key", "bucket", F.col("who.node").alias("members"), F.col("who.component").alias("components")))
+    asks = tops.filter("asks").withColumn("class", F.col("key").bitwiseAND(F.lit(0xFF))).join(needs, ["node", "class"])
+    asks = asks.select("key", F.col("node").alias("asking"), "class", F.col("component").alias("own"), "need")
+    rows = asks.join(postings, "key").drop("key")
+    rows = rows.repartition("asking", "class", "bucket").sortWithinPartitions("asking", "class", "bucket")
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = None, []
+
+        def candidates():
+            who = occurring(held, at[4])
+            return pa.RecordBatch.from_arrays([pa.array(np.maximum(who, at[0])), pa.array(np.minimum(who, at[0]))], ["node", "pivot"])
+
+        for batch in batches:
+            keys = zip(*(batch.column(c).to_pylist() for c in ("asking", "class", "bucket", "own", "need")))
+            (cut, members), (cut2, components) = [(batch.column(c).offsets.to_numpy(), batch.column(c).values.to_numpy()) for c in ("members", "components")]
+            for i, key in enumerate(keys):
+                if key != at:
+                    if held and len(held) >= at[4]:
+                        yield candidates()
+                    at, held = key, []
+                others = components[cut2[i]:cut2[i + 1]] != key[3]
+                held.append(members[cut[i]:cut[i + 1]][others])
+        if held and len(held) >= at[4]:
+            yield candidates()
+
+    return rows.mapInArrow(merge, "node long, pivot long").distinct()
+
+
+def near_duplicates(docs: DataFrame, n: int = N, threshold: str = THRESHOLD) -> DataFrame:
     """row, doc_id, n_shingles, node and component of every row of ``docs`` (a stored table;
     ``row`` is its pass number), with component_id, the component's least doc_id."""
     t = Fraction(threshold)
     if not 0 < t <= 1 or n < 1:
         raise ValueError("threshold must be in (0, 1], n positive")
-    classes = Classes(t, occurrences)
     docs = pass_id(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), "row")
-    sets = materialize(shingle_sets(docs, n, classes), "sets")
+    sets = materialize(shingle_sets(docs, n, Classes(t)), "sets")
     marks = ["n_shingles", "mark1", "mark2"]
     nodes = materialize(sets.filter("n_shingles > 0").groupBy(*marks).agg(F.min("row").alias("node"), F.min("doc_id").alias("least_id")), "nodes")
 
-    # Inverted lists with two members or more; the longest T - 1 lists of a node are set aside.
-    first = sets.select("row", "keys").filter(F.size("keys") > 0).join(nodes.select(F.col("node").alias("row")), "row", "left_semi")
+    # Inverted lists with two members or more.
+    first = sets.filter(F.size("keys") > 0).join(nodes.select(F.col("node").alias("row")), "row", "left_semi")
     lists = first.select(F.col("row").alias("node"), F.explode("keys").alias("key"))
     of_key = Window.partitionBy("key")
-    lists = lists.select("node", "key", F.count(F.lit(1)).over(of_key).alias("long"), F.min("node").over(of_key).alias("pivot")).filter("long > 1")
-    spare = F.element_at(F.array(*[F.lit(classes.plan(c)[2] - 1) for c in range(64)]), (F.col("class") + 1).cast("int"))
-    longest = Window.partitionBy("node", "class").orderBy(F.desc("long"), F.desc("key"))
-    lists = lists.withColumn("class", F.col("key").bitwiseAND(F.lit(0xFF))).withColumn("nth", F.row_number().over(longest))
-    lists = materialize(lists.filter(F.col("nth") > spare).select("key", "node", "pivot"), "lists")
-
-    # Each member against the pivot, then members of a list that are still apart.
-    compared = lists.filter("node != pivot").select("node", "pivot").distinct()
-    links = _verified(compared, docs, n, t)
-    found = least_labels(links)
-    placed = lists.join(found, "node", "left").select("key", "node", "pivot", F.coalesce("component", "node").alias("component"))
-    placed = materialize(placed, "placed")
-    open_lists = placed.groupBy("key").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).filter("c1 != c2").select("key")
-    left = placed.join(open_lists, "key", "left_semi").filter("node != pivot")
-    a, b = left.alias("a"), left.alias("b")
-    apart = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.node") > F.col("b.node")) & (F.col("a.component") != F.col("b.component")))
-    pairs = apart.select(F.col("a.node").alias("node"), F.col("b.node").alias("pivot")).distinct()
-    pairs = pairs.join(compared, ["node", "pivot"], "left_anti")
-    more = _verified(pairs, docs, n, t)
+    drawn = F.struct(F.xxhash64("node", F.pmod("key", F.lit(PIVOTS << 8))).alias("draw"), F.col("node").alias("node"))
+    lists = lists.select("node", "key", F.count(F.lit(1)).over(of_key).alias("long"), F.min(drawn).over(of_key)["node"].alias("pivot"))
+    lists = materialize(lists.filter("long > 1"), "lists")
+    needs = sets.select(F.col("row").alias("node"), F.explode("needs").alias("n")).select(
+        "node", F.col("n").bitwiseAND(F.lit(0xFF)).alias("class"), F.shiftright("n", 8).alias("need"))
+
+    pair = [F.greatest("node", "pivot").alias("node"), F.least("node", "pivot").alias("pivot")]
+    compared = lists.filter("node != pivot").select(*pair).groupBy("node", "pivot").count().filter("count > 1").select("node", "pivot")
+    compared = materialize(compared, "compared")
+    links = _verified(compared, sets, docs, n, t)
+    pairs = _searched(lists.select("key", "node", "long"), needs, least_labels(links))
+    more = _verified(materialize(pairs, "asked"), sets, docs, n, t, done=compared)
     every = least_labels(links.unionByName(more))
 
     comps = nodes.join(every, "node", "left").withColumn("component", F.coalesce("component", "node"))
