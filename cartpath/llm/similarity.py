@@ -16,7 +16,8 @@ when ``|A & B| >= threshold * |A | B|``; the result names the connected componen
    found ``T`` times are candidates. Lists travel as sorted arrays in blocks by member, so
    memory does not grow with a list.
 5. Candidates must pass bounds that linked sets cannot miss: their sizes, and the parity bits
-   of their shingles (a shingle that only one set holds changes one bit at most).
+   of their shingles (a shingle that only one set holds changes one bit at most). Documents
+   that ask within one component are checked in blocks, to which a candidate's bits go once.
 6. Comparison of what is left, grouped by pivot in blocks of members: inverted lists of the
    pivot's shingles over the block, short ones heap-merged, long ones binary-probed
    (DivideSkip again), members with the exact overlap stay.
@@ -49,6 +50,8 @@ THRESHOLD = "0.85"
 #: More parts than differences, as a factor: the larger, the more lists linked sets share.
 SPARE_PARTS = 1.3
 BLOCK = 256
+#: Asking documents that check their candidates together.
+ASKING = 64
 #: Members of a list in one array.
 POSTINGS = 16_384
 #: Pivots of a list are drawn in so many ways.
@@ -230,56 +233,93 @@ def shingle_sets(docs: DataFrame, n: int, classes: Classes) -> DataFrame:
     return docs.select("row", "doc_id", "text").mapInArrow(make, SETS)
 
 
-def _possible(pairs: DataFrame, sets: DataFrame, t: Fraction) -> DataFrame:
-    """The pairs (node, pivot) whose sizes and parity bits allow a link.
-
-    Pairs and sketches (size, parity bits) meet in one sorted stream, each sketch ahead of
-    its pairs: first by node, whose sketch the pairs take along, then by pivot."""
+def _allowed(n1, bits1, n2, bits2, t: Fraction):
+    """Whether sizes and parity bits (arrays, rows by pair) allow a link."""
     num, den = t.numerator, t.denominator
-    sketches = sets.select(F.col("row").alias("at"), F.lit(0).alias("kind"), F.lit(None).cast("long").alias("other"),
-                           F.col("n_shingles").alias("size"), "parity")
+    differ = np.bitwise_count(bits1 ^ bits2).sum(axis=1, dtype=np.int64)
+    return (np.minimum(n1, n2) * den >= np.maximum(n1, n2) * num) & (differ * (den + num) <= (n1 + n2) * (den - num))
+
+
+def _bits(raw: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(raw), np.uint64).reshape(len(raw), PARITY_BITS // 64)
 
-    def stream(rows: DataFrame) -> DataFrame:
-        wanted = rows.select("at").distinct()
-        both = sketches.join(wanted, "at", "left_semi").unionByName(rows)
-        return both.repartition("at").sortWithinPartitions("at", "kind")
 
-    def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        size = bits = None
+def _sketches(sets: DataFrame, name: str) -> DataFrame:
+    return sets.select(F.col("row").alias(name), "n_shingles", "parity")
+
+
+def _possible_pairs(pairs: DataFrame, sets: DataFrame, t: Fraction) -> DataFrame:
+    """The pairs (node, pivot) whose sizes and parity bits allow a link."""
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for at, kind, other, n, raw in zip(*(c.to_pylist() for c in batch.columns)):
-                if kind == 0:
-                    size, bits = n, raw
-                else:
-                    out.append((other, 1, at, size, bits))
-            yield pa.RecordBatch.from_arrays([pa.array(c, x) for c, x in zip(zip(*out) if out else [[]] * 5, kinds)], names)
+            if batch.num_rows:
+                n1, n2 = batch.column("n1").to_numpy(), batch.column("n2").to_numpy()
+                sound = _allowed(n1, _bits(batch.column("p1").to_pylist()), n2, _bits(batch.column("p2").to_pylist()), t)
+                yield batch.select(["node", "pivot"]).filter(pa.array(sound))
+
+    both = (pairs.join(_sketches(sets, "node").withColumnsRenamed({"n_shingles": "n1", "parity": "p1"}), "node")
+            .join(_sketches(sets, "pivot").withColumnsRenamed({"n_shingles": "n2", "parity": "p2"}), "pivot"))
+    return both.mapInArrow(pick, "node long, pivot long")
+
+
+def _possible_candidates(asked: DataFrame, sets: DataFrame, t: Fraction) -> DataFrame:
+    """The pairs (node, pivot) of ``asked`` (asking, top, candidates; a written table) whose
+    sizes and parity bits allow a link."""
+    blocks = asked.groupBy("top").agg(F.ceil(F.count(F.lit(1)) / ASKING).cast("int").alias("blocks"))
+    asked = asked.join(blocks, "top").select("top", F.pmod(F.xxhash64("asking"), F.col("blocks")).cast("int").alias("block"), "asking", "candidates")
+    asked = materialize(asked, "asked-blocks")
+
+    def each_once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = None, []
+
+        def distinct():
+            who = np.unique(np.concatenate(held))
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(who), at[0])), pa.array(np.full(len(who), at[1], np.int32)), pa.array(who)], ["top", "block", "node"])
+
+        for batch in batches:
+            cut, values = batch.column("candidates").offsets.to_numpy(), batch.column("candidates").values.to_numpy()
+            for i, key in enumerate(zip(batch.column("top").to_pylist(), batch.column("block").to_pylist())):
+                if key != at:
+                    if held:
+                        yield distinct()
+                    at, held = key, []
+                held.append(values[cut[i]:cut[i + 1]])
+        if held:
+            yield distinct()
+
+    sorted_blocks = asked.repartition("top", "block").sortWithinPartitions("top", "block")
+    known = (sorted_blocks.select("top", "block", "candidates").mapInArrow(each_once, "top long, block int, node long")
+             .join(_sketches(sets, "node"), "node")
+             .select("top", "block", F.lit(0).alias("kind"), "node", "n_shingles", "parity", F.lit(None).cast("array<long>").alias("candidates")))
+    asking = asked.join(_sketches(sets, "asking"), "asking").select(
+        "top", "block", F.lit(1).alias("kind"), F.col("asking").alias("node"), "n_shingles", "parity", "candidates")
+    rows = known.unionByName(asking).repartition("top", "block").sortWithinPartitions("top", "block", "kind", "node")
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        size, bits = 0, np.zeros(PARITY_BITS // 64, np.uint64)
+        at, held, table = None, [], None
         for batch in batches:
-            out = []
-            for at, kind, other, n, raw in zip(*(c.to_pylist() for c in batch.columns)):
+            out = [np.zeros((0, 2), np.int64)]
+            for top, block, kind, node, n, raw, candidates in zip(*(c.to_pylist() for c in batch.columns)):
+                if (top, block) != at:
+                    at, held, table = (top, block), [], None
                 if kind == 0:
-                    size, bits = n, np.frombuffer(raw, np.uint64)
-                elif min(n, size) * den >= max(n, size) * num:
-                    differ = int(np.bitwise_count(bits ^ np.frombuffer(raw, np.uint64)).sum())
-                    if differ * (den + num) <= (n + size) * (den - num):
-                        out.append((other, at))
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*out) if out else ([], []))], ["node", "pivot"])
-
-    names, kinds = ["at", "kind", "other", "size", "parity"], [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
-    rows = pairs.select(F.col("node").alias("at"), F.lit(1).alias("kind"), F.col("pivot").alias("other"),
-                        F.lit(None).cast("long").alias("size"), F.lit(None).cast("binary").alias("parity"))
-    taken = materialize(stream(rows).mapInArrow(take, "at long, kind int, other long, size long, parity binary"), "sketched")
-    return stream(taken).mapInArrow(pick, "node long, pivot long")
-
-
-def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, n: int, t: Fraction, done: DataFrame | None = None) -> DataFrame:
-    """Of the distinct pairs (node, pivot; a written table) those that link, but for the
-    ones in ``done``. ``docs``: row, text."""
-    pairs = _possible(pairs, sets, t)
-    pairs = materialize(pairs.join(done, ["node", "pivot"], "left_anti") if done else pairs, "candidates")
+                    held.append((node, n, raw))
+                    continue
+                if table is None:
+                    ids, sizes, bits = zip(*held)
+                    table = np.array(ids, np.int64), np.array(sizes, np.int64), _bits(list(bits))
+                place = np.searchsorted(table[0], np.array(candidates, np.int64))
+                who = table[0][place[_allowed(n, _bits([raw]), table[1][place], table[2][place], t)]]
+                out.append(np.stack([np.maximum(who, node), np.minimum(who, node)], axis=1))
+            pairs = np.concatenate(out)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["node", "pivot"])
+
+    return rows.mapInArrow(pick, "node long, pivot long").distinct()
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, n: int, t: Fraction) -> DataFrame:
+    """Of the distinct pairs (node, pivot) those that link. ``docs``: row, text."""
+    pairs = materialize(pairs, "candidates")
     wanted = pairs.select("node").union(pairs.select("pivot")).distinct()
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -345,7 +385,8 @@ def least_labels(links: DataFrame) -> DataFrame:
 
 
 def _searched(lists: DataFrame, needs: DataFrame, labels: DataFrame) -> DataFrame:
-    """T-occurrence search across components: distinct candidate pairs (node, pivot).
+    """T-occurrence search across components: rows (asking, top, candidates), ``top`` being
+    the heaviest component in any list of the asking node.
 
     ``lists``: key, node, long; ``needs``: node, class, need; ``labels``: node, component."""
     sizes = labels.groupBy("component").agg(F.count(F.lit(1)).alias("weight"))
@@ -355,7 +396,7 @@ def _searched(lists: DataFrame, needs: DataFrame, labels: DataFrame) -> DataFram
     # Lists with members of several components; every one but the heaviest component's asks.
     rank = F.struct("weight", "component")
     open_lists = placed.groupBy("key").agg(F.min(rank).alias("low"), F.max(rank).alias("top")).filter("low != top").select("key", "top")
-    tops = placed.join(open_lists, "key").select("key", "node", "long", "component", (rank < F.col("top")).alias("asks"))
+    tops = placed.join(open_lists, "key").select("key", "node", "long", "component", "top", (rank < F.col("top")).alias("asks"))
     tops = materialize(tops, "open-lists")
     most = tops.agg(F.max("long").alias("m")).first()["m"] or 1
     buckets = -(-most // POSTINGS)
@@ -363,7 +404,8 @@ def _searched(lists: DataFrame, needs: DataFrame, labels: DataFrame) -> DataFram
                 .agg(F.array_sort(F.collect_list(F.struct("node", "component"))).alias("who"))
                 .select("key", "bucket", F.col("who.node").alias("members"), F.col("who.component").alias("components")))
     asks = tops.filter("asks").withColumn("class", F.col("key").bitwiseAND(F.lit(0xFF))).join(needs, ["node", "class"])
-    asks = asks.select("key", F.col("node").alias("asking"), "class", F.col("component").alias("own"), "need")
+    asks = asks.select("key", F.col("node").alias("asking"), "class", F.col("component").alias("own"), "need",
+                       F.max("top").over(Window.partitionBy("node"))["component"].alias("top"))
     rows = asks.join(postings, "key").drop("key")
     rows = rows.repartition("asking", "class", "bucket").sortWithinPartitions("asking", "class", "bucket")
 
@@ -372,10 +414,11 @@ def _searched(lists: DataFrame, needs: DataFrame, labels: DataFrame) -> DataFram
 
         def candidates():
             who = occurring(held, at[4])
-            return pa.RecordBatch.from_arrays([pa.array(np.maximum(who, at[0])), pa.array(np.minimum(who, at[0]))], ["node", "pivot"])
+            return pa.RecordBatch.from_arrays([pa.array([at[0]], pa.int64()), pa.array([at[5]], pa.int64()), pa.array([who], pa.list_(pa.int64()))],
+                                              ["asking", "top", "candidates"]).slice(0, min(1, len(who)))
 
         for batch in batches:
-            keys = zip(*(batch.column(c).to_pylist() for c in ("asking", "class", "bucket", "own", "need")))
+            keys = zip(*(batch.column(c).to_pylist() for c in ("asking", "class", "bucket", "own", "need", "top")))
             (cut, members), (cut2, components) = [(batch.column(c).offsets.to_numpy(), batch.column(c).values.to_numpy()) for c in ("members", "components")]
             for i, key in enumerate(keys):
                 if key != at:
@@ -387,7 +430,7 @@ def _searched(lists: DataFrame, needs: DataFrame, labels: DataFrame) -> DataFram
         if held and len(held) >= at[4]:
             yield candidates()
 
-    return rows.mapInArrow(merge, "node long, pivot long").distinct()
+    return rows.mapInArrow(merge, "asking long, top long, candidates array<long>")
 
 
 def near_duplicates(docs: DataFrame, n: int = N, threshold: str = THRESHOLD) -> DataFrame:
@@ -414,9 +457,9 @@ def near_duplicates(docs: DataFrame, n: int = N, threshold: str = THRESHOLD) ->
     pair = [F.greatest("node", "pivot").alias("node"), F.least("node", "pivot").alias("pivot")]
     compared = lists.filter("node != pivot").select(*pair).groupBy("node", "pivot").count().filter("count > 1").select("node", "pivot")
     compared = materialize(compared, "compared")
-    links = _verified(compared, sets, docs, n, t)
-    pairs = _searched(lists.select("key", "node", "long"), needs, least_labels(links))
-    more = _verified(materialize(pairs, "asked"), sets, docs, n, t, done=compared)
+    links = _verified(_possible_pairs(compared, sets, t), docs, n, t)
+    asked = materialize(_searched(lists.select("key", "node", "long"), needs, least_labels(links)), "asked")
+    more = _verified(_possible_candidates(asked, sets, t).join(compared, ["node", "pivot"], "left_anti"), docs, n, t)
     every = least_labels(links.unionByName(more))
 
     comps = nodes.join(every, "node", "left").withColumn("component", F.coalesce("component", "node"))
