@@ -51,7 +51,7 @@ THRESHOLD = "0.85"
 SPARE_PARTS = 1.3
 BLOCK = 256
 #: Asking documents that check their candidates together.
-ASKING = 64
+ASKING = 512
 #: Members of a list in one array.
 POSTINGS = 16_384
 #: Pivots of a list are drawn in so many ways.
@@ -433,14 +433,15 @@ def _searched(lists: DataFrame, needs: DataFrame, labels: DataFrame) -> DataFram
     return rows.mapInArrow(merge, "asking long, top long, candidates array<long>")
 
 
-def near_duplicates(docs: DataFrame, n: int = N, threshold: str = THRESHOLD) -> DataFrame:
+def near_duplicates(docs: DataFrame, n: int = N, threshold: str = THRESHOLD, spare_parts: float = SPARE_PARTS) -> DataFrame:
     """row, doc_id, n_shingles, node and component of every row of ``docs`` (a stored table;
-    ``row`` is its pass number), with component_id, the component's least doc_id."""
+    ``row`` is its pass number), with component_id, the component's least doc_id.
+    ``spare_parts`` trades list keys for candidates; it does not change the result."""
     t = Fraction(threshold)
     if not 0 < t <= 1 or n < 1:
         raise ValueError("threshold must be in (0, 1], n positive")
     docs = pass_id(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), "row")
-    sets = materialize(shingle_sets(docs, n, Classes(t)), "sets")
+    sets = materialize(shingle_sets(docs, n, Classes(t, spare_parts=spare_parts)), "sets")
     marks = ["n_shingles", "mark1", "mark2"]
     nodes = materialize(sets.filter("n_shingles > 0").groupBy(*marks).agg(F.min("row").alias("node"), F.min("doc_id").alias("least_id")), "nodes")
 
@@ -470,10 +471,10 @@ def near_duplicates(docs: DataFrame, n: int = N, threshold: str = THRESHOLD) ->
                       F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
-def first_of_each(docs: DataFrame, n: int, threshold: str) -> DataFrame:
+def first_of_each(docs: DataFrame, n: int, threshold: str, spare_parts: float = SPARE_PARTS) -> DataFrame:
     """The rows of ``docs`` (a stored table; all columns), one of each component: the one with
     the least doc_id (null last), then row. Rows without words stay."""
-    found = materialize(near_duplicates(docs, n, threshold), "components")
+    found = materialize(near_duplicates(docs, n, threshold, spare_parts), "components")
     keys = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row"))
     best = found.filter("n_shingles > 0").groupBy("component").agg(F.min_by("row", keys).alias("_llm_row")).select("_llm_row")
     kept = best.union(found.filter("n_shingles = 0").select("row"))
