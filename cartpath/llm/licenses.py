@@ -9,7 +9,8 @@ and lowers its licence by one class.
 Normalised words: capitals A-Z folded, runs of digits, letters a-z and everything above
 ASCII. ``first`` and ``last`` count words from 0.
 
-Defined cases: null and empty texts have no words, no labels and score 0; a broken
+Defined cases: null and empty texts have no words, no labels and score 0; an expression is
+read whole, however long its line is; a broken
 expression keeps the labels read up to the fault; the restriction class of a name that is
 not in the table is unknown (0.5) and gives no label; repeated rows and further columns
 make no difference; an empty table gives an empty result.
@@ -18,7 +19,7 @@ make no difference; an empty table gives an empty result.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import ahocorasick
 import pyarrow as pa
@@ -60,7 +61,7 @@ FOUND = ("doc_id long, n_words long, n_base long, first_word long, last_word lon
 
 _WORDS = bytes(c + 32 if 65 <= c <= 90 else c if c > 127 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
 _TAG = re.compile(rb"spdx[^0-9a-z\x80-\xff]+license[^0-9a-z\x80-\xff]+identifier[^0-9a-z\x80-\xff(]*", re.I)
-_EXPRESSION = re.compile(rb"\(|\)|[A-Za-z0-9.+-]+|[ \t]+|\S")
+_EXPRESSION = re.compile(rb"\(|\)|[A-Za-z0-9.+-]+|[\n\r]|\S")
 _RANK = {"or": 1, "and": 2, "with": 3}
 _automaton = None
 
@@ -75,12 +76,13 @@ def automaton():
     return _automaton
 
 
-def parse_expression(words: list[str]) -> tuple[list[str], int]:
+def parse_expression(words: Iterable[str]) -> tuple[list[str], int]:
     """Postfix form of the longest sound expression at the start, and the words it takes.
 
     Shunting yard: names go out, operators wait for those that bind tighter, brackets hold
-    them back. ``with`` binds tightest, then ``and``, then ``or``."""
-    out, stack, depth, name_next, good = [], [], 0, True, ([], 0)
+    them back. ``with`` binds tightest, then ``and``, then ``or``. No word is read behind the
+    first that cannot continue the expression."""
+    out, stack, depth, name_next, good = [], [], 0, True, (0, [], 0)
     for i, word in enumerate(words):
         low = word.lower()
         if name_next:
@@ -107,8 +109,9 @@ def parse_expression(words: list[str]) -> tuple[list[str], int]:
         else:
             break
         if not depth and not name_next:
-            good = ([*out, *reversed(stack)], i + 1)
-    return good
+            # Outside brackets at most one operator of each rank waits.
+            good = (len(out), stack[::-1], i + 1)
+    return out[:good[0]] + good[1], good[2]
 
 
 def name_label(name: str) -> str | None:
@@ -134,10 +137,13 @@ def evaluate(postfix: list[str]) -> tuple[float, set[str]]:
     return stack[0]
 
 
-def expression_words(raw: bytes) -> list[str]:
-    """Names, operators and brackets up to the end of the line."""
-    line = re.split(rb"[\n\r]", raw, maxsplit=1)[0]
-    return [w.decode("latin-1").rstrip(".") or "." for w in _EXPRESSION.findall(line) if not w.isspace()]
+def expression_words(text: bytes, start: int = 0) -> Iterator[str]:
+    """Names, operators and brackets from ``start`` up to the end of the line, read on demand."""
+    for m in _EXPRESSION.finditer(text, start):
+        word = m.group().decode("latin-1")
+        if word in "\n\r":
+            return
+        yield word.rstrip(".") or "."
 
 
 def scan(text: bytes) -> tuple:
@@ -162,7 +168,7 @@ def scan(text: bytes) -> tuple:
     expressions = []
     if tagged:
         for m in _TAG.finditer(text):
-            postfix, _ = parse_expression(expression_words(text[m.end():m.end() + 1000]))
+            postfix, _ = parse_expression(expression_words(text, m.end()))
             if postfix:
                 value, names = evaluate(postfix)
                 restriction.append(value)

@@ -56,6 +56,26 @@ def test_tags_and_notices():
     assert scan(b"no licence here")[1:] == (0, None, None, "", "", 0.0, [])
 
 
+@pytest.mark.parametrize("form", ["{}", "({})", "(({}) AND MIT)"])
+@pytest.mark.parametrize("names", [120, 1000, 100_000])
+def test_long_expressions_are_read_whole(form, names):
+    inner = " OR ".join(["GPL-2.0"] + ["Own-License"] * names + ["AGPL-3.0"])
+    text = "SPDX-License-Identifier: " + form.format(inner) + "\nMPL-2.0 OR EPL-2.0"
+    labels, score, (expression,) = scan(text.encode())[5:]
+    both = "AND" in form
+    assert labels == "agpl,gpl-2.0" + ",mit" * both and score == 0.5
+    assert expression.split().count("own-license") == names and expression.split().count("or") == names + 1
+    # The last alternative is the least restrictive one.
+    free = text.replace("AGPL-3.0", "CC0-1.0")
+    assert scan(free.encode())[5:7] == (("cc0,gpl-2.0,mit", 0.2) if both else ("cc0,gpl-2.0", 0.0))
+
+
+def test_names_are_not_cut():
+    for pad in range(960, 1010):
+        text = "SPDX-License-Identifier: " + "A" * pad + " OR GPL-3.0-or-later"
+        assert scan(text.encode())[5:7] == ("gpl-3.0", 0.5)
+
+
 def test_documents_and_odd_rows(docs, odd, none):
     for table in (docs, odd):
         got = [tuple(r)[:6] for r in scan_licenses(table).collect()]
