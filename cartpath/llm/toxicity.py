@@ -4,7 +4,9 @@ Texts are folded first: capitals, full-width letters, Cyrillic and Greek look-al
 digits or signs used for letters inside a word become plain letters. An Aho-Corasick
 automaton finds the lexicon's entries (whole words and word beginnings) in one pass; a hit
 inside an exception phrase does not count, and of several entries at one word the
-heaviest counts. The hits' weights and their share of the length enter a logistic curve.
+heaviest counts. A word with signs anywhere (``idi07``, ``1d10t``, ``id!ot``) is looked up
+wholly folded as well, with a ``!`` at its ends as punctuation and as a letter; without a
+letter (``2024``, ``$$$``) it stays as it is. The hits' weights and their share of the length enter a logistic curve.
 
 The lexicon is learned from labelled documents: an entry's weight is the smoothed log-odds
 of the document shares that hold it, in toxic against other documents, exception phrases
@@ -43,7 +45,9 @@ SCORED = "doc_id long, held_out boolean, score double, predicted int"
 
 # Look-alikes of Latin letters, and signs written for letters.
 _ALIKE = dict(zip("авгеёзіїјкмнорсԁԛѕтухԝһαβεζηικμνορτυχω", "abreesiijkmhopcdqstyxwhabezhikmvoptyxw"))
-_SIGNS = dict(zip("0134578@$", "oieastbas"))
+_SIGNS = dict(zip("0134578@$!", "oieastbasi"))
+_SIGNED = re.compile(r"(?<![^ ])[^ ]*[0134578@$!][^ ]*")
+_WHOLE = str.maketrans(_SIGNS)
 _MARK = re.compile(r"(?<=[^\W\d_])[0134578@$]+(?=[^\W\d_])|(?<![^ ])[0134578@$](?=[^\W\d_]{2})")
 _fold_table: np.ndarray | None = None
 
@@ -64,26 +68,68 @@ def fold_table() -> np.ndarray:
                 wide = unicodedata.normalize("NFKC", low)
                 low = wide.lower() if len(wide) == 1 else low
             table[i] = ord(_ALIKE.get(low, low))
-        for c in "@$":
+        for c in "@$!":
             table[ord(c)] = ord(c)
         _fold_table = table
     return _fold_table
 
 
-def fold(text: str) -> str:
-    """`` word word `` with single spaces at both ends; look-alikes and inner signs folded."""
-    if not text:
-        return " "
-    flat = fold_table()[np.frombuffer(text.encode("utf-32-le"), np.uint32)].tobytes().decode("utf-32-le", "replace")
+def _flat(text: str) -> str:
+    """Folded letters, digits and signs; everything else is a space."""
+    return fold_table()[np.frombuffer(text.encode("utf-32-le"), np.uint32)].tobytes().decode("utf-32-le", "replace")
+
+
+def _plain(flat: str) -> str:
+    """`` word word `` with inner signs folded, other ``@``, ``$`` and every ``!`` as spaces."""
+    flat = flat.replace("!", " ")
     if not flat.isalpha():
         flat = _MARK.sub(lambda m: "".join(_SIGNS[c] for c in m.group()), flat)
     flat = flat.replace("@", " ").replace("$", " ")
     return f" {' '.join(flat.split(' '))} ".replace("  ", " ") if "  " not in flat else f" {' '.join(flat.split())} "
 
 
-def terms(folded: str) -> set[str]:
+def fold(text: str) -> str:
+    """`` word word `` with single spaces at both ends; look-alikes and inner signs folded."""
+    return _plain(_flat(text)) if text else " "
+
+
+def _whole(word: str) -> list[str]:
+    """Wholly folded forms of a word with signs; the first takes each ``!`` at its ends as punctuation."""
+    if not any(map(str.isalpha, word)):
+        return []
+    core = word.strip("!")
+    before, after = len(word) - len(word.lstrip("!")), len(word) - len(word.rstrip("!"))
+    forms = {"!" * a + core + "!" * b: None for a in (0, 1, before) if a <= before for b in (0, 1, after) if b <= after}
+    return [f.translate(_WHOLE) for f in forms]
+
+
+def fold_signed(text: str) -> tuple[str, list[tuple[int, int, list[str]]]]:
+    """``fold`` of a text, and for each word with signs its start and end there and its wholly folded forms."""
+    if not text:
+        return " ", []
+    flat = _flat(text)
+    parts, signed, at, last = [], [], 0, 0
+    for m in _SIGNED.finditer(flat):
+        if plain := flat[last:m.start()].split():
+            parts.append(" " + " ".join(plain))
+            at += len(parts[-1])
+        last, word = m.end(), m.group()
+        here = _plain(word).rstrip()
+        parts.append(here)
+        if forms := [f for f in _whole(word) if f" {f}" != here]:
+            signed.append((at, at + len(here), forms))
+        at += len(here)
+    if not last:
+        return _plain(flat), []
+    if plain := flat[last:].split():
+        parts.append(" " + " ".join(plain))
+    return ("".join(parts) or " ") + " ", signed
+
+
+def terms(folded: str, signed: list[tuple[int, int, list[str]]] = ()) -> set[str]:
     """Words and word beginnings of a folded text, as they are looked up."""
-    words = set(folded.split())
+    # A ``!`` at a word's end is mostly punctuation: those forms are looked up, not learned.
+    words = {*folded.split(), *(forms[0] for _, _, forms in signed)}
     out = {f" {w} " for w in words if len(w) < 40}
     for n in PREFIXES:
         out.update(f" {w[:n]}" for w in words if len(w) > n)
@@ -126,9 +172,23 @@ class Lexicon:
             found = {s: v for s, v in found.items() if not any(a <= s and v[1] <= b for a, b in spared)}
         return found
 
-    def features(self, text: str | None) -> tuple[float, float, float]:
-        folded = fold(text or "")
+    def hits_signed(self, folded: str, signed: list[tuple[int, int, list[str]]]) -> dict[int, tuple[float, int]]:
+        """``hits``, with words looked up wholly folded too; the heavier form of a word counts."""
         found = self.hits(folded)
+        for start, end, forms in signed if self.weights else ():
+            before = folded[max(0, folded.rfind(" ", 0, start)):start]
+            stop = folded.find(" ", end + 1)
+            after = folded[end:stop + 1] if stop > 0 else " "
+            best = max((h[len(before)] for h in (self.hits(f"{before} {form}{after}") for form in forms) if len(before) in h), default=None)
+            if best:
+                own = max((s for s in found if start <= s < end), key=lambda s: found[s], default=None)
+                if own is None or found[own][0] < best[0]:
+                    found[start if own is None else own] = (best[0], end)
+        return found
+
+    def features(self, text: str | None) -> tuple[float, float, float]:
+        folded, signed = fold_signed(text or "")
+        found = self.hits_signed(folded, signed)
         mass = sum(w for w, _ in found.values())
         words = max(1, folded.count(" ") - 1)
         return float(np.log1p(mass)), float(np.log1p(100 * mass / words)), float(np.log1p(len(found)))
@@ -174,7 +234,7 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_
         seen = {0: Counter(), 1: Counter()}
         for batch in text_slices(batches):
             for toxic, text in zip(batch.column("toxic").to_pylist(), batch.column("text").to_pylist()):
-                seen[toxic].update(make(fold(text)))
+                seen[toxic].update(make(*fold_signed(text)))
         every = list(seen[0].keys() | seen[1].keys())
         for i in range(0, len(every), 50_000):
             part = every[i:i + 50_000]
@@ -196,7 +256,7 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_
             chosen[term] = float(r["w"])
     plain = Lexicon(chosen)
 
-    def around(folded: str) -> set[str]:
+    def around(folded: str, _) -> set[str]:
         out = set()
         for start, (_, end) in plain.hits(folded).items():
             stop = folded.find(" ", start + 1)

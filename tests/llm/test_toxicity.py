@@ -7,16 +7,46 @@ import zlib
 import pytest
 from pyspark.sql import functions as F
 
-from cartpath.llm.toxicity import Lexicon, drop_toxic, fold, learn_lexicon, score_toxicity
+from cartpath.llm.toxicity import Lexicon, drop_toxic, fold, fold_signed, learn_lexicon, score_toxicity, terms
 
 
 @pytest.mark.parametrize("text, folded", [
     ("LOSER", " loser "), ("l0ser", " loser "), ("$tupid!", " stupid "), ("сlоwn", " clown "), ("ＭＯＲＯＮ", " moron "), ("1diot", " idiot "),
-    ("in 2024 at 10", " in 2024 at 10 "), ("a.b  c", " a b c "), ("", " "), ("!!!", "  "), ("É", " é ")])
+    ("in 2024 at 10", " in 2024 at 10 "), ("a.b  c", " a b c "), ("", " "), ("!!!", "  "), ("É", " é "),
+    ("idi07 w0rthle55 1d10t", " idi07 worthle55 1diot "), ("id!ot!", " id ot "), ("$$$ 2024! $5", " 2024 5 ")])
 def test_folding(text, folded):
     assert fold(text).split() == folded.split() and fold(text).startswith(" ") and fold(text).endswith(" ")
 
 
+@pytest.mark.parametrize("text, forms", [
+    ("idi07", [["idiot"]]), ("so w0rthle55, you", [["worthless"]]), ("1d10t", [["idiot"]]), ("id!ot", [["idiot"]]), ("m0r0n5", [["morons"]]),
+    ("!d!07!", [["d!07", "!d!07", "d!07!", "!d!07!"]]), ("naz!!!", [["naz!", "naz!!!"]]), ("a $h!7 b", [["shit"]]), ("l0ser", []), ("loser!", [["loser!"]]),
+    ("in 2024 at 10!", []), ("$$$ !!! @ 5", []), ("", [])])
+def test_words_with_signs_are_folded_wholly(text, forms):
+    folded, signed = fold_signed(text)
+    assert folded == fold(text) and all(folded[a] == folded[b] == " " for a, b, _ in signed)
+    whole = str.maketrans("!07", "iot")
+    assert [set(f) for *_, f in signed] == [{x.translate(whole) for x in f} for f in forms]
+
+
+def test_disguised_words_are_found():
+    lexicon = Lexicon({" idiot ": 3.0, " worthl": 2.0, " loser ": 4.0}, (" village idiot ",))
+    found = lambda text: sorted(w for w, _ in lexicon.hits_signed(*fold_signed(text)).values())
+    for text in ("idi07", "1d10t", "1D10T!!", "id!ot", "an !d!0t here", "idiot!", "!diot", "@ idio7 $$$"):
+        assert found(text) == [3.0], text
+    assert found("w0rthle55 you") == [2.0] and found("l0ser! you id!07, idiot") == [3.0, 3.0, 4.0]
+    assert found("in 2024 at 10! $$$ 1070 the village id!ot") == [] == found("village 1d10t!")
+    # Both forms of a word count once, the heavier one.
+    assert found("loser!idiot") == [3.0, 4.0] and "idiot" in {t.strip() for t in terms(*fold_signed("1d10t"))}
+
+
+def test_rare_disguises_are_predicted(spark):
+    docs, marks = made(spark)
+    lexicon = learn_lexicon(docs, marks)
+    texts = ["word1 word2 " * 20 + x for x in ("grimb4l", "9r1mbal vex0r", "v3x0r!", "gr!mb@l", "7r1m 2024 $$$ 10!")]
+    assert [s >= 0.5 for s in lexicon.score(texts)] == [True, True, True, True, False]
+
+
 @pytest.mark.parametrize("seed", range(10))
 def test_hits_match_a_plain_search(seed):
     rnd = random.Random(seed)
