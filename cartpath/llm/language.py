@@ -5,15 +5,19 @@ it into the longest phrases that occur in the labelled text; ``phrases * log2(si
 labelled text) / length`` estimates the cross entropy in bits a letter, and the language
 that needs the fewest normalised phrases wins.
 
-The automaton of every language becomes one dense transition table (a failed step starts
-the next phrase at the root), and the pieces of all texts of a slice are parsed in step,
-one symbol of every piece and language at a time. Texts are folded to letters of the
-labelled text's alphabet and single spaces; they are parsed whole, in pieces of ``PIECE``
-symbols that each begin a phrase.
-
-The labelled text is a bounded sample (``SAMPLE_DOCS`` documents of a language, by hash of
-the id, ``SAMPLE_CHARS`` letters of it), so the tables broadcast to the workers have a
-fixed size for a given number of languages (``MAX_LANGUAGES`` most frequent ones).
+The automata's edges lie in one table for all languages (row displacement: a state is the
+place of its row, an edge stands at state + symbol with its owner), so its size follows
+the labelled text and not the alphabets; a failed step starts the next phrase at the root.
+The pieces of all texts of a slice are parsed in step, one symbol of every piece and
+language at a time. Texts are folded to the letters of all labelled texts and single
+spaces; a letter that a language's own labelled text lacks is a phrase by itself there.
+Texts are parsed whole, in pieces of ``PIECE`` symbols that each begin a phrase.
+
+The labelled text is a bounded sample: ``SAMPLE_DOCS`` documents of a language are drawn by
+hash of the id, each gives its first ``4 * SAMPLE_CHARS / SAMPLE_DOCS`` (1,000) characters, and
+the first ``SAMPLE_CHARS`` (16,000) of these are kept, so with long documents about 16 of the
+64 count. More than 16 languages share ``16 * SAMPLE_CHARS`` characters, at least 1,000 each.
+Every labelled language is kept; the table grows with their number.
 
 Defined cases: a null text and one without a letter give ``und`` and score 0; a null id is
 never learned from and not held out; with nothing to learn from everything is ``und``;
@@ -24,7 +28,6 @@ no difference; an empty table gives an empty result.
 from __future__ import annotations
 
 import sys
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,8 +40,6 @@ from .common import id_crc32, ship, text_slices
 PIECE = 1024
 SAMPLE_DOCS = 64
 SAMPLE_CHARS = 16_000
-MAX_LANGUAGES = 64
-ALPHABET = 62
 UNKNOWN = "und"
 PREDICTED = "doc_id long, held_out boolean, lang_pred string, score double"
 _SPACE, _OTHER = 0, 1
@@ -73,41 +74,72 @@ def suffix_automaton(symbols: list[int]) -> list[dict[int, int]]:
     return step
 
 
+def displaced(rows: list[tuple[np.ndarray, int]]) -> tuple[np.ndarray, int]:
+    """A place for every row (symbols, number), all different, so that no two edges meet; and the slots used.
+
+    Long rows first, the short ones fill the holes; blocks without room are not tried again."""
+    place = np.zeros(len(rows), np.int64)
+    most = max((int(s[-1]) for s, _ in rows if len(s)), default=0) + 1
+    slots = 2 * sum(len(s) for s, _ in rows) + 2 * len(rows) + most + 256
+    used, taken, block, at, size = np.zeros(slots, bool), np.zeros(slots, bool), np.arange(128), 0, None
+    for symbols, number in sorted(rows, key=lambda r: (-len(r[0]), r[1])):
+        if len(symbols) != size:
+            size = len(symbols)
+            if size < 2:
+                at = 0
+        while True:
+            if at + most + 256 > len(used):
+                used, taken = (np.concatenate([x, np.zeros(len(x), bool)]) for x in (used, taken))
+            free = ~taken[at:at + 128]
+            for c in symbols if size < 8 else ():
+                free &= ~used[at + c:at + c + 128]
+            if size >= 8:
+                free &= ~used[at + block[:, None] + symbols].any(axis=1)
+            first = int(free.argmax())
+            if free[first]:
+                break
+            at += 128
+        place[number] = at + first
+        taken[at + first] = True
+        used[at + first + symbols] = True
+    return place, int(place.max(initial=0)) + most
+
+
 class LanguageModel:
-    """``fold``: code point -> symbol; ``table``: state * width + symbol -> next entry and ended phrases."""
+    """``fold``: code point -> symbol; ``table``: state + symbol -> owner of the edge and next state;
+    ``start``: language, symbol -> state after a new phrase and ended phrases."""
 
-    SHIFT = 40
+    SHIFT = 32
 
-    def __init__(self, samples: dict[str, str], alphabet: int = ALPHABET):
+    def __init__(self, samples: dict[str, str]):
         self.languages = sorted(samples)
-        seen = Counter("".join(samples.values()).lower())
-        letters = sorted((c for c, _ in sorted(seen.items(), key=lambda x: (-x[1], x[0])) if c.isalpha()), key=lambda c: (-seen[c], c))[:alphabet]
+        letters = sorted(c for c in set("".join(samples.values()).lower()) if c.isalpha())
         self.width = len(letters) + 2
-        fold = np.fromiter((chr(i).isalpha() for i in range(sys.maxunicode + 1)), np.uint8, sys.maxunicode + 1)
-        for i, c in enumerate(letters):
-            for form in {c, c.upper(), c.title()}:
-                if len(form) == 1:
-                    fold[ord(form)] = i + 2
-        self.fold = fold
-        tables, self.roots, self.bits, at = [], [], [], 0
+        number = {c: i + 2 for i, c in enumerate(letters)}
+        kind = np.min_scalar_type(self.width)
+        self.fold = np.fromiter((number.get(c.lower(), _OTHER) if c.isalpha() else _SPACE for c in map(chr, range(sys.maxunicode + 1))),
+                                kind, sys.maxunicode + 1)
+        steps, self.bits = [], []
         for lang in self.languages:
             symbols = self.symbols(samples[lang])
-            step = suffix_automaton(symbols.tolist())
-            table = np.zeros((len(step), self.width), np.int64)
-            root = np.array([at + step[0].get(c, 0) * self.width for c in range(self.width)])
-            # No way on: the phrase ends, the symbol starts a new one (or is one by itself).
-            table[:] = root + (1 << self.SHIFT)
-            alone = np.array([c not in step[0] for c in range(self.width)])
-            table[1:, alone] += 1 << self.SHIFT
-            table[0] = root + (alone.astype(np.int64) << self.SHIFT)
-            for s, edges in enumerate(step):
-                for c, t in edges.items():
-                    table[s, c] = at + t * self.width
-            tables.append(table.ravel())
-            self.roots.append(at)
+            steps.append(suffix_automaton(symbols.tolist()))
             self.bits.append(float(np.log2(len(symbols) + 2)))
-            at += table.size
-        self.table = np.concatenate(tables) if tables else np.zeros(0, np.int64)
+        # A root has no row: its edges are in ``start``.
+        offsets = np.cumsum([0, *map(len, steps)]).tolist()
+        rows = [(np.array(sorted(edges) if s else [], np.int64), at + s) for at, step in zip(offsets, steps) for s, edges in enumerate(step)]
+        place, slots = displaced(rows)
+        self.table = np.full(slots, -1, np.int64)
+        self.start = np.empty((len(steps), self.width), np.int64)
+        self.roots = [int(place[at]) for at in offsets[:-1]]
+        for k, (at, step) in enumerate(zip(offsets, steps)):
+            # No way on: the symbol starts a new phrase, or is one by itself.
+            self.start[k] = self.roots[k] + (1 << self.SHIFT)
+            for c, t in step[0].items():
+                self.start[k, c] = place[at + t]
+            for s, edges in enumerate(step[1:], at + 1):
+                own = int(place[s])
+                for c, t in edges.items():
+                    self.table[own + c] = own << self.SHIFT | int(place[at + t])
 
     def symbols(self, text: str) -> np.ndarray:
         """Folded symbols of a text: runs of anything but letters are one space."""
@@ -123,7 +155,7 @@ class LanguageModel:
         count = np.zeros((len(texts), len(self.languages)), np.int64)
         if not sizes.sum() or not self.languages:
             return count, sizes
-        flat = np.concatenate(flat)
+        flat = np.concatenate(flat).astype(np.int64)
         pieces = -(-sizes // PIECE)
         owner = np.repeat(np.arange(len(texts)), pieces)
         nth = np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
@@ -138,9 +170,11 @@ class LanguageModel:
         alive = np.searchsorted(-length, -np.arange(length[0]), side="left")
         for t in range(length[0]):
             k = alive[t]
-            entry = self.table[state[:, :k] + flat[start[:k] + t]]
-            ended[:, :k] += entry >> self.SHIFT
-            state[:, :k] = entry & low
+            here, symbol = state[:, :k], flat[start[:k] + t]
+            edge, fresh = self.table[here + symbol], self.start[:, symbol]
+            on = edge >> self.SHIFT == here
+            ended[:, :k] += np.where(on, 0, (fresh >> self.SHIFT) + (here != roots))
+            state[:, :k] = np.where(on, edge, fresh) & low
         ended += state != roots
         np.add.at(count, owner, ended.T)
         return count, sizes
@@ -161,25 +195,20 @@ class LanguageModel:
         return [self.languages[b] if k else UNKNOWN for b, k in zip(best, known)], score
 
 
-def learn_languages(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS,
-                    max_languages: int = MAX_LANGUAGES) -> LanguageModel:
+def learn_languages(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS) -> LanguageModel:
     """A model of the languages of ``docs`` (doc_id, text, lang), held-out documents left aside."""
     rows = docs.select("doc_id", "text", "lang").filter(
         F.col("lang").isNotNull() & (F.col("lang") != UNKNOWN) & F.col("text").rlike(r"\p{L}") & (id_crc32() % 4 != 2))
-    common = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()
-    if not common:
-        return LanguageModel({})
-    share = max(1000, min(sample_chars, 4 * sample_chars * 4 // len(common)))
     # Top rows of each language: Spark keeps sample_docs rows a language and task before the shuffle.
     pick = Window.partitionBy("lang").orderBy("draw", "doc_id", "text")
-    chosen = (rows.filter(F.col("lang").isin([r["lang"] for r in common]))
-              .select("lang", "doc_id", F.substring("text", 1, 4 * sample_chars // sample_docs).alias("text"),
-                      F.xxhash64(F.col("doc_id")).alias("draw"))
+    chosen = (rows.select("lang", "doc_id", F.substring("text", 1, 4 * sample_chars // sample_docs).alias("text"),
+                          F.xxhash64(F.col("doc_id")).alias("draw"))
               .withColumn("nth", F.row_number().over(pick)).filter(F.col("nth") <= sample_docs))
-    text: dict[str, str] = {}
+    parts: dict[str, list[str]] = {}
     for r in chosen.orderBy("lang", "nth").select("lang", "text").collect():
-        text[r["lang"]] = (text.get(r["lang"], "") + " " + r["text"])[:share]
-    return LanguageModel(text)
+        parts.setdefault(r["lang"], []).append(r["text"])
+    share = max(1000, min(sample_chars, 16 * sample_chars // max(1, len(parts))))
+    return LanguageModel({lang: "".join(f" {t}" for t in texts)[:share] for lang, texts in parts.items()})
 
 
 def predict_language(docs: DataFrame, model: LanguageModel) -> DataFrame:

@@ -40,6 +40,39 @@ def test_phrases_match_a_plain_parse(seed, monkeypatch):
             assert sizes[k] == len(symbols) and counts[k, i] == plain_phrases(symbols, sample, 16)
 
 
+def scripts(n):
+    """Languages with 20 letters of their own each, of one shared block beyond Latin."""
+    rnd = random.Random(7)
+    out = {}
+    for i in range(n):
+        letters = [chr(0x4E00 + 20 * i + k) for k in range(20)]
+        out[f"l{i:03}"] = [" ".join("".join(rnd.choice(letters) for _ in range(rnd.randint(2, 6))) for _ in range(60)) for _ in range(6)]
+    return out
+
+
+def test_large_alphabets_are_told_apart():
+    made = scripts(12)
+    model = LanguageModel({lang: " ".join(texts[:5]) for lang, texts in made.items()})
+    lang, score = model.predict([texts[5] for texts in made.values()])
+    assert lang == list(made) and (score > 0.2).all()
+    # The table follows the labelled text, not the number of letters.
+    rnd = random.Random(1)
+    wide = LanguageModel({"zh": "".join(chr(rnd.randrange(0x4E00, 0x4E00 + 3000)) for _ in range(16_000))})
+    assert wide.width > 2500 and len(wide.table) < 20 * 16_000
+    text = "".join(chr(rnd.randrange(0x4E00, 0x4E00 + 3500)) for _ in range(900))
+    rnd = random.Random(1)
+    sample = "".join(chr(rnd.randrange(0x4E00, 0x4E00 + 3000)) for _ in range(16_000))
+    assert wide.phrases([text])[0][0, 0] == plain_phrases(text, sample, 1024)
+
+
+def test_every_labelled_language_is_learned(spark):
+    rows = [(100 * i + k, text, lang) for i, (lang, texts) in enumerate(scripts(80).items()) for k, text in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = learn_languages(docs)
+    assert len(model.languages) == 80
+    assert all(r.lang_pred == r.lang for r in predict_language(docs, model).join(docs.select("doc_id", "lang"), "doc_id").collect())
+
+
 def test_automaton_knows_every_substring():
     s = [0, 1, 0, 1, 1, 2, 0]
     step = suffix_automaton(s)
