@@ -8,9 +8,11 @@ compress the other. The dictionary starts anew every ``WINDOW`` bytes, so memory
 bounded for any text.
 
 ``neighbours`` also edits each text with the start of the next document in id order. The
-rows are cut into ranges of ids (boundaries from approximate quantiles, sorted inside), so
+rows are cut into ranges of places (boundaries from approximate quantiles, sorted inside), so
 a text is shuffled once and read next to its successor; the first row of a range is sent
-to the range before it too.
+to the range before it too. A place is the id and then the text's hash: null ids, and an id
+that fills more than one range, are cut at quantiles of the hash. Rows equal in id and text
+share a place and stay in one range.
 
 Defined cases: null and empty texts have no phrases and an empty fingerprint; two empty
 fingerprints have likeness 1, an empty and another 0; equal ids are ordered by text, null
@@ -21,6 +23,7 @@ result; further columns are ignored.
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,6 +38,7 @@ SIZE = 64
 WINDOW = 1 << 20
 MARKED = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 _M = (1 << 62) - 1
+_LEAST = -1 << 63
 
 
 class PhraseParser:
@@ -117,7 +121,7 @@ class _Document:
                 likeness(self.mark, following.mark))
 
 
-def _range_of(column: str, splits: list[int]):
+def _range_of(column: str, splits: list, literal=lambda x: F.lit(x).cast("long")):
     """Number of splits at or below a value, in O(sqrt(splits)) a row."""
     if not splits:
         return F.lit(0)
@@ -127,24 +131,53 @@ def _range_of(column: str, splits: list[int]):
     def below(array):
         return F.size(F.filter(array, lambda s: s <= F.col(column)))
 
-    coarse = below(F.array(*[F.lit(b[0]).cast("long") for b in blocks]))
-    fine = F.array(*[F.array(*[F.lit(x).cast("long") for x in b]) for b in blocks])
+    coarse = below(F.array(*[literal(b[0]) for b in blocks]))
+    fine = F.array(*[F.array(*[literal(x) for x in b]) for b in blocks])
     return F.when(coarse == 0, 0).otherwise((coarse - 1) * width + below(F.get(fine, coarse - 1)))
 
 
+def _place(none, key, mark):
+    return F.struct(none.alias("none"), key.alias("id"), mark.alias("hash"))
+
+
+def _splits(rows: DataFrame, ranges: int) -> list[tuple[bool, int, int]]:
+    """At most about 2 * ``ranges`` places (none, id, hash) at which ranges begin, ascending."""
+    if ranges < 2:
+        return []
+    steps, accuracy = [i / ranges for i in range(1, ranges)], max(10_000, 20 * ranges)
+    ids, total, known = rows.agg(F.percentile_approx("doc_id", steps, accuracy), F.count(F.lit(1)), F.count("doc_id")).first()
+    often = Counter(ids or [])
+    splits = {(False, x, _LEAST) for x in often}
+    parts = {x: n + 1 for x, n in often.items() if n > 1}
+    if known < total:
+        splits.add((True, 0, _LEAST))
+        if (n := -(-ranges * (total - known) // total)) > 1:
+            parts[None] = n
+    if parts:
+        # At most ``ranges`` / 2 ids and the null.
+        held = rows.filter(F.col("doc_id").isNull() | F.col("doc_id").isin([x for x in parts if x is not None]))
+        for r in held.groupBy("doc_id").agg(F.percentile_approx(F.xxhash64("text"), steps, accuracy).alias("marks")).collect():
+            n = parts.get(r["doc_id"], 1)
+            marks = {r["marks"][len(steps) * i // n] for i in range(1, n)}
+            splits |= {(r["doc_id"] is None, r["doc_id"] or 0, m) for m in marks}
+    return sorted(splits)
+
+
 def neighbours(docs: DataFrame, ranges: int | None = None) -> DataFrame:
     """Fingerprints of every text and of its edit with the next document, and their likeness."""
     spark = docs.sparkSession
     ship(spark)
     ranges = ranges or 4 * shuffle_partitions(spark)
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    splits = rows.agg(F.percentile_approx("doc_id", [i / ranges for i in range(1, ranges)], max(10_000, 20 * ranges))).first()[0] if ranges > 1 else []
-    splits = sorted(set(splits or []))
+    splits = _splits(rows, ranges)
     # Order: id, then text; null ids last.
-    place = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id"), F.xxhash64("text").alias("hash"))
-    rows = rows.withColumn("place", place).withColumn(
-        "range", F.when(F.col("doc_id").isNull(), len(splits) + 1).otherwise(_range_of("doc_id", splits)).cast("int"))
-    # One row a range: at most ``ranges`` + 1.
+    rows = rows.withColumn("place", _place(F.col("doc_id").isNull(), F.coalesce("doc_id", F.lit(0)), F.xxhash64("text")))
+    if any(none or mark != _LEAST for none, _, mark in splits):
+        number = _range_of("place", splits, lambda x: _place(F.lit(x[0]), F.lit(x[1]).cast("long"), F.lit(x[2]).cast("long")))
+    else:
+        number = _range_of("doc_id", [x for _, x, _ in splits])
+    rows = rows.withColumn("range", number.cast("int"))
+    # One row a range: at most the splits + 1.
     heads = [(r["range"], r["first"]) for r in rows.groupBy("range").agg(F.min("place").alias("first")).orderBy("range").collect()]
     if not heads:
         return spark.createDataFrame([], MARKED)

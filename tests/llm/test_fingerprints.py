@@ -83,6 +83,22 @@ def test_neighbours_match_a_sorted_list(docs, ranges):
     assert sorted(map(tuple, neighbours(docs, ranges).collect())) == sorted(plain_rows(rows))
 
 
+@pytest.mark.parametrize("ranges", [4, 30])
+def test_null_and_repeated_ids_spread(spark, ranges):
+    rnd = random.Random(ranges)
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, f"text {i} " + "".join(rnd.choice("abc ") for _ in range(30))) for i in range(300)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    hashes = {r.text: r.h for r in table.selectExpr("text", "xxhash64(text) AS h").collect()}
+    place = {r: (r[0] is None, r[0] or 0, hashes[r[1]]) for r in rows}
+    splits = fingerprints._splits(table, ranges)
+    tasks = {}
+    for r in rows:
+        tasks.setdefault(sum(s <= place[r] for s in splits), []).append(r)
+    assert max(map(len, tasks.values())) <= 3 * len(rows) / ranges and len(splits) <= 2 * ranges + 1
+    rows.sort(key=place.get)
+    assert sorted(map(tuple, neighbours(table, ranges).collect()), key=str) == sorted(plain_rows(rows), key=str)
+
+
 def test_edits_stay_nearer_than_neighbours(docs):
     rows = neighbours(docs).collect()
     assert sum(r.near_edited > r.near_next for r in rows) >= 0.98 * len(rows)
