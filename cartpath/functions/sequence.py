@@ -5,8 +5,10 @@ one bot session can hold a large share of all rows, even of one second. Here the
 range-partitioned by (group, order) and sorted, and written once with the number of their
 range partition and their row number in it. Sampled bounds spread a hot group over as many
 partitions as its share of the rows asks for, so windows run per (group, partition) over
-about rows / partitions rows at most, for any burst. A summary with one row per (group,
-partition) stitches them: running sums add the totals of earlier partitions, the row
+about rows / partitions rows at most, for any burst whose (group, order) keys are distinct
+(``seq`` makes them so). Rows equal in group and every order column share one partition: a
+table without ``seq`` in which one click repeats within a second gives one task all of
+those. A summary with one row per (group, partition) stitches them: running sums add the totals of earlier partitions, the row
 before a partition's first row is the last row of the group's previous partition.
 
 Being written, the order is also total and fixed: rows equal in every order column keep
