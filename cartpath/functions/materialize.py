@@ -43,6 +43,15 @@ def _delete(spark: SparkSession, paths: list[str]) -> None:
         _paths(spark).remove(p)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete the intermediate tables that ``tables`` read; only what ``materialize`` has
+    written goes, and no DataFrame that reads it can be used any more."""
+    for df in tables:
+        files = df.inputFiles()
+        folders = [p for p in _paths(df.sparkSession) if any(p.rsplit("/", 1)[1] in f for f in files)]
+        _delete(df.sparkSession, folders)
+
+
 def cleanup(spark: SparkSession) -> None:
     """Delete the intermediate tables this session has written; DataFrames that read them
     cannot be used any more."""
