@@ -19,7 +19,8 @@ Everything travels as packed columns, a row for a block and a bucket of hashes:
 way, one bit a key back. Texts travel compressed, by block, once for step 2 and once for
 step 3. Run keys are 64 bits of one hash inside a bucket of another one, so with more
 buckets (they follow ``spark.sql.shuffle.partitions``) the key grows too: at 10^13 words and
-120,000 partitions about 20 runs are expected to meet a wrong partner, here none.
+120,000 partitions about 20 runs are expected to meet a wrong partner, here none. Words are
+hashed to 64 bits by a polynomial over their bytes.
 
 Defined cases: null and wordless texts have no words and keep the empty text; an id that is
 null is neither smaller nor larger than another, so such a document stays whole and
@@ -34,12 +35,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import shuffle_partitions
-from .common import materialize, pass_id, ship, text_bytes, text_slices
+from .common import materialize, pass_id, ship, text_slices
 
 WORDS = 13
 SEED_WORDS = 4
@@ -47,23 +47,54 @@ SEED_WORDS = 4
 BUCKETS = 4
 #: Bytes of text in a block, about.
 BLOCK_BYTES = 6 << 20
-_KEPT = 400_000
-_MOST = np.uint64(0xFFFFFFFFFFFFFFFF)
+#: Bytes whose words are hashed at once.
+HASH_BYTES = 2 << 20
 
 PACKED = "bucket int, block long, base long, keys binary, low binary, many binary"
 ANSWERS = "block long, kind int, bucket int, data binary"
 REPEATS = "row long, doc_id long, n_words long, n_removed long, repeats array<struct<start:long,length:long>>, kept string"
 
 
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > _KEPT:
-            self.clear()
-        self[word] = h = xxhash.xxh3_64_intdigest(word)
-        return h
+_BASE = 0x9E3779B97F4A7C13
+_BYTES = np.random.default_rng(11).integers(1, 1 << 64, 256, np.uint64, endpoint=False)
+_SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 
 
-_hashes = _WordHashes()
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[:1] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
+def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of the words ``raw[start:end]`` (sorted, apart): the bytes' polynomial mod 2^64, all
+    words of a stretch at once by prefix sums, brought to the same place by the inverse base."""
+    out = np.zeros(len(starts), np.uint64)
+    i = 0
+    while i < len(starts):
+        a = int(starts[i])
+        j = max(i + 1, int(np.searchsorted(ends, a + HASH_BYTES, side="right")))
+        sums = np.zeros(int(ends[j - 1]) - a + 1, np.uint64)
+        n = len(sums) - 1
+        np.cumsum(_BYTES[raw[a:a + n]] * _power(n)[0][:n], out=sums[1:])
+        begin = starts[i:j] - a
+        out[i:j] = (sums[ends[i:j] - a] - sums[begin]) * _power(n)[1][begin]
+        i = j
+    return _mix(out + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+
+_cached: list[np.ndarray] = []
+
+
+def _power(n: int) -> list[np.ndarray]:
+    """Powers of the base and of its inverse, at least ``n`` of each."""
+    if not _cached or len(_cached[0]) < n:
+        size = max(n, HASH_BYTES)
+        made = [_powers(_BASE, size), _powers(pow(_BASE, -1, 1 << 64), size)]
+        if size > HASH_BYTES:  # a huge word
+            return made
+        _cached[:] = made
+    return _cached
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -99,14 +130,28 @@ def run_hashes(hashes: np.ndarray, at: np.ndarray, words: int) -> tuple[np.ndarr
 class Block:
     """The documents of one slice: their words, and the runs that start in them."""
 
-    def __init__(self, ids: list[int | None], texts: list[bytes], words: int, seed_words: int):
-        self.ids, self.words = ids, words
-        self.split = [t.split() for t in texts]
-        counts = np.array([len(w) for w in self.split], np.int64)
-        self.starts = np.concatenate([[0], np.cumsum(counts)])
-        self.hashes = np.fromiter((h for w in self.split for h in map(_hashes.__getitem__, w)), np.uint64, int(counts.sum()))
-        known = np.array([i is not None for i in ids], bool)
-        whole = np.repeat(np.where(known, np.array([i or 0 for i in ids], np.int64), 0), counts)
+    def __init__(self, ids: pa.Array, texts: pa.Array, words: int, seed_words: int):
+        self.words = words
+        binary = texts.cast(pa.binary()).fill_null(b"")
+        self.cuts = np.frombuffer(binary.buffers()[1], np.int32)[binary.offset:binary.offset + len(binary) + 1].astype(np.int64)
+        low = int(self.cuts[0])
+        self.raw = np.frombuffer(binary.buffers()[2] or b"", np.uint8)[low:int(self.cuts[-1])]
+        self.cuts -= low
+        # A word starts at a byte that is no space, behind a space or at a text's start.
+        self.solid = ~_SPACE[self.raw]
+        border = np.zeros(len(self.raw) + 1, bool)
+        border[self.cuts] = True
+        begins = self.solid & border[:-1]
+        begins[1:] |= self.solid[1:] & ~self.solid[:-1]
+        closes = self.solid & border[1:]
+        closes[:-1] |= self.solid[:-1] & ~self.solid[1:]
+        self.word_starts, self.word_ends = np.flatnonzero(begins), np.flatnonzero(closes) + 1
+        #: First word of each text, and the number of words.
+        self.starts = np.searchsorted(self.word_starts, self.cuts)
+        counts = np.diff(self.starts)
+        self.hashes = word_hashes(self.raw, self.word_starts, self.word_ends)
+        known = ids.is_valid().to_numpy(zero_copy_only=False)
+        whole = np.repeat(ids.fill_null(0).to_numpy(zero_copy_only=False), counts)
         if len(self.hashes) >= words:
             anchor = anchors(self.hashes, words, seed_words)
             # A run lies in one document that has an id.
@@ -133,6 +178,22 @@ class Block:
         return runs, *_by_bucket(keys, _bucket(_mix(two[first]), buckets)), place
 
 
+    def without(self, gone: np.ndarray) -> pa.Array:
+        """The texts without some words (flags): the others, joined by one space."""
+        left = ~gone
+        keep = self.solid.copy()
+        keep[keep] = np.repeat(left, self.word_ends - self.word_starts)
+        # A word that is not its text's first one left takes the space before it along.
+        before = np.concatenate([[0], np.cumsum(left)])
+        first = np.repeat(before[self.starts[:-1]], np.diff(self.starts))
+        spaces = self.word_starts[left & (before[:-1] > first)] - 1
+        keep[spaces] = True
+        raw = self.raw.copy()
+        raw[spaces] = 0x20
+        sizes = np.concatenate([[0], np.cumsum(keep)])[self.cuts]
+        return pa.Array.from_buffers(pa.binary(), len(self.cuts) - 1, [None, pa.py_buffer(sizes.astype(np.int32)), pa.py_buffer(raw[keep])]).cast(pa.string())
+
+
 def _bucket(h: np.ndarray, buckets: int) -> np.ndarray:
     return ((h >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
 
@@ -258,12 +319,14 @@ def _marked(told: dict[int, bytes], order, met, cuts) -> np.ndarray:
     return true
 
 
-def maximal_repeats(matched: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and lengths, in words, of the stretches that matched runs (sorted starts) cover."""
+def maximal_repeats(matched: np.ndarray, words: int, borders: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and lengths, in words, of the stretches that matched runs (sorted starts) cover;
+    ``borders`` are the first words of the texts, which no stretch crosses."""
     if not len(matched):
         return matched, matched
-    # Runs that touch or overlap make one stretch.
-    new = np.flatnonzero(np.diff(matched) > words) + 1
+    # Runs that touch or overlap in one text make one stretch.
+    text = np.searchsorted(borders, matched, side="right")
+    new = np.flatnonzero((np.diff(matched) > words) | (np.diff(text) > 0)) + 1
     first, last = matched[np.concatenate([[0], new])], matched[np.append(new - 1, len(matched) - 1)]
     return first, last - first + words
 
@@ -280,7 +343,7 @@ def remove_repeats(docs: DataFrame, words: int = WORDS, seed_words: int = SEED_W
     docs = pass_id(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), "row")
 
     def opened(batch: pa.RecordBatch) -> Block:
-        return Block(batch.column("doc_id").to_pylist(), text_bytes(batch), words, seed_words)
+        return Block(batch.column("doc_id"), batch.column("text"), words, seed_words)
 
     def send_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _blocks(batches):
@@ -308,20 +371,18 @@ def remove_repeats(docs: DataFrame, words: int = WORDS, seed_words: int = SEED_W
             first = _least(place, b.doc[runs], len(keys))
             # Another document here has it, or one elsewhere.
             matched = b.at[runs[(b.doc[runs] > first[place]) | _marked(told[2], order, met, cuts)[place]]]
-        inside = np.split(matched, np.searchsorted(matched, b.starts[1:-1]))
-        n_removed, repeats, kept = [], [], []
-        for ws, start, own in zip(b.split, b.starts.tolist(), inside):
-            begin, length = maximal_repeats(own - start, words)
-            n_removed.append(int(length.sum()))
-            repeats.append([{"start": s, "length": n} for s, n in zip(begin.tolist(), length.tolist())])
-            rest, done = [], 0
-            for s, n in zip(begin.tolist(), length.tolist()):
-                rest += ws[done:s]
-                done = s + n
-            kept.append(b" ".join(rest + ws[done:] if done else ws))
+        begin, length = maximal_repeats(matched, words, b.starts)
+        gone = np.zeros(len(b.hashes) + 1, np.int64)
+        np.add.at(gone, begin, 1)
+        np.subtract.at(gone, begin + length, 1)
+        gone = np.cumsum(gone[:-1]) > 0
+        removed = np.concatenate([[0], np.cumsum(gone)])[b.starts]
+        # The stretches of each text, counted from its first word.
+        place = np.searchsorted(begin, b.starts)
+        repeats = pa.StructArray.from_arrays([pa.array(begin - np.repeat(b.starts[:-1], np.diff(place))), pa.array(length)], ["start", "length"])
         yield pa.RecordBatch.from_arrays(
-            [batch.column("row"), batch.column("doc_id"), pa.array([len(w) for w in b.split], pa.int64()), pa.array(n_removed, pa.int64()),
-             pa.array(repeats, pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())]))), pa.array(kept, pa.binary()).cast(pa.string())],
+            [batch.column("row"), batch.column("doc_id"), pa.array(np.diff(b.starts)), pa.array(np.diff(removed)),
+             pa.ListArray.from_arrays(pa.array(place.astype(np.int32)), repeats), b.without(gone)],
             ["row", "doc_id", "n_words", "n_removed", "repeats", "kept"])
 
     seeds = _judged(docs.mapInArrow(send_seeds, PACKED), 1)
