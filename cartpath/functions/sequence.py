@@ -4,42 +4,105 @@ A window ``partitionBy(session).orderBy(time)`` sends every row of a session to
 one bot session can hold a large share of all rows, even of one second. Here the rows are
 range-partitioned by (group, order) and sorted, and written once with the number of their
 range partition and their row number in it. Sampled bounds spread a hot group over as many
-partitions as its share of the rows asks for, so windows run per (group, partition) over
-about rows / partitions rows at most, for any burst whose (group, order) keys are distinct
-(``seq`` makes them so). Rows equal in group and every order column share one partition: a
-table without ``seq`` in which one click repeats within a second gives one task all of
-those. A summary with one row per (group, partition) stitches them: running sums add the totals of earlier partitions, the row
-before a partition's first row is the last row of the group's previous partition.
+partitions as its share of the rows asks for, whatever the burst: rows equal in every order
+column are told apart by their place in the source (unless the order ends in a unique
+sequence), so one click repeated a million times within a second spreads like any others.
+
+That range partitioning is the only exchange of the rows. The written table is bucketed by
+range number, so Spark knows that a range's rows lie together, and windows over (group, range)
+just sort what a task has read. Rows are in group order, so only the first and the last
+group of a range can go on in another one: a summary of at most two rows a range, whose size the
+number of ranges bounds, is broadcast and stitches them. Running sums add the totals of
+earlier ranges, the row before a range's first row is the last row of the range before.
 
 Being written, the order is also total and fixed: rows equal in every order column keep
-the place they were written at, and every step that reads the table agrees on it.
+the place they were written at, and every step that reads the table agrees on it. Steps
+can be filtered and chained; no second table is written for them. The order is noted with the
+range number's column, so that ``ordered`` knows such a table (also one read back from
+a folder, ``read_ordered``) and neither exchanges nor writes its rows again.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import shuffle_partitions
-from .materialize import materialize
+from .bucketing import bucket_table
+from .materialize import bucketed, is_stored, materialize
 
-PART, ROW = "_part", "_row"
+PART, ROW, BUCKET = "_part", "_row", "_bucket"
+#: Where a row lies; a step that narrows the columns keeps these.
+PLACE = [PART, ROW, BUCKET]
+_TIE = "_tie_place"
 _ROW_BITS = 33  # monotonically_increasing_id = partition index << 33 | row inside partition
 
 
+def in_order(df: DataFrame, cols: Sequence[str], buckets: int | None = None) -> DataFrame:
+    """Note that the places of ``df`` follow ``cols`` (of an ``ordered`` table that was filtered
+    to equal values of the columns in front of them)."""
+    if buckets is None:
+        buckets = df.schema[PART].metadata["buckets"]
+    note = {"order": list(cols), "buckets": buckets}
+    return df.withColumn(PART, F.col(PART).alias(PART, metadata=note))
+
+
+def is_ordered(df: DataFrame, cols: Sequence[str]) -> bool:
+    """Whether ``df`` is an ``ordered`` table, or comes from one by steps that keep places, with the order ``cols``."""
+    return set(PLACE) <= set(df.columns) and df.schema[PART].metadata.get("order") == list(cols)
+
+
+def place_of(df: DataFrame) -> list[str]:
+    """The columns that a step has to keep beside its own: the places, where ``df`` has them."""
+    return [c for c in PLACE if c in df.columns]
+
+
+def without_place(df: DataFrame) -> DataFrame:
+    return df.drop(*PLACE)
+
+
 def ordered(df: DataFrame, group: Sequence[str], order: Sequence[str], name: str = "ordered",
-            num_partitions: int | None = None) -> DataFrame:
-    """``df`` in (group, order) order, written with its range partition and row number."""
-    n = num_partitions or shuffle_partitions(df.sparkSession)
+            num_partitions: int | None = None, unique: bool | None = None, path: str | None = None) -> DataFrame:
+    """``df`` in (group, order) order, written with its range partition and row number; as it
+    is where it has that order already.
+
+    ``unique``: whether the order columns tell all rows of a group apart (by default where
+    ``seq`` is one of them). Else the row's place in ``df`` is the last order column; ``df`` is
+    written first unless it is a scan of files, so that this place is the same in every attempt.
+    ``path``: a folder to keep the table in (see ``read_ordered``) instead of an intermediate one."""
+    spark = df.sparkSession
+    n = num_partitions or shuffle_partitions(spark)
     cols = [*group, *order]
-    rows = (df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
+    if is_ordered(df, cols) and path is None:
+        return df
+    note, df = cols, without_place(df)
+    if not ("seq" in order if unique is None else unique):
+        df = df if is_stored(df) else materialize(df, f"{name}-source")
+        df = df.withColumn(_TIE, F.monotonically_increasing_id())
+        cols = [*cols, _TIE]
+    rows = (df.repartitionByRange(n, *cols).sortWithinPartitions(*cols).drop(_TIE)
               .withColumn("_mid", F.monotonically_increasing_id())
               .withColumn(PART, F.shiftrightunsigned("_mid", _ROW_BITS))
               .withColumn(ROW, F.col("_mid").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)))
               .drop("_mid"))
-    return materialize(rows, name)
+    # One row a range, as many as the partitions asked for.
+    rows = rows.join(F.broadcast(bucket_table(spark, n, PART, BUCKET)), PART)
+    buckets = min(n, int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets", "100000")))
+    return materialize(in_order(rows, note, buckets), name, buckets=(buckets, BUCKET), path=path)
+
+
+def read_ordered(spark: SparkSession, path: str) -> DataFrame:
+    """The ``ordered`` table in a folder, its buckets and order known again."""
+    schema = spark.read.parquet(path).schema
+    note = schema[PART].metadata
+    return in_order(bucketed(spark, path, schema, note["buckets"], BUCKET), note["order"], note["buckets"])
+
+
+def _of_range(group: Sequence[str]):
+    """The rows of a group in one range: a window that needs no exchange of ``ordered`` rows."""
+    return Window.partitionBy(*group, PART, BUCKET)
 
 
 def with_running_sums(rows: DataFrame, group: Sequence[str], values: dict, totals: Sequence[str] = ()) -> DataFrame:
@@ -47,21 +110,29 @@ def with_running_sums(rows: DataFrame, group: Sequence[str], values: dict, total
     output column to a value expression. For the outputs named in ``totals`` the group's
     whole sum is added too, as ``<name>_total``."""
     group, names = list(group), list(values)
-    w = Window.partitionBy(*group, PART).orderBy(ROW).rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.select("*", *[values[n].alias(f"_v{i}") for i, n in enumerate(names)])
-    rows = rows.select("*", *[F.sum(f"_v{i}").over(w).alias(f"_run{i}") for i in range(len(names))])
-    sums = rows.groupBy(*group, PART).agg(*[F.sum(f"_v{i}").alias(f"_tot{i}") for i in range(len(names))])
-    parts = Window.partitionBy(*group)
-    earlier = parts.orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select(
+    # The sums of the first and the last group of each range; the groups between end inside it.
+    sums = [F.sum(f"_v{i}").alias(f"_tot{i}") for i in range(len(names))]
+    ends = rows.groupBy(*group, PART, BUCKET).agg(*sums)
+    key, item = F.struct(*group), F.struct(*group, *[f"_tot{i}" for i in range(len(names))])
+    ends = ends.groupBy(PART, BUCKET).agg(F.array_distinct(F.array(F.min_by(item, key), F.max_by(item, key))).alias("_e"))
+    ends = ends.select(PART, F.inline("_e"))
+    of_group = Window.partitionBy(*group)
+    earlier = of_group.orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
+    stitch = ends.select(
         *group, PART, *[F.coalesce(F.sum(f"_tot{i}").over(earlier), F.lit(0)).alias(f"_off{i}") for i in range(len(names))],
-        *[F.sum(f"_tot{names.index(n)}").over(parts).cast("long").alias(f"{n}_total") for n in totals])
-    # Merge join: the rows are already partitioned and sorted by (group, partition) from the
-    # window; only the summary moves.
-    out = rows.join(offsets.hint("merge"), [*group, PART])
+        *[F.sum(f"_tot{names.index(n)}").over(of_group).alias(f"_all{names.index(n)}") for n in totals])
+    run = _of_range(group).orderBy(ROW).rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.select("*", *[F.sum(f"_v{i}").over(run).alias(f"_run{i}") for i in range(len(names))],
+                       *[F.sum(f"_v{names.index(n)}").over(_of_range(group)).alias(f"_own{names.index(n)}") for n in totals])
+    # At most two rows a range: a proven bound.
+    out = rows.join(F.broadcast(stitch), [*group, PART], "left")
     for i, n in enumerate(names):
-        out = out.withColumn(n, (F.col(f"_off{i}") + F.col(f"_run{i}")).cast("long"))
-    return out.drop(*[f"_{k}{i}" for i in range(len(names)) for k in ("v", "run", "off")])
+        out = out.withColumn(n, (F.coalesce(f"_off{i}", F.lit(0)) + F.col(f"_run{i}")).cast("long"))
+    for n in totals:
+        i = names.index(n)
+        out = out.withColumn(f"{n}_total", F.coalesce(f"_all{i}", f"_own{i}").cast("long"))
+    return out.drop(*[f"_{k}{i}" for i in range(len(names)) for k in ("v", "run", "off", "own", "all")])
 
 
 def with_position(rows: DataFrame, group: Sequence[str], out: str = "pos") -> DataFrame:
@@ -72,13 +143,18 @@ def with_position(rows: DataFrame, group: Sequence[str], out: str = "pos") -> Da
 def _beside(rows: DataFrame, group: Sequence[str], cols: Sequence[str], prefix: str, ahead: bool) -> DataFrame:
     group, cols = list(group), list(cols)
     step = F.lead if ahead else F.lag
-    here = F.struct(*cols)
-    inside = Window.partitionBy(*group, PART).orderBy(ROW)
-    found = rows.withColumn("_in", step(here).over(inside))
-    edge = rows.groupBy(*group, PART).agg((F.min_by if ahead else F.max_by)(here, ROW).alias("_edge"))
-    edge = edge.select(*group, PART, step("_edge").over(Window.partitionBy(*group).orderBy(PART)).alias("_out"))
-    found = found.join(edge.hint("merge"), [*group, PART])
-    value = F.coalesce(F.col("_in"), F.col("_out"))
+    key, here = F.struct(*group), F.struct(*cols)
+    found = rows.withColumn("_in", step(here).over(_of_range(group).orderBy(ROW)))
+    # One row a range: its first and last row. The next range's first row (or the one before's last) may go on.
+    mine, other = (F.max_by, F.min_by) if ahead else (F.min_by, F.max_by)
+    ends = rows.groupBy(PART, BUCKET).agg(
+        (F.max if ahead else F.min)(ROW).alias("_at"), mine(key, ROW).alias("_key"),
+        other(key, ROW).alias("_other_key"), other(here, ROW).alias("_other"))
+    by_range = Window.orderBy(PART)
+    ends = ends.select(PART, "_at", "_key", step("_other_key").over(by_range).alias("_next_key"), step("_other").over(by_range).alias("_next"))
+    ends = ends.where(F.col("_key") == F.col("_next_key")).select(PART, "_at", F.col("_next").alias("_out"))
+    found = found.join(F.broadcast(ends), PART, "left")
+    value = F.coalesce(F.col("_in"), F.when(F.col(ROW) == F.col("_at"), F.col("_out")))
     return found.select(*rows.columns, value.isNotNull().alias(prefix + "found"), *[value[c].alias(prefix + c) for c in cols])
 
 

@@ -14,7 +14,9 @@ an unordered group-by, which no seed pins down).
 Spark formulation: positions come from the skew-safe ``with_position`` (written range
 partitions), per-session decisions are aggregates, and the cut is one join of the rows with a
 one-row-per-session table. Per-event label sets are represented linearly by a label index
-(session, event, itemid, last_pos): item x is a label of event i iff last_pos(x) > i.
+(session, event, itemid, last_pos): item x is a label of event i iff last_pos(x) > i. Cut into
+chunks of positions, the index gives the sets themselves: an event's set is the tail of its
+own chunk and every later chunk of its session.
 """
 
 from __future__ import annotations
@@ -26,9 +28,13 @@ from pyspark.sql import functions as F
 
 from ..config import CART, LABEL_EVENTS, ORDER, SEED
 from ..functions.columns import keyed_draw, time_order
-from ..functions.sequence import ordered, with_position, with_running_sums
+from ..functions.sequence import ordered, with_position, with_running_sums, without_place
 
 TS = "timestamp"
+#: Positions of a session whose label items stand in one array.
+CHUNK = 4096
+#: Events of a session in one list.
+LIST_LIMIT = 100_000
 
 
 def is_label():
@@ -40,7 +46,8 @@ def session_positions(rows: DataFrame, tie: str | Sequence[str] | None = None) -
     form of the per-session event lists. Rows equal in time and tie get positions in the
     order they are written in, once; everything later goes by ``pos``."""
     keyed, order = time_order(rows, tie)
-    return with_position(ordered(keyed, ["session"], order, "positions"), ["session"]).select(*rows.columns, "pos")
+    positioned = with_position(ordered(keyed, ["session"], order, "positions"), ["session"])
+    return positioned.select(*without_place(rows).columns, "pos")
 
 
 def label_index(positioned: DataFrame) -> DataFrame:
@@ -56,7 +63,7 @@ def ground_truth_counts(positioned: DataFrame) -> DataFrame:
     An item counts for event i iff its last occurrence is after i, so the count is the
     session's "last occurrence" markers less those up to and including i: a running sum
     in the order of ``pos``, which is unique in a session, and the session's total."""
-    rows = ordered(positioned.select("session", "pos", TS, "event", "itemid"), ["session"], ["pos"], "ground-truth")
+    rows = ordered(positioned.select("session", "pos", TS, "event", "itemid"), ["session"], ["pos"], "ground-truth", unique=True)
     ends = label_index(rows).groupBy("session", F.col("last_pos").alias("pos")).agg(
         F.count_if(F.col("event") == CART).alias("_c_end"),
         F.count_if(F.col("event") == ORDER).alias("_o_end"))
@@ -69,6 +76,67 @@ def ground_truth_counts(positioned: DataFrame) -> DataFrame:
                         (F.col("_o_total") - F.col("_o")).alias("n_order_labels")))
 
 
+def label_chunks(positioned: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """The label index in pieces: (session, chunk, last, carts, orders) with the (last_pos, itemid)
+    of the cart and of the order items whose last occurrence is at positions chunk * ``chunk`` up
+    to the next chunk, in order of position; ``last`` is the largest of these positions. A piece
+    holds at most ``chunk`` items, whatever the session's length, and all pieces together one entry
+    for each item of a session and type."""
+    if chunk < 1:
+        raise ValueError("a chunk holds at least one position")
+    entry = F.struct("last_pos", "itemid")
+
+    def items(event: str):
+        return F.array_sort(F.collect_list(F.when(F.col("event") == event, entry)))
+
+    return (label_index(positioned).withColumn("chunk", F.floor(F.col("last_pos") / chunk).cast("long"))
+            .groupBy("session", "chunk").agg(F.max("last_pos").alias("last"), items(CART).alias("carts"), items(ORDER).alias("orders")))
+
+
+def ground_truth_sets(positioned: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """The label sets of every event but the last of each session: (session, pos, chunk,
+    cart_items, order_items), one row for each chunk of the session with a label after the
+    event; an event without labels has one row, with nulls.
+
+    Of the chunk that the event stands in, its items are those that occur last behind it, of a
+    later chunk all. An item stands in one chunk of a session, so an event's rows are disjoint
+    and their union is its set. No row holds more than ``chunk`` items, and the rows of events
+    meet the pieces in one join by session (whose row side AQE can split), with no window."""
+    ends = positioned.groupBy("session").agg(F.max("pos").alias("_end"))
+    pieces = label_chunks(positioned, chunk).withColumnRenamed("session", "_session")
+    rows = positioned.select("session", "pos").join(ends, "session").where(F.col("pos") < F.col("_end"))
+    rows = rows.join(pieces, (F.col("session") == F.col("_session")) & (F.col("last") > F.col("pos")), "left")
+
+    def behind(items: str):
+        later = F.filter(items, lambda x: x["last_pos"] > F.col("pos"))
+        return F.transform(later, lambda x: x["itemid"])
+
+    return rows.select("session", "pos", "chunk", behind("carts").alias("cart_items"), behind("orders").alias("order_items"))
+
+
+def whole_sets(sets: DataFrame) -> DataFrame:
+    """One row for each event of ``ground_truth_sets``: its whole sets, sorted (null: no items). An
+    array is then as large as the set: at most the catalogue."""
+    def whole(items: str):
+        return _nonempty(F.array_sort(F.flatten(F.collect_list(items)))).alias(items)
+
+    return sets.groupBy("session", "pos").agg(whole("cart_items"), whole("order_items"))
+
+
+def session_event_lists(rows: DataFrame, limit: int = LIST_LIMIT) -> DataFrame:
+    """The per-session event lists of positioned rows: (session, start, events), events in order
+    of position. A session of more than ``limit`` events goes on in further records: ``start`` is
+    the position of a record's first event (null for the first record), so no list, and no
+    task's group, is longer than ``limit``."""
+    if limit < 1:
+        raise ValueError("a list holds at least one event")
+    event = F.struct("pos", "itemid", TS, "event")
+    part = F.floor(F.col("pos") / limit).cast("long")
+    lists = rows.groupBy("session", part.alias("_part")).agg(F.array_sort(F.collect_list(event)).alias("_events"))
+    bare = F.transform("_events", lambda e: F.struct(e["itemid"].alias("itemid"), e[TS].alias(TS), e["event"].alias("event")))
+    return lists.select("session", F.when(F.col("_part") > 0, F.col("_part") * limit).alias("start"), bare.alias("events"))
+
+
 def split_points(positioned: DataFrame, seed: int = SEED) -> DataFrame:
     """One row per session with at least 2 events: n_events, last_label_pos,
     last_possible_idx, split_idx."""

@@ -18,8 +18,7 @@ from pyspark.sql import functions as F
 
 from ..config import CART, ORDER, VIEW
 from ..functions.columns import pct, time_order
-from ..functions.materialize import materialize
-from ..functions.sequence import ordered, with_next, with_running_sums
+from ..functions.sequence import PLACE, ordered, place_of, with_next, with_running_sums
 
 TS = "timestamp"
 QUANTILES = (0.25, 0.5, 0.75)
@@ -156,7 +155,7 @@ def longest_session_events(sessions: DataFrame, lengths: DataFrame, tie: str | S
 def inter_event_gaps(sessions: DataFrame, tie: str | Sequence[str] | None = None) -> DataFrame:
     """Seconds from each event to the next one of the same session."""
     rows, order = time_order(sessions, tie)
-    rows = ordered(rows.select("session", *order), ["session"], order, "gaps")
+    rows = ordered(rows.select("session", *order, *place_of(rows)), ["session"], order, "gaps")
     nxt = with_next(rows, ["session"], [TS])
     return nxt.where("next_found").select((F.col(f"next_{TS}") - F.col(TS)).alias("time_between_sec"))
 
@@ -166,12 +165,12 @@ def clicks_between_carts(sessions: DataFrame, tie: str | Sequence[str] | None =
     orders, the last remaining event of each session and all but the last of a run of
     carts of the same item (the notebook's definition). The sessions are read once."""
     keyed, order = time_order(sessions, tie)
-    rows = keyed.where(F.col("event") != ORDER).select("session", *dict.fromkeys([*order, "event", "itemid"]))
+    rows = keyed.where(F.col("event") != ORDER).select("session", *dict.fromkeys([*order, "event", "itemid", *place_of(keyed)]))
     rows = with_next(ordered(rows, ["session"], order, "cart-steps"), ["session"], ["event", "itemid"])
     repeat = ((F.col("event") == CART) & (F.col("next_event") == CART) & (F.col("itemid") == F.col("next_itemid")))
-    rows = rows.where(F.col("next_found") & ~F.coalesce(repeat, F.lit(False))).select("session", "event", "_part", "_row")
+    rows = rows.where(F.col("next_found") & ~F.coalesce(repeat, F.lit(False))).select("session", "event", *PLACE)
     # The kept rows keep their places, so no second ordering is needed.
-    return _step_deltas(materialize(rows, "cart-steps-kept"), F.col("event") == CART).select("session", "delta_index")
+    return _step_deltas(rows, F.col("event") == CART).select("session", "delta_index")
 
 
 def clicks_between_orders(sessions: DataFrame, tie: str | Sequence[str] | None = None) -> DataFrame:
@@ -181,7 +180,7 @@ def clicks_between_orders(sessions: DataFrame, tie: str | Sequence[str] | None =
     ties = [c for c in order if c != TS]
     rows = (keyed.where(F.col("event") != CART)
             .groupBy("session", TS, "event").agg(F.min(F.struct(*ties)).alias("_first")))
-    rows = ordered(rows, ["session"], [TS, "_first"], "order-steps")
+    rows = ordered(rows, ["session"], [TS, "_first"], "order-steps", unique="seq" in ties)
     return _step_deltas(rows, F.col("event") == ORDER).select("delta_index")
 
 

@@ -165,6 +165,16 @@ def cut(q: Q, gap: int, seed: int = SEED) -> dict[str, str]:
             "lab_long": f"lab_long_{sfx}", "labels": f"lab_{sfx}"}
 
 
+def tied(q: Q, pos: str) -> str:
+    """The rows of ``pos`` at whole hours and without a sequence, in the order of event and item."""
+    q.add("tied", f"""
+  SELECT session, timestamp // 3600 * 3600 AS timestamp, event, itemid,
+         row_number() OVER (PARTITION BY session ORDER BY timestamp // 3600,
+           CASE event WHEN 'view' THEN 0 WHEN 'addtocart' THEN 1 ELSE 2 END, itemid) - 1 AS pos,
+         count(*) OVER (PARTITION BY session) AS n_in_session FROM {pos}""")
+    return "tied"
+
+
 def fixture_predictions(q: Q, gap: int, popular_n: int = 20) -> dict[str, str]:
     """Long form (session, event_type, itemid, rank) of the stand-in predictor."""
     n = cut(q, gap)

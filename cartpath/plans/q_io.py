@@ -91,6 +91,13 @@ def sink_trimmed_sessions_roundtrip(spark, d):
     return files.read_trimmed_sessions(spark, path)
 
 
+def sink_trimmed_session_lists_roundtrip(spark, d):
+    """Lists of at most three events: most sessions go on in further lines."""
+    path = scratch_path(spark, "trimmed-session-lists")
+    sinks.write_trimmed_session_lists(cut(spark, d)[0], path, 3)
+    return files.read_trimmed_session_lists(spark, path)
+
+
 def sink_labels_roundtrip(spark, d):
     """Raw read of the written labels: absent keys come back as nulls."""
     path = scratch_path(spark, "labels-json-raw")
@@ -137,5 +144,6 @@ register("sink_item_categories_roundtrip", q.sql(
     f"SELECT itemid, categoryid, parentid FROM {n['item_categories']}"))(sink_item_categories_roundtrip)
 
 q = O.Q(); n = O.cut(q, GAP_LONG)
-register("sink_trimmed_sessions_roundtrip", q.sql(
-    f"SELECT session, pos, itemid, timestamp, event FROM {n['trimmed']}"))(sink_trimmed_sessions_roundtrip)
+_TRIMMED_SQL = q.sql(f"SELECT session, pos, itemid, timestamp, event FROM {n['trimmed']}")
+register("sink_trimmed_sessions_roundtrip", _TRIMMED_SQL)(sink_trimmed_sessions_roundtrip)
+register("sink_trimmed_session_lists_roundtrip", _TRIMMED_SQL)(sink_trimmed_session_lists_roundtrip)

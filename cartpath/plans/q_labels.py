@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import ids_text
 from ..functions.materialize import materialize
-from ..operators.labels import (ground_truth_counts, label_index, session_positions, split_points,
-                                test_labels, trimmed_sessions, with_split)
+from ..operators.labels import (ground_truth_counts, ground_truth_sets, label_index, session_event_lists, session_positions,
+                                split_points, test_labels, trimmed_sessions, whole_sets, with_split)
 from . import oracle as O
 from .inputs import GAP_LONG as G
 from .inputs import split
@@ -15,7 +15,7 @@ from .registry import register
 
 
 def test_set(spark, d):
-    return split(spark, d, G, written=True)[1]
+    return split(spark, d, G)[1]
 
 
 def cut(spark, d):
@@ -60,11 +60,7 @@ FROM {n['pos']} p WHERE p.pos < p.n_in_session - 1"""))(
 # The same on times cut to whole hours and without a sequence: most events are tied, and the
 # event rank and the item order them (rows equal in these are equal in every column).
 q = O.Q(); n = O.cut(q, G)
-q.add("tied", f"""
-  SELECT session, timestamp // 3600 * 3600 AS timestamp, event, itemid,
-         row_number() OVER (PARTITION BY session ORDER BY timestamp // 3600,
-           CASE event WHEN 'view' THEN 0 WHEN 'addtocart' THEN 1 ELSE 2 END, itemid) - 1 AS pos,
-         count(*) OVER (PARTITION BY session) AS n_in_session FROM {n['pos']}""")
+O.tied(q, n["pos"])
 q.add("tied_idx", f"""
   SELECT session, event, itemid, max(pos) AS last_pos FROM tied
   WHERE event IN {O.LABEL_TYPES} GROUP BY session, event, itemid""")
@@ -75,8 +71,52 @@ SELECT p.session, p.pos, p.timestamp, p.event, p.itemid,
        (SELECT count(*) FROM tied_idx i WHERE i.session = p.session AND i.event = 'transaction'
           AND i.last_pos > p.pos)::BIGINT AS n_order_labels
 FROM tied p WHERE p.pos < p.n_in_session - 1"""))(
-    lambda spark, d: ground_truth_counts(session_positions(
-        test_set(spark, d).drop("seq").withColumn("timestamp", F.expr("timestamp div 3600 * 3600")))))
+    lambda spark, d: ground_truth_counts(session_positions(tied(spark, d))))
+
+
+
+def label_sets_text(positioned, chunk):
+    sets = whole_sets(ground_truth_sets(positioned, chunk))
+    return sets.select("session", "pos", ids_text(F.col("cart_items")).alias("cart_items"), ids_text(F.col("order_items")).alias("order_items"))
+
+
+def tied(spark, d):
+    """Times cut to whole hours, no sequence."""
+    return test_set(spark, d).drop("seq").withColumn("timestamp", F.expr("timestamp div 3600 * 3600"))
+
+
+def label_sets_sql(q, pos):
+    """Every event's sets from the frame of rows after it."""
+    later = "OVER (PARTITION BY session ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)"
+    return q.sql(f"""
+SELECT session, pos::BIGINT AS pos, {O.ids_text('list_sort(list_distinct(carts))')} AS cart_items,
+       {O.ids_text('list_sort(list_distinct(orders))')} AS order_items
+FROM (SELECT session, pos, n_in_session, list(itemid) FILTER (WHERE event = 'addtocart') {later} AS carts,
+             list(itemid) FILTER (WHERE event = 'transaction') {later} AS orders FROM {pos}) x
+WHERE pos < n_in_session - 1""")
+
+
+q = O.Q(); n = O.cut(q, G)
+register("ground_truth_label_sets", label_sets_sql(q, n["pos"]))(
+    lambda spark, d: label_sets_text(session_positions(test_set(spark, d)), 4096))
+
+# Tied events, and pieces of two positions: most sets are put together from several.
+q = O.Q(); n = O.cut(q, G); O.tied(q, n["pos"])
+register("ground_truth_label_sets_tied", label_sets_sql(q, "tied"))(
+    lambda spark, d: label_sets_text(session_positions(tied(spark, d)), 2))
+
+
+def lists_text(lists):
+    events = F.transform("events", lambda e: F.concat_ws(":", e["itemid"].cast("string"), e["timestamp"].cast("string"), e["event"]))
+    return lists.select("session", "start", F.array_join(events, " ").alias("events"))
+
+
+q = O.Q(); n = O.cut(q, G)
+register("session_event_lists", q.sql(f"""
+SELECT session, CASE WHEN pos // 3 > 0 THEN pos // 3 * 3 END::BIGINT AS start,
+       string_agg(itemid || ':' || timestamp || ':' || event, ' ' ORDER BY pos) AS events
+FROM {n['pos']} GROUP BY session, pos // 3"""))(
+    lambda spark, d: lists_text(session_event_lists(session_positions(test_set(spark, d)), 3)))
 
 q = O.Q(); n = O.cut(q, G)
 register("split_points", q.sql(

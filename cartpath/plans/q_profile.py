@@ -12,8 +12,9 @@ from .inputs import split
 from .registry import register
 
 
-def train(spark, d):
-    return split(spark, d, G, written=True)[0]
+def train(spark, d, written=False):
+    """The train set; ``written`` where a plan reads it more than once."""
+    return split(spark, d, G, written=written)[0]
 
 
 def rounded(df):
@@ -93,12 +94,12 @@ SELECT b.bin, round(r.lo + b.bin * {width}, 6) AS lower, round(r.lo + (b.bin + 1
 FROM h_rng_{bins} r, (SELECT range AS bin FROM range(0, {bins})) b LEFT JOIN h_cnt_{bins} c USING (bin)""")
 
 
-def _eps(spark, d):
-    return P.events_per_session(train(spark, d))
+def _eps(spark, d, written=False):
+    return P.events_per_session(train(spark, d, written))
 
 
-def _epi(spark, d):
-    return P.events_per_item(train(spark, d))
+def _epi(spark, d, written=False):
+    return P.events_per_item(train(spark, d, written))
 
 
 _PER_ITEM = {"views_count": VIEW, "carts_count": CART, "purchases_count": ORDER}
@@ -131,16 +132,17 @@ SELECT {O.pct("count(*) FILTER (WHERE events_count < 100)", "count(*)")} AS pct_
 FROM eps"""))(lambda spark, d: rounded(P.session_size_shares(_eps(spark, d))))
 
 register("session_size_histogram", histogram_sql("eps", "events_count", 120))(
-    lambda spark, d: rounded(P.histogram(_eps(spark, d), "events_count", 120)))
+    lambda spark, d: rounded(P.histogram(_eps(spark, d, written=True), "events_count", 120)))
 register("session_size_histogram_lt30", histogram_sql("eps", "events_count", 30, "events_count < 30"))(
-    lambda spark, d: rounded(P.histogram(_eps(spark, d).where(F.col("events_count") < 30), "events_count", 30)))
+    lambda spark, d: rounded(P.histogram(_eps(spark, d, written=True).where(F.col("events_count") < 30), "events_count", 30)))
 
 q, t = base()
 register("event_type_counts", q.sql(f"SELECT event, count(event) AS count FROM {t} GROUP BY event"))(
     lambda spark, d: P.event_type_counts(train(spark, d)))
 
 q, t = base()
-register("events_per_item", q.sql("SELECT itemid, events_count FROM epi"))(_epi)
+register("events_per_item", q.sql("SELECT itemid, events_count FROM epi"))(
+    lambda spark, d: _epi(spark, d, written=True))
 
 q, t = base()
 register("item_count_distribution", q.sql(
@@ -155,7 +157,7 @@ register("item_activity_bins", q.sql(f"""
 SELECT l.bin::BIGINT AS bin, l.label, {O.pct("coalesce(c.n, 0)", "(SELECT count(*) FROM epi)")} AS pct
 FROM (VALUES {_labels}) l(bin, label)
 LEFT JOIN (SELECT CASE {_case} ELSE {len(_b)} END AS bin, count(*) AS n FROM epi GROUP BY 1) c
-  ON c.bin = l.bin"""))(lambda spark, d: rounded(P.item_activity_bins(_epi(spark, d))))
+  ON c.bin = l.bin"""))(lambda spark, d: rounded(P.item_activity_bins(_epi(spark, d, written=True))))
 
 for _name, _label in (("views_count", "views"), ("carts_count", "carts"), ("purchases_count", "purchases")):
     q, t = base()
@@ -190,7 +192,7 @@ q, t = base()
 register("longest_session_events", q.sql(f"""
 SELECT timestamp, event, itemid, session, seq FROM {t}
 WHERE session = (SELECT session FROM slen ORDER BY session_length_minutes DESC, session ASC LIMIT 1)"""))(
-    lambda spark, d: (lambda tr: P.longest_session_events(tr, P.session_length(tr)))(train(spark, d)))
+    lambda spark, d: (lambda tr: P.longest_session_events(tr, P.session_length(tr)))(train(spark, d, written=True)))
 
 q, t = base()
 register("inter_event_gaps", q.sql("SELECT time_between_sec FROM gaps"))(

@@ -42,7 +42,7 @@ TRIMMED_EVENT_JSON = _struct(("session", L), ("pos", L), ("itemid", L), ("timest
                              ("event", S))
 
 # Trimmed test sessions as one list per session.
-TRIMMED_LIST_JSON = _struct(("session", L), ("events", T.ArrayType(_struct(("itemid", L), ("timestamp", L), ("event", S)))))
+TRIMMED_LIST_JSON = _struct(("session", L), ("start", L), ("events", T.ArrayType(_struct(("itemid", L), ("timestamp", L), ("event", S)))))
 
 # Predictions file: header line, then ``<session>_<type>,<id> <id> ...``
 PREDICTIONS_CSV = _struct(("session_type", S), ("labels", S))

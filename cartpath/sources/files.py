@@ -78,11 +78,13 @@ def read_trimmed_sessions(spark: SparkSession, paths: str | Sequence[str]) -> Da
 
 def read_trimmed_session_lists(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """JSON lines ``{"session": s, "events": [{"itemid", "timestamp", "event"}, ...]}`` (one
-    list per session) -> the same rows as ``read_trimmed_sessions``, with ``pos``."""
+    list per session, or several with the ``start`` of each) -> the same rows as
+    ``read_trimmed_sessions``, with ``pos``."""
     paths = [paths] if isinstance(paths, str) else list(paths)
     df = spark.read.schema(schemas.TRIMMED_LIST_JSON).option("mode", "FAILFAST").json(paths)
-    rows = df.select("session", F.posexplode("events").alias("pos", "e"))
-    return rows.select("session", F.col("pos").cast("long").alias("pos"), "e.itemid", "e.timestamp", "e.event")
+    rows = df.select("session", "start", F.posexplode("events").alias("_at", "e"))
+    pos = (F.coalesce("start", F.lit(0)) + F.col("_at")).cast("long")
+    return rows.select("session", pos.alias("pos"), "e.itemid", "e.timestamp", "e.event")
 
 
 def read_predictions(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import CART, ORDER
+from ..operators.labels import LIST_LIMIT, session_event_lists
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -34,6 +35,13 @@ def write_trimmed_sessions(df: DataFrame, path: str) -> None:
     df.select("session", "pos", "itemid", "timestamp", "event").write.mode("overwrite").json(path)
 
 
+def write_trimmed_session_lists(df: DataFrame, path: str, limit: int = LIST_LIMIT) -> None:
+    """Trimmed test sessions as JSON lines ``{"session": s, "events": [{"itemid", "timestamp",
+    "event"}, ...]}``, one list per session in order of position. A session of more than ``limit``
+    events goes on in further lines with ``"start"``, the position of their first event."""
+    session_event_lists(df, limit).write.mode("overwrite").option("ignoreNullFields", True).json(path)
+
+
 def write_labels(labels: DataFrame, path: str) -> None:
     """Labels as JSON lines ``{"session": s, "labels": {"addtocart": [...]}}``; a type
     without items is left out (null struct fields are not written)."""

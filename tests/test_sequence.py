@@ -1,0 +1,166 @@
+"""Ordered steps over bucketed ranges: ties, chained steps, plans; label sets and lists built on positions."""
+
+import json
+import random
+import re
+
+import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from cartpath.functions.bucketing import bucket_keys, bucket_table
+from cartpath.functions.materialize import cleanup, is_stored, materialize, temporary
+from cartpath.functions.sequence import ordered, with_next, with_position, with_previous, with_running_sums
+from cartpath.operators.labels import ground_truth_counts, ground_truth_sets, label_chunks, session_event_lists, session_positions, whole_sets
+from cartpath.operators.profile import clicks_between_carts, inter_event_gaps
+from cartpath.sources import files, sinks
+
+ROWS = "session long, timestamp long, event string, itemid long"
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def partitions(spark):
+    """Sets the number of shuffle partitions for one test."""
+    yield lambda n: spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_bucket_keys_have_their_own_buckets(spark):
+    for n in (1, 7, 8, 1000):
+        df = bucket_table(spark, n, "i", "key").select("i", F.pmod(F.hash("key"), F.lit(n)).alias("bucket"))
+        assert df.where("i != bucket").isEmpty() and df.count() == n
+    far = [2**31 - 1, 2**31 - 77, 123_456_789]
+    df = spark.createDataFrame(list(zip(far, bucket_keys(far).tolist())), "i long, key int")
+    assert df.where("i != hash(key)").isEmpty()
+
+
+def test_one_repeated_click_spreads_over_ranges(spark, partitions):
+    """Half of all rows are equal in session, second, event and item; no sequence tells them apart."""
+    rnd = random.Random(2)
+    rows = [(7, 1000, "view", 5)] * 4000 + [(rnd.randrange(1, 300), rnd.randrange(5000), rnd.choice(["view", "addtocart"]), rnd.randrange(9)) for _ in range(4000)]
+    rnd.shuffle(rows)
+    partitions(16)
+    df = spark.createDataFrame(rows, ROWS).repartition(5)
+    sizes = [r["count"] for r in ordered(df, ["session"], ["timestamp", "event", "itemid"]).groupBy("_part").count().collect()]
+    assert sum(sizes) == 8000 and max(sizes) <= 2 * 8000 / 16
+    found = session_positions(df).groupBy("session").agg(F.sort_array(F.collect_list("pos")).alias("p")).collect()
+    assert all(r.p == list(range(len(r.p))) for r in found)
+    w = Window.partitionBy("session").orderBy("timestamp", F.when(F.col("event") == "view", 0).otherwise(1), "itemid")
+    plain = df.withColumn("pos", F.row_number().over(w) - 1)
+    key = ["session", "timestamp", "event", "itemid", "pos"]
+    assert sorted(map(tuple, session_positions(df).select(*key).collect())) == sorted(map(tuple, plain.select(*key).collect()))
+    gaps = sorted(r[0] for r in inter_event_gaps(df).collect())
+    assert gaps == sorted(r[0] for r in plain.select(F.lead("timestamp").over(w) - F.col("timestamp")).dropna().collect())
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_chained_steps_equal_plain_windows(spark, partitions, seed):
+    """Neighbours, then a filter, then running sums and totals, over many and few ranges."""
+    rnd = random.Random(seed)
+    partitions(rnd.choice([1, 3, 11, 40]))
+    rows = [(rnd.choice([1, 1, 1, 2, 3, rnd.randrange(50)]), t, rnd.randrange(4)) for t in range(500)]
+    df = spark.createDataFrame(rows, "g long, seq long, v long")
+    o = with_previous(ordered(df, ["g"], ["seq"]), ["g"], ["v"]).where("prev_found AND v != prev_v")
+    got = with_running_sums(o, ["g"], {"run": F.col("v"), "n": F.lit(1)}, totals=["run"])
+    got = with_next(got, ["g"], ["seq"]).select("g", "seq", "run", "run_total", "n", "next_seq")
+    w = Window.partitionBy("g").orderBy("seq")
+    plain = df.withColumn("p", F.lag("v").over(w)).where("p IS NOT NULL AND v != p")
+    plain = plain.select("g", "seq", F.sum("v").over(w), F.sum("v").over(Window.partitionBy("g")), F.row_number().over(w), F.lead("seq").over(w))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, plain.collect()))
+
+
+def test_empty_tables(spark):
+    df = spark.createDataFrame([], ROWS)
+    assert session_positions(df).count() == 0 and inter_event_gaps(df).count() == 0 and clicks_between_carts(df).count() == 0
+    assert whole_sets(ground_truth_sets(session_positions(df))).count() == 0 and session_event_lists(session_positions(df)).count() == 0
+
+
+def test_rows_are_exchanged_once(spark, tmp_path):
+    """Reading the written ranges needs no exchange of rows: what is exchanged is one row a range."""
+    rnd = random.Random(1)
+    path = str(tmp_path / "rows")
+    spark.createDataFrame([(rnd.randrange(40), rnd.randrange(900), rnd.choice(["view", "addtocart"]), rnd.randrange(5), n) for n in range(900)],
+                          ROWS + ", seq long").write.parquet(path)
+    rows = spark.read.parquet(path)
+    plan = plan_of(inter_event_gaps(rows))
+    below = [" ".join(plan.splitlines()[i + 1:i + 3]) for i, line in enumerate(plan.splitlines()) if re.search(r"\bExchange (hash|Single)", line)]
+    assert all("partial_" in x or "SortAggregate" in x or "HashAggregate" in x or "ObjectHashAggregate" in x for x in below), plan
+    assert "rangepartitioning" not in plan and "Bucketed: true" in plan and "SortMergeJoin" not in plan
+    steps = plan_of(clicks_between_carts(rows))
+    assert "SortMergeJoin" not in steps and "rangepartitioning" not in steps
+
+
+def test_bucketed_tables_are_deleted(spark):
+    df = spark.createDataFrame([(1, 2)], "a int, b int")
+    before = len(spark.catalog.listTables())
+    with temporary(spark):
+        t = materialize(df, "bucketed", buckets=(4, "a"))
+        assert t.collect() == df.collect() and len(spark.catalog.listTables()) == before + 1
+    assert len(spark.catalog.listTables()) == before
+
+
+def test_stored_tables_are_told_from_shuffles(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(10).write.parquet(path)
+    t = spark.read.parquet(path)
+    assert is_stored(t) and is_stored(t.where("id > 3").selectExpr("id + 1 AS x"))
+    assert not is_stored(t.distinct()) and not is_stored(t.repartition(3)) and not is_stored(t.join(t, "id"))
+
+
+def sets_by_walking(events):
+    """{(session, pos): (carts, orders)} of rows (session, pos, event, item), walked backwards."""
+    out = {}
+    for s in {e[0] for e in events}:
+        carts, orders = set(), set()
+        mine = sorted((e for e in events if e[0] == s), key=lambda e: -e[1])
+        for k, (_, pos, event, item) in enumerate(mine):
+            if k:
+                out[s, pos] = (sorted(carts), sorted(orders))
+            if event == "addtocart":
+                carts.add(item)
+            elif event == "transaction":
+                orders.add(item)
+    return out
+
+
+@pytest.mark.parametrize("chunk", [1, 2, 7, 4096])
+def test_label_sets_equal_walking_backwards(spark, chunk):
+    rnd = random.Random(chunk)
+    events = [(s, p, rnd.choice(["view", "addtocart", "addtocart", "transaction"]), rnd.randrange(6))
+              for s in range(12) for p in range(rnd.choice([1, 2, 5, 30]))]
+    df = spark.createDataFrame([(s, p, 1000 + p, e, i) for s, p, e, i in events], "session long, pos long, timestamp long, event string, itemid long")
+    want = sets_by_walking(events)
+    sets = ground_truth_sets(df, chunk)
+    got = {(r.session, r.pos): (r.cart_items or [], r.order_items or []) for r in whole_sets(sets).collect()}
+    assert got == want
+    assert all(len(r.cart_items or []) <= chunk and len(r.order_items or []) <= chunk for r in sets.collect())
+    counts = {(r.session, r.pos): (r.n_cart_labels, r.n_order_labels) for r in ground_truth_counts(df).collect()}
+    assert counts == {k: (len(a), len(b)) for k, (a, b) in want.items()}
+
+
+def test_label_pieces_are_linear_and_bounded(spark):
+    df = spark.createDataFrame([(1, p, p, "addtocart", p % 300) for p in range(3000)], "session long, pos long, timestamp long, event string, itemid long")
+    pieces = label_chunks(df, 64).collect()
+    assert sum(len(r.carts) for r in pieces) == 300 and max(len(r.carts) for r in pieces) <= 64
+    with pytest.raises(ValueError):
+        label_chunks(df, 0)
+
+
+@pytest.mark.parametrize("limit", [1, 4, 100])
+def test_session_lists_round_trip(spark, tmp_path, limit):
+    rnd = random.Random(limit)
+    rows = [(s, p, rnd.randrange(50), 1000 + p // 2, rnd.choice(["view", "addtocart"])) for s in range(9) for p in range(rnd.choice([1, 4, 5, 90]))]
+    rnd.shuffle(rows)
+    df = spark.createDataFrame(rows, "session long, pos long, itemid long, timestamp long, event string")
+    sinks.write_trimmed_session_lists(df, str(tmp_path / "l"), limit)
+    assert sorted(map(tuple, files.read_trimmed_session_lists(spark, str(tmp_path / "l")).collect())) == sorted(rows)
+    lines = [json.loads(x) for f in (tmp_path / "l").glob("*.json") for x in f.read_text().splitlines()]
+    assert all(len(x["events"]) <= limit for x in lines)
+    # The layout of a session within the limit: no further key.
+    assert all(set(x) == {"session", "events"} for x in lines if x["events"] and x.get("start") is None)
+    if limit == 100:
+        assert len(lines) == 9 and all(set(e) == {"itemid", "timestamp", "event"} for x in lines for e in x["events"])
