@@ -24,8 +24,10 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import ahocorasick
 import numpy as np
@@ -169,19 +171,23 @@ class Lexicon:
             elif start not in found or found[start][0] < w:
                 found[start] = (w, end)
         if spared:
-            found = {s: v for s, v in found.items() if not any(a <= s and v[1] <= b for a, b in spared)}
+            # Inside an exception: among those that begin no later, one ends no earlier.
+            spared.sort()
+            begins, reach = [a for a, _ in spared], list(accumulate((b for _, b in spared), max))
+            found = {s: v for s, v in found.items() if not (i := bisect_right(begins, s)) or reach[i - 1] < v[1]}
         return found
 
     def hits_signed(self, folded: str, signed: list[tuple[int, int, list[str]]]) -> dict[int, tuple[float, int]]:
         """``hits``, with words looked up wholly folded too; the heavier form of a word counts."""
         found = self.hits(folded)
+        starts = sorted(found)  # words with signs are apart: what one adds does not concern another
         for start, end, forms in signed if self.weights else ():
             before = folded[max(0, folded.rfind(" ", 0, start)):start]
             stop = folded.find(" ", end + 1)
             after = folded[end:stop + 1] if stop > 0 else " "
             best = max((h[len(before)] for h in (self.hits(f"{before} {form}{after}") for form in forms) if len(before) in h), default=None)
             if best:
-                own = max((s for s in found if start <= s < end), key=lambda s: found[s], default=None)
+                own = max(starts[bisect_left(starts, start):bisect_left(starts, end)], key=lambda s: found[s], default=None)
                 if own is None or found[own][0] < best[0]:
                     found[start if own is None else own] = (best[0], end)
         return found

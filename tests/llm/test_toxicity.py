@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 import zlib
 
 import pytest
@@ -120,3 +121,36 @@ def test_odd_rows(spark, odd, odd_rows, none, labels):
         assert len(rows) == len(odd_rows) and all(0 <= r.score <= 1 for r in rows)
         assert drop_toxic(odd, lexicon).schema == odd.schema
     assert score_toxicity(none, learn_lexicon(none, labels)).count() == 0
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_signed_words_and_exceptions_match_scans(seed):
+    """Exceptions and words with signs, many of each, against scans over all spans and hits."""
+    rnd = random.Random(seed)
+    lexicon = Lexicon({" idiot ": 3.0, " idio": 1.0, " loser ": 4.0, " los": 0.5}, (" village idiot ", " loser idiot loser ", " sore loser"))
+    words = ["idiot", "idi07", "l0ser", "loser", "village", "sore", "1d10t", "id!ot", "fine", "lost", "v!llage", "2024"]
+    folded, signed = fold_signed(" ".join(rnd.choice(words) for _ in range(60)))
+    spared = [(m.start(), m.start() + len(e) - 1) for e in lexicon.exceptions for m in re.finditer(f"(?={e})", folded)]
+    hits = lexicon.hits(folded)
+    every = Lexicon(lexicon.weights).hits(folded)
+    assert hits == {s: v for s, v in every.items() if not any(a <= s and v[1] <= b for a, b in spared)}
+    want = dict(hits)
+    for start, end, forms in signed:
+        before, stop = folded[max(0, folded.rfind(" ", 0, start)):start], folded.find(" ", end + 1)
+        looked = [lexicon.hits(f"{before} {f}{folded[end:stop + 1] if stop > 0 else ' '}") for f in forms]
+        best = max((h[len(before)] for h in looked if len(before) in h), default=None)
+        own = max((s for s in want if start <= s < end), key=lambda s: want[s], default=None)
+        if best and (own is None or want[own][0] < best[0]):
+            want[start if own is None else own] = (best[0], end)
+    assert lexicon.hits_signed(folded, signed) == want
+
+
+def test_long_texts_take_time_in_proportion():
+    """5 MB of hits, exceptions and disguised words."""
+    lexicon = Lexicon({" idiot ": 3.0, " loser ": 4.0}, (" village idiot ",))
+    text = "village idiot idi07 loser fine words l0ser and 1d10t " * 100_000
+    began = time.process_time()
+    mass, share, number = lexicon.features(text)
+    assert time.process_time() - began < 60 and number > 12
+    short = lexicon.features(text[:5300])
+    assert share == pytest.approx(short[1], rel=1e-2)
