@@ -28,7 +28,7 @@ no difference; an empty table gives an empty result.
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +41,9 @@ PIECE = 1024
 SAMPLE_DOCS = 64
 SAMPLE_CHARS = 16_000
 UNKNOWN = "und"
+#: A kept text's language explains it in so many bits a letter, some phrases left aside.
+MOST_BITS = 6.5
+FREE_PHRASES = 4
 PREDICTED = "doc_id long, held_out boolean, lang_pred string, score double"
 _SPACE, _OTHER = 0, 1
 
@@ -180,11 +183,17 @@ class LanguageModel:
         return count, sizes
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
+        lang, score, _ = self.judge(texts)
+        return lang, score
+
+    def judge(self, texts: list[str | None], free: int = 0) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Language and score of each text, and the bits a letter that the language needs for all
+        phrases but ``free`` ones (infinitely many bits without any language)."""
         count, sizes = self.phrases([t or "" for t in texts])
         known = np.array([bool(t) and any(map(str.isalpha, t)) for t in texts], bool)
         score = np.zeros(len(texts))
         if not self.languages:
-            return [UNKNOWN] * len(texts), score
+            return [UNKNOWN] * len(texts), score, np.full(len(texts), np.inf)
         bits = count * np.array(self.bits) / np.maximum(sizes, 1)[:, None]
         best = bits.argmin(axis=1)
         if len(self.languages) > 1:
@@ -192,7 +201,8 @@ class LanguageModel:
             score[known] = (1 - first / np.maximum(second, 1e-12))[known]
         else:
             score[known] = 1.0
-        return [self.languages[b] if k else UNKNOWN for b, k in zip(best, known)], score
+        rest = np.maximum(count[np.arange(len(texts)), best] - free, 0) * np.array(self.bits)[best] / np.maximum(sizes, 1)
+        return [self.languages[b] if k else UNKNOWN for b, k in zip(best, known)], score, rest
 
 
 def learn_languages(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS) -> LanguageModel:
@@ -228,15 +238,21 @@ def predict_language(docs: DataFrame, model: LanguageModel) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), held.alias("held_out"), F.col("text").cast("string")).mapInArrow(predict, PREDICTED)
 
 
-def keep_languages(docs: DataFrame, model: LanguageModel) -> DataFrame:
-    """The rows of ``docs`` (all columns) whose language can be told."""
+def keep_languages(docs: DataFrame, model: LanguageModel, wanted: Collection[str] | None = None, most_bits: float = MOST_BITS,
+                   free: int = FREE_PHRASES) -> DataFrame:
+    """The rows of ``docs`` (all columns) whose text is in one of the ``wanted`` languages (by
+    default any learned one): their language needs the fewest phrases, and, but for ``free`` ones that
+    decide nothing in short texts, at most ``most_bits`` bits a letter. Texts of other languages
+    and of random letters need more than that in every language; they go, whatever their ``lang``
+    says, and so do texts without a letter."""
     spark = docs.sparkSession
     ship(spark)
     shared = spark.sparkContext.broadcast(model)
+    good = None if wanted is None else frozenset(wanted)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches):
-            lang, _ = shared.value.predict(batch.column("text").to_pylist())
-            yield batch.filter(pa.array([x != UNKNOWN for x in lang]))
+            lang, _, bits = shared.value.judge(batch.column("text").to_pylist(), free)
+            yield batch.filter(pa.array([x != UNKNOWN and (good is None or x in good) and b <= most_bits for x, b in zip(lang, bits.tolist())]))
 
     return docs.mapInArrow(keep, docs.schema)

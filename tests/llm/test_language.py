@@ -94,6 +94,38 @@ def test_held_out_accuracy(spark):
     assert sum(r.lang_pred == r.lang for r in held) >= 0.97 * len(held) and all(0 <= r.score <= 1 for r in rows)
 
 
+def test_foreign_and_mislabelled_texts_go(spark):
+    """The stage's decisions against a plain parse: texts of unlearned languages and of random letters go."""
+    rnd = random.Random(5)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    samples = {}
+    for r in docs.orderBy("doc_id").collect():
+        if r.text and len(samples.get(r.lang, "")) < 16_000:
+            samples[r.lang] = samples.get(r.lang, "") + " " + r.text[:1000]
+    model = LanguageModel(samples)
+    noise = [" ".join("".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rnd.randint(2, 9))) for _ in range(n)) for n in (30, 60, 400)]
+    foreign = ["Wikipedia jest encyklopedią internetową działającą zgodnie z zasadą otwartej treści oraz wolnego dostępu dla wszystkich",
+               "Tämä on suomenkielinen lause joka kertoo kauniista kesäpäivästä järven rannalla hyvien ystävien kanssa illalla",
+               "Привет мир как дела сегодня хорошая погода на улице", "東京は日本の首都です。人口は多いです。", *noise]
+    short = ["Ok", "a", "the", "Привет"]
+    extra = [(10_000 + i, t, "en") for i, t in enumerate(foreign)] + [(20_000 + i, t, "fr") for i, t in enumerate(short)]
+    every = docs.union(spark.createDataFrame(extra, docs.schema))
+    rows = every.collect()
+    kept = {r.doc_id for r in keep_languages(every, model).collect()}
+    assert not kept & set(range(10_000, 20_000)) and kept >= {20_000, 20_001, 20_002, 20_003}
+    assert kept >= {r.doc_id for r in rows if r.doc_id < 10_000 and r.text and any(map(str.isalpha, r.text))}
+    samples = [bytes(model.symbols(samples[lang])) for lang in model.languages]
+    for r in rnd.sample([r for r in rows if r.text and len(r.text) < 400], 60) + [r for r in rows if r.doc_id >= 10_000]:
+        symbols = bytes(model.symbols(r.text))
+        counts = [(plain_phrases(symbols, sample, 1024), i) for i, sample in enumerate(samples)]
+        bits, best, count = min((c * model.bits[i] / max(1, len(symbols)), i, c) for c, i in counts)
+        fits = max(0, count - 4) * model.bits[best] / max(1, len(symbols)) <= 6.5
+        assert (r.doc_id in kept) == (fits and any(map(str.isalpha, r.text))), r
+    only = {r.doc_id for r in keep_languages(docs, model, wanted=["de"]).collect()}
+    found = {r.doc_id for r in predict_language(docs, model).collect() if r.lang_pred == "de"}
+    assert only == found and found
+
+
 def test_labels_of_held_out_documents_are_not_used(spark, docs):
     held = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
     other = docs.withColumn("lang", F.when(held, F.lit("zz")).otherwise(F.col("lang")))
