@@ -33,6 +33,7 @@ from __future__ import annotations
 
 import heapq
 import math
+from array import array
 from collections.abc import Iterator
 from fractions import Fraction
 from itertools import groupby
@@ -43,6 +44,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.materialize import discard
 from .common import materialize, pass_id, ship, text_bytes, text_slices
 
 N = 4
@@ -50,8 +52,12 @@ THRESHOLD = "0.85"
 #: More parts than differences, as a factor: the larger, the more lists linked sets share.
 SPARE_PARTS = 1.3
 BLOCK = 256
+#: Shingles of the sets that are compared with a pivot at once (or one set, however large).
+HELD = 1 << 19
 #: Asking documents that check their candidates together.
 ASKING = 512
+#: Candidates of such a block, counted with repeats, in one piece of it.
+PIECE = 1 << 18
 #: Members of a list in one array.
 POSTINGS = 16_384
 #: Pivots of a list are drawn in so many ways.
@@ -240,8 +246,8 @@ def _allowed(n1, bits1, n2, bits2, t: Fraction):
     return (np.minimum(n1, n2) * den >= np.maximum(n1, n2) * num) & (differ * (den + num) <= (n1 + n2) * (den - num))
 
 
-def _bits(raw: list[bytes]) -> np.ndarray:
-    return np.frombuffer(b"".join(raw), np.uint64).reshape(len(raw), PARITY_BITS // 64)
+def _bits(raw: list[bytes], n: int | None = None) -> np.ndarray:
+    return np.frombuffer(b"".join(raw), np.uint64).reshape(len(raw) if n is None else n, PARITY_BITS // 64)
 
 
 def _sketches(sets: DataFrame, name: str) -> DataFrame:
@@ -262,59 +268,81 @@ def _possible_pairs(pairs: DataFrame, sets: DataFrame, t: Fraction) -> DataFrame
     return both.mapInArrow(pick, "node long, pivot long")
 
 
-def _possible_candidates(asked: DataFrame, sets: DataFrame, t: Fraction) -> DataFrame:
+def _possible_candidates(asked: DataFrame, sets: DataFrame, t: Fraction) -> tuple[DataFrame, DataFrame]:
     """The pairs (node, pivot) of ``asked`` (asking, top, candidates; a written table) whose
-    sizes and parity bits allow a link."""
+    sizes and parity bits allow a link, and the written table that they are read from."""
     blocks = asked.groupBy("top").agg(F.ceil(F.count(F.lit(1)) / ASKING).cast("int").alias("blocks"))
     asked = asked.join(blocks, "top").select("top", F.pmod(F.xxhash64("asking"), F.col("blocks")).cast("int").alias("block"), "asking", "candidates")
     asked = materialize(asked, "asked-blocks")
+    # A block with many candidates is cut into pieces by candidate.
+    pieces = asked.groupBy("top", "block").agg(F.ceil(F.sum(F.size("candidates")) / PIECE).cast("int").alias("pieces"))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            offsets, values = batch.column("candidates").offsets.to_numpy(), batch.column("candidates").values.to_numpy()
+            for i, (top, block, asking, n) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("top", "block", "asking", "pieces")))):
+                own = values[offsets[i]:offsets[i + 1]]
+                piece = (_mix(own.view(np.uint64)) % np.uint64(n)).astype(np.int32)
+                for k in np.unique(piece).tolist():
+                    yield pa.RecordBatch.from_pydict({"top": pa.array([top], pa.int64()), "block": pa.array([block], pa.int32()), "piece": pa.array([k], pa.int32()),
+                                                      "asking": pa.array([asking], pa.int64()), "candidates": pa.array([own[piece == k]], pa.list_(pa.int64()))})
+
+    place = ["top", "block", "piece"]
+    whole = asked.join(pieces, ["top", "block"])
+    parted = materialize(
+        whole.filter("pieces = 1").select("top", "block", F.lit(0).alias("piece"), "asking", "candidates").unionByName(
+            whole.filter("pieces > 1").mapInArrow(cut, "top long, block int, piece int, asking long, candidates array<long>")), "asked-pieces")
+    discard(asked)
 
     def each_once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, held = None, []
 
         def distinct():
             who = np.unique(np.concatenate(held))
-            return pa.RecordBatch.from_arrays([pa.array(np.full(len(who), at[0])), pa.array(np.full(len(who), at[1], np.int32)), pa.array(who)], ["top", "block", "node"])
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(who), at[0])), *[pa.array(np.full(len(who), x, np.int32)) for x in at[1:]], pa.array(who)], [*place, "node"])
 
         for batch in batches:
-            cut, values = batch.column("candidates").offsets.to_numpy(), batch.column("candidates").values.to_numpy()
-            for i, key in enumerate(zip(batch.column("top").to_pylist(), batch.column("block").to_pylist())):
+            offsets, values = batch.column("candidates").offsets.to_numpy(), batch.column("candidates").values.to_numpy()
+            for i, key in enumerate(zip(*(batch.column(c).to_pylist() for c in place))):
                 if key != at:
                     if held:
                         yield distinct()
                     at, held = key, []
-                held.append(values[cut[i]:cut[i + 1]])
+                held.append(values[offsets[i]:offsets[i + 1]].copy())
         if held:
             yield distinct()
 
-    sorted_blocks = asked.repartition("top", "block").sortWithinPartitions("top", "block")
-    known = (sorted_blocks.select("top", "block", "candidates").mapInArrow(each_once, "top long, block int, node long")
+    known = (parted.select(*place, "candidates").repartition(*place).sortWithinPartitions(*place).mapInArrow(each_once, "top long, block int, piece int, node long")
              .join(_sketches(sets, "node"), "node")
-             .select("top", "block", F.lit(0).alias("kind"), "node", "n_shingles", "parity", F.lit(None).cast("array<long>").alias("candidates")))
-    asking = asked.join(_sketches(sets, "asking"), "asking").select(
-        "top", "block", F.lit(1).alias("kind"), F.col("asking").alias("node"), "n_shingles", "parity", "candidates")
-    rows = known.unionByName(asking).repartition("top", "block").sortWithinPartitions("top", "block", "kind", "node")
+             .select(*place, F.lit(0).alias("kind"), "node", "n_shingles", "parity", F.lit(None).cast("array<long>").alias("candidates")))
+    asking = parted.join(_sketches(sets, "asking"), "asking").select(
+        *place, F.lit(1).alias("kind"), F.col("asking").alias("node"), "n_shingles", "parity", "candidates")
+    rows = known.unionByName(asking).repartition(*place).sortWithinPartitions(*place, "kind", "node")
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, held, table = None, [], None
+        # Ids, sizes and parity bits of a piece's candidates: 144 bytes each.
+        at, ids, sizes, bits, table = None, array("q"), array("q"), bytearray(), None
         for batch in batches:
             out = [np.zeros((0, 2), np.int64)]
-            for top, block, kind, node, n, raw, candidates in zip(*(c.to_pylist() for c in batch.columns)):
-                if (top, block) != at:
-                    at, held, table = (top, block), [], None
+            candidates = batch.column("candidates")
+            offsets, values = candidates.offsets.to_numpy(), candidates.values.to_numpy()
+            for i, (top, block, piece, kind, node, n, raw) in enumerate(zip(*(batch.column(c).to_pylist() for c in (*place, "kind", "node", "n_shingles", "parity")))):
+                if (top, block, piece) != at:
+                    at, ids, sizes, bits, table = (top, block, piece), array("q"), array("q"), bytearray(), None
                 if kind == 0:
-                    held.append((node, n, raw))
+                    ids.append(node)
+                    sizes.append(n)
+                    bits += raw
                     continue
                 if table is None:
-                    ids, sizes, bits = zip(*held)
-                    table = np.array(ids, np.int64), np.array(sizes, np.int64), _bits(list(bits))
-                place = np.searchsorted(table[0], np.array(candidates, np.int64))
-                who = table[0][place[_allowed(n, _bits([raw]), table[1][place], table[2][place], t)]]
+                    table = np.frombuffer(ids, np.int64), np.frombuffer(sizes, np.int64), _bits([bytes(bits)], len(ids))
+                where = np.searchsorted(table[0], values[offsets[i]:offsets[i + 1]])
+                who = table[0][where[_allowed(n, _bits([raw]), table[1][where], table[2][where], t)]]
                 out.append(np.stack([np.maximum(who, node), np.minimum(who, node)], axis=1))
             pairs = np.concatenate(out)
             yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["node", "pivot"])
 
-    return rows.mapInArrow(pick, "node long, pivot long").distinct()
+    return rows.mapInArrow(pick, "node long, pivot long").distinct(), parted
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, n: int, t: Fraction) -> DataFrame:
@@ -337,39 +365,44 @@ def _verified(pairs: DataFrame, docs: DataFrame, n: int, t: Fraction) -> DataFra
              .select("pivot", "block", F.lit(0).alias("kind"), F.col("pivot").alias("node"), "shingles"))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, query, nodes, held = None, None, [], []
+        key, query, nodes, held, size = None, None, [], [], 0
 
         def matches():
             hits = t_occurrence(query, held, t) if held else []
             return pa.RecordBatch.from_arrays([pa.array([nodes[i] for i in hits], pa.int64()), pa.array([key[0]] * len(hits), pa.int64())], ["node", "pivot"])
 
         for batch in batches:
-            for pivot, block, kind, node, raw in zip(*(c.to_pylist() for c in batch.columns)):
+            raw = batch.column("shingles")
+            for i, (pivot, block, kind, node) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("pivot", "block", "kind", "node")))):
                 if (pivot, block) != key:
                     if held:
                         yield matches()
-                    key, query, nodes, held = (pivot, block), None, [], []
-                s = np.frombuffer(raw, np.uint64)
+                    key, query, nodes, held, size = (pivot, block), None, [], [], 0
+                # A copy of its own: the batch can go while a block is held.
+                s = np.frombuffer(raw[i].as_py(), np.uint64)
                 if kind == 0:
                     query = s
-                else:
-                    nodes.append(node)
-                    held.append(s)
-                    if len(held) == 2 * BLOCK:  # a block of an uneven draw
-                        yield matches()
-                        nodes, held = [], []
+                    continue
+                if held and (len(held) == 2 * BLOCK or size + len(s) > HELD):
+                    yield matches()
+                    nodes, held, size = [], [], 0
+                nodes.append(node)
+                held.append(s)
+                size += len(s)
         if held:
             yield matches()
 
     both = heads.unionByName(members).repartition("pivot", "block").sortWithinPartitions("pivot", "block", "kind", "node")
-    return materialize(both.mapInArrow(search, "node long, pivot long"), "links")
+    links = materialize(both.mapInArrow(search, "node long, pivot long"), "links")
+    discard(pairs, made)
+    return links
 
 
 def least_labels(links: DataFrame) -> DataFrame:
     """(node, component) of every node that has a link (node, pivot): the least node reachable."""
     both = links.select(F.col("node").alias("a"), F.col("pivot").alias("b"))
     edges = materialize(both.union(both.select("b", "a")).distinct(), "edges")
-    labels = materialize(edges.groupBy("a").agg(F.min("b").alias("m")).select(
+    labels = spent = materialize(edges.groupBy("a").agg(F.min("b").alias("m")).select(
         F.col("a").alias("node"), F.least("a", "m").alias("component")), "labels")
     while True:
         # The least label among a node and its neighbours, then the label of that label.
@@ -379,8 +412,10 @@ def least_labels(links: DataFrame) -> DataFrame:
         jump = labels.select(F.col("node").alias("component"), F.col("component").alias("further"))
         step = materialize(step.join(jump, "component", "left").select(
             "node", "was", F.least("component", F.coalesce("further", "component")).alias("component")), "labels")
-        labels = step.select("node", "component")
+        discard(spent)
+        labels, spent = step.select("node", "component"), step
         if step.filter("was != component").isEmpty():
+            discard(edges)
             return labels
 
 
@@ -430,7 +465,9 @@ def _searched(lists: DataFrame, needs: DataFrame, labels: DataFrame) -> DataFram
         if held and len(held) >= at[4]:
             yield candidates()
 
-    return rows.mapInArrow(merge, "asking long, top long, candidates array<long>")
+    asked = materialize(rows.mapInArrow(merge, "asking long, top long, candidates array<long>"), "asked")
+    discard(placed, tops)
+    return asked
 
 
 def near_duplicates(docs: DataFrame, n: int = N, threshold: str = THRESHOLD, spare_parts: float = SPARE_PARTS) -> DataFrame:
@@ -459,9 +496,15 @@ def near_duplicates(docs: DataFrame, n: int = N, threshold: str = THRESHOLD, spa
     compared = lists.filter("node != pivot").select(*pair).groupBy("node", "pivot").count().filter("count > 1").select("node", "pivot")
     compared = materialize(compared, "compared")
     links = _verified(_possible_pairs(compared, sets, t), docs, n, t)
-    asked = materialize(_searched(lists.select("key", "node", "long"), needs, least_labels(links)), "asked")
-    more = _verified(_possible_candidates(asked, sets, t).join(compared, ["node", "pivot"], "left_anti"), docs, n, t)
+    labels = least_labels(links)
+    asked = _searched(lists.select("key", "node", "long"), needs, labels)
+    discard(lists, labels)
+    possible, pieces = _possible_candidates(asked, sets, t)
+    discard(asked)
+    more = _verified(possible.join(compared, ["node", "pivot"], "left_anti"), docs, n, t)
+    discard(pieces, compared)
     every = least_labels(links.unionByName(more))
+    discard(links, more)
 
     comps = nodes.join(every, "node", "left").withColumn("component", F.coalesce("component", "node"))
     ids = comps.groupBy("component").agg(F.min("least_id").alias("component_id"))
