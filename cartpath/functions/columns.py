@@ -69,10 +69,15 @@ def time_order(df: DataFrame, tie: str | Sequence[str] | None = None) -> tuple[D
 
     ``tie`` names one column or several; by default ``seq`` where the table has it, else
     the event's rank (view, cart, order) and the item, in helper columns ``_tie0`` and
-    ``_tie1`` that are added."""
+    ``_tie1`` that are added (items that are text go by their number first, ``_tie1``, then as text,
+    ``_tie2``)."""
     if tie is not None:
         return df, ["timestamp", *([tie] if isinstance(tie, str) else tie)]
     if "seq" in df.columns:
         return df, ["timestamp", "seq"]
     rank = F.when(F.col("event") == VIEW, 0).when(F.col("event") == CART, 1).otherwise(2)
-    return df.withColumn("_tie0", rank).withColumn("_tie1", F.col("itemid")), ["timestamp", "_tie0", "_tie1"]
+    df = df.withColumn("_tie0", rank)
+    if isinstance(df.schema["itemid"].dataType, T.StringType):
+        df = df.withColumn("_tie1", F.col("itemid").try_cast("long")).withColumn("_tie2", F.col("itemid"))
+        return df, ["timestamp", "_tie0", "_tie1", "_tie2"]
+    return df.withColumn("_tie1", F.col("itemid")), ["timestamp", "_tie0", "_tie1"]

@@ -50,8 +50,11 @@ def in_order(df: DataFrame, cols: Sequence[str], buckets: int | None = None) ->
 
 
 def is_ordered(df: DataFrame, cols: Sequence[str]) -> bool:
-    """Whether ``df`` is an ``ordered`` table, or comes from one by steps that keep places, with the order ``cols``."""
-    return set(PLACE) <= set(df.columns) and df.schema[PART].metadata.get("order") == list(cols)
+    """Whether ``df`` is an ``ordered`` table, or comes from one by steps that keep places, whose
+    order begins with ``cols``."""
+    if not set(PLACE) <= set(df.columns):
+        return False
+    return df.schema[PART].metadata.get("order", [])[:len(cols)] == list(cols)
 
 
 def place_of(df: DataFrame) -> list[str]:
@@ -105,18 +108,37 @@ def _of_range(group: Sequence[str]):
     return Window.partitionBy(*group, PART, BUCKET)
 
 
+def _ends(rows: DataFrame, group: Sequence[str], aggregates: dict) -> DataFrame:
+    """(_part, group, aggregates) of the first and the last group of each range: at most two rows
+    a range. The groups between them end inside their range."""
+    parts = rows.groupBy(*group, PART, BUCKET).agg(*[a.alias(n) for n, a in aggregates.items()])
+    key, item = F.struct(*group), F.struct(*group, *aggregates)
+    ends = parts.groupBy(PART, BUCKET).agg(F.array_distinct(F.array(F.min_by(item, key), F.max_by(item, key))).alias("_e"))
+    return ends.select(PART, F.inline("_e"))
+
+
+def with_group_values(rows: DataFrame, group: Sequence[str], values: dict) -> DataFrame:
+    """Add values of the whole ``group`` to ``ordered`` rows: ``values`` maps each output column to
+    (aggregate, expression), the aggregate being one that puts partial results together itself
+    (``F.sum``, ``F.min``, ``F.max``). No row is exchanged."""
+    group, names = list(group), list(values)
+    rows = rows.select("*", *[values[n][1].alias(f"_v{i}") for i, n in enumerate(names)])
+    ends = _ends(rows, group, {f"_w{i}": values[n][0](f"_v{i}") for i, n in enumerate(names)})
+    whole = ends.groupBy(*group).agg(*[values[n][0](f"_w{i}").alias(f"_all{i}") for i, n in enumerate(names)])
+    rows = rows.select("*", *[values[n][0](f"_v{i}").over(_of_range(group)).alias(f"_own{i}") for i, n in enumerate(names)])
+    # At most two rows a range: a proven bound.
+    out = rows.join(F.broadcast(whole), group, "left")
+    out = out.select("*", *[F.coalesce(f"_all{i}", f"_own{i}").alias(n) for i, n in enumerate(names)])
+    return out.drop(*[f"_{k}{i}" for i in range(len(names)) for k in ("v", "all", "own")])
+
+
 def with_running_sums(rows: DataFrame, group: Sequence[str], values: dict, totals: Sequence[str] = ()) -> DataFrame:
     """Add running (inclusive) sums inside ``group`` to ``ordered`` rows: ``values`` maps each
     output column to a value expression. For the outputs named in ``totals`` the group's
     whole sum is added too, as ``<name>_total``."""
     group, names = list(group), list(values)
     rows = rows.select("*", *[values[n].alias(f"_v{i}") for i, n in enumerate(names)])
-    # The sums of the first and the last group of each range; the groups between end inside it.
-    sums = [F.sum(f"_v{i}").alias(f"_tot{i}") for i in range(len(names))]
-    ends = rows.groupBy(*group, PART, BUCKET).agg(*sums)
-    key, item = F.struct(*group), F.struct(*group, *[f"_tot{i}" for i in range(len(names))])
-    ends = ends.groupBy(PART, BUCKET).agg(F.array_distinct(F.array(F.min_by(item, key), F.max_by(item, key))).alias("_e"))
-    ends = ends.select(PART, F.inline("_e"))
+    ends = _ends(rows, group, {f"_tot{i}": F.sum(f"_v{i}") for i in range(len(names))})
     of_group = Window.partitionBy(*group)
     earlier = of_group.orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
     stitch = ends.select(

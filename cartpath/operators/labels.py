@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from ..config import CART, LABEL_EVENTS, ORDER, SEED
 from ..functions.columns import keyed_draw, time_order
-from ..functions.sequence import ordered, with_position, with_running_sums, without_place
+from ..functions.sequence import PLACE, in_order, ordered, with_group_values, with_position, with_running_sums, without_place
 
 TS = "timestamp"
 #: Positions of a session whose label items stand in one array.
@@ -41,13 +41,18 @@ def is_label():
     return F.col("event").isin(*LABEL_EVENTS)
 
 
+def _positioned(rows: DataFrame, tie: str | Sequence[str] | None) -> DataFrame:
+    """``session_positions`` with the rows' places, which the order by ``pos`` follows as well."""
+    keyed, order = time_order(rows, tie)
+    placed = with_position(ordered(keyed, ["session"], order, "positions"), ["session"])
+    return in_order(placed.select(*without_place(rows).columns, "pos", *PLACE), ["session", "pos"])
+
+
 def session_positions(rows: DataFrame, tie: str | Sequence[str] | None = None) -> DataFrame:
     """Each event with its 0-based ``pos`` in the session (time, then ``tie``): the long
     form of the per-session event lists. Rows equal in time and tie get positions in the
     order they are written in, once; everything later goes by ``pos``."""
-    keyed, order = time_order(rows, tie)
-    positioned = with_position(ordered(keyed, ["session"], order, "positions"), ["session"])
-    return positioned.select(*without_place(rows).columns, "pos")
+    return without_place(_positioned(rows, tie))
 
 
 def label_index(positioned: DataFrame) -> DataFrame:
@@ -137,17 +142,37 @@ def session_event_lists(rows: DataFrame, limit: int = LIST_LIMIT) -> DataFrame:
     return lists.select("session", F.when(F.col("_part") > 0, F.col("_part") * limit).alias("start"), bare.alias("events"))
 
 
+def _with_split_idx(per: DataFrame, seed: int) -> DataFrame:
+    """Add last_possible_idx and split_idx to rows with session and last_label_pos."""
+    last_possible = F.when(F.col("last_label_pos") >= 2, F.col("last_label_pos") - 1).otherwise(F.lit(0))
+    per = per.withColumn("last_possible_idx", last_possible.cast("long"))
+    draw = F.pmod(keyed_draw(F.col("session"), seed), F.greatest(F.col("last_possible_idx"), F.lit(1)))
+    split = F.when(F.col("last_possible_idx") == 0, F.lit(1)).otherwise(1 + draw)
+    return per.withColumn("split_idx", split.cast("long"))
+
+
 def split_points(positioned: DataFrame, seed: int = SEED) -> DataFrame:
     """One row per session with at least 2 events: n_events, last_label_pos,
     last_possible_idx, split_idx."""
     per = positioned.groupBy("session").agg(
         F.count(F.lit(1)).alias("n_events"),
         F.max(F.when(is_label(), F.col("pos"))).alias("last_label_pos"))
-    last_possible = F.when(F.col("last_label_pos") >= 2, F.col("last_label_pos") - 1).otherwise(F.lit(0))
-    per = per.where(F.col("n_events") >= 2).withColumn("last_possible_idx", last_possible.cast("long"))
-    draw = F.pmod(keyed_draw(F.col("session"), seed), F.greatest(F.col("last_possible_idx"), F.lit(1)))
-    split = F.when(F.col("last_possible_idx") == 0, F.lit(1)).otherwise(1 + draw)
-    return per.withColumn("split_idx", split.cast("long"))
+    return _with_split_idx(per.where(F.col("n_events") >= 2), seed)
+
+
+def cut_rows(rows: DataFrame, seed: int = SEED, tie: str | Sequence[str] | None = None) -> DataFrame:
+    """The positioned rows of all sessions with at least 2 events, each with its session's
+    n_events, last_label_pos, last_possible_idx and split_idx. The rows are exchanged once, to
+    be ordered (not at all where they are an ordered table already): what a session decides
+    comes from its range's windows and the broadcast ends of ranges, not from a join by session."""
+    placed = with_group_values(_positioned(rows, tie), ["session"], {
+        "n_events": (F.sum, F.lit(1).cast("long")), "last_label_pos": (F.max, F.when(is_label(), F.col("pos")))})
+    return _with_split_idx(without_place(placed).where(F.col("n_events") >= 2), seed)
+
+
+def points_of(cut: DataFrame) -> DataFrame:
+    """The split points of ``cut_rows``: one row per session."""
+    return cut.where(F.col("pos") == 0).select("session", "n_events", "last_label_pos", "last_possible_idx", "split_idx")
 
 
 def with_split(positioned: DataFrame, points: DataFrame) -> DataFrame:
@@ -180,10 +205,8 @@ def test_labels(cut_rows: DataFrame, points: DataFrame) -> DataFrame:
 def cut_test_set(test: DataFrame, seed: int = SEED,
                  tie: str | Sequence[str] | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Test set -> (trimmed events, labels, split points)."""
-    positioned = session_positions(test, tie)
-    points = split_points(positioned, seed)
-    cut = with_split(positioned, points)
-    return trimmed_sessions(cut), test_labels(cut, points), points
+    cut = cut_rows(test, seed, tie)
+    return trimmed_sessions(cut), test_labels(cut, points_of(cut)), points_of(cut)
 
 
 def cut_at(test: DataFrame, split_idx: DataFrame,

@@ -2,8 +2,9 @@
 
 All statistics are aggregates with map-side partial aggregation. Quantiles use Spark's
 exact ``percentile``, whose buffer is a value -> count map: its size is bounded by the
-number of distinct values (counts, seconds), not by the number of rows; ``approx=True``
-switches to ``percentile_approx`` for measures with very many distinct values.
+number of distinct values (counts), not by the number of rows; for measures with very many
+distinct values ``many=True`` finds the same quantiles over ranges of values, and ``approx=True``
+uses ``percentile_approx``.
 Ordered steps inside sessions (gaps, steps between carts and orders) use the skew-safe
 running sums and next rows of ``functions.sequence`` over written range partitions.
 Nothing is rounded here.
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ..config import CART, ORDER, VIEW
 from ..functions.columns import pct, time_order
+from ..functions.quantiles import exact_quantiles
 from ..functions.sequence import PLACE, ordered, place_of, with_next, with_running_sums
 
 TS = "timestamp"
@@ -33,14 +35,19 @@ def events_per_session(sessions: DataFrame) -> DataFrame:
     return sessions.groupBy("session").agg(F.count(F.lit(1)).alias("events_count"))
 
 
-def describe(df: DataFrame, col: str, approx: bool = False) -> DataFrame:
-    """One row: count, null_count, mean, std (sample), min, q25, q50, q75, max."""
+def describe(df: DataFrame, col: str, approx: bool = False, many: bool = False) -> DataFrame:
+    """One row: count, null_count, mean, std (sample), min, q25, q50, q75, max. ``many`` is for
+    measures with very many distinct values: the same exact quantiles, found over ranges of values
+    (``functions.quantiles``; ``df`` is then read twice)."""
     c = F.col(col)
     qs = list(QUANTILES)
     q = F.percentile_approx(c, qs, 1_000_000) if approx else F.percentile(c, qs)
+    quantiles = [] if many and not approx else [q.alias("_q")]
     row = df.agg(F.count(c).alias("count"), F.count_if(c.isNull()).alias("null_count"),
                  F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),
-                 F.min(c).cast("double").alias("min"), q.alias("_q"), F.max(c).cast("double").alias("max"))
+                 F.min(c).cast("double").alias("min"), *quantiles, F.max(c).cast("double").alias("max"))
+    if not quantiles:
+        row = row.withColumn("_q", exact_quantiles(df, col, qs))
     r = lambda e, n: e.cast("double").alias(n)
     return row.select("count", "null_count", r(F.col("mean"), "mean"), r(F.col("std"), "std"),
                       r(F.col("min"), "min"), r(F.col("_q")[0], "q25"), r(F.col("_q")[1], "q50"),
@@ -115,6 +122,57 @@ def per_item_counts(sessions: DataFrame, event: str, name: str) -> DataFrame:
             .groupBy("itemid").agg(F.count("itemid").alias(name)))
 
 
+def item_profile(sessions: DataFrame) -> DataFrame:
+    """One row an item: events, and events of each type. Everything below that is counted by item
+    (A7 to A14) follows from this table, so a job that writes it scans the sessions once."""
+    return sessions.groupBy("itemid").agg(
+        F.count(F.lit(1)).alias("n_rows"), *[F.count_if(F.col("event") == e).alias(f"n_{e}") for e in (VIEW, CART, ORDER)])
+
+
+def _known(n: str):
+    """Counts of a missing item id are zero, as ``count(itemid)`` has them."""
+    return F.when(F.col("itemid").isNull(), F.lit(0)).otherwise(F.col(n)).cast("long")
+
+
+def profile_events_per_item(profile: DataFrame) -> DataFrame:
+    """``events_per_item`` of an ``item_profile``."""
+    return profile.select("itemid", _known("n_rows").alias("events_count"))
+
+
+def profile_per_item_counts(profile: DataFrame, event: str, name: str) -> DataFrame:
+    """``per_item_counts`` of an ``item_profile``."""
+    return profile.where(F.col(f"n_{event}") > 0).select("itemid", _known(f"n_{event}").alias(name))
+
+
+def profile_item_coverage(profile: DataFrame) -> DataFrame:
+    """``item_coverage`` of an ``item_profile``."""
+    n = F.count("itemid")
+    cols = [n.alias("n_items")]
+    for e, tag in ((VIEW, "view"), (CART, "cart"), (ORDER, "order")):
+        k = F.count_if(F.col(f"n_{e}") > 0)
+        cols += [k.alias(f"n_{tag}_items"), pct(k, n).alias(f"pct_{tag}_items")]
+    return profile.where(F.col("itemid").isNotNull()).agg(*cols)
+
+
+SKETCH_BITS = 16
+
+
+def daily_sketches(sessions: DataFrame, bits: int = SKETCH_BITS) -> DataFrame:
+    """One row a day and event type with sketches of its sessions and items (HyperLogLog, 2^bits
+    registers: a standard error of about 1.04 / 2^(bits / 2), 0.4 % at 16). Sketches of any days and
+    types are put together by ``distinct_of_sketches``, so distinct counts of a window read a
+    few rows instead of the events, and a new day only adds its own."""
+    day = F.floor(F.col(TS) / 86400).cast("long")
+    return sessions.groupBy(day.alias("day"), "event").agg(
+        F.hll_sketch_agg("session", F.lit(bits)).alias("sessions"), F.hll_sketch_agg("itemid", F.lit(bits)).alias("items"))
+
+
+def distinct_of_sketches(sketches: DataFrame) -> DataFrame:
+    """One row: n_sessions and n_items over all rows of ``daily_sketches`` given (filter them to a
+    window of days or to event types first)."""
+    return sketches.agg(*[F.coalesce(F.hll_sketch_estimate(F.hll_union_agg(c)), F.lit(0)).alias(f"n_{c}") for c in ("sessions", "items")])
+
+
 def distinct_counts(sessions: DataFrame) -> DataFrame:
     return sessions.agg(F.count_distinct("session").alias("n_sessions"),
                         F.count_distinct("itemid").alias("n_items"))

@@ -5,9 +5,9 @@ and writes intermediates that several branches read below the checkpoint folder,
 executor costs a re-read, not a re-run. Its own intermediates are deleted once its outputs
 are complete.
 
-    prepare_split(spark, "data/events.csv", "data/generated")            # train/test CSV
-    cut_test_sessions(spark, "data/generated/test_set", "data/generated") # trimmed + labels
-    build_item_categories(spark, "data/generated/train_set", "data", "data/generated")
+    prepare_split(spark, "data/events.csv", "data/generated")            # train/test stage tables, CSV
+    cut_test_sessions(spark, "data/generated/test_set.parquet", "data/generated") # trimmed + labels
+    build_item_categories(spark, "data/generated/train_set.parquet", "data", "data/generated")
     score(spark, "data/generated/test_labels", "predictions.csv")         # one-row DataFrame
 """
 
@@ -17,19 +17,21 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..config import SEED, SESSION_GAP_SEC, TEST_WEEKS, TOP_K, TRAIN_WEEKS
 from ..functions.materialize import materialize, temporary
+from ..functions.sequence import without_place
 from ..operators.catalog import anchor_bounds, item_categories
 from ..operators.evaluation import get_scores
-from ..operators.labels import (session_positions, split_points, test_labels, trimmed_sessions,
-                               with_split)
+from ..operators.labels import cut_rows, points_of, test_labels, trimmed_sessions
 from ..operators.sessions import sessionize
-from ..operators.split import split_rows
-from ..sources import files, sinks
+from ..operators.split import COLS, split_rows
+from ..sources import files, sinks, stages
 
 
 def prepare_split(spark: SparkSession, events_path: str, output_path: str,
                   train_weeks: int = TRAIN_WEEKS, test_weeks: int = TEST_WEEKS,
                   gap_sec: int = SESSION_GAP_SEC) -> tuple[DataFrame, DataFrame]:
-    """Click-log CSV -> ``train_set`` and ``test_set`` CSV folders (and parquet copies).
+    """Click-log CSV -> ``train_set`` and ``test_set``, each as a stage table (folder ``<set>.parquet``,
+    sorted by session and time in ranges that later jobs read without an exchange) and as a CSV
+    export (folder ``<set>``).
 
     Item ids stay text, as in the log. The log has no source sequence: ties inside one
     second are ordered by event type and item."""
@@ -40,31 +42,35 @@ def prepare_split(spark: SparkSession, events_path: str, output_path: str,
         sets = []
         for part in ("train", "test"):
             path = f"{out}/{part}_set"
-            rows.where(rows["part"] == part).drop("part").write.mode("overwrite").parquet(f"{path}.parquet")
-            sets.append(spark.read.parquet(f"{path}.parquet"))
+            sets.append(stages.write_sessions(rows.where(rows["part"] == part).drop("part"), f"{path}.parquet"))
             sinks.write_sessions(sets[-1], path)
-    return sets[0], sets[1]
+    return tuple(without_place(s).select(*[c for c in COLS if c in s.columns]) for s in sets)
+
+
+def _sessions(spark: SparkSession, path: str) -> DataFrame:
+    """A stage table (``....parquet``) or its CSV export."""
+    return stages.read_sessions(spark, path) if path.rstrip("/").endswith(".parquet") else files.read_sessions(spark, path)
 
 
 def cut_test_sessions(spark: SparkSession, test_set_path: str, output_path: str,
-                      seed: int = SEED) -> tuple[DataFrame, DataFrame]:
-    """Test set CSV -> ``test_sessions`` (JSON lines, one per kept event) and
-    ``test_labels`` (JSON lines, one per session)."""
+                      seed: int = SEED, lists: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Test set (stage table or CSV) -> ``test_sessions`` (JSON lines, one per kept event, or with
+    ``lists`` one list per session) and ``test_labels`` (JSON lines, one per session)."""
     out = output_path.rstrip("/")
     with temporary(spark):
-        positioned = session_positions(files.read_sessions(spark, test_set_path))
         # The cut rows feed both outputs: positions and split points are computed once.
-        cut = materialize(with_split(positioned, split_points(positioned, seed)), "job-cut")
-        sinks.write_trimmed_sessions(trimmed_sessions(cut), f"{out}/test_sessions")
-        sinks.write_labels(test_labels(cut, cut.select("session").distinct()), f"{out}/test_labels")
-    return (files.read_trimmed_sessions(spark, f"{out}/test_sessions"),
-            files.read_labels(spark, f"{out}/test_labels"))
+        cut = materialize(cut_rows(_sessions(spark, test_set_path), seed), "job-cut")
+        write, read = ((sinks.write_trimmed_session_lists, files.read_trimmed_session_lists) if lists
+                       else (sinks.write_trimmed_sessions, files.read_trimmed_sessions))
+        write(trimmed_sessions(cut), f"{out}/test_sessions")
+        sinks.write_labels(test_labels(cut, points_of(cut)), f"{out}/test_labels")
+    return read(spark, f"{out}/test_sessions"), files.read_labels(spark, f"{out}/test_labels")
 
 
 def build_item_categories(spark: SparkSession, train_set_path: str, input_path: str, output_path: str,
                           train_weeks: int = TRAIN_WEEKS, test_weeks: int = TEST_WEEKS) -> DataFrame:
-    """Train set + category tree + item property parts -> sorted ``item_categories`` CSV."""
-    train = files.read_sessions(spark, train_set_path)
+    """Train set (stage table or CSV) + category tree + item property parts -> sorted ``item_categories`` CSV."""
+    train = _sessions(spark, train_set_path)
     src = input_path.rstrip("/")
     tree = files.read_category_tree(spark, f"{src}/category_tree.csv")
     props = files.read_item_properties(spark, [f"{src}/item_properties_part1.csv",

@@ -11,8 +11,7 @@ from pyspark.sql import functions as F
 from ..config import TOP_K
 from ..functions.materialize import materialize
 from ..operators import evaluation as E
-from ..operators.labels import (session_positions, split_points, test_labels, trimmed_sessions,
-                                with_split)
+from ..operators.labels import cut_rows, points_of, test_labels, trimmed_sessions
 from . import oracle as O
 from .fixtures import predictions as fixture_predictions
 from .inputs import GAP_LONG as G
@@ -23,12 +22,10 @@ from .registry import register
 def scored_inputs(spark, d):
     """(labels, predictions); tables read by several branches are written once."""
     train, test = split(spark, d, G, written=True)
-    positioned = session_positions(test)
-    points = split_points(positioned)
     # The cut rows feed the trimmed prefix and the labels: written once.
-    cut_rows = materialize(with_split(positioned, points), "cut-rows")
-    labels = materialize(test_labels(cut_rows, points.select("session")), "labels")
-    return labels, materialize(fixture_predictions(trimmed_sessions(cut_rows), train), "predictions")
+    cut = materialize(cut_rows(test), "cut-rows")
+    labels = materialize(test_labels(cut, points_of(cut)), "labels")
+    return labels, materialize(fixture_predictions(trimmed_sessions(cut), train), "predictions")
 
 
 def _r6(c):

@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import ids_text
 from ..functions.materialize import materialize
-from ..operators.labels import (ground_truth_counts, ground_truth_sets, label_index, session_event_lists, session_positions,
-                                split_points, test_labels, trimmed_sessions, whole_sets, with_split)
+from ..operators.labels import (cut_rows, ground_truth_counts, ground_truth_sets, label_index, points_of, session_event_lists,
+                                session_positions, split_points, test_labels, trimmed_sessions, whole_sets)
 from . import oracle as O
 from .inputs import GAP_LONG as G
 from .inputs import split
@@ -22,10 +22,8 @@ def cut(spark, d):
     """(trimmed events, labels, split points) of the test set. The cut rows (positions and
     split index) are written once: trimmed events and labels both read them, so positions
     are computed in one pass."""
-    positioned = session_positions(test_set(spark, d))
-    points = split_points(positioned)
-    rows = materialize(with_split(positioned, points), "cut-rows")
-    return trimmed_sessions(rows), test_labels(rows, rows.select("session").distinct()), points
+    rows = materialize(cut_rows(test_set(spark, d)), "cut-rows")
+    return trimmed_sessions(rows), test_labels(rows, points_of(rows)), points_of(rows)
 
 
 def labels_text(labels):

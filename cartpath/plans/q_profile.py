@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..config import CART, ORDER, VIEW
+from ..functions.materialize import materialize
 from ..operators import profile as P
 from . import oracle as O
 from .inputs import GAP_LONG as G
 from .inputs import split
-from .registry import register
+from .registry import REGISTRY, register
 
 
 def train(spark, d, written=False):
@@ -115,9 +116,9 @@ for _name, _label in (("views_count", "views"), ("carts_count", "carts"), ("purc
     register(f"describe_{_label}_per_item", describe_sql(f"per_{_name}", _name))(
         lambda spark, d, _n=_name: rounded(P.describe(P.per_item_counts(train(spark, d), _PER_ITEM[_n], _n), _n)))
 register("describe_session_length", describe_sql("slen", "session_length_minutes"))(
-    lambda spark, d: rounded(P.describe(P.session_length(train(spark, d)), "session_length_minutes")))
+    lambda spark, d: rounded(P.describe(P.session_length(train(spark, d, written=True)), "session_length_minutes", many=True)))
 register("describe_inter_event_gaps", describe_sql("gaps", "time_between_sec"))(
-    lambda spark, d: rounded(P.describe(P.inter_event_gaps(train(spark, d)), "time_between_sec")))
+    lambda spark, d: rounded(P.describe(P.inter_event_gaps(train(spark, d)), "time_between_sec", many=True)))
 register("describe_clicks_between_carts", describe_sql("carts_gap", "delta_index"))(
     lambda spark, d: rounded(P.describe(P.clicks_between_carts(train(spark, d)), "delta_index")))
 register("describe_clicks_between_orders", describe_sql("orders_gap", "delta_index"))(
@@ -178,6 +179,37 @@ register("item_coverage", q.sql(
     f"SELECT count(DISTINCT itemid) AS n_items, {', '.join(_cov)} FROM {t}"))(
     lambda spark, d: rounded(P.item_coverage(train(spark, d))))
 
+# The same from one table of items, which is written once.
+def _items(spark, d):
+    return materialize(P.item_profile(train(spark, d)), "item-profile")
+
+
+q, t = base()
+register("item_profile", q.sql(f"""
+SELECT itemid, count(*) AS n_rows, count(*) FILTER (WHERE event = 'view') AS n_view,
+       count(*) FILTER (WHERE event = 'addtocart') AS n_addtocart, count(*) FILTER (WHERE event = 'transaction') AS n_transaction
+FROM {t} GROUP BY itemid"""))(lambda spark, d: P.item_profile(train(spark, d)))
+for _name, _of in (("events_per_item", P.profile_events_per_item), ("item_coverage", lambda p: rounded(P.profile_item_coverage(p))),
+                   ("item_count_distribution", lambda p: P.item_count_distribution(P.profile_events_per_item(p))),
+                   ("carts_per_item", lambda p: P.profile_per_item_counts(p, CART, "carts_count"))):
+    register(f"profile_{_name}", REGISTRY[_name][1])(lambda spark, d, _f=_of: _f(_items(spark, d)))
+
+
+def _sketch_errors(spark, d):
+    """Distinct counts of every week by daily sketches, against the exact ones."""
+    rows = train(spark, d, written=True).withColumn("week", F.expr("timestamp div 604800"))
+    daily = materialize(P.daily_sketches(rows), "daily-sketches").withColumn("week", F.expr("day div 7"))
+    near = daily.groupBy("week").agg(*[F.hll_sketch_estimate(F.hll_union_agg(c)).alias(f"near_{c}") for c in ("sessions", "items")])
+    exact = rows.groupBy("week").agg(F.count_distinct("session").alias("n_sessions"), F.count_distinct("itemid").alias("n_items"))
+    ok = lambda c: (F.abs(F.col(f"near_{c}") - F.col(f"n_{c}")) <= F.col(f"n_{c}") * 0.01).alias(f"{c}_within_1_percent")
+    return exact.join(near, "week").select("week", "n_sessions", "n_items", ok("sessions"), ok("items"))
+
+
+q, t = base()
+register("distinct_counts_by_sketch", q.sql(f"""
+SELECT timestamp // 604800 AS week, count(DISTINCT session) AS n_sessions, count(DISTINCT itemid) AS n_items,
+       true AS sessions_within_1_percent, true AS items_within_1_percent FROM {t} GROUP BY 1"""))(_sketch_errors)
+
 q, t = base()
 register("session_length", q.sql("SELECT session, round(session_length_minutes, 6) AS session_length_minutes FROM slen"))(
     lambda spark, d: rounded(P.session_length(train(spark, d))))
