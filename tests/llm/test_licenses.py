@@ -6,7 +6,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from cartpath.llm.licenses import BASE, evaluate, parse_expression, scan, scan_licenses
+from cartpath.llm.licenses import BASE, evaluate, name_label, parse_expression, scan, scan_licenses
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -56,6 +56,32 @@ def test_tags_and_notices():
     assert scan(b"no licence here")[1:] == (0, None, None, "", "", 0.0, [])
 
 
+def test_the_score_covers_all_labels():
+    assert scan(b"SPDX-License-Identifier: MIT\nlicensed under CC BY NC ND")[4:] == ("cc-by", "cc-by,cc-by-nc,cc-by-nc-nd,mit", 0.9, ["mit"])
+    # Pieces of names count through their expression: the choice of the least restrictive one stays.
+    n, n_base, *_, base, labels, score, expressions = scan(b"SPDX-License-Identifier: CC-BY-NC-ND-4.0 OR MIT")
+    assert (n_base, base, score, expressions) == (1, "cc-by", 0.2, ["cc-by-nc-nd-4.0 mit or"])
+    assert scan(b"SPDX-License-Identifier: (CC-BY-NC-4.0 OR MIT) and more under cc by nc")[6] == 0.8
+    assert scan(b"all rights reserved. SPDX-License-Identifier: MIT")[6] == 1.0
+
+
+def test_tags_end_at_words():
+    text = b"SPDX-License-Identifier: MIT\nMany SPDX-License-Identifiers GPL-3.0 are known"
+    assert scan(text)[5:] == ("mit", 0.2, ["mit"])
+    assert scan("xSPDX-License-Identifier: MIT".encode())[5:] == ("", 0.0, [])
+    text = "é SPDX license\n identifier: Apache-2.0, then Übung SPDX-License-Identifier (GPL-2.0 WITH Own)".encode()
+    assert scan(text)[5:] == ("apache-2.0,gpl-2.0", 0.4, ["apache-2.0", "gpl-2.0 own with"])
+
+
+@pytest.mark.parametrize("name, label, value", [
+    ("CC-BY-3.0", "cc-by", 0.2), ("LGPL-2.0-or-later", "lgpl", 0.4), ("0BSD", "bsd", 0.2), ("BSD-3-Clause", "bsd", 0.2), ("GPL-1.0+", "gpl-1.0", 0.6),
+    ("Apache-1.1", "apache-1.1", 0.2), ("CC-BY-NC-SA-3.0-US", "cc-by-nc-sa", 0.8), ("MIT-0", "mit", 0.2), ("CC0-1.0", "cc0", 0.0), ("MPL-1.1", "mpl", 0.4),
+    ("AGPL-1.0-only", "agpl", 0.8), ("Zlib", "zlib", 0.2), ("EUPL-1.2", "eupl", 0.6), ("Own-License", None, 0.5), ("GPL", "gpl", 0.6), ("CC-3.0", None, 0.5)])
+def test_names_go_by_family_and_version(name, label, value):
+    assert name_label(name) == label
+    assert scan(f"SPDX-License-Identifier: {name}".encode())[6] == value
+
+
 @pytest.mark.parametrize("form", ["{}", "({})", "(({}) AND MIT)"])
 @pytest.mark.parametrize("names", [120, 1000, 100_000])
 def test_long_expressions_are_read_whole(form, names):
