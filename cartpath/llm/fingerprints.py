@@ -7,12 +7,12 @@ an estimate of the common share of their phrase sets, which is high where one te
 compress the other. The dictionary starts anew every ``WINDOW`` bytes, so memory is
 bounded for any text.
 
-``neighbours`` also edits each text with the start of the next document in id order. The
-rows are cut into ranges of places (boundaries from approximate quantiles, sorted inside), so
-a text is shuffled once and read next to its successor; the first row of a range is sent
-to the range before it too. A place is the id and then the text's hash: null ids, and an id
-that fills more than one range, are cut at quantiles of the hash. Rows equal in id and text
-share a place and stay in one range.
+``neighbours`` also edits each text with the start of the next document in id order. A row's
+place is its id, its text's hash and its number in the scan. Spark ranges the places (narrow rows, no
+text), and each range's first place is the border from which a vectorised search gives every row
+its range; so a text is shuffled once and read next to its successor, and null ids, repeated ids and
+repeated rows spread over ranges like all others. The first row of a range is sent to the range
+before it too. The borders are 32 bytes a range, beside the plan, which does not grow with them.
 
 Defined cases: null and empty texts have no phrases and an empty fingerprint; two empty
 fingerprints have likeness 1, an empty and another 0; equal ids are ordered by text, null
@@ -23,22 +23,21 @@ result; further columns are ignored.
 from __future__ import annotations
 
 import hashlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import shuffle_partitions
-from .common import ship, text_slices
+from .common import pass_id, ship, text_slices
 
 SIZE = 64
 WINDOW = 1 << 20
 MARKED = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 _M = (1 << 62) - 1
-_LEAST = -1 << 63
 
 
 class PhraseParser:
@@ -121,75 +120,63 @@ class _Document:
                 likeness(self.mark, following.mark))
 
 
-def _range_of(column: str, splits: list, literal=lambda x: F.lit(x).cast("long")):
-    """Number of splits at or below a value, in O(sqrt(splits)) a row."""
-    if not splits:
-        return F.lit(0)
-    width = max(1, int(len(splits) ** 0.5))
-    blocks = [splits[i:i + width] for i in range(0, len(splits), width)]
-
-    def below(array):
-        return F.size(F.filter(array, lambda s: s <= F.col(column)))
-
-    coarse = below(F.array(*[literal(b[0]) for b in blocks]))
-    fine = F.array(*[F.array(*[literal(x) for x in b]) for b in blocks])
-    return F.when(coarse == 0, 0).otherwise((coarse - 1) * width + below(F.get(fine, coarse - 1)))
-
-
-def _place(none, key, mark):
-    return F.struct(none.alias("none"), key.alias("id"), mark.alias("hash"))
-
-
-def _splits(rows: DataFrame, ranges: int) -> list[tuple[bool, int, int]]:
-    """At most about 2 * ``ranges`` places (none, id, hash) at which ranges begin, ascending."""
-    if ranges < 2:
-        return []
-    steps, accuracy = [i / ranges for i in range(1, ranges)], max(10_000, 20 * ranges)
-    ids, total, known = rows.agg(F.percentile_approx("doc_id", steps, accuracy), F.count(F.lit(1)), F.count("doc_id")).first()
-    often = Counter(ids or [])
-    splits = {(False, x, _LEAST) for x in often}
-    parts = {x: n + 1 for x, n in often.items() if n > 1}
-    if known < total:
-        splits.add((True, 0, _LEAST))
-        if (n := -(-ranges * (total - known) // total)) > 1:
-            parts[None] = n
-    if parts:
-        # At most ``ranges`` / 2 ids and the null.
-        held = rows.filter(F.col("doc_id").isNull() | F.col("doc_id").isin([x for x in parts if x is not None]))
-        for r in held.groupBy("doc_id").agg(F.percentile_approx(F.xxhash64("text"), steps, accuracy).alias("marks")).collect():
-            n = parts.get(r["doc_id"], 1)
-            marks = {r["marks"][len(steps) * i // n] for i in range(1, n)}
-            splits |= {(r["doc_id"] is None, r["doc_id"] or 0, m) for m in marks}
-    return sorted(splits)
+PLACE = ["none", "id", "hash", "turn"]
+
+
+def _placed(docs: DataFrame) -> DataFrame:
+    """doc_id, text and the place of every row: ids ascending, null last, then the text's hash and the row's number."""
+    rows = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    return pass_id(rows, "turn").select("doc_id", "text", F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id"),
+                                        F.xxhash64("text").alias("hash"), "turn")
+
+
+def _heads(rows: DataFrame, ranges: int) -> np.ndarray:
+    """The first places of about ``ranges`` ranges of equal numbers of rows (one column a range,
+    ascending): Spark ranges the places alone, and each range's least place is kept."""
+    dealt = rows.select(*PLACE).repartitionByRange(ranges, *PLACE)
+    least = dealt.groupBy(F.spark_partition_id().alias("range")).agg(F.min(F.struct(*PLACE)).alias("place"))
+    found = least.select("place.*").toArrow()
+    heads = np.stack([found.column(c).to_numpy().astype(np.int64) for c in PLACE])
+    return heads[:, np.lexsort(heads[::-1])]
+
+
+def _numbers(heads: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The range of each place (both arrays have a column a place) and whether it is the range's first one."""
+    k = heads.shape[1]
+    both = np.concatenate([heads, places], axis=1)
+    later = np.arange(both.shape[1]) >= k  # a head stands before its own row
+    order = np.lexsort((later, *both[::-1]))
+    number = np.empty(both.shape[1], np.int64)
+    number[order] = np.cumsum(~later[order]) - 1
+    number = number[k:]
+    return number, (heads[:, np.maximum(number, 0)] == places).all(axis=0)
 
 
 def neighbours(docs: DataFrame, ranges: int | None = None) -> DataFrame:
-    """Fingerprints of every text and of its edit with the next document, and their likeness."""
+    """Fingerprints of every text of ``docs`` (a stored table) and of its edit with the next
+    document, and their likeness."""
     spark = docs.sparkSession
     ship(spark)
     ranges = ranges or 4 * shuffle_partitions(spark)
-    rows = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    splits = _splits(rows, ranges)
-    # Order: id, then text; null ids last.
-    rows = rows.withColumn("place", _place(F.col("doc_id").isNull(), F.coalesce("doc_id", F.lit(0)), F.xxhash64("text")))
-    if any(none or mark != _LEAST for none, _, mark in splits):
-        number = _range_of("place", splits, lambda x: _place(F.lit(x[0]), F.lit(x[1]).cast("long"), F.lit(x[2]).cast("long")))
-    else:
-        number = _range_of("doc_id", [x for _, x, _ in splits])
-    rows = rows.withColumn("range", number.cast("int"))
-    # One row a range: at most the splits + 1.
-    heads = [(r["range"], r["first"]) for r in rows.groupBy("range").agg(F.min("place").alias("first")).orderBy("range").collect()]
-    if not heads:
+    rows = _placed(docs)
+    heads = _heads(rows, ranges)
+    if not heads.size:
         return spark.createDataFrame([], MARKED)
-    before = spark.createDataFrame(
-        [(first["none"], first["id"], first["hash"], heads[i - 1][0]) for i, (_, first) in enumerate(heads)],
-        "none boolean, id long, hash long, before int")
-    rows = rows.select("doc_id", "text", "range", "place.*").join(F.broadcast(before), ["none", "id", "hash"], "left")
+    shared = spark.sparkContext.broadcast(heads)  # 32 bytes a range
+
+    @F.pandas_udf("range int, head boolean")
+    def number(none: pd.Series, id_: pd.Series, hash_: pd.Series, turn: pd.Series) -> pd.DataFrame:
+        n, first = _numbers(shared.value, np.stack([none.to_numpy().astype(np.int64), *(x.to_numpy() for x in (id_, hash_, turn))]))
+        return pd.DataFrame({"range": n.astype(np.int32), "head": first})
+
+    rows = rows.withColumn("at", number(*PLACE))
+    # A range's first row goes to the range before it too.
+    before = F.pmod(F.col("at.range") - 1, F.lit(heads.shape[1]))
+    rows = rows.select("doc_id", "text", *PLACE, F.col("at.range").alias("range"), F.when(F.col("at.head"), before).alias("before"))
     targets = F.array_compact(F.array(F.struct(F.col("range").alias("range"), F.lit(0).alias("extra")),
                                       F.when(F.col("before").isNotNull(), F.struct(F.col("before").alias("range"), F.lit(1).alias("extra")))))
-    rows = rows.select("doc_id", "text", "none", "id", "hash", F.explode(targets).alias("to")).select(
-        "to.range", "to.extra", "doc_id", "text", "none", "id", "hash")
-    rows = rows.repartition(ranges, "range").sortWithinPartitions("range", "extra", "none", "id", "hash")
+    rows = rows.select("doc_id", "text", *PLACE, F.explode(targets).alias("to")).select("to.range", "to.extra", "doc_id", "text", *PLACE)
+    rows = rows.repartition(ranges, "range").sortWithinPartitions("range", "extra", *PLACE)
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [x.split()[0] for x in MARKED.split(", ")]

@@ -83,6 +83,35 @@ def test_neighbours_match_a_sorted_list(docs, ranges):
     assert sorted(map(tuple, neighbours(docs, ranges).collect())) == sorted(plain_rows(rows))
 
 
+def longest_range(table, ranges):
+    """Rows of the longest range, and every row is in the range of its place."""
+    heads = fingerprints._heads(fingerprints._placed(table), ranges)
+    assert heads.shape[1] <= ranges
+    places = np.array([[int(r.none), r.id, r.hash, r.turn] for r in fingerprints._placed(table).collect()], np.int64).T
+    number, head = fingerprints._numbers(heads, places)
+    tuples = [tuple(x) for x in heads.T.tolist()]
+    assert [sum(t <= tuple(p) for t in tuples) - 1 for p in places.T.tolist()] == number.tolist() and head.sum() == heads.shape[1]
+    return np.bincount(number).max()
+
+
+def test_repeated_rows_spread(spark):
+    """Two thirds of the rows are one row: their range is no longer than the others'."""
+    rows = [(7, "the same text")] * 400 + [(i, f"text {i}") for i in range(200)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    assert longest_range(table, 12) <= 3 * len(rows) / 12
+    order = sorted(rows, key=lambda r: r[0])
+    got = [tuple(r) for r in neighbours(table, 12).collect()]
+    # Equal rows change places freely: the ones before another text are one.
+    assert sorted(got) == sorted(plain_rows([r for r in order if r != (7, "text 7")][:7] + [r for r in order if r[0] == 7 and r[1] == "the same text"]
+                                            + [(7, "text 7")] + [r for r in order if r[0] > 7])) or sorted(got) == sorted(
+        plain_rows([r for r in order if r[0] < 7] + [(7, "text 7")] + [r for r in order if r[0] == 7 and r[1] == "the same text"] + [r for r in order if r[0] > 7]))
+
+
+def test_plans_do_not_grow_with_the_ranges(docs):
+    size = [len(neighbours(docs, n)._jdf.queryExecution().optimizedPlan().toString()) for n in (4, 4096)]
+    assert size[1] < size[0] + 200
+
+
 @pytest.mark.parametrize("ranges", [4, 30])
 def test_null_and_repeated_ids_spread(spark, ranges):
     rnd = random.Random(ranges)
@@ -90,11 +119,7 @@ def test_null_and_repeated_ids_spread(spark, ranges):
     table = spark.createDataFrame(rows, "doc_id long, text string")
     hashes = {r.text: r.h for r in table.selectExpr("text", "xxhash64(text) AS h").collect()}
     place = {r: (r[0] is None, r[0] or 0, hashes[r[1]]) for r in rows}
-    splits = fingerprints._splits(table, ranges)
-    tasks = {}
-    for r in rows:
-        tasks.setdefault(sum(s <= place[r] for s in splits), []).append(r)
-    assert max(map(len, tasks.values())) <= 3 * len(rows) / ranges and len(splits) <= 2 * ranges + 1
+    assert longest_range(table, ranges) <= 3 * len(rows) / ranges
     rows.sort(key=place.get)
     assert sorted(map(tuple, neighbours(table, ranges).collect()), key=str) == sorted(plain_rows(rows), key=str)
 
