@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions.materialize import materialize
 
-__all__ = ["documents", "labels", "materialize", "ship", "text_slices", "id_crc32", "pass_id"]
+__all__ = ["documents", "labels", "materialize", "ship", "text_slices", "id_crc32", "join_few", "pass_id"]
 
 #: Bytes of text that a Python step handles at once.
 SLICE_BYTES = 4 << 20
@@ -47,6 +47,18 @@ def pass_id(df: DataFrame, name: str) -> DataFrame:
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
+def join_few(rows: DataFrame, few: DataFrame, key: str, other: str, bound: int = 100_000, salts: int = 64) -> DataFrame:
+    """``rows`` with the row of ``few`` (a written table) whose ``other`` equals ``key``, null being a
+    key like any other: a broadcast up to ``bound`` rows, beyond it a join over salts, since one
+    key may hold a large share of all rows."""
+    same = F.col(key).eqNullSafe(F.col(other))
+    if few.count() <= bound:
+        return rows.join(F.broadcast(few), same).drop(other)
+    salted = few.withColumn("_salt2", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    rows = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int"))
+    return rows.join(salted, (F.col("_salt") == F.col("_salt2")) & same).drop(other, "_salt", "_salt2")
+
+
 def text_slices(batches: Iterable[pa.RecordBatch], column: str = "text",
                 limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in order, cut so that a slice holds about ``limit`` bytes of text."""

@@ -8,9 +8,10 @@ word ``c`` of its source's shuffled stream stands at the training position where
 demand reaches ``c`` (the inverse of the integral, a quadratic per piece). Documents are
 then range-sorted by position.
 
-The stream of a source is ordered by a hash of the id. Offsets in it are sums per (source,
-hash bin) plus a running sum inside one bin, so a source with a third of all rows is cut
-into ``bins`` windows. Only the table of sources (one row each) is ordered as a whole.
+The stream of a source is ordered by a hash of the id. Offsets in it are running sums over
+written ranges of (source, hash, place), so a source with a third of all rows, and one row
+that is repeated as often, are cut into ranges like any others. Only the table of sources (one
+row each) is ordered as a whole; it is broadcast if it is small and else joined with salts.
 
 Defined cases: null or empty texts have size 0 and are never taken; a null source is a
 source of its own, last in order; rows equal in id, size and source are interchangeable;
@@ -24,14 +25,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, pass_id
+from ..functions.sequence import ordered, with_running_sums
+from .common import join_few, materialize, pass_id
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
 #: Relative weight at evenly spaced knots of the run, repeating over the sources:
 #: early, steady and late sources.
 SCHEDULES = ((1.5, 1.0, 0.5), (1.0, 1.0, 1.0), (0.5, 1.0, 1.5))
-BIN_BITS = 10
 KEY_BITS = 60
 
 
@@ -87,18 +88,16 @@ def mix_sources(docs: DataFrame, weights: Sequence[float] = WEIGHTS, budget: flo
     rows = docs.select("doc_id", F.col("source").alias("source"), size.alias("size"), *keep)
     digest = F.md5(F.concat_ws("-", F.col("doc_id").cast("string"), F.col("size").cast("string")))
     rows = rows.withColumn("key", F.conv(F.substring(digest, 1, KEY_BITS // 4), 16, 10).cast("long"))
-    rows = materialize(rows.withColumn("bin", F.shiftright("key", KEY_BITS - BIN_BITS)), "mix-keys")
-    bins = rows.groupBy("source", "bin").agg(F.sum("size").alias("bin_size"))
-    targets = source_targets(bins.groupBy("source").agg(F.sum("bin_size").alias("source_size")), weights, budget, cap)
-    earlier = Window.partitionBy("source").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-    starts = bins.select(F.col("source").alias("_s"), F.col("bin").alias("_b"),
-                         F.coalesce(F.sum("bin_size").over(earlier), F.lit(0)).alias("bin_start"))
-    t = targets.withColumnRenamed("source", "_ts")
-    starts = starts.join(t, F.col("_s").eqNullSafe(F.col("_ts")))
-    inside = Window.partitionBy("source", "bin").orderBy("key", "doc_id", "size", *keep).rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("before", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-    out = rows.join(starts, F.col("source").eqNullSafe(F.col("_s")) & (F.col("bin") == F.col("_b")))
-    c, whole = F.col("bin_start") + F.col("before"), F.floor("target").cast("long")
+    # A source may be null.
+    rows = rows.withColumns({"none": F.col("source").isNull(), "name": F.coalesce("source", F.lit(""))})
+    rows = materialize(rows, "mix-keys")
+    sums = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
+    targets = source_targets(sums, weights, budget, cap).withColumnRenamed("source", "_ts")
+    # Words before a document in its source's shuffled stream, over ranges of the stream.
+    stream = ordered(rows, ["none", "name"], ["key", "doc_id", "size", *keep], "mix-stream")
+    stream = with_running_sums(stream, ["none", "name"], {"upto": F.col("size")})
+    out = join_few(stream, materialize(targets, "mix-targets"), "source", "_ts")
+    c, whole = F.col("upto") - F.col("size"), F.floor("target").cast("long")
     take = [F.greatest(F.lit(0), F.least("size", whole - c - k * F.col("source_size"))).cast("long") for k in range(2)]
     share = [(c + k * F.col("source_size")) / F.col("target") for k in range(2)]
 

@@ -9,8 +9,8 @@ equal shares at its virtual nodes).
 Everything is decided on counts per arc, a table bounded by ``bins + shards *
 virtual_nodes`` rows whatever the input: the queue of overflowing rows around the circle
 is a prefix sum that starts where the balance of overflow and room is least. The rows
-themselves are numbered inside their arc only, so no task orders more than about
-``rows / bins`` of them, and a small broadcast table of segments gives shard and slot.
+themselves are numbered inside their arc, over written ranges of (arc, place), so that an arc with
+many equal rows is cut into ranges too, and a small broadcast table of segments gives shard and slot.
 Only DataFrame functions are used.
 
 Defined cases: a null text has size 8 and crc 0; a null id is a key like any other; rows
@@ -23,6 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.sequence import ordered, with_position
 from .common import materialize
 
 BINS = 8192
@@ -120,8 +121,8 @@ def shard_documents(docs: DataFrame, n_shards: int = 24, virtual_nodes: int = VI
     rows = rows.withColumn("bin", F.shiftright("place", 32 - (bins.bit_length() - 1)))
     rows = materialize(rows, "shard-keys")  # narrow: read for the counts and for the numbering
     segments = _ring(rows.groupBy("bin").agg(F.count(F.lit(1)).alias("n")), n_shards, virtual_nodes, bins, slack)
-    rank = Window.partitionBy("bin").orderBy("place", "doc_id", "text_crc32", "size")
-    ranked = rows.withColumn("rank", (F.row_number().over(rank) - 1).cast("long"))
+    # Ranges of ring places: an arc of many equal rows is cut like any other.
+    ranked = with_position(ordered(rows, ["bin"], ["place", "doc_id", "text_crc32", "size"], "shard-places"), ["bin"], "rank")
     # At most 2 * bins + n_shards * virtual_nodes segments, whatever the input.
     s = F.broadcast(segments.withColumnRenamed("bin", "arc"))
     out = ranked.join(s, (ranked["bin"] == s["arc"]) & (ranked["rank"] >= s["lo"]) & (ranked["rank"] < s["hi"]))

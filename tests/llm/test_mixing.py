@@ -96,3 +96,31 @@ def test_parameters(spark, docs):
             mix_sources(docs, **bad)
     with pytest.raises(ValueError):
         demand_position(F.lit(0.5), (0, 0))
+
+
+def test_repeated_rows_spread_and_count_once_each(spark):
+    """Half of the rows are one row (null id): the stream is cut inside them, and they take what single rows would."""
+    from cartpath.functions.sequence import ordered
+    rows = [(None, "two words", "a")] * 600 + [(i, f"word{i} " * (i % 7), "ab"[i % 2]) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    spark.conf.set("spark.sql.shuffle.partitions", "12")
+    try:
+        got = mix_sources(docs).collect()
+        stream = ordered(docs.withColumn("key", F.lit(1)), ["source"], ["key", "doc_id"])
+        assert max(r["count"] for r in stream.groupBy("_part").count().collect()) <= 2 * len(rows) / 12
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert len(got) == len(rows)
+    for source in "ab":
+        mine = [r for r in got if r.source == source]
+        assert sum(r.taken for r in mine) == int(mine[0].target) and sum(r.size for r in mine) == mine[0].source_size
+
+
+def test_many_sources_are_joined_with_salts(spark, monkeypatch):
+    from cartpath.llm import common
+    docs = spark.createDataFrame([(i, f"word{i} " * (i % 5 + 1), None if i % 9 == 0 else f"s{i % 40}" if i % 3 else "hot") for i in range(300)],
+                                 "doc_id long, text string, source string")
+    want = sorted(map(str, mix_sources(docs).collect()))
+    few = common.join_few
+    monkeypatch.setattr("cartpath.llm.mixing.join_few", lambda *a: few(*a, bound=3))
+    assert sorted(map(str, mix_sources(docs).collect())) == want

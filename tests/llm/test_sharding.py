@@ -106,3 +106,17 @@ def test_parameters(spark, docs):
     for bad in ({"n_shards": 0}, {"bins": 1000}, {"virtual_nodes": 0}):
         with pytest.raises(ValueError):
             shard_documents(docs, **bad)
+
+
+def test_equal_rows_spread_over_tasks(spark):
+    """Two thirds of the rows are equal: they fill ranges like others, slots stay gapless, counts at most one apart."""
+    rows = [(None, "same text")] * 800 + [(i, f"text {i}") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    got = shard_documents(docs, n_shards=7).collect()
+    slots = {}
+    for r in got:
+        slots.setdefault(r.shard, []).append(r.slot)
+    assert len(got) == len(rows) and all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert max(map(len, slots.values())) - min(map(len, slots.values())) <= 1
+    plan = shard_documents(docs, n_shards=7)._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in plan and "Python" not in plan and "ExistingRDD" not in plan.split("Bucketed: true")[0][-2000:]
