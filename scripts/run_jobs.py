@@ -41,10 +41,10 @@ def main():
     train, test = jobs.prepare_split(spark, f"{src}/events.csv", out, gap_sec=86400)
     times["prepare_split"] = time.perf_counter() - t
     t = time.perf_counter()
-    trimmed, labels = jobs.cut_test_sessions(spark, f"{out}/test_set", out)
+    trimmed, labels = jobs.cut_test_sessions(spark, f"{out}/test_set.parquet", out)
     times["cut_test_sessions"] = time.perf_counter() - t
     t = time.perf_counter()
-    cats = jobs.build_item_categories(spark, f"{out}/train_set", src, out)
+    cats = jobs.build_item_categories(spark, f"{out}/train_set.parquet", src, out)
     times["build_item_categories"] = time.perf_counter() - t
     t = time.perf_counter()
     sinks.write_predictions(predictions(trimmed, train), f"{out}/predictions")
