@@ -18,9 +18,9 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.materialize import materialize
+from ..functions.materialize import is_stored, materialize
 
-__all__ = ["documents", "labels", "materialize", "ship", "text_slices", "id_crc32", "join_few", "pass_id"]
+__all__ = ["documents", "labels", "materialize", "ship", "text_slices", "id_crc32", "join_few", "pass_id", "stored"]
 
 #: Bytes of text that a Python step handles at once.
 SLICE_BYTES = 4 << 20
@@ -39,8 +39,13 @@ def id_crc32(col: str = "doc_id") -> Column:
     return F.crc32(F.col(col).cast("string").cast("binary"))
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` if it only reads files, else ``df`` written and read back: what ``pass_id`` numbers."""
+    return df if is_stored(df) else materialize(df, name)
+
+
 def pass_id(df: DataFrame, name: str) -> DataFrame:
-    """``df`` (a stored table) with a row number that is the same in every pass over it.
+    """``df`` (a stored table, see ``stored``) with a row number that is the same in every pass over it.
 
     The number is Spark's partition index and row index of the scan; both follow from the
     stored files and the session's split size alone, so a retried task numbers alike."""

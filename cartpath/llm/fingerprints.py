@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import shuffle_partitions
-from .common import pass_id, ship, text_slices
+from .common import pass_id, ship, stored, text_slices
 
 SIZE = 64
 WINDOW = 1 << 20
@@ -153,12 +153,12 @@ def _numbers(heads: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def neighbours(docs: DataFrame, ranges: int | None = None) -> DataFrame:
-    """Fingerprints of every text of ``docs`` (a stored table) and of its edit with the next
+    """Fingerprints of every text of ``docs`` and of its edit with the next
     document, and their likeness."""
     spark = docs.sparkSession
     ship(spark)
     ranges = ranges or 4 * shuffle_partitions(spark)
-    rows = _placed(docs)
+    rows = _placed(stored(docs.select("doc_id", "text"), "documents"))
     heads = _heads(rows, ranges)
     if not heads.size:
         return spark.createDataFrame([], MARKED)

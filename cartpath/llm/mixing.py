@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.sequence import ordered, with_running_sums
-from .common import join_few, materialize, pass_id
+from .common import join_few, materialize, pass_id, stored
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
@@ -113,7 +113,8 @@ def mix_sources(docs: DataFrame, weights: Sequence[float] = WEIGHTS, budget: flo
 
 
 def training_order(docs: DataFrame, **how) -> DataFrame:
-    """The documents the mix takes (a stored table), a row for each pass, range-sorted by training position."""
+    """The documents the mix takes, a row for each pass, range-sorted by training position."""
+    docs = stored(docs, "documents")
     mixed = mix_sources(pass_id(docs, "_llm_row"), keep=("_llm_row",), **how)
     passes = mixed.select("_llm_row", F.explode(F.array_compact(F.array("position1", "position2"))).alias("_llm_position"))
     return (pass_id(docs, "_llm_row").join(passes, "_llm_row").orderBy("_llm_position", "doc_id", "_llm_row").select(*docs.columns))

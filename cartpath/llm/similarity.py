@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.materialize import discard
-from .common import materialize, pass_id, ship, text_bytes, text_slices
+from .common import materialize, pass_id, ship, stored, text_bytes, text_slices
 
 N = 4
 THRESHOLD = "0.85"
@@ -471,13 +471,13 @@ def _searched(lists: DataFrame, needs: DataFrame, labels: DataFrame) -> DataFram
 
 
 def near_duplicates(docs: DataFrame, n: int = N, threshold: str = THRESHOLD, spare_parts: float = SPARE_PARTS) -> DataFrame:
-    """row, doc_id, n_shingles, node and component of every row of ``docs`` (a stored table;
-    ``row`` is its pass number), with component_id, the component's least doc_id.
+    """row, doc_id, n_shingles, node and component of every row of ``docs`` (``row``
+    is its pass number), with component_id, the component's least doc_id.
     ``spare_parts`` trades list keys for candidates; it does not change the result."""
     t = Fraction(threshold)
     if not 0 < t <= 1 or n < 1:
         raise ValueError("threshold must be in (0, 1], n positive")
-    docs = pass_id(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), "row")
+    docs = pass_id(stored(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), "documents"), "row")
     sets = materialize(shingle_sets(docs, n, Classes(t, spare_parts=spare_parts)), "sets")
     marks = ["n_shingles", "mark1", "mark2"]
     nodes = materialize(sets.filter("n_shingles > 0").groupBy(*marks).agg(F.min("row").alias("node"), F.min("doc_id").alias("least_id")), "nodes")
@@ -515,8 +515,9 @@ def near_duplicates(docs: DataFrame, n: int = N, threshold: str = THRESHOLD, spa
 
 
 def first_of_each(docs: DataFrame, n: int, threshold: str, spare_parts: float = SPARE_PARTS) -> DataFrame:
-    """The rows of ``docs`` (a stored table; all columns), one of each component: the one with
+    """The rows of ``docs`` (all columns), one of each component: the one with
     the least doc_id (null last), then row. Rows without words stay."""
+    docs = stored(docs, "documents")
     found = materialize(near_duplicates(docs, n, threshold, spare_parts), "components")
     keys = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row"))
     best = found.filter("n_shingles > 0").groupBy("component").agg(F.min_by("row", keys).alias("_llm_row")).select("_llm_row")

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import shuffle_partitions
-from .common import materialize, pass_id, ship, text_slices
+from .common import materialize, pass_id, ship, stored, text_slices
 
 WORDS = 13
 SEED_WORDS = 4
@@ -333,14 +333,14 @@ def maximal_repeats(matched: np.ndarray, words: int, borders: np.ndarray) -> tup
 
 def remove_repeats(docs: DataFrame, words: int = WORDS, seed_words: int = SEED_WORDS) -> DataFrame:
     """row, doc_id, n_words, n_removed, repeats (start and length of the removed stretches, in
-    words) and the kept text (its words joined by spaces) of every row of ``docs`` (a stored table;
-    ``row`` is its pass number)."""
+    words) and the kept text (its words joined by spaces) of every row of ``docs`` (``row``
+    is its pass number)."""
     if not 1 <= seed_words <= words:
         raise ValueError("seed_words must be between 1 and words")
     spark = docs.sparkSession
     ship(spark)
     buckets = BUCKETS * shuffle_partitions(spark)
-    docs = pass_id(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), "row")
+    docs = pass_id(stored(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), "documents"), "row")
 
     def opened(batch: pa.RecordBatch) -> Block:
         return Block(batch.column("doc_id"), batch.column("text"), words, seed_words)

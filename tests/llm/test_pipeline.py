@@ -17,7 +17,7 @@ from llm.test_tokens import expected, unpacked
 
 def test_registered():
     queries = entry.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(q.startswith(f"op{n}_") for q in queries) == 1
     assert queries["pipeline"] is corpus_pipeline.run and "op1_mix_sources" in entry.oracle_sql()
     assert [len(corpus_pipeline.STAGES), corpus_pipeline.ORACLE_SQL] == [5, None]
