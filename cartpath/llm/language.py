@@ -17,7 +17,10 @@ The labelled text is a bounded sample: ``SAMPLE_DOCS`` documents of a language a
 hash of the id, each gives its first ``4 * SAMPLE_CHARS / SAMPLE_DOCS`` (1,000) characters, and
 the first ``SAMPLE_CHARS`` (16,000) of these are kept, so with long documents about 16 of the
 64 count. More than 16 languages share ``16 * SAMPLE_CHARS`` characters, at least 1,000 each.
-Every labelled language is kept; the table grows with their number.
+Every labelled language is kept. One model holds ``GROUP`` languages at most; where there are more, the
+sample stays a written table and a document is parsed against one group's model after the other
+(a pass over the texts for each), the best of all groups deciding: the same results, with memory
+bounded by a group, at the cost of the passes.
 
 Defined cases: a null text and one without a letter give ``und`` and score 0; a null id is
 never learned from and not held out; with nothing to learn from everything is ``und``;
@@ -35,7 +38,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import id_crc32, ship, text_slices
+from ..functions.ranking import with_dense_id
+from .common import id_crc32, materialize, pass_id, ship, stored, text_slices
 
 PIECE = 1024
 SAMPLE_DOCS = 64
@@ -44,6 +48,9 @@ UNKNOWN = "und"
 #: A kept text's language explains it in so many bits a letter, some phrases left aside.
 MOST_BITS = 6.5
 FREE_PHRASES = 4
+#: Languages of one model; so many samples are on the driver and in a task at once.
+GROUP = 256
+_BEST = pa.list_(pa.struct([("bits", pa.float64()), ("lang", pa.string()), ("rest", pa.float64())]))
 PREDICTED = "doc_id long, held_out boolean, lang_pred string, score double"
 _SPACE, _OTHER = 0, 1
 
@@ -205,24 +212,84 @@ class LanguageModel:
         return [self.languages[b] if k else UNKNOWN for b, k in zip(best, known)], score, rest
 
 
-def learn_languages(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS) -> LanguageModel:
-    """A model of the languages of ``docs`` (doc_id, text, lang), held-out documents left aside."""
+class LanguageGroups:
+    """More languages than one model holds: a written sample (group, lang, nth, text) from which the
+    models of ``GROUP`` languages at a time are made, one after the other."""
+
+    def __init__(self, sample: DataFrame, groups: int, share: int):
+        self.sample, self.groups, self.share = sample, groups, share
+
+    def model(self, group: int) -> LanguageModel:
+        return _model(self.sample.filter(F.col("group") == group), self.share)
+
+
+def _model(sample: DataFrame, share: int) -> LanguageModel:
+    parts: dict[str, list[str]] = {}
+    for r in sample.orderBy("lang", "nth").select("lang", "text").collect():
+        parts.setdefault(r["lang"], []).append(r["text"])
+    return LanguageModel({lang: "".join(f" {t}" for t in texts)[:share] for lang, texts in parts.items()})
+
+
+def learn_languages(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS,
+                    group: int = GROUP) -> LanguageModel | LanguageGroups:
+    """The languages of ``docs`` (doc_id, text, lang), held-out documents left aside: a model of all
+    of them, or beyond ``group`` languages one for each group."""
     rows = docs.select("doc_id", "text", "lang").filter(
         F.col("lang").isNotNull() & (F.col("lang") != UNKNOWN) & F.col("text").rlike(r"\p{L}") & (id_crc32() % 4 != 2))
     # Top rows of each language: Spark keeps sample_docs rows a language and task before the shuffle.
     pick = Window.partitionBy("lang").orderBy("draw", "doc_id", "text")
     chosen = (rows.select("lang", "doc_id", F.substring("text", 1, 4 * sample_chars // sample_docs).alias("text"),
                           F.xxhash64(F.col("doc_id")).alias("draw"))
-              .withColumn("nth", F.row_number().over(pick)).filter(F.col("nth") <= sample_docs))
-    parts: dict[str, list[str]] = {}
-    for r in chosen.orderBy("lang", "nth").select("lang", "text").collect():
-        parts.setdefault(r["lang"], []).append(r["text"])
-    share = max(1000, min(sample_chars, 16 * sample_chars // max(1, len(parts))))
-    return LanguageModel({lang: "".join(f" {t}" for t in texts)[:share] for lang, texts in parts.items()})
-
-
-def predict_language(docs: DataFrame, model: LanguageModel) -> DataFrame:
+              .withColumn("nth", F.row_number().over(pick)).filter(F.col("nth") <= sample_docs).select("lang", "nth", "text"))
+    chosen = materialize(chosen, "language-sample")
+    number = chosen.select("lang").distinct().count()
+    share = max(1000, min(sample_chars, 16 * sample_chars // max(1, number)))
+    if number <= group:
+        return _model(chosen, share)
+    named = with_dense_id(chosen.select("lang").distinct(), ["lang"])
+    placed = chosen.join(named, "lang").withColumn("group", F.floor((F.col("id") - 1) / group).cast("int")).drop("id")
+    return LanguageGroups(materialize(placed, "language-groups"), -(-number // group), share)
+
+
+def _judged(docs: DataFrame, models: LanguageGroups, free: int) -> DataFrame:
+    """row, lang, score and rest (see ``LanguageModel.judge``) of every row of ``docs`` (row, text):
+    a pass for each group, whose two best languages are written, then the best of all."""
+    spark = docs.sparkSession
+    ship(spark)
+    passes = None
+    for g in range(models.groups):
+        shared = spark.sparkContext.broadcast(models.model(g))
+
+        def parse(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            model = shared.value
+            for batch in text_slices(batches):
+                texts = [t or "" for t in batch.column("text").to_pylist()]
+                count, sizes = model.phrases(texts)
+                bits = count * np.array(model.bits) / np.maximum(sizes, 1)[:, None]
+                rest = np.maximum(count - free, 0) * np.array(model.bits) / np.maximum(sizes, 1)[:, None]
+                best = np.argsort(bits, axis=1, kind="stable")[:, :2]
+                here = [[{"bits": float(bits[i, k]), "lang": model.languages[k], "rest": float(rest[i, k])} for k in ks]
+                        if any(map(str.isalpha, t)) else [] for i, (t, ks) in enumerate(zip(texts, best.tolist()))]
+                yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(here, _BEST)], ["row", "best"])
+
+        found = materialize(docs.mapInArrow(parse, "row long, best array<struct<bits:double,lang:string,rest:double>>"), "language-pass")
+        shared.unpersist()
+        passes = found if passes is None else passes.unionByName(found)
+    # At most two of each group.
+    best = passes.groupBy("row").agg(F.slice(F.array_sort(F.flatten(F.collect_list("best"))), 1, 2).alias("b"))
+    first, second = F.get("b", F.lit(0)), F.get("b", F.lit(1))
+    score = 1 - first["bits"] / F.greatest(second["bits"], F.lit(1e-12))
+    return best.select("row", F.coalesce(first["lang"], F.lit(UNKNOWN)).alias("lang"), F.coalesce(score, F.lit(0.0)).alias("score"),
+                       F.coalesce(first["rest"], F.lit(float("inf"))).alias("rest"))
+
+
+def predict_language(docs: DataFrame, model: LanguageModel | LanguageGroups) -> DataFrame:
     """doc_id, held_out, lang_pred and score of every row."""
+    held = F.coalesce(id_crc32() % 4 == 2, F.lit(False))
+    if isinstance(model, LanguageGroups):
+        rows = pass_id(stored(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), "documents"), "row")
+        found = rows.select("row", "doc_id", held.alias("held_out")).join(_judged(rows.select("row", "text"), model, 0), "row")
+        return found.select("doc_id", "held_out", F.col("lang").alias("lang_pred"), "score")
     spark = docs.sparkSession
     ship(spark)
     shared = spark.sparkContext.broadcast(model)
@@ -234,17 +301,22 @@ def predict_language(docs: DataFrame, model: LanguageModel) -> DataFrame:
                 [batch.column("doc_id"), batch.column("held_out"), pa.array(lang, pa.string()), pa.array(score)],
                 ["doc_id", "held_out", "lang_pred", "score"])
 
-    held = F.coalesce(id_crc32() % 4 == 2, F.lit(False))
     return docs.select(F.col("doc_id").cast("long"), held.alias("held_out"), F.col("text").cast("string")).mapInArrow(predict, PREDICTED)
 
 
-def keep_languages(docs: DataFrame, model: LanguageModel, wanted: Collection[str] | None = None, most_bits: float = MOST_BITS,
+def keep_languages(docs: DataFrame, model: LanguageModel | LanguageGroups, wanted: Collection[str] | None = None, most_bits: float = MOST_BITS,
                    free: int = FREE_PHRASES) -> DataFrame:
     """The rows of ``docs`` (all columns) whose text is in one of the ``wanted`` languages (by
     default any learned one): their language needs the fewest phrases, and, but for ``free`` ones that
     decide nothing in short texts, at most ``most_bits`` bits a letter. Texts of other languages
     and of random letters need more than that in every language; they go, whatever their ``lang``
     says, and so do texts without a letter."""
+    if isinstance(model, LanguageGroups):
+        rows = pass_id(docs := stored(docs, "documents"), "_llm_row")
+        found = _judged(rows.select(F.col("_llm_row").alias("row"), "text"), model, free)
+        found = found.filter((F.col("lang") != UNKNOWN) & (F.col("rest") <= most_bits))
+        found = found if wanted is None else found.filter(F.col("lang").isin(*wanted))
+        return rows.join(found.select(F.col("row").alias("_llm_row")), "_llm_row", "left_semi").select(*docs.columns)
     spark = docs.sparkSession
     ship(spark)
     shared = spark.sparkContext.broadcast(model)

@@ -73,6 +73,21 @@ def test_every_labelled_language_is_learned(spark):
     assert all(r.lang_pred == r.lang for r in predict_language(docs, model).join(docs.select("doc_id", "lang"), "doc_id").collect())
 
 
+def test_groups_of_languages_give_the_same(spark, tmp_path):
+    """Ten models of eight languages and one of all: the same languages and scores."""
+    rows = [(100 * i + k, text, lang) for i, (lang, texts) in enumerate(scripts(80).items()) for k, text in enumerate(texts)]
+    rows += [(9000, None, "l001"), (9001, "...", "l002"), (None, rows[3][1], None), (9002, "plain latin text that nobody has labelled here", "l003")]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3).write.parquet(str(tmp_path / "d"))
+    docs = spark.read.parquet(str(tmp_path / "d"))
+    whole, groups = learn_languages(docs), learn_languages(docs, group=8)
+    assert groups.groups == 10 and all(len(groups.model(g).languages) == 8 for g in range(10))
+    tell = lambda m: sorted(((r.doc_id, r.held_out, r.lang_pred, round(r.score, 9)) for r in predict_language(docs, m).collect()), key=str)
+    assert tell(whole) == tell(groups)
+    for wanted in (None, ["l001", "l017"]):
+        kept = [sorted(map(str, keep_languages(docs, m, wanted=wanted).collect())) for m in (whole, groups)]
+        assert kept[0] == kept[1] and 0 < len(kept[0]) < len(rows)
+
+
 def test_automaton_knows_every_substring():
     s = [0, 1, 0, 1, 1, 2, 0]
     step = suffix_automaton(s)
