@@ -17,6 +17,7 @@ both remove only folders that this module made.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -97,6 +98,14 @@ def discard(*tables: DataFrame) -> None:
         _delete(df.sparkSession, folders)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished jobs now. It does so when the driver has
+    collected the objects that stand for them, which may be long after the tables made of
+    them are written: they would lie beside everything that follows."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def cleanup(spark: SparkSession) -> None:
     """Delete the intermediate tables this session has written; DataFrames that read them
     cannot be used any more."""
