@@ -44,7 +44,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.materialize import discard
+from ..functions.materialize import discard, release_shuffles
 from .common import materialize, pass_id, ship, stored, text_bytes, text_slices
 
 N = 4
@@ -489,6 +489,11 @@ def near_duplicates(docs: DataFrame, n: int = N, threshold: str = THRESHOLD, spa
     drawn = F.struct(F.xxhash64("node", F.pmod("key", F.lit(PIVOTS << 8))).alias("draw"), F.col("node").alias("node"))
     lists = lists.select("node", "key", F.count(F.lit(1)).over(of_key).alias("long"), F.min(drawn).over(of_key)["node"].alias("pivot"))
     lists = materialize(lists.filter("long > 1"), "lists")
+    # Most keys stand in no list of two: the table goes on without them, and so does the disk.
+    every_key, sets = sets, materialize(sets.drop("keys"), "sets-without-keys")
+    del first
+    discard(every_key)
+    release_shuffles(docs.sparkSession)
     needs = sets.select(F.col("row").alias("node"), F.explode("needs").alias("n")).select(
         "node", F.col("n").bitwiseAND(F.lit(0xFF)).alias("class"), F.shiftright("n", 8).alias("need"))
 
@@ -496,6 +501,7 @@ def near_duplicates(docs: DataFrame, n: int = N, threshold: str = THRESHOLD, spa
     compared = lists.filter("node != pivot").select(*pair).groupBy("node", "pivot").count().filter("count > 1").select("node", "pivot")
     compared = materialize(compared, "compared")
     links = _verified(_possible_pairs(compared, sets, t), docs, n, t)
+    release_shuffles(docs.sparkSession)
     labels = least_labels(links)
     asked = _searched(lists.select("key", "node", "long"), needs, labels)
     discard(lists, labels)
