@@ -62,6 +62,8 @@ PIECE = 1 << 18
 POSTINGS = 16_384
 #: Pivots of a list are drawn in so many ways.
 PIVOTS = 4
+#: Copies up to this many (8 bytes each) are broadcast.
+FEW_COPIES = 1 << 21
 MU = 0.0085
 PARITY_BITS = 1024
 SETS = "row long, doc_id long, n_shingles long, mark1 long, mark2 long, parity binary, keys array<long>, needs array<long>"
@@ -470,6 +472,12 @@ def _searched(lists: DataFrame, needs: DataFrame, labels: DataFrame) -> DataFram
     return asked
 
 
+def _without(rows: DataFrame, copies: DataFrame) -> DataFrame:
+    """``rows`` that are no ``copies`` (row; a written table). Few copies are broadcast, so that the rows' keys
+    are not shuffled for them; more are joined."""
+    return rows.join(F.broadcast(copies) if copies.count() <= FEW_COPIES else copies.hint("merge"), "row", "left_anti")
+
+
 def near_duplicates(docs: DataFrame, n: int = N, threshold: str = THRESHOLD, spare_parts: float = SPARE_PARTS) -> DataFrame:
     """row, doc_id, n_shingles, node and component of every row of ``docs`` (``row``
     is its pass number), with component_id, the component's least doc_id.
@@ -482,16 +490,15 @@ def near_duplicates(docs: DataFrame, n: int = N, threshold: str = THRESHOLD, spa
     marks = ["n_shingles", "mark1", "mark2"]
     nodes = materialize(sets.filter("n_shingles > 0").groupBy(*marks).agg(F.min("row").alias("node"), F.min("doc_id").alias("least_id")), "nodes")
 
-    # Inverted lists with two members or more.
-    first = sets.filter(F.size("keys") > 0).join(nodes.select(F.col("node").alias("row")), "row", "left_semi")
-    lists = first.select(F.col("row").alias("node"), F.explode("keys").alias("key"))
+    # Inverted lists with two members or more, of one row of each set.
+    copies = sets.select("row", *marks).join(nodes, marks).filter("row != node").select("row")
+    lists = _without(sets.filter(F.size("keys") > 0), materialize(copies, "copies")).select(F.col("row").alias("node"), F.explode("keys").alias("key"))
     of_key = Window.partitionBy("key")
     drawn = F.struct(F.xxhash64("node", F.pmod("key", F.lit(PIVOTS << 8))).alias("draw"), F.col("node").alias("node"))
     lists = lists.select("node", "key", F.count(F.lit(1)).over(of_key).alias("long"), F.min(drawn).over(of_key)["node"].alias("pivot"))
     lists = materialize(lists.filter("long > 1"), "lists")
     # Most keys stand in no list of two: the table goes on without them, and so does the disk.
     every_key, sets = sets, materialize(sets.drop("keys"), "sets-without-keys")
-    del first
     discard(every_key)
     release_shuffles(docs.sparkSession)
     needs = sets.select(F.col("row").alias("node"), F.explode("needs").alias("n")).select(

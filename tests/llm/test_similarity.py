@@ -7,6 +7,7 @@ from fractions import Fraction
 import numpy as np
 import pytest
 
+from cartpath.llm import similarity
 from cartpath.llm.similarity import Classes, first_of_each, least_labels, near_duplicates, occurring, parity, shingles, t_occurrence
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -171,3 +172,23 @@ def test_parameters(docs):
     for bad in ({"threshold": "0"}, {"threshold": "1.2"}, {"n": 0}):
         with pytest.raises(ValueError):
             near_duplicates(docs, **bad)
+
+
+@pytest.mark.parametrize("few", [0, 1 << 21])
+def test_copies_are_left_out_either_way(spark, tmp_path, monkeypatch, few):
+    """Copies by broadcast and by a join, candidate blocks in pieces, comparisons of few shingles at once."""
+    rnd = random.Random(8)
+    base = [" ".join(f"w{rnd.randrange(60)}" for _ in range(60)) for _ in range(6)]
+    rows = []
+    for i in range(150):
+        w = rnd.choice(base).split()
+        for _ in range(rnd.choice([0, 0, 1, 2, 6])):
+            w[rnd.randrange(len(w))] = f"x{rnd.randrange(9)}"
+        rows.append((i, " ".join(w)))
+    monkeypatch.setattr(similarity, "FEW_COPIES", few)
+    monkeypatch.setattr(similarity, "PIECE", 16)
+    monkeypatch.setattr(similarity, "HELD", 200)
+    monkeypatch.setattr(similarity, "ASKING", 8)
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(3).write.parquet(str(tmp_path / "d"))
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in similarity.near_duplicates(spark.read.parquet(str(tmp_path / "d"))).collect())
+    assert got == sorted(plain_components(rows, 4, Fraction("0.85")))
