@@ -4,7 +4,8 @@ Every stage takes (spark, docs, sf_dir) and returns a DataFrame that is written
 and reread as the next stage's ``docs``; all but the last return the columns of the
 documents. Each stage is judged on its own input and learns from that input.
 
-Defined cases: a document whose language cannot be told (null text, no letter) goes; so
+Defined cases: a document whose language cannot be told (null text, no letter), or that needs
+too many bits a letter in every learned language (another language, random letters), goes; so
 does one predicted toxic; of each group of near duplicates the document with the least
 id stays (null ids last), documents without words stay; the mix repeats or leaves out
 documents by their source's target; null texts pack as their end id. Empty tables pass
